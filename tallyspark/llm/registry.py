@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, packing, quality, vector_search
+from . import chat, jaccard, packing, quality, vector_search
 from .shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,9 +33,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(extra)))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op5_packing, op7_chat_formatting, op9_exact_top_k)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op5_packing, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k)}
 SQL: dict[str, str] = {}
