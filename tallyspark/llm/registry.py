@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, packing, quality, vector_search
+from . import chat, jaccard, packing, quality, suffix_dedup, vector_search
 from .shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,5 +41,9 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op5_packing, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op5_packing, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
 SQL: dict[str, str] = {}
