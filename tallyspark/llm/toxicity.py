@@ -4,12 +4,12 @@ A word enters as a vector of word inputs (its bucket's log-odds and a trained
 embedding) and character inputs (the same for its 4-byte pieces, and log-odds
 of its first four, five and six bytes).  Two gated recurrent chains read a window of 32 words from both
 ends, attention weighs their states, and a logistic unit scores the window.
-Windows overlap by eight words and cover the whole text; a document's score is
-that of its worst window.
+Windows overlap by eight words and cover the whole text; a logistic unit scores
+the document from its three worst windows and the mean of all.
 
 Training is in numpy on the driver, on at most ``TRAIN_DOCS`` labelled
-documents (clean, toxic), chosen by a hash of their id.  Half of them give the
-log-odds, the other half the weights.  The inputs of a score are text only.
+documents (clean, toxic), chosen by a hash of their id.  The log-odds a
+document trains with come from the folds it isn't in.  The inputs of a score are text only.
 
 A null or empty text is scored as a window without words.  Rows whose label is
 null teach nothing; a document labelled twice counts as toxic if either says
@@ -40,16 +40,30 @@ HIDDEN = 8
 ODDS = 3 + len(HEADS)
 INPUTS = ODDS + 2 * EMBEDDED
 SMOOTH = 3.0
-EPOCHS, BATCH, RATE = 6, 64, 0.02
+#: Rounds over the training windows: at least EPOCHS, and STEPS batches.
+EPOCHS, STEPS, BATCH, RATE = 4, 300, 64, 0.02
+FOLDS = 4
 SLICE = 2 << 20
 
 
+#: A word here is a run of letters, digits and characters beyond ASCII.
+NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """A-Z and the capital letters of Latin-1 in UTF-8, in lower case."""
+    out = LOWER[data]
+    wide = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    out[1:][wide] += 0x20
+    return out
+
+
 class Words:
     """The distinct words of a slice, their buckets, and each place's word."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        data = LOWER[data]
-        starts, ends, self.first = word_spans(data, offsets)
+        data = lower_case(data)
+        starts, ends, self.first = word_spans(data, offsets, NO_WORD)
         sums, down = prefix_sums(data), powers(len(data))[1]
         span = lambda a, b: mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
         h, at, self.word = np.unique(span(starts, ends), return_index=True, return_inverse=True)
@@ -177,25 +191,56 @@ def window_index(words: Words, start: np.ndarray, count: np.ndarray) -> tuple[np
     return np.where(real, words.word[at] if len(words.word) else blank, blank), real
 
 
+def document_inputs(logit: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """Of each text: its three worst windows, their mean score, its length."""
+    order = np.lexsort((-logit, text))
+    logit, text = np.clip(logit[order], -9, 9), text[order]
+    nth = np.arange(len(text)) - np.searchsorted(text, text)
+    out = np.full((n, 6), -9.0)
+    for k in range(3):
+        out[text[nth == k], k] = logit[nth == k]
+    count = np.bincount(text, minlength=n)
+    out[:, 3] = 9 * np.bincount(text, sigmoid(logit), minlength=n) / count
+    out[:, 4] = np.log(count)
+    out[:, 5] = 1
+    return out
+
+
+def window_logits(p: dict[str, np.ndarray], x: np.ndarray, index: np.ndarray, real: np.ndarray) -> np.ndarray:
+    return np.concatenate([forward(p, x, index[:, a : a + 4096], real[:, a : a + 4096])[0] for a in range(0, index.shape[1], 4096)])
+
+
 def text_scores(p: dict[str, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The score of each text's worst window."""
+    """The score of each text, from the logits of all its windows."""
+    if len(offsets) < 2:
+        return np.zeros(0)
     words = Words(data, offsets)
     text, start, count = windows(words.first)
-    x = inputs(p, words)
-    best = np.full(len(offsets) - 1, -np.inf)
-    for a in range(0, len(text), 4096):
-        part = slice(a, a + 4096)
-        logit, _ = forward(p, x, *window_index(words, start[part], count[part]))
-        np.maximum.at(best, text[part], logit)
-    return sigmoid(best)
+    logit = window_logits(p, inputs(p, words), *window_index(words, start, count))
+    return sigmoid(document_inputs(logit, text, len(offsets) - 1) @ p["document"])
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: float) -> np.ndarray:
+    """Ridge logistic regression by Newton steps."""
+    w, each = np.zeros(x.shape[1]), np.where(y > 0, weight, 1.0)
+    for _ in range(25):
+        s = sigmoid(x @ w)
+        curve = (x * (each * s * (1 - s))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        w = w - np.linalg.solve(curve, x.T @ (each * (s - y)) + 0.1 * w)
+    return w
 
 
-def odds(texts: list[np.ndarray], toxic: np.ndarray, buckets: int) -> np.ndarray:
+def seen_in(texts: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray, buckets: int) -> np.ndarray:
+    """Documents that hold each bucket, by fold and label."""
+    seen = np.zeros((FOLDS, 2, buckets), np.int32)
+    for b, label, k in zip(texts, toxic, fold, strict=True):
+        seen[k, label, np.unique(b)] += 1
+    return seen
+
+
+def odds(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Smoothed log-odds of each bucket's presence in toxic documents."""
-    seen = np.zeros((2, buckets))
-    for b, label in zip(texts, toxic, strict=True):
-        seen[int(label), np.unique(b)] += 1
-    n = np.bincount(toxic.astype(int), minlength=2)[:, None]
+    n = np.maximum(n, 1)[:, None]
     # In proportion to the classes, so a bucket that nothing is known of has 0.
     prior = SMOOTH * 2 * n / n.sum()
     share = (seen + prior) / (n + 2 * prior)
@@ -211,44 +256,58 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> dict[str, np.nd
     if len(set(toxic.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    half = rng.permutation(len(texts)) % 2 == 0
-    if len(set(toxic[half].tolist())) < 2 or len(set(toxic[~half].tolist())) < 2:
-        half = np.ones(len(texts), bool)
-    count = [Words(*buffer_of([texts[i]])) for i in np.flatnonzero(half)]
-    known = [odds([k(w) for w in count], toxic[half], size) for k, size in ((lambda w: w.bucket, WORD_BUCKETS), (lambda w: w.piece, PIECE_BUCKETS), (lambda w: w.head, PIECE_BUCKETS))]
-    p = initial(rng, known)
-    rest = ~half if not half.all() else half
-    y = toxic[rest].astype(np.float32)
-    words = Words(*buffer_of([texts[i] for i in np.flatnonzero(rest)]))
-    text, start, size = windows(words.first)
+    toxic = np.asarray(toxic, int)
+    fold = rng.permutation(len(texts)) % FOLDS
+    each = [Words(*buffer_of([t])) for t in texts]
+    size = np.stack([np.bincount(toxic[fold == k], minlength=2) for k in range(FOLDS)])
+    tables = {}
+    for name, of, buckets in (("word_odds", lambda w: w.bucket, WORD_BUCKETS), ("piece_odds", lambda w: w.piece, PIECE_BUCKETS), ("head_odds", lambda w: w.head, PIECE_BUCKETS)):
+        seen = seen_in([of(w) for w in each], toxic, fold, buckets)
+        # What a document of fold k learns with comes from the other folds.
+        tables[name] = [odds(seen.sum(axis=0) - seen[k], size.sum(axis=0) - size[k]) for k in range(FOLDS)] + [odds(seen.sum(axis=0), size.sum(axis=0))]
+    p = initial(rng, [t[FOLDS] for t in tables.values()])
+    of_fold = [{name: t[k] for name, t in tables.items()} for k in range(FOLDS)]
+    y = toxic.astype(np.float32)
+    words = Words(*buffer_of(texts))
+    text, start, count = windows(words.first)
     bounds = np.searchsorted(text, np.arange(len(y) + 1))
     strength = np.append(np.maximum(p["word_odds"][words.bucket], p["head_odds"][words.head].max(axis=1, initial=-9)), 0)
-    index, real = window_index(words, start, size)
+    index, real = window_index(words, start, count)
     guess = strength[index].max(axis=0)
     moments: dict[str, list] = {}
     step = 0
-    for _ in range(EPOCHS):
+    weight = min(5.0, max(1.0, (2 * (y == 0).sum()) / (y == 1).sum()))
+    batches = -(-(len(y) + int((y == 0).sum())) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches))):
         # The worst window of each document, and any other of the clean ones.
         worst = np.array([a + int(np.argmax(guess[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
         other = rng.integers(bounds[:-1], bounds[1:])[y == 0]
         chosen, target = np.r_[worst, other], np.r_[y, np.zeros(len(other), np.float32)]
         order = rng.permutation(len(chosen))
-        for a in range(0, len(order), BATCH):
-            i = order[a : a + BATCH]
+        folds = [order[fold[text[chosen[order]]] == k] for k in range(FOLDS)]
+        for k, i in [(k, f[a : a + BATCH]) for a in range(0, max(map(len, folds)), BATCH) for k, f in enumerate(folds) if a < len(f)]:
+            seen_p = p | of_fold[k]
             part, back = np.unique(index[:, chosen[i]], return_inverse=True)
             back = back.reshape(WINDOW, -1)
-            x_all = sub_inputs(p, words, part)
+            x_all = sub_inputs(seen_p, words, part)
             logit, tape = forward(p, x_all, back, real[:, chosen[i]], keep=True)
-            g, d_x = backward(p, x_all, back, real[:, chosen[i]], tape, ((sigmoid(logit) - target[i]) / len(i)).astype(np.float32))
+            d_logit = (sigmoid(logit) - target[i]) * np.where(target[i] > 0, weight, 1) / len(i)
+            g, d_x = backward(p, x_all, back, real[:, chosen[i]], tape, d_logit.astype(np.float32))
             step += 1
-            for k, d in g.items():
-                m = moments.setdefault(k, [np.zeros_like(d), np.zeros_like(d)])
+            for name, d in g.items():
+                m = moments.setdefault(name, [np.zeros_like(d), np.zeros_like(d)])
                 m[0] = 0.9 * m[0] + 0.1 * d
                 m[1] = 0.99 * m[1] + 0.01 * d * d
-                p[k] = (p[k] - RATE * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                p[name] = (p[name] - RATE * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
             teach_embeddings(p, words, part, d_x)
         x = inputs(p, words)
-        guess = np.concatenate([forward(p, x, index[:, a : a + 4096], real[:, a : a + 4096])[0] for a in range(0, len(text), 4096)])
+        guess = window_logits(p, x, index, real)
+    # The document's unit learns from windows seen with the other folds' odds.
+    logit = np.empty(len(text))
+    for k in range(FOLDS):
+        i = np.flatnonzero(fold[text] == k)
+        logit[i] = window_logits(p, inputs(p | of_fold[k], words), index[:, i], real[:, i])
+    p["document"] = fit_logistic(document_inputs(logit, text, len(y)), y, 1.0)
     return p
 
 

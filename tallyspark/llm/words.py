@@ -47,9 +47,9 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the first word of each text (n + 1)."""
-    word = ~SPACE[data]
+    word = ~space[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = word[:-1], word[1:]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
