@@ -26,8 +26,13 @@ from .shared import clean_columns, slices, stored, worker_setup
 
 WINDOW = 4096
 END_ID = 2
-#: Words a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+#: Words in each of the two generations that a worker remembers.
+REMEMBERED = 500_000
+#: Marks that may close a word, and the first character from which on case and
+#: composition of characters may depend on one another.
+CLOSING = ".,;:!?"
+MARKS = "\u0300"
+BROADCAST_PARTS = 1_000_000
 #: Separators for Python's split() that are no white space for the tokenizer.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -40,7 +45,10 @@ class WordEncoder:
     """Ids of whole texts, through a memory of the ids of words.
 
     The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are those of its words in order.
+    ids of a text are those of its words in order.  A new word made of plain
+    letters and closing marks is looked up by its lower-case letters first:
+    the tokenizer cuts there too.  The memory has two generations; words in
+    use move to the younger one when the older one goes.
     """
 
     def __init__(self, path: str):
@@ -50,19 +58,38 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
+    def look_up(self, words: list[str]) -> list[str]:
+        """Take over what is known; the words that are not."""
+        unknown = []
+        for w in words:
+            ids = self.older.get(w)
+            if ids is None:
+                unknown.append(w)
+            else:
+                self.words[w] = ids
+        return unknown
+
+    def learn(self, words: set[str]) -> None:
+        parts = {}
+        for w in self.look_up(words - self.words.keys()):
+            letters = w.rstrip(CLOSING).lower()
+            parts[w] = (letters, w[len(letters) :]) if len(letters) <= len(w) and letters.isalpha() and max(w) < MARKS else (w, "")
+        new = self.look_up({x for pair in parts.values() for x in pair if x} - self.words.keys())
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.words[w] = self.packed(e.ids)
+        for w, (letters, rest) in parts.items():
+            self.words[w] = self.words[letters] + (self.words[rest] if rest else b"")
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) > REMEMBERED:
+            self.words, self.older = {}, self.words
         split = [[] if ODD_SPACE.search(t) else t.split() for t in texts]
-        new = set().union(*split) - self.words.keys()
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words = {}
-            new = set().union(*split)
-        new = list(new)
-        for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.words[word] = self.packed(e.ids)
+        self.learn(set().union(*split))
         known = self.words.__getitem__
         out = []
         for text, words in zip(texts, split, strict=True):
@@ -136,5 +163,6 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
             columns = [pa.array(doc.to_numpy(zero_copy_only=False)[row]) if not doc.null_count else doc.take(pa.array(row)), *map(pa.array, (start, length, crcs, n[row], sequence, offset, padded))]
             yield pa.record_batch(columns, schema=schema)
 
-    placed = ids.join(offsets, "part").select("doc_id", "n", (F.col("part_offset") + F.col("base")).alias("first"), "ids")
+    # Twelve bytes for each partition of the input.
+    placed = ids.join(F.broadcast(offsets) if len(totals) <= BROADCAST_PARTS else offsets, "part").select("doc_id", "n", (F.col("part_offset") + F.col("base")).alias("first"), "ids")
     return placed.mapInArrow(cut, PIECES)

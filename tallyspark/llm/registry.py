@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, packing, quality, suffix_dedup, toxicity, vector_search
+from . import chat, jaccard, packing, quality, secrets, suffix_dedup, toxicity, vector_search
 from .shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -49,5 +53,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_toxicity, op5_packing, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_toxicity, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
 SQL: dict[str, str] = {}
