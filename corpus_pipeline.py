@@ -1,4 +1,62 @@
-STAGES = []
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of ``documents``.  ``run`` writes what a stage returns
+to the shared folder before the next one reads it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspark.llm import jaccard, packing, registry, secrets, suffix_dedup, toxicity
+from tallyspark.llm.shared import stored, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the smallest doc_id stays.
+
+    Documents without words or with a null doc_id are in no group and stay.
+    """
+    gone = jaccard.near_duplicates(docs).filter("n_shingles > 0 AND component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes or more that occur twice leave the texts."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked."""
+    return secrets.masked(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs, registry.tokenizer_path(registry.TOKENIZER))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeats", cut_repeats),
+    ("secrets", mask_secrets),
+    ("packing", pack_sequences),
+]
+
+#: SQL expresses none of a trained network, suffix sorting and tokenizing.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
