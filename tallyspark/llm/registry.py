@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, extraction, jaccard, packing, quality, secrets, suffix_dedup, toxicity, vector_search
+from . import chat, extraction, jaccard, packing, pieces, quality, secrets, suffix_dedup, toxicity, vector_search
 from .shared import table
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -57,5 +62,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_toxicity, op4_html_extraction, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
 SQL: dict[str, str] = {}
