@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,9 @@ WINDOW = 4096
 END_ID = 2
 #: Words in each of the two generations that a worker remembers.
 REMEMBERED = 500_000
-#: Marks that may close a word, and the first character from which on case and
-#: composition of characters may depend on one another.
-CLOSING = ".,;:!?"
-MARKS = "\u0300"
+#: Letters and closing marks.  Lower-case letters of this kind are unchanged by
+#: the tokenizer's normalizer and never cut by it.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ɏ]+)([.,;:!?]*)").fullmatch
 BROADCAST_PARTS = 1_000_000
 #: Separators for Python's split() that are no white space for the tokenizer.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -41,14 +41,48 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 _encoders: dict[str, WordEncoder] = {}
 
 
+class Words(dict):
+    """Packed ids of the words seen so far; a new word is worked out on demand.
+
+    A word of plain letters and closing marks is put together from its
+    lower-case letters and its marks, between which the tokenizer cuts too.
+    Lower-case letters are what its normalizer and its splitting leave as they
+    are, so they go straight to its BPE model.  Two generations: words in use
+    move to the younger one when the older one goes.
+    """
+
+    def __init__(self, tokenizer, pack):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.older: dict[str, bytes] = {}
+        self.pack, self.tokenizer, self.model = pack, tokenizer, tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250) if chr(c).isalpha()}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            plain = PLAIN(word)
+            if plain is None:
+                ids = self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            elif plain[2] or word != word.lower():
+                ids = self[plain[1].lower()] + (self[plain[2]] if plain[2] else b"")
+            else:
+                ids = self.pack([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes))])
+        self[word] = ids
+        return ids
+
+    def turn(self) -> None:
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of whole texts, through a memory of the ids of words.
 
     The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are those of its words in order.  A new word made of plain
-    letters and closing marks is looked up by its lower-case letters first:
-    the tokenizer cuts there too.  The memory has two generations; words in
-    use move to the younger one when the older one goes.
+    ids of a text are those of its words in order.
     """
 
     def __init__(self, path: str):
@@ -56,46 +90,18 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        narrow = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype = np.dtype("<u2" if narrow else "<u4")
+        self.kind = "H" if narrow else "I"
+        self.words = Words(self.tokenizer, self.packed)
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def look_up(self, words: list[str]) -> list[str]:
-        """Take over what is known; the words that are not."""
-        unknown = []
-        for w in words:
-            ids = self.older.get(w)
-            if ids is None:
-                unknown.append(w)
-            else:
-                self.words[w] = ids
-        return unknown
-
-    def learn(self, words: set[str]) -> None:
-        parts = {}
-        for w in self.look_up(words - self.words.keys()):
-            letters = w.rstrip(CLOSING).lower()
-            parts[w] = (letters, w[len(letters) :]) if len(letters) <= len(w) and letters.isalpha() and max(w) < MARKS else (w, "")
-        new = self.look_up({x for pair in parts.values() for x in pair if x} - self.words.keys())
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.words[w] = self.packed(e.ids)
-        for w, (letters, rest) in parts.items():
-            self.words[w] = self.words[letters] + (self.words[rest] if rest else b"")
+        return array(self.kind, ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words, self.older = {}, self.words
-        split = [[] if ODD_SPACE.search(t) else t.split() for t in texts]
-        self.learn(set().union(*split))
+        self.words.turn()
         known = self.words.__getitem__
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            whole = not words and text and ODD_SPACE.search(text)
-            out.append(self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if whole else b"".join(map(known, words)))
-        return out
+        return [b"".join(map(known, t.split())) if not ODD_SPACE.search(t) else self.packed(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
 def encoder(path: str) -> WordEncoder:
