@@ -30,7 +30,8 @@ from .shared import clean_columns, slices, text_buffer
 from .words import LOWER, mix, powers, prefix_sums, word_spans
 
 WINDOW, STRIDE = 32, 24
-TRAIN_DOCS = (5000, 1200)
+TRAIN_DOCS = (2500, 1000)
+TRAIN_SLICE = 1 << 19
 THRESHOLD = 0.7
 WORD_BUCKETS, PIECE_BUCKETS = 1 << 16, 1 << 15
 #: Lengths in bytes of the word beginnings that have a bucket.
@@ -188,7 +189,7 @@ def window_index(words: Words, start: np.ndarray, count: np.ndarray) -> tuple[np
     real = step < count
     at = np.minimum(start + step, max(0, len(words.word) - 1))
     blank = len(words.bucket)
-    return np.where(real, words.word[at] if len(words.word) else blank, blank), real
+    return np.where(real, words.word[at] if len(words.word) else blank, blank).astype(np.int32), real
 
 
 def document_inputs(logit: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -230,11 +231,43 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: float) -> np.ndarray:
     return w
 
 
-def seen_in(texts: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray, buckets: int) -> np.ndarray:
+class AllWords(Words):
+    """The words of many texts, found a slice at a time and kept as small numbers.
+
+    A word that occurs in two slices is kept twice, which changes nothing.
+    """
+
+    def __init__(self, texts: list[str]):
+        parts, held, size = [], [], 0
+        for k, t in enumerate(texts):
+            held.append(t)
+            size += len(t or "")
+            if size >= TRAIN_SLICE or k == len(texts) - 1:
+                parts.append(Words(*buffer_of(held)))
+                held, size = [], 0
+        join = lambda name: np.concatenate([getattr(w, name) for w in parts]).astype(np.int32)
+        self.bucket, self.pieces, self.piece, self.head = join("bucket"), join("pieces"), join("piece"), join("head")
+        self.piece_at = np.cumsum(self.pieces) - self.pieces
+        shift = np.cumsum([0, *(len(w.bucket) for w in parts)])
+        self.word = np.concatenate([w.word + a for w, a in zip(parts, shift, strict=False)]).astype(np.int32)
+        self.first = np.cumsum([0, *(n for w in parts for n in np.diff(w.first))])
+
+    def some(self, part: np.ndarray) -> Words:
+        """Only the words of these numbers, in this order."""
+        few = object.__new__(Words)
+        few.bucket, few.head, few.pieces = self.bucket[part], self.head[part], self.pieces[part]
+        few.piece_at = np.cumsum(few.pieces) - few.pieces
+        few.piece = self.piece[np.repeat(self.piece_at[part] - few.piece_at, few.pieces) + np.arange(int(few.pieces.sum()))]
+        return few
+
+
+def seen_in(words: AllWords, toxic: np.ndarray, fold: np.ndarray) -> dict[str, np.ndarray]:
     """Documents that hold each bucket, by fold and label."""
-    seen = np.zeros((FOLDS, 2, buckets), np.int32)
-    for b, label, k in zip(texts, toxic, fold, strict=True):
-        seen[k, label, np.unique(b)] += 1
+    seen = {k: np.zeros((FOLDS, 2, n), np.int32) for k, n in (("word_odds", WORD_BUCKETS), ("piece_odds", PIECE_BUCKETS), ("head_odds", PIECE_BUCKETS))}
+    for i, (label, k) in enumerate(zip(toxic, fold, strict=True)):
+        own = words.some(np.unique(words.word[words.first[i] : words.first[i + 1]]))
+        for name, buckets in (("word_odds", own.bucket), ("piece_odds", own.piece), ("head_odds", own.head)):
+            seen[name][k, label, np.unique(buckets)] += 1
     return seen
 
 
@@ -258,20 +291,16 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> dict[str, np.nd
     rng = np.random.default_rng(seed)
     toxic = np.asarray(toxic, int)
     fold = rng.permutation(len(texts)) % FOLDS
-    each = [Words(*buffer_of([t])) for t in texts]
+    words = AllWords(texts)
     size = np.stack([np.bincount(toxic[fold == k], minlength=2) for k in range(FOLDS)])
-    tables = {}
-    for name, of, buckets in (("word_odds", lambda w: w.bucket, WORD_BUCKETS), ("piece_odds", lambda w: w.piece, PIECE_BUCKETS), ("head_odds", lambda w: w.head, PIECE_BUCKETS)):
-        seen = seen_in([of(w) for w in each], toxic, fold, buckets)
-        # What a document of fold k learns with comes from the other folds.
-        tables[name] = [odds(seen.sum(axis=0) - seen[k], size.sum(axis=0) - size[k]) for k in range(FOLDS)] + [odds(seen.sum(axis=0), size.sum(axis=0))]
+    # What a document of fold k learns with comes from the other folds.
+    tables = {name: [odds(seen.sum(axis=0) - seen[k], size.sum(axis=0) - size[k]) for k in range(FOLDS)] + [odds(seen.sum(axis=0), size.sum(axis=0))] for name, seen in seen_in(words, toxic, fold).items()}
     p = initial(rng, [t[FOLDS] for t in tables.values()])
     of_fold = [{name: t[k] for name, t in tables.items()} for k in range(FOLDS)]
     y = toxic.astype(np.float32)
-    words = Words(*buffer_of(texts))
     text, start, count = windows(words.first)
     bounds = np.searchsorted(text, np.arange(len(y) + 1))
-    strength = np.append(np.maximum(p["word_odds"][words.bucket], p["head_odds"][words.head].max(axis=1, initial=-9)), 0)
+    strength = np.append(np.maximum(p["word_odds"][words.bucket], p["head_odds"][words.head].max(axis=1, initial=-9)), 0).astype(np.float32)
     index, real = window_index(words, start, count)
     guess = strength[index].max(axis=0)
     moments: dict[str, list] = {}
@@ -300,36 +329,36 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> dict[str, np.nd
                 m[1] = 0.99 * m[1] + 0.01 * d * d
                 p[name] = (p[name] - RATE * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
             teach_embeddings(p, words, part, d_x)
-        x = inputs(p, words)
-        guess = window_logits(p, x, index, real)
+        guess = known_logits(p, words, index, real)
     # The document's unit learns from windows seen with the other folds' odds.
     logit = np.empty(len(text))
     for k in range(FOLDS):
         i = np.flatnonzero(fold[text] == k)
-        logit[i] = window_logits(p, inputs(p | of_fold[k], words), index[:, i], real[:, i])
+        logit[i] = known_logits(p | of_fold[k], words, index[:, i], real[:, i])
     p["document"] = fit_logistic(document_inputs(logit, text, len(y)), y, 1.0)
     return p
 
 
-def sub_inputs(p: dict[str, np.ndarray], words: Words, part: np.ndarray) -> np.ndarray:
+def known_logits(p: dict[str, np.ndarray], words: AllWords, index: np.ndarray, real: np.ndarray) -> np.ndarray:
+    out = []
+    for a in range(0, index.shape[1], 2048):
+        part, back = np.unique(index[:, a : a + 2048], return_inverse=True)
+        out.append(forward(p, sub_inputs(p, words, part), back.reshape(WINDOW, -1), real[:, a : a + 2048])[0])
+    return np.concatenate(out)
+
+
+def sub_inputs(p: dict[str, np.ndarray], words: AllWords, part: np.ndarray) -> np.ndarray:
     """``inputs`` of a few words; the number after the last word is no word."""
-    out = np.zeros((len(part), INPUTS), np.float32)
     real = part[part < len(words.bucket)]
-    few = object.__new__(Words)
-    few.bucket, few.head, few.pieces = words.bucket[real], words.head[real], words.pieces[real]
-    few.piece_at = np.cumsum(few.pieces) - few.pieces
-    few.piece = words.piece[np.repeat(words.piece_at[real] - few.piece_at, few.pieces) + np.arange(int(few.pieces.sum()))]
-    out[: len(real)] = inputs(p, few)[:-1]
-    return out
+    x = inputs(p, words.some(real))
+    return x if len(real) < len(part) else x[:-1]
 
 
-def teach_embeddings(p: dict[str, np.ndarray], words: Words, part: np.ndarray, d_x: np.ndarray) -> None:
-    real = part[part < len(words.bucket)]
-    d = d_x[: len(real)]
-    np.add.at(p["word_in"], words.bucket[real], -RATE * d[:, ODDS : ODDS + EMBEDDED])
-    pieces = words.pieces[real]
-    at = np.repeat(words.piece_at[real] - (np.cumsum(pieces) - pieces), pieces) + np.arange(int(pieces.sum()))
-    np.add.at(p["piece_in"], words.piece[at], np.repeat(-RATE * d[:, ODDS + EMBEDDED :] / pieces[:, None], pieces, axis=0))
+def teach_embeddings(p: dict[str, np.ndarray], words: AllWords, part: np.ndarray, d_x: np.ndarray) -> None:
+    few = words.some(part[part < len(words.bucket)])
+    d = d_x[: len(few.bucket)]
+    np.add.at(p["word_in"], few.bucket, -RATE * d[:, ODDS : ODDS + EMBEDDED])
+    np.add.at(p["piece_in"], few.piece, np.repeat(-RATE * d[:, ODDS + EMBEDDED :] / few.pieces[:, None], few.pieces, axis=0))
 
 
 def held_out(doc_id: Column) -> Column:
