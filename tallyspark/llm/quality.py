@@ -125,17 +125,17 @@ def thresholds(metrics: DataFrame) -> DataFrame:
     def fences(df: DataFrame, prefix: str) -> list[Column]:
         out = [F.col("n").alias(f"{prefix}_n")]
         for m, (low, high, slack) in METRICS.items():
-            q25, q75 = (F.expr(f"kll_sketch_get_quantile_double({m}, {p}D)") for p in ("0.25", "0.75"))
+            q25, q75 = (F.when(F.col("n") > 0, F.expr(f"kll_sketch_get_quantile_double({m}, {p}D)")) for p in ("0.25", "0.75"))
             reach = REACH * (q75 - q25) + slack
             out += [(q25 - reach).alias(f"{prefix}_{m}_low")] * low + [(q75 + reach).alias(f"{prefix}_{m}_high")] * high
         return out
 
     groups = by_source.select("lang", "source", *fences(by_source, "s"))
     langs = by_lang.select(F.col("lang").alias("l_lang"), *fences(by_lang, "l"))
-    alls = overall.select(*fences(overall, "a"))
-    # One row, so this adds columns and multiplies nothing.
-    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(alls))
-    pick = lambda c: F.when(F.col("s_n") >= ENOUGH, F.col(f"s_{c}")).when(F.col("l_n") >= ENOUGH, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
+    # One row with the fences of all documents together.
+    alls = overall.select(*fences(overall, "a")).first()
+    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
+    pick = lambda c: F.when(F.col("s_n") >= ENOUGH, F.col(f"s_{c}")).when(F.col("l_n") >= ENOUGH, F.col(f"l_{c}")).otherwise(F.lit(alls[f"a_{c}"]).cast("double"))
     names = [f"{m}_{side}" for m, (low, high, _) in METRICS.items() for side, on in (("low", low), ("high", high)) if on]
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *(pick(c).alias(c) for c in names))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, extraction, jaccard, packing, pieces, quality, secrets, suffix_dedup, toxicity, vector_search
 from .shared import table
+from .sql import SQL
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
@@ -63,4 +64,4 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup)}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
