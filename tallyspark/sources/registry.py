@@ -16,18 +16,19 @@ CORRUPT = "_corrupt"
 def read_csv(spark: SparkSession, path: str, licensed: bool = False) -> DataFrame:
     """All columns as strings under an explicit schema, and the ragged lines.
 
+    Parsing all columns keeps ragged lines apart whatever is selected later.
     The header line alone is read first, so a refused column stops the job
     before any row is.
     """
     columns = spark.read.option("header", True).option("escape", '"').csv(path, inferSchema=False).columns
     contracts.check_headers(columns, licensed)
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
 def _strings(df: DataFrame, fields: dict[str, str]) -> DataFrame:
-    rows = contracts.mapped(df, fields)
-    return rows.select(*(text.blank_to_null(F.col(c)).alias(c) for c in rows.columns), *([F.col(CORRUPT)] if CORRUPT in df.columns else []))
+    rows = contracts.mapped(df, {**fields, CORRUPT: CORRUPT} if CORRUPT in df.columns else fields)
+    return rows.select(*(text.blank_to_null(F.col(c)).alias(c) for c in rows.columns))
 
 
 def _as_voters(rows: DataFrame, columns: dict[str, Column], bad: dict[str, Column]) -> DataFrame:
