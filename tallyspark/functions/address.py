@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import looked_up, squeeze, title_case
@@ -70,28 +70,24 @@ def compose(house: Column, street: Column, suffix: Column, apartment: Column, ci
     return F.concat_ws(", ", first, squeeze(apartment), city(city_), end)
 
 
-def split(line: Column) -> Column:
-    """The struct of parts that ``compose`` would make ``line`` of."""
-    segments = F.filter(F.transform(F.split(line, ","), lambda s: F.trim(s)), lambda s: s != "")
-    has_zip = F.coalesce(F.try_element_at(segments, F.lit(-1)).rlike(rf"^{STATE} \S+$"), F.lit(False))
-    zip_ = F.when(has_zip, F.regexp_extract(F.try_element_at(segments, F.lit(-1)), rf"^{STATE} (\S+)$", 1))
-    rest = F.when(has_zip, F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0)))).otherwise(segments)
-    last = F.try_element_at(rest, F.lit(-1))
-    is_city = (F.size(rest) > 0) & ~last.rlike(r"\d") & ((F.size(rest) > 1) | has_zip)
-    town = F.when(is_city, last)
-    rest2 = F.when(is_city, F.slice(rest, F.lit(1), F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
-    apartment = F.when(F.size(rest2) >= 2, F.try_element_at(rest2, F.lit(-1)))
-    words = F.filter(F.split(F.coalesce(F.try_element_at(rest2, F.lit(1)), F.lit("")), r"\s+"), lambda w: w != "")
-    numbered = F.coalesce(F.try_element_at(words, F.lit(1)).rlike(r"^\d+$"), F.lit(False))
-    house = F.when(numbered, F.try_element_at(words, F.lit(1)))
-    street = F.when(numbered, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
-    suffix = looked_up(F.upper(F.regexp_replace(F.coalesce(F.try_element_at(street, F.lit(-1)), F.lit("")), r"\.+$", "")), SUFFIXES)
-    name = F.when(suffix.isNotNull(), F.slice(street, F.lit(1), F.greatest(F.size(street) - 1, F.lit(0)))).otherwise(street)
-    return F.struct(
-        house.alias("house_number"),
-        F.nullif(F.array_join(name, " "), F.lit("")).alias("street_name"),
-        suffix.alias("street_suffix"),
-        apartment.alias("apartment"),
-        town.alias("city"),
-        zip_.alias("zip5"),
-    )
+def split(df: DataFrame, line: str) -> DataFrame:
+    """``df`` with a column ``parts``: the struct that ``compose`` would make ``line`` of.
+
+    Step by step, so that each part is worked out once.
+    """
+    last = lambda x: F.try_element_at(x, F.lit(-1))
+    but_last = lambda x: F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0)))
+    c = F.col
+    rows = df.withColumn("_s", F.filter(F.transform(F.split(c(line), ","), lambda s: F.trim(s)), lambda s: s != ""))
+    rows = rows.withColumn("_zip", F.nullif(F.regexp_extract(F.coalesce(last(c("_s")), F.lit("")), rf"^{STATE} (\S+)$", 1), F.lit("")))
+    rows = rows.withColumn("_s", F.when(c("_zip").isNotNull(), but_last(c("_s"))).otherwise(c("_s")))
+    is_city = (F.size("_s") > 0) & ~last(c("_s")).rlike(r"\d") & ((F.size("_s") > 1) | c("_zip").isNotNull())
+    rows = rows.withColumn("_city", F.when(is_city, last(c("_s"))))
+    rows = rows.withColumn("_s", F.when(c("_city").isNotNull(), but_last(c("_s"))).otherwise(c("_s")))
+    rows = rows.withColumns({"_apartment": F.when(F.size("_s") >= 2, last(c("_s"))), "_w": F.filter(F.split(F.coalesce(F.try_element_at("_s", F.lit(1)), F.lit("")), r"\s+"), lambda w: w != "")})
+    rows = rows.withColumn("_house", F.when(F.try_element_at("_w", F.lit(1)).rlike(r"^\d+$"), F.try_element_at("_w", F.lit(1))))
+    rows = rows.withColumn("_w", F.when(c("_house").isNotNull(), F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0)))).otherwise(c("_w")))
+    rows = rows.withColumn("_suffix", looked_up(F.upper(F.regexp_replace(F.coalesce(last(c("_w")), F.lit("")), r"\.+$", "")), SUFFIXES))
+    rows = rows.withColumn("_w", F.when(c("_suffix").isNotNull(), but_last(c("_w"))).otherwise(c("_w")))
+    parts = {"house_number": c("_house"), "street_name": F.nullif(F.array_join("_w", " "), F.lit("")), "street_suffix": c("_suffix"), "apartment": c("_apartment"), "city": c("_city"), "zip5": c("_zip")}
+    return rows.withColumn("parts", F.struct(*(v.alias(k) for k, v in parts.items()))).select(*df.columns, "parts")

@@ -47,4 +47,5 @@ def standard_addresses(people: DataFrame) -> DataFrame:
     """voter_id, line, the parts of the line again, and whether a house lacks its street."""
     c = F.col
     line = address.compose(c("house_number"), c("street_name"), c("street_suffix"), c("apartment"), c("city"), c("zip5"))
-    return people.select("voter_id", line.alias("line"), address.house_without_street(c("house_number"), c("street_name")).alias("bad")).withColumn("parts", address.split(c("line"))).select("voter_id", "line", "bad", "parts.*")
+    lines = people.select("voter_id", line.alias("line"), address.house_without_street(c("house_number"), c("street_name")).alias("bad"))
+    return address.split(lines, "line").select("voter_id", "line", "bad", "parts.*")
