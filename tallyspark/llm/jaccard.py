@@ -4,8 +4,8 @@ All sets are put in one order, rarest shingle first.  Two sets of Jaccard
 similarity s or more share at least l shingles in their prefixes of length
 ``n - ceil(s * n) + l``.  Each document chooses its own l: a longer prefix
 reads more of the others but lets fewer through, and the estimated frequencies
-say where the sum is least.  A pair needs min(l, l') shared prefix shingles
-before its sets are compared.
+say where the sum is least.  A pair needs min(l, l') shared shingles, at places
+that the overlap asked of their two sizes allows, before its sets are compared.
 
 The order and the estimates come from one count-min sketch of fixed size over
 all documents.  It only ever affects cost: any order that all sets share gives
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,14 +40,16 @@ from .words import mix, shingle_sets
 SIZE = 5
 #: The similarity as a fraction.
 SIMILAR = (80, 100)
-#: Counters in each of the sketch's two rows: 2**20 * 2 * 4 bytes, whatever the input.
-SKETCH_BITS = 20
+#: Counters in each of the sketch's two rows: 2**21 * 2 * 2 bytes, whatever the input.
+#: They stop at ``FULL``; beyond it shingles are all alike frequent.
+SKETCH_BITS = 21
+FULL = 65535
 SKETCH_PARTS = 16
 #: The longest l, and the cost of comparing two sets in prefix entries read.
-MOST_MATCHES = 6
-COMPARE_COST = 30.0
+MOST_MATCHES = 4
+COMPARE_COST = 4.0
 #: Rounds against hubs before what is left is checked pair by pair.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 SLICE = 1 << 20
 
 
@@ -59,27 +62,27 @@ def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("part", pa.int32())])
-        counts = np.zeros((2, 1 << SKETCH_BITS), np.int64)
+        counts = np.zeros((2, 1 << SKETCH_BITS), np.int32)
         any_rows = False
         for batch in batches:
             for rows in slices(batch, "text", SLICE):
                 any_rows = True
                 sets = shingle_sets(*text_buffer(rows.column("text")), SIZE)
                 for row, cells in zip(counts, sketch_cells(np.concatenate(sets)), strict=True):
-                    row += np.bincount(cells, minlength=1 << SKETCH_BITS)
+                    np.add.at(row, cells, 1)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.record_batch([rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sets), pa.int32())], schema=schema)
         if any_rows:
-            for part, cells in enumerate(np.array_split(np.minimum(counts, 2**31 - 1).astype("<i4").ravel(), SKETCH_PARTS)):
+            for part, cells in enumerate(np.array_split(np.minimum(counts, FULL).astype("<u2").ravel(), SKETCH_PARTS)):
                 yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([cells.tobytes()], pa.binary()), pa.array([part], pa.int32())], schema=schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, cells in zip(batch.column("part").to_pylist(), batch.column("digest").to_pylist(), strict=True):
-                sums[part] = np.frombuffer(cells, "<i4").astype(np.int64) + sums.get(part, 0)
+                sums[part] = np.minimum(np.frombuffer(cells, "<u2").astype(np.int64) + sums.get(part, 0), FULL)
         if sums:
-            data = [np.minimum(x, 2**31 - 1).astype("<i4").tobytes() for x in sums.values()]
+            data = [x.astype("<u2").tobytes() for x in sums.values()]
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(data, pa.binary())], names=["part", "digest"])
 
     both = stored(docs.mapInArrow(run, "doc_id long, n long, digest binary, part int"), "jaccard-sets")
@@ -87,7 +90,7 @@ def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     partial = both.filter("part IS NOT NULL").select("part", "digest").mapInArrow(add, "part int, digest binary")
     parts = partial.repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, digest binary").collect()
     parts.sort(key=lambda r: r.part)
-    counts = np.concatenate([np.frombuffer(r.digest, "<i4") for r in parts]) if parts else np.zeros(2 << SKETCH_BITS, "<i4")
+    counts = np.concatenate([np.frombuffer(r.digest, "<u2") for r in parts]) if parts else np.zeros(2 << SKETCH_BITS, "<u2")
     return both.filter("part IS NULL").select("doc_id", "n", "digest"), counts.reshape(2, -1)
 
 
@@ -99,10 +102,8 @@ def matches_needed(frequency: np.ndarray, n: int, needed: int) -> int:
     return int(np.argmin(cost)) + 1
 
 
-def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """doc_id, n, matches and the prefix's tokens of each document with a set."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(counts.astype("<i4"))
     num, den = SIMILAR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,6 +145,23 @@ def similar_sizes(a: str, b: str):
     return den * F.least(a, b) >= num * F.greatest(a, b)
 
 
+def overlap_needed(a: str, b: str):
+    """The least intersection that makes sets of these sizes similar."""
+    num, den = SIMILAR
+    return F.ceil((F.col(f"{a}_n") + F.col(f"{b}_n")) * num / (num + den))
+
+
+def early(a: str, b: str):
+    """Whether a shared token's places are among those that decide.
+
+    Of the tokens before the k-th shared one only k - 1 are shared, so in each
+    set of a similar pair its place is ``n - overlap + k - 1`` at most, and the
+    first ``matches`` shared tokens lie below these bounds.
+    """
+    last = lambda p: F.col(f"{p}_n") - overlap_needed(a, b) + F.least(f"{a}_matches", f"{b}_matches") - 1
+    return (F.col(f"{a}_at") <= last(a)) & (F.col(f"{b}_at") <= last(b))
+
+
 def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (x, y) whose shingle sets are similar, by comparing the sets."""
     num, den = SIMILAR
@@ -177,9 +195,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(classes, "jaccard-classes")
     only = classes.select(F.col("first").alias("doc_id"))
 
-    tokens = prefixes(known, counts).join(only, "doc_id", "left_semi").select("doc_id", "n", "matches", F.explode("tokens").alias("token"))
+    sketch = docs.sparkSession.sparkContext.broadcast(counts)
+    tokens = prefixes(known, sketch).join(only, "doc_id", "left_semi").select("doc_id", "n", "matches", F.posexplode("tokens").alias("at", "token"))
     group = Window.partitionBy("token")
     shared = stored(tokens.withColumn("many", F.count("*").over(group)).filter("many > 1").drop("many"), "jaccard-shared")
+    sketch.destroy()
     labels = None
     links = None
     checked = None
@@ -204,10 +224,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("token", "main")
     open_rows = stored(rows.join(sizes, "token"), "jaccard-open")
     # Every pair of a group across components has a row outside the group's main component.
-    x = open_rows.filter("c <> main").select("token", F.col("doc_id").alias("x"), F.col("n").alias("x_n"), F.col("matches").alias("x_m"), F.col("c").alias("x_c"))
-    y = open_rows.select("token", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("matches").alias("y_m"), F.col("c").alias("y_c"), (F.col("c") == F.col("main")).alias("in_main"))
-    pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n"))
-    pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_m", "y_m").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
+    side = lambda p: [F.col("doc_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "matches", "at", "c"))]
+    x = open_rows.filter("c <> main").select("token", *side("x"))
+    y = open_rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
+    pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
+    pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_matches", "y_matches").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
     rest = stored(pairs.select("x", "y").join(checked, ["x", "y"], "left_anti"), "jaccard-rest")
     links = links.unionByName(linked(rest, known))
     final = components(links)
