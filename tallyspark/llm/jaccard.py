@@ -116,8 +116,8 @@ def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
                 flat = np.concatenate(sets)
                 one, two = sketch_cells(flat)
                 seen = np.minimum(sketch[0][one] / noise[0], sketch[1][two] / noise[1])
-                # Rarity in steps of a power of two; the hash settles the rest of the order.
-                rank = np.log2(np.maximum(seen, 1)).astype(np.uint64)
+                # Rarity in steps of an eighth of a doubling; the hash settles the rest of the order.
+                rank = np.minimum(8 * np.log2(np.maximum(seen, 1)), 63).astype(np.uint64)
                 key = (rank << np.uint64(58)) | (mix(flat) >> np.uint64(6))
                 tokens, matches, at = [], [], 0
                 for n in lengths.tolist():
