@@ -36,8 +36,8 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         ("lineitem",),
         """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS video_id,
         CASE WHEN l_partkey % 5 = 0 THEN l_orderkey ELSE NULL END AS meeting_id, 'https://f.example/' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS video_url,
-        CASE WHEN l_suppkey % 19 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS published_date, l_partkey * 100000 + l_suppkey AS load_seq, l_quantity AS quantity
-        FROM lineitem WHERE l_orderkey % 20 = 0""",
+        CASE WHEN l_suppkey % 19 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) + CAST((l_orderkey * 7 + l_partkey) % 100 * 2600 AS INT) END AS published_date, l_partkey * 100000 + l_suppkey AS load_seq, l_quantity AS quantity
+        FROM lineitem""",
     ),
     "corrections": (
         ("lineitem",),
@@ -45,7 +45,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         l_orderkey AS meeting_id, CASE l_linenumber % 4 WHEN 0 THEN 'chair' WHEN 1 THEN 'quorum_met' WHEN 2 THEN 'hours_logged' ELSE 'video_url' END AS target_column,
         CASE WHEN l_partkey % 6 = 0 THEN NULL WHEN l_linenumber % 4 = 2 THEN CAST(l_partkey % 25 AS STRING) ELSE 'new ' || CAST(l_partkey AS STRING) END AS corrected_value,
         'clerk' AS corrected_by, 'reason' AS reason, l_shipdate AS corrected_at, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS load_seq
-        FROM lineitem WHERE l_orderkey % 10 = 0""",
+        FROM lineitem""",
     ),
     "titles": (
         ("orders",),

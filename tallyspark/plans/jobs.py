@@ -9,15 +9,16 @@ from ..functions import address
 from ..operators import contracts, ledger, merge
 
 
-def ingest_meetings(meetings: DataFrame, seed: DataFrame, videos: DataFrame, feed: DataFrame | None, corrections: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def ingest_meetings(meetings: DataFrame, seed: DataFrame, videos: DataFrame, feed: DataFrame | None, corrections: DataFrame, tie: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Meetings in effect, videos, one summary row.
 
-    Without a feed neither videos nor gaps change.  Overrides are applied to
+    Without a feed neither videos nor gaps change; of feed rows of equal
+    ``load_seq`` the one of greatest ``tie`` counts.  Overrides are applied to
     the merged table each time, so another seed never loses them.
     """
     merged = merge.merge(meetings, seed, "meeting_id", "meeting_id")
     if feed is not None:
-        videos = merge.merge(videos, feed, "video_id", "load_seq")
+        videos = merge.merge(videos, feed, "video_id", "load_seq", tie)
         merged = merge.fill_video_urls(merged, videos)
     unknown = ledger.missing(corrections, "meeting_id", merged, "meeting_id")
     result = ledger.effective(merged, corrections.join(unknown.select("correction_id"), "correction_id", "left_anti"))

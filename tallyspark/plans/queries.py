@@ -356,11 +356,18 @@ def workbook_rows(meetings):
     return feeds.workbook_rows(meetings, ["meeting_id", "meeting_date", "video_url", "controversies", "hours_logged"])
 
 
-@query(None, "meetings", "videos", "corrections")
+INGEST = """WITH known AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY load_seq DESC, published_date DESC) AS r FROM videos WHERE quantity < 25) WHERE r = 1),
+    feed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY load_seq DESC, published_date DESC) AS r FROM videos WHERE quantity >= 25) WHERE r = 1),
+    held AS (SELECT * FROM feed UNION ALL SELECT * FROM known WHERE video_id NOT IN (SELECT video_id FROM feed)),
+    one AS (SELECT published_date AS d, min(video_url) AS url FROM held WHERE meeting_id IS NULL AND published_date IS NOT NULL GROUP BY published_date HAVING count(DISTINCT video_url) = 1),
+    merged AS (SELECT m.* REPLACE (coalesce(m.video_url, one.url) AS video_url, CASE WHEN m.meeting_id % 2 = 0 THEN 'Special' ELSE m.meeting_type END AS meeting_type) FROM meetings m LEFT JOIN one ON m.meeting_date = one.d), """
+
+
+@query(INGEST + effective_sql("(SELECT * FROM corrections WHERE meeting_id IN (SELECT meeting_id FROM merged))").replace("FROM meetings m", "FROM merged m")[5:], "meetings", "videos", "corrections")
 def meetings_ingest(meetings, videos, corrections):
-    known = merge.merge(videos.filter("quantity < 25").limit(0), videos, "video_id", "load_seq", "quantity")
-    seed = meetings.filter("meeting_id % 2 = 0")
-    return jobs.ingest_meetings(meetings.filter("meeting_id % 3 = 0"), seed, known, videos.filter("quantity >= 25"), corrections)[0]
+    known = ledger.latest(videos.filter("quantity < 25"), ["video_id"], "load_seq", "published_date").select(videos.columns)
+    seed = meetings.filter("meeting_id % 2 = 0").withColumn("meeting_type", F.lit("Special"))
+    return jobs.ingest_meetings(meetings, seed, known, videos.filter("quantity >= 25"), corrections, "published_date")[0]
 
 
 @query(
