@@ -2,15 +2,16 @@
 
 Pages of one host are made by one wrapper.  Each page's tree of block elements
 is aligned with that of the host's model page by simple tree matching.  A node
-that says the same on nearly all aligned pages belongs to the template; what
-varies fills a slot of the wrapper, and slots are content unless the element
+that says the same on nearly all aligned pages belongs to the template, where a
+page says just that; what varies fills a slot of the wrapper, and slots are content unless the element
 is one of the parts of a page that are never its article (see ``DROPPED`` and
 ``DROPPED_NAMES``).  Where a page marks its article, slots outside it are
 dropped too.
 
-The model page is the one of least page-id hash.  Nodes are counted by
-(host, node, text) with partial sums, so a host of any number of pages is a few
-rows; pages themselves only meet their model page.
+The model page is the one of least page-id hash.  Of pages of equal html one
+counts, as copies alone make nothing template.  Nodes are counted by (host,
+node, text) with partial sums, so a host of any number of pages is a few rows;
+pages themselves only meet their model page.
 
 Null html counts as empty and gives an empty text; a null or odd url belongs to
 the host "".  Elements nested deeper than ``DEEPEST`` are read as if they stood
@@ -234,9 +235,19 @@ def aligned(model: Page, page: Page) -> dict[int, int]:
     return _aligned[key][1]
 
 
-def main_text(page: Page, template: frozenset[int], nodes: dict[int, int]) -> str:
+def said(page: Page) -> dict[int, int]:
+    """Hash of what each node with text says by itself."""
+    own: dict[int, list[str]] = {}
+    for n, text in page.blocks:
+        own.setdefault(n, []).append(text)
+    return {n: hash_text("\n".join(t)) for n, t in own.items()}
+
+
+def main_text(page: Page, template: dict[int, int], nodes: dict[int, int]) -> str:
+    """The page's text without what it drops and the nodes that say their template's text."""
+    constant = {n for n, text in said(page).items() if n in nodes and template.get(nodes[n]) == text} if template else ()
     marked = any(page.main[n] for n, _ in page.blocks)
-    keep = [t for n, t in page.blocks if not page.dropped[n] and (page.main[n] or not marked) and nodes.get(n, -1) not in template]
+    keep = [t for n, t in page.blocks if not page.dropped[n] and (page.main[n] or not marked) and n not in constant]
     return "\n".join(keep)
 
 
@@ -250,28 +261,27 @@ def with_model(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, models: DataFrame) -> DataFrame:
-    """host, model, template: the numbers of the model's constant nodes."""
+    """host, model, template, constants: the model's constant nodes and the hashes of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html", SLICE):
-                row, node, texts = [], [], []
-                for i, (source, model) in enumerate(zip(part.column("html").to_pylist(), part.column("model").to_pylist(), strict=True)):
+                node, texts = [], []
+                for source, model in zip(part.column("html").to_pylist(), part.column("model").to_pylist(), strict=True):
                     page = Page(source)
                     nodes = aligned(model_page(model), page)
-                    own: dict[int, list[str]] = {}
-                    for n, text in page.blocks:
-                        if n in nodes:
-                            own.setdefault(nodes[n], []).append(text)
-                    row += [i] * len(own)
-                    node += own
-                    texts += [hash_text("\n".join(t)) for t in own.values()]
-                yield pa.record_batch([part.column("host").take(pa.array(row, pa.int64())), pa.array(node, pa.int32()), pa.array(texts, pa.int64())], names=["host", "node", "said"])
-
-    said = pages.filter("length(html) > 0").join(models, "host").select("host", "html", "model").mapInArrow(run, "host string, node int, said long")
-    nodes = said.groupBy("host", "node", "said").agg(F.count("*").alias("n")).groupBy("host", "node").agg(F.sum("n").alias("n"), F.max("n").alias("same"))
-    constant = nodes.filter((F.col("n") >= FEWEST_PAGES) & (F.col("same") >= MOST_SAME * F.col("n")))
-    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("template"))
+                    own = {nodes[n]: text for n, text in said(page).items() if n in nodes}
+                    node.append(list(own))
+                    texts.append(list(own.values()))
+                yield pa.record_batch([part.column("host"), part.column("content"), pa.array(node, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.int64()))], names=["host", "content", "node", "said"])
+
+    rows = pages.filter("length(html) > 0").join(models, "host").select("host", F.xxhash64("html").alias("content"), "html", "model")
+    rows = rows.mapInArrow(run, "host string, content long, node array<int>, said array<long>")
+    once = rows.groupBy("host", "content").agg(F.first(F.arrays_zip("node", "said")).alias("own"))
+    nodes = once.select("host", F.explode("own").alias("own")).select("host", "own.node", "own.said").groupBy("host", "node", "said").agg(F.count("*").alias("n"))
+    nodes = nodes.groupBy("host", "node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "said")).alias("most"))
+    constant = nodes.filter((F.col("n") >= FEWEST_PAGES) & (F.col("most.n") >= MOST_SAME * F.col("n")))
+    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "most.said"))).alias("c")).select("host", F.col("c.node").alias("template"), F.col("c.said").alias("constants"))
     return stored(models.join(constant, "host", "left"), "wrapper-templates")
 
 
@@ -290,10 +300,10 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "html", SLICE):
                 texts = []
-                for source, model, template in zip(part.column("html").to_pylist(), part.column("model").to_pylist(), part.column("template").to_pylist(), strict=True):
+                for source, model, template, constants in zip(*(part.column(c).to_pylist() for c in ("html", "model", "template", "constants")), strict=True):
                     page = Page(source or "")
                     nodes = aligned(model_page(model), page) if template else {}
-                    texts.append(main_text(page, frozenset(template or ()), nodes))
+                    texts.append(main_text(page, dict(zip(template or (), constants or (), strict=True)), nodes))
                 yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.join(wrappers, "host", "left").select("page_id", "url", "html", "model", "template").mapInArrow(run, PAGE)
+    return pages.join(wrappers, "host", "left").select("page_id", "url", "html", "model", "template", "constants").mapInArrow(run, PAGE)
