@@ -6,7 +6,8 @@ that says the same on nearly all aligned pages belongs to the template, where a
 page says just that; what varies fills a slot of the wrapper, and slots are content unless the element
 is one of the parts of a page that are never its article (see ``DROPPED`` and
 ``DROPPED_NAMES``).  Where a page marks its article, slots outside it are
-dropped too.
+dropped too.  What is or holds the article is never dropped by its name or as a
+form: see ``Page.settle``.
 
 The model page is the one of least page-id hash.  Of pages of equal html one
 counts, as copies alone make nothing template.  Nodes are counted by (host,
@@ -39,8 +40,8 @@ RAW = frozenset("script style noscript template textarea title iframe svg canvas
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rb rt rp".split()
 )
-DROPPED = frozenset("head nav header footer aside form button select dialog menu fieldset".split())
-MAIN = frozenset("article main".split())
+DROPPED = frozenset("head nav header footer aside button select dialog menu".split())
+FORMS = frozenset("form fieldset".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 KEEPERS = frozenset("html body article main section div table ul ol dl nav header footer aside form blockquote".split())
 DROPPED_NAMES = frozenset(
@@ -51,6 +52,11 @@ DROPPED_NAMES = frozenset(
         "signin register search toolbar skip hidden copyright legal disclaimer tags"
     ).split()
 )
+#: Words beside those of ``DROPPED_NAMES`` in the name of such a part.
+PART_WORDS = frozenset(
+    "area bar block bottom box btn button buttons container content count form global group icons inner item items left link links list main message outer panel "
+    "primary right row secondary section site text title top wrap wrapper".split()
+)
 DEEPEST = 120
 #: Pages a node must be aligned on, and the share of equal texts, to be template.
 MOST_SAME, FEWEST_PAGES = 0.8, 8
@@ -71,22 +77,28 @@ RAW_END = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in RAW}
 PAGE = "page_id long, url string, text string, n_chars long"
 
 
+def part_name(token: str) -> bool:
+    """Is a whole class, id or role the name of a part that is never the article?"""
+    pieces = {p.lower() for p in PIECES.findall(token)}
+    return bool(pieces & DROPPED_NAMES) and pieces <= DROPPED_NAMES | PART_WORDS
+
+
 @lru_cache(maxsize=4096)
-def described(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Label for alignment, never content?, marked as the article?"""
+def described(tag: str, attributes: str) -> tuple[str, int, int]:
+    """Label for alignment; never content by its kind 2, by its name or as a form 1; surely the article 2, maybe 1."""
     found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in NAMES.finditer(attributes)] if attributes else []
     classes = " ".join(sorted(w for k, v in found if k != "id" for w in v.split()))
-    pieces = {p.lower() for _, v in found for p in PIECES.findall(v)}
-    main = tag in MAIN or any(v.lower() in ("main", "articlebody") for k, v in found if k in ("role", "itemprop"))
-    dropped = tag in DROPPED or (bool(pieces & DROPPED_NAMES) and tag not in ("html", "body"))
-    return f"{tag}.{classes}", dropped, main and not dropped
+    named = tag not in ("html", "body") and any(part_name(w) for _, v in found for w in v.split())
+    sure = tag == "main" or any(k == "role" and v.lower() == "main" for k, v in found)
+    maybe = tag == "article" or any(k in ("role", "itemprop") and v.lower() in ("main", "articlebody") for k, v in found)
+    return f"{tag}.{classes}", 2 if tag in DROPPED else int(named or tag in FORMS), 2 if sure else int(maybe)
 
 
 class Page:
     """Block elements as parallel lists, and the blocks of text in page order."""
 
     def __init__(self, source: str):
-        self.label, self.parent, self.children, self.dropped, self.main = ["root"], [-1], [[]], [False], [False]
+        self.label, self.parent, self.children, self.drop, self.mark, self.header = ["root"], [-1], [[]], [0], [0], [False]
         self.blocks: list[tuple[int, str]] = []
         stack, tags = [0], ["root"]
         parts: list[str] = []
@@ -148,22 +160,75 @@ class Page:
                         break
                     if tags[k] in ("ul", "ol", "dl", "table", "select"):
                         break
-            label, dropped, main = described(tag, m[3] or m[6] or "")
+            label, drop, mark = described(tag, m[3] or m[6] or "")
             over = stack[-1] if len(stack) < DEEPEST else stack[DEEPEST - 1]
-            if tag == "header" and self.main[over] and not self.dropped[over]:
-                # The heading of the article itself.
-                dropped = False
             node = len(self.label)
             self.label.append(label)
             self.parent.append(over)
             self.children.append([])
             self.children[over].append(node)
-            self.dropped.append(dropped or self.dropped[over])
-            self.main.append(main or self.main[over])
+            self.drop.append(drop)
+            self.mark.append(mark)
+            self.header.append(tag == "header")
             if len(stack) < DEEPEST:
                 stack.append(node)
                 tags.append(tag)
         flush()
+        self.dropped, self.main = self.settle()
+
+    def flags(self, exempt: set[int]) -> tuple[list[bool], list[bool]]:
+        """dropped, inside the marked article, of each node."""
+        dropped, main = [False], [False]
+        for n in range(1, len(self.label)):
+            over = self.parent[n]
+            # A header inside is the heading of the article itself.
+            own = bool(self.drop[n]) and n not in exempt and not (self.header[n] and main[over] and not dropped[over])
+            dropped.append(own or dropped[over])
+            main.append((self.mark[n] > 0 and not own) or main[over])
+        return dropped, main
+
+    def settle(self) -> tuple[list[bool], list[bool]]:
+        """``flags``, but what is or holds the article isn't dropped by name or as a form.
+
+        The article is what is surely marked so; else the ``article`` of most
+        text if it holds as much as would be left without it (a comment or
+        teaser does not); on a page without marks, what holds over half of the
+        text outside the elements whose kind is never content.
+        """
+        exempt: set[int] = set()
+
+        def free(n: int) -> None:
+            while n > 0 and n not in exempt:
+                if self.drop[n] == 1:
+                    exempt.add(n)
+                n = self.parent[n]
+
+        for n, mark in enumerate(self.mark):
+            if mark == 2:
+                free(n)
+        dropped, main = self.flags(exempt)
+        if not any(d == 1 and n not in exempt for n, d in enumerate(self.drop)):
+            return dropped, main
+        never, within, total = [False], [0] * len(self.label), 0
+        for n in range(1, len(self.label)):
+            never.append(self.drop[n] == 2 or never[self.parent[n]])
+        marked = any(main[n] and not dropped[n] for n, _ in self.blocks)
+        left = sum(len(t) for n, t in self.blocks if not dropped[n] and (main[n] or not marked))
+        for n, text in self.blocks:
+            if not never[n]:
+                within[n] += len(text)
+                total += len(text)
+        for n in range(len(self.label) - 1, 0, -1):
+            within[self.parent[n]] += within[n]
+        articles = [n for n, mark in enumerate(self.mark) if mark]
+        most = max(articles, key=within.__getitem__, default=0)
+        if most and dropped[most] and within[most] and within[most] >= left:
+            free(most)
+        elif not marked and not articles:
+            for n, d in enumerate(self.drop):
+                if d == 1 and 2 * within[n] > total:
+                    free(n)
+        return self.flags(exempt)
 
     def shape(self) -> str:
         return " ".join(f"{p}{x}" for p, x in zip(self.parent, self.label, strict=True))
@@ -246,7 +311,7 @@ def said(page: Page) -> dict[int, int]:
 def main_text(page: Page, template: dict[int, int], nodes: dict[int, int]) -> str:
     """The page's text without what it drops and the nodes that say their template's text."""
     constant = {n for n, text in said(page).items() if n in nodes and template.get(nodes[n]) == text} if template else ()
-    marked = any(page.main[n] for n, _ in page.blocks)
+    marked = any(page.main[n] and not page.dropped[n] for n, _ in page.blocks)
     keep = [t for n, t in page.blocks if not page.dropped[n] and (page.main[n] or not marked) and n not in constant]
     return "\n".join(keep)
 
