@@ -62,8 +62,6 @@ DEEPEST = 120
 MOST_SAME, FEWEST_PAGES = 0.8, 8
 #: Above this many pairs of children, they are aligned in order of their labels.
 PAIR_LIMIT = 10_000
-#: Share of a block's letters inside links from which on it is a menu.
-LINKED = 0.8
 SLICE = 1 << 20
 
 TOKEN = re.compile(
@@ -102,24 +100,20 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         stack, tags = [0], ["root"]
         parts: list[str] = []
-        linked: list[int] = []
-        in_link, at, end = 0, 0, len(source)
+        at, end = 0, len(source)
 
         def flush() -> None:
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
-                if text and not (linked and sum(linked) >= LINKED * len("".join("".join(parts).split()))):
+                if text:
                     self.blocks.append((stack[-1], text))
                 parts.clear()
-                linked.clear()
 
         while at < end:
             m = TOKEN.search(source, at)
             stop = m.start() if m else end
             if stop > at:
                 parts.append(source[at:stop])
-                if in_link:
-                    linked.append(len("".join(source[at:stop].split())))
             if not m:
                 break
             at = m.end()
@@ -128,8 +122,6 @@ class Page:
                 continue
             tag, closing = name.lower(), bool(m[1] or m[4])
             if tag in INLINE:
-                if tag == "a":
-                    in_link = 0 if closing else 1
                 continue
             if tag == "br" or tag == "img":
                 parts.append(" ")
@@ -140,7 +132,6 @@ class Page:
                     at = rest.end() if rest else end
                 continue
             flush()
-            in_link = 0
             if tag in VOID:
                 continue
             if closing:
