@@ -15,8 +15,7 @@ node, text) with partial sums, so a host of any number of pages is a few rows;
 pages themselves only meet their model page.
 
 Null html counts as empty and gives an empty text; a null or odd url belongs to
-the host "".  Elements nested deeper than ``DEEPEST`` are read as if they stood
-at that depth.  Repeated rows are extracted each.  An empty table gives no
+the host "".  Elements may be nested to any depth.  Repeated rows are extracted each.  An empty table gives no
 rows.
 """
 
@@ -57,11 +56,10 @@ PART_WORDS = frozenset(
     "area bar block bottom box btn button buttons container content count form global group icons inner item items left link links list main message outer panel "
     "primary right row secondary section site text title top wrap wrapper".split()
 )
-DEEPEST = 120
 #: Pages a node must be aligned on, and the share of equal texts, to be template.
 MOST_SAME, FEWEST_PAGES = 0.8, 8
-#: Above this many pairs of children, they are aligned in order of their labels.
-PAIR_LIMIT = 10_000
+#: Above this many pairs of children, a row of pairs is worked out at once.
+FEW_PAIRS = 200
 SLICE = 1 << 20
 
 TOKEN = re.compile(
@@ -152,7 +150,7 @@ class Page:
                     if tags[k] in ("ul", "ol", "dl", "table", "select"):
                         break
             label, drop, mark = described(tag, m[3] or m[6] or "")
-            over = stack[-1] if len(stack) < DEEPEST else stack[DEEPEST - 1]
+            over = stack[-1]
             node = len(self.label)
             self.label.append(label)
             self.parent.append(over)
@@ -161,9 +159,8 @@ class Page:
             self.drop.append(drop)
             self.mark.append(mark)
             self.header.append(tag == "header")
-            if len(stack) < DEEPEST:
-                stack.append(node)
-                tags.append(tag)
+            stack.append(node)
+            tags.append(tag)
         flush()
         self.dropped, self.main = self.settle()
 
@@ -225,51 +222,137 @@ class Page:
         return " ".join(f"{p}{x}" for p, x in zip(self.parent, self.label, strict=True))
 
 
-def align(model: Page, page: Page) -> dict[int, int]:
-    """Nodes of ``page`` and the model's nodes they match, by simple tree matching."""
-
-    def match(a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
-        """Size and pairs of the best matching of the trees below two equal labels."""
-        xs, ys = model.children[a], page.children[b]
-        pairs, lo = [(a, b)], 0
-        equal_leaf = lambda x, y: model.label[x] == page.label[y] and not model.children[x] and not page.children[y]
-        while lo < min(len(xs), len(ys)) and equal_leaf(xs[lo], ys[lo]):
-            pairs.append((xs[lo], ys[lo]))
-            lo += 1
-        hi = 0
-        while hi < min(len(xs), len(ys)) - lo and equal_leaf(xs[-1 - hi], ys[-1 - hi]):
-            pairs.append((xs[-1 - hi], ys[-1 - hi]))
-            hi += 1
-        xs, ys = xs[lo : len(xs) - hi], ys[lo : len(ys) - hi]
-        if len(xs) * len(ys) > PAIR_LIMIT:
-            j = 0
-            for x in xs:
-                k = next((k for k in range(j, len(ys)) if page.label[ys[k]] == model.label[x]), None)
-                if k is not None:
-                    pairs += match(x, ys[k])[1]
-                    j = k + 1
-            return len(pairs), pairs
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        inner: dict[tuple[int, int], list[tuple[int, int]]] = {}
+def best_pairs(weight: list[dict[int, int]], xs: list[int], ys: list[int]) -> tuple[int, list[tuple[int, int]]]:
+    """Weight and pairs (i, j), both rising, of greatest weight; ``weight[xs[i]]`` has the pairs of ``xs[i]``.
+
+    Long lists need memory for their lengths times the root of a length only:
+    every so many rows one is kept, and the rows between are made again on the
+    way back.
+    """
+    n, m = len(xs), len(ys)
+    if n * m <= FEW_PAIRS:
+        best = [[0] * (m + 1) for _ in range(n + 1)]
         for i, x in enumerate(xs):
             for j, y in enumerate(ys):
                 here = max(best[i][j + 1], best[i + 1][j])
-                if model.label[x] == page.label[y]:
-                    size, inner[i, j] = match(x, y)
-                    here = max(here, best[i][j] + size)
+                if y in weight[x]:
+                    here = max(here, best[i][j] + weight[x][y])
                 best[i + 1][j + 1] = here
-        i, j = len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs += inner[i, j]
-        return len(pairs), pairs
-
-    return {b: a for a, b in match(0, 0)[1]}
+        row = lambda i: best[i]
+        total = best[n][m]
+    else:
+        columns, widest = np.array(ys), max(ys) + 1
+
+        def following(above: np.ndarray, x: int) -> np.ndarray:
+            out = above.copy()
+            w = np.zeros(widest, np.int64)
+            w[list(weight[x])] = list(weight[x].values())
+            w = w[columns]
+            np.maximum(out[1:], np.where(w > 0, above[:-1] + w, 0), out=out[1:])
+            return np.maximum.accumulate(out)
+
+        step = max(1, int(n**0.5))
+        now, kept = np.zeros(m + 1, np.int64), {0: np.zeros(m + 1, np.int64)}
+        for i, x in enumerate(xs):
+            now = following(now, x)
+            if (i + 1) % step == 0:
+                kept[i + 1] = now
+        total = int(now[m])
+        made: dict[int, np.ndarray] = {}
+
+        def row(i: int) -> np.ndarray:
+            if i not in made:
+                made.clear()
+                first = max(0, i - 1) // step * step
+                made[first] = kept[first]
+                for k in range(first, i):
+                    made[k + 1] = following(made[k], xs[k])
+            return made[i]
+
+    i, j, pairs = n, m, []
+    while i and j:
+        here = row(i)
+        # Rows i and i - 1 are made together, or i - 1 was kept.
+        above = row(i - 1)
+        if here[j] == above[j]:
+            i -= 1
+        elif here[j] == here[j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    return total, pairs
+
+
+def align(model: Page, page: Page) -> dict[int, int]:
+    """Nodes of ``page`` and the model's nodes they match, by simple tree matching.
+
+    Equal subtrees have one number, and each pair of numbers is matched once,
+    lower trees first, without recursion.
+    """
+    numbers: dict[tuple, int] = {}
+    label: list[str] = []
+    below: list[tuple[int, ...]] = []
+    size: list[int] = []
+    height: list[int] = []
+
+    def numbered(tree: Page) -> list[int]:
+        own = [0] * len(tree.label)
+        for n in range(len(own) - 1, -1, -1):
+            children = tuple(own[c] for c in tree.children[n])
+            k = own[n] = numbers.setdefault((tree.label[n], children), len(label))
+            if k == len(label):
+                label.append(tree.label[n])
+                below.append(children)
+                size.append(1 + sum(size[c] for c in children))
+                height.append(1 + max((height[c] for c in children), default=0))
+        return own
+
+    of_model, of_page = numbered(model), numbered(page)
+    found: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def easy(a: int, b: int) -> int:
+        """Size of the matching where no work is needed, or 0."""
+        return size[a] if a == b else 1 if not below[a] or not below[b] else 0
+
+    wanted, left = set(), [(of_model[0], of_page[0])]
+    while left:
+        pair = left.pop()
+        if pair in wanted or easy(*pair):
+            continue
+        wanted.add(pair)
+        by_label: dict[str, list[int]] = {}
+        for y in set(below[pair[1]]):
+            by_label.setdefault(label[y], []).append(y)
+        left += [(x, y) for x in set(below[pair[0]]) for y in by_label.get(label[x], ())]
+    for a, b in sorted(wanted, key=lambda p: height[p[0]]):
+        xs, ys = below[a], below[b]
+        lo = hi = 0
+        # Equal leaves at either end match each other.
+        while lo < min(len(xs), len(ys)) and xs[lo] == ys[lo] and not below[xs[lo]]:
+            lo += 1
+        while hi < min(len(xs), len(ys)) - lo and xs[-1 - hi] == ys[-1 - hi] and not below[xs[-1 - hi]]:
+            hi += 1
+        ends = [(k, k) for k in range(lo)] + [(len(xs) - 1 - k, len(ys) - 1 - k) for k in range(hi)]
+        xs, ys = xs[lo : len(xs) - hi], ys[lo : len(ys) - hi]
+        kinds_x, kinds_y = {x: k for k, x in enumerate(dict.fromkeys(xs))}, {y: k for k, y in enumerate(dict.fromkeys(ys))}
+        by_label = {}
+        for y in kinds_y:
+            by_label.setdefault(label[y], []).append(y)
+        weight = [{kinds_y[y]: easy(x, y) or found[x, y][0] for y in by_label.get(label[x], ())} for x in kinds_x]
+        total, pairs = best_pairs(weight, [kinds_x[x] for x in xs], [kinds_y[y] for y in ys])
+        found[a, b] = 1 + len(ends) + total, ends + [(i + lo, j + lo) for i, j in pairs]
+
+    matched, left = {}, [(0, 0)]
+    while left:
+        x, y = left.pop()
+        matched[y] = x
+        a, b = of_model[x], of_page[y]
+        if a == b:
+            left += zip(model.children[x], page.children[y], strict=True)
+        elif (a, b) in found:
+            left += [(model.children[x][i], page.children[y][j]) for i, j in found[a, b][1]]
+    return matched
 
 
 @lru_cache(maxsize=64)
