@@ -1,7 +1,10 @@
 """Secret scans: find candidate strings, then let a random forest judge them.
 
 A candidate is a run of at least 16 of ``[A-Za-z0-9+/_-]`` with a digit in it
-(with its closing ``=``), a dotted web token, or the body of a private-key block.  The forest sees its length, its
+(with its closing ``=``), a dotted token, a private-key block from BEGIN to
+END, what is assigned to a secret word (quoted or bare, 6 characters or more of
+any kind), or the password of a URL.  Candidates may lie in one another; each
+is judged, and what is masked is their union.  The forest sees its length, its
 transitions between character kinds, how much of it dictionary words cover, how
 path-like it and its surroundings are, and the words before it; it removes
 hashes, identifiers, paths and placeholders.
@@ -37,9 +40,18 @@ CONTEXT = 40
 
 CANDIDATE = re.compile(
     r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
-    r"|-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|\bSG\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}"
     r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 )
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----", re.DOTALL)
+ASSIGNED = re.compile(
+    r"(?:passw(?:or)?d|passphrase|(?<![a-z])pass|pwd|secret|token|credentials?|(?:api|access|auth|account|private|encryption|signing|master)[_-]?key)"
+    r"[A-Za-z0-9_-]{0,30}(?:[\"'\]]{0,2}\s{0,4}(?:=>|:=|==?|:)\s{0,4})"
+    r"(?:\"(?P<double>(?:[^\"\\\n]|\\.){6,})\"|'(?P<single>(?:[^'\\\n]|\\.){6,})'|(?P<bare>[^\s\"'<>]{5,}[^\s\"'<>,;.]))",
+    re.IGNORECASE,
+)
+BEARER = re.compile(r"\bbearer\s{1,4}(?P<bare>[A-Za-z0-9._~+/-]{16,}={0,2})", re.IGNORECASE)
+URL_LOGIN = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*:(?P<bare>[^\s/]+)@")
 # Words that stand before secrets, and before look-alikes.
 SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential", "private", "aws", "key")
 OTHER_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "guid", "id", "version", "build", "path", "file", "url", "http", "https", "href", "src", "image", "example", "sample", "isbn", "order", "ticket")
@@ -55,7 +67,7 @@ UUID = re.compile("[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[
 BEFORE_WORD = re.compile(r"[A-Za-z_-]+\d*")
 
 SCHEMA = "doc_id long, start long, stop long, kind string, score double, is_secret boolean"
-KINDS = (("private_key", re.compile("-----BEGIN ")), ("web_token", re.compile(r"eyJ.*\.")), ("access_key", re.compile("(AKIA|ASIA)[0-9A-Z]{16}$")), ("service_token", re.compile("(gh[pousr]_|xox[abpr]-|sk[-_]|AIza|glpat-)")))
+KINDS = (("private_key", re.compile("-----BEGIN ")), ("web_token", re.compile(r"eyJ.*\.")), ("service_token", re.compile(r"SG\.[A-Za-z0-9_-]+\.")), ("access_key", re.compile("(AKIA|ASIA)[0-9A-Z]{16}$")), ("service_token", re.compile("(gh[pousr]_|xox[abpr]-|sk[-_]|AIza|glpat-)")))
 
 
 def char_kind(text: str) -> np.ndarray:
@@ -63,10 +75,11 @@ def char_kind(text: str) -> np.ndarray:
 
 
 def features(value: str, before: str, after: str) -> list[float]:
-    kinds = char_kind(value[:4096])
+    kinds = char_kind(value)
     n = len(kinds)
     counts = np.bincount(kinds, minlength=4) / n
-    letters = np.unique(np.frombuffer(value.encode()[:4096], np.uint8), return_counts=True)[1] / n
+    raw = np.frombuffer(value.encode(errors="replace"), np.uint8)
+    letters = np.unique(raw, return_counts=True)[1] / len(raw)
     lower = value.lower()
     covered = sum(m.end() - m.start() for m in WORDS.finditer(lower)) / len(value)
     near = [w.lower().strip("-_") for w in BEFORE_WORD.findall(before)[-3:]]
@@ -89,6 +102,9 @@ def features(value: str, before: str, after: str) -> list[float]:
         float(any(w in SECRET_WORDS or w.endswith(("password", "secret", "token", "key")) for w in near)),
         float(any(w in OTHER_WORDS for w in near)),
         float(before.endswith(("\"", "'"))),
+        sum(map(str.isspace, value)) / n,
+        sum(map(value.count, "(){}<>[]$*")) / n,
+        float("://" in before and after.startswith("@")),
     ]
 
 
@@ -102,7 +118,33 @@ def labelled_findings(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     prose = lambda: " ".join(draw(string.ascii_lowercase, int(rng.integers(2, 8))) for _ in range(4))
     some = lambda a, b: int(rng.integers(a, b))
 
+    marks = "!#%&*+-.?@^_~"
+    mangled = lambda: pick((str.title, str.upper, str.lower))(pick([w for w in DICTIONARY if len(w) > 3])).replace("o", "0").replace("a", pick(("4", "@", "a"))) + draw(string.digits, some(1, 5)) + pick(("", draw(marks, 1), draw(marks, 1) + draw(alnum, 2)))
+    short = lambda: pick((lambda: draw(alnum + marks, some(8, 22)), lambda: draw(string.ascii_letters, some(10, 33)), mangled, mangled, lambda: draw(string.ascii_letters, 4) + draw(marks, 1) + draw(alnum, some(4, 10))))()
+
+    def block() -> str:
+        kind = pick(("RSA PRIVATE KEY", "EC PRIVATE KEY", "PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"))
+        head = pick(("", "", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + draw(upper, 32) + "\n\n", "Version: GnuPG v2\n\n"))
+        lines = "\n".join(draw(alnum + "+/", 64) for _ in range(some(1, 25)))
+        return f"-----BEGIN {kind}-----\n{head}{lines}\n-----END {kind}-----"
+
+    def assigned(value: str) -> tuple[str, str, str]:
+        name = pick(("password", "passwd", "pwd", "secret", "token", "api_key", "DB_PASSWORD", "client_secret", "passphrase", "pass"))
+        join, close = pick((("=", " "), (": ", " "), (" = \"", "\""), ("=\"", "\""), ("='", "'"), ("\": \"", "\"")))
+        return value, f"{prose()} {name}{join}", close + pick(("", " ", ", ")) + prose()
+
+    def at_url(value: str) -> tuple[str, str, str]:
+        return value, f"{prose()} {pick(('postgres', 'mysql', 'https', 'redis', 'amqp', 'mongodb+srv'))}://{word()}:", f"@{word()}.{pick(('example.com', 'internal', 'local:5432'))}/{word()}"
+
     def secret() -> tuple[str, str, str]:
+        sort = rng.random()
+        if sort < 0.3:
+            return (at_url if rng.random() < 0.3 else assigned)(short())
+        if sort < 0.36:
+            return block(), prose() + pick((" ", "\n", ": ")), "\n" + prose()
+        if sort < 0.4:
+            value = f"SG.{draw(alnum + '_-', some(6, 24))}.{draw(alnum + '_-', some(6, 44))}"
+            return assigned(value) if rng.random() < 0.5 else (value, prose() + " ", " " + prose())
         name = pick(("password", "passwd", "secret", "token", "api_key", "apikey", "auth_token", "access_key", "client_secret", "DB_PASSWORD", "bearer"))
         join = pick(("=", " = ", ": ", ":", " = \"", "=\"", "=\'", " "))
         value = pick(
@@ -122,6 +164,22 @@ def labelled_findings(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
         return value, f"{prose()} {name}{join}", pick(("", "\"", "'", ";", " ")) + prose()
 
     def other() -> tuple[str, str, str]:
+        if rng.random() < 0.3:
+            plain = lambda: pick((pick([w for w in DICTIONARY if len(w) > 5]), draw(string.ascii_lowercase, some(6, 12)), draw(string.ascii_lowercase, some(6, 10)).title()))
+            value = pick(
+                (
+                    plain,
+                    plain,
+                    prose,
+                    lambda: word() + "_" + plain(),
+                    lambda: f"{word()}.{word()}({pick(('', word()))})" + pick(("", "]")) + "x" * 3,
+                    lambda: f"get_{plain()}()",
+                    lambda: "${" + pick(("TOKEN", "DB_PASSWORD", "secrets.KEY")) + "}",
+                    lambda: pick(("required", "changeme", "optional", "undefined", "password", "example", "your-password", "*" * some(6, 12), "x" * some(6, 16), "[REDACTED]", "[hidden]")),
+                    lambda: " ".join((plain(), word(), word())),
+                )
+            )()
+            return (at_url if " " not in value and "(" not in value and rng.random() < 0.1 else assigned)(value)
         return pick(
             (
                 lambda: (draw(hexes, pick((32, 40, 64))), f"{prose()} {pick(('commit', 'sha256', 'md5', 'checksum', 'digest', 'hash'))}{pick((' ', ': ', '='))}", " " + prose()),
@@ -188,17 +246,34 @@ class Forest:
         return total / len(self.roots)
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Places of all candidates, each once."""
+    out = {m.span() for p in (CANDIDATE, KEY_BLOCK) for m in p.finditer(text)}
+    out |= {m.span(m.lastgroup) for p in (ASSIGNED, BEARER, URL_LOGIN) for m in p.finditer(text)}
+    return sorted(out)
+
+
+def union(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """text, start, stop in order, with what overlaps made one."""
+    out: list[tuple[int, int, int]] = []
+    for i, a, b in places:
+        if out and out[-1][0] == i and a < out[-1][2]:
+            out[-1] = (i, out[-1][1], max(b, out[-1][2]))
+        else:
+            out.append((i, a, b))
+    return out
+
+
 def find(texts: list[str | None]) -> tuple[list[int], list[int], list[int], list[str], np.ndarray]:
     """text, start, stop, value and features of every candidate."""
     row, start, stop, value, rows = [], [], [], [], []
     for i, text in enumerate(texts):
-        for m in CANDIDATE.finditer(text or ""):
-            a, b = m.span()
+        for a, b in spans(text or ""):
             row.append(i)
             start.append(a)
             stop.append(b)
-            value.append(m[0])
-            rows.append(features(m[0], text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT]))
+            value.append(text[a:b])
+            rows.append(features(text[a:b], text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT]))
     return row, start, stop, value, np.array(rows, float)
 
 
@@ -240,7 +315,7 @@ def masked(docs: DataFrame) -> DataFrame:
                 row, start, stop, _, x = find(texts)
                 secret = forest.value.score(x) >= THRESHOLD if row else ()
                 # From the last place back, so earlier places stay right.
-                for i, a, b in [(i, a, b) for i, a, b, s in zip(row, start, stop, secret, strict=True) if s][::-1]:
+                for i, a, b in union([(i, a, b) for i, a, b, s in zip(row, start, stop, secret, strict=True) if s])[::-1]:
                     texts[i] = texts[i][:a] + MASK + texts[i][b:]
                 yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
