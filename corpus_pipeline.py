@@ -20,12 +20,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays.
+    """Of each group of near-duplicates the row of smallest doc_id stays, null last.
 
-    Documents without words or with a null doc_id are in no group and stay.
+    Rows have a key of their own, written once, so repeated rows and rows
+    without a doc_id are documents like others.  Documents without words are in
+    no group and stay.
     """
-    gone = jaccard.near_duplicates(docs).filter("n_shingles > 0 AND component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    key = "__row"
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed")
+    groups = jaccard.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).filter("n_shingles > 0")
+    groups = groups.select(F.col("doc_id").alias(key), F.col("component_id").alias("component"))
+    # Only groups of several rows have a row whose key isn't the component's.
+    several = groups.filter(F.col(key) != F.col("component")).select("component").distinct()
+    rows = stored(groups.join(several, "component", "left_semi").join(keyed.select(key, "doc_id"), key), "pipeline-groups")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
+    gone = rows.join(first, key, "left_anti").select(key)
+    return keyed.join(gone, key, "left_anti").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The corpus pipeline against its stages done by hand, and the SQL of the operators."""
 
+from collections import Counter
+
 import corpus_pipeline
 import duckdb
 import pytest
@@ -26,6 +28,18 @@ def test_stages(spark):
     assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
 
 
+def test_one_of_repeated_rows_and_null_ids_stays(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(200))
+    rows = [(7, text("a")), (7, text("a")), (None, text("b")), (None, text("b")), (3, text("c")), (None, text("c")), (1, text("d")), (2, text("d")), (2, text("e")), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    want = Counter([(7, text("a")), (None, text("b")), (3, text("c")), (1, text("d")), (2, text("e")), (9, None), (9, "")])
+    assert kept.columns == docs.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == want
+    # The next stage finds nothing repeated in them.
+    texts = Counter((r.doc_id, r.text or "") for r in corpus_pipeline.cut_repeats(spark, corpus_pipeline.stored(kept, "test"), "").collect())
+    assert texts == Counter((i, t or "") for i, t in want.elements())
+
+
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
