@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,17 +34,31 @@ def decide(times: np.ndarray, start: float | None, count: int, window: float, mo
 def limited(requests: DataFrame, key: str = "ip", window: float = WINDOW_S, most: int = MOST) -> DataFrame:
     """event_id, caller, allowed, retry_after of each request.
 
-    A caller's requests are folded in order of time: its windows depend on one
-    another, so the history of one caller is the unit of work.
+    A caller's requests are folded in order of time, batch by batch: only the
+    window and its count go from one batch to the next, so a caller's history
+    needn't fit in memory.
     """
+    schema = f"event_id long, {key} string, allowed boolean, retry_after long"
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "event_id"], kind="stable")
-        allowed, wait, _, _ = decide(pdf["t"].to_numpy(), None, 0, window, most)
-        return pd.DataFrame({"event_id": pdf["event_id"], key: pdf[key], "allowed": allowed, "retry_after": wait})
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caller, start, count = None, None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            times = batch.column("t").to_numpy(zero_copy_only=False)
+            runs = pc.run_end_encode(batch.column(key))
+            parts, at = [], 0
+            for who, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                if who != caller:
+                    caller, start, count = who, None, 0
+                allowed, wait, start, count = decide(times[at:end], start, count, window, most)
+                parts.append((allowed, wait))
+                at = end
+            allowed, wait = (pa.array(np.concatenate(p)) for p in zip(*parts, strict=True))
+            yield pa.record_batch([batch.column("event_id"), batch.column(key), allowed, wait], names=["event_id", key, "allowed", "retry_after"])
 
-    rows = requests.select("event_id", key, (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"))
-    return rows.groupBy(key).applyInPandas(fold, f"event_id long, {key} string, allowed boolean, retry_after long")
+    rows = requests.select(F.col("event_id").cast("long"), F.col(key).cast("string"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"))
+    return rows.repartition(key).sortWithinPartitions(key, "t", "event_id").mapInArrow(fold, schema)
 
 
 def request_rollup(requests: DataFrame) -> DataFrame:

@@ -166,6 +166,29 @@ def test_limiter(spark):
     assert out[500].allowed and out[600].allowed
 
 
+def test_limiter_folds_a_caller_over_batches(spark):
+    """A caller of many batches gives what it gives in one, and no plan holds its history in one frame."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, "hot" if k % 3 else f"c{k % 7}", start + dt.timedelta(seconds=k // 5)) for k in range(3000)] + [(9000, None, start)]
+    df = spark.createDataFrame(rows, "event_id long, ip string, ts timestamp")
+    want, open_ = {}, {}
+    for k, ip, ts in rows:
+        t = (ts - start).total_seconds()
+        first, n = open_.get(ip, (None, 0))
+        if first is None or t - first >= 60:
+            first, n = t, 0
+        want[k] = (ip, n < 100, 0 if n < 100 else max(1, int(60 - (t - first))))
+        open_[ip] = (first, n + (n < 100))
+    out = limiter.limited(df)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        assert {r.event_id: (r.ip, r.allowed, r.retry_after) for r in limiter.limited(df).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_export_and_manifest(spark, tmp_path):
     people = voters(spark, (1, "A", "p", "Active", "1", 1950))
     m = meetings(spark, (1, D(2024, 1, 5), "Clean", "Yes", "text"))
