@@ -13,9 +13,16 @@ from pyspark.sql import functions as F
 from tallyspark.llm import jaccard, packing, registry, secrets, suffix_dedup, toxicity
 from tallyspark.llm.shared import stored, table
 
+#: Bytes by which repeated passages are found, and the words one must exceed to go.
+PASSAGE_BYTES, PASSAGE_WORDS = 200, 50
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    A null text is judged like an empty one; repeated rows are judged each, and
+    no row of an accepted document is lost or doubled by its labels.
+    """
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,17 +46,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes or more that occur twice leave the texts."""
-    return suffix_dedup.without_repeats(docs)
+    """Passages of over 50 words that occur twice leave the texts.
+
+    They are found as strings of 200 bytes, fewer than 51 words of three letters
+    have.  A null text stays null, an empty one empty; a row without a doc_id is
+    a document like others; repeated rows repeat each other.
+    """
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES, PASSAGE_WORDS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are masked."""
+    """Secrets in the texts are masked.  A null text stays null, an empty one empty; repeated rows are masked each."""
     return secrets.masked(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 4096 tokens."""
+    """The pieces of the documents in sequences of at most 4096 tokens.
+
+    A null or empty text is its closing id alone; repeated rows are packed each.
+    """
     return packing.pack(docs, registry.tokenizer_path(registry.TOKENIZER))
 
 

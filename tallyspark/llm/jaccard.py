@@ -7,15 +7,17 @@ reads more of the others but lets fewer through, and the estimated frequencies
 say where the sum is least.  A pair needs min(l, l') shared shingles, at places
 that the overlap asked of their two sizes allows, before its sets are compared.
 
-The order and the estimates come from one count-min sketch of fixed size over
-all documents.  It only ever affects cost: any order that all sets share gives
-the same links.
+The order and the estimates come from one count-min sketch over all documents,
+whose width grows with the corpus between two bounds.  It only ever affects
+cost: any order that all sets share gives the same links.
 
 Documents of equal sets form classes first, and only one document of a class
 goes on.  Where thousands share a prefix shingle, each document is compared
 with few hubs before all others: pairs inside one component need no check, as
 a component is all that is asked for.  What then still lies in different
-components is checked pair by pair, so no link between components is lost.
+components is compared pair by pair, so no link between components is lost.
+Shingles that very many prefixes hold are found by a sample and never meet in
+one task: their rows are summed up and joined, both of which Spark can split.
 
 Null and empty texts have no set and no link.  Rows with a null doc_id take no
 part and keep a null component.  Rows that repeat a doc_id share its component.
@@ -34,55 +36,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import clean_columns, slices, stored, text_buffer
+from .shared import clean_columns, frequent, slices, stored, text_buffer
 from .words import mix, shingle_sets
 
 SIZE = 5
 #: The similarity as a fraction.
 SIMILAR = (80, 100)
-#: Counters in each of the sketch's two rows: 2**21 * 2 * 2 bytes, whatever the input.
-#: They stop at ``FULL``; beyond it shingles are all alike frequent.
-SKETCH_BITS = 21
-FULL = 65535
+#: The sketch has two rows of 2**21 counters of 4 bytes for up to ``SKETCH_BYTES``
+#: of text, twice as many for each doubling, and 2**24 (128 MB in all) at most.
+SKETCH_BITS = (21, 24)
+SKETCH_BYTES = 4 << 30
+FULL = 2**32 - 1
 SKETCH_PARTS = 16
 #: The longest l, and the cost of comparing two sets in prefix entries read.
 MOST_MATCHES = 4
 COMPARE_COST = 4.0
-#: Rounds against hubs before what is left is checked pair by pair.
-HUB_ROUNDS = 2
 SLICE = 1 << 20
 
 
-def sketch_cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), (hashes & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+def sketch_cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64), (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def sketch_bits(size: int) -> int:
+    least, most = SKETCH_BITS
+    return min(most, least + max(0, -(-size // SKETCH_BYTES) - 1).bit_length())
 
 
 def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """doc_id, n, digest of every document; the frequency sketch."""
+    bits = sketch_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("part", pa.int32())])
-        counts = np.zeros((2, 1 << SKETCH_BITS), np.int32)
+        counts = np.zeros((2, 1 << bits), np.uint32)
         any_rows = False
         for batch in batches:
             for rows in slices(batch, "text", SLICE):
                 any_rows = True
                 sets = shingle_sets(*text_buffer(rows.column("text")), SIZE)
-                for row, cells in zip(counts, sketch_cells(np.concatenate(sets)), strict=True):
+                for row, cells in zip(counts, sketch_cells(np.concatenate(sets), bits), strict=True):
                     np.add.at(row, cells, 1)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.record_batch([rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sets), pa.int32())], schema=schema)
         if any_rows:
-            for part, cells in enumerate(np.array_split(np.minimum(counts, FULL).astype("<u2").ravel(), SKETCH_PARTS)):
+            for part, cells in enumerate(np.array_split(counts.ravel(), SKETCH_PARTS)):
                 yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([cells.tobytes()], pa.binary()), pa.array([part], pa.int32())], schema=schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, cells in zip(batch.column("part").to_pylist(), batch.column("digest").to_pylist(), strict=True):
-                sums[part] = np.minimum(np.frombuffer(cells, "<u2").astype(np.int64) + sums.get(part, 0), FULL)
+                sums[part] = np.minimum(np.frombuffer(cells, "<u4").astype(np.int64) + sums.get(part, 0), FULL)
         if sums:
-            data = [x.astype("<u2").tobytes() for x in sums.values()]
+            data = [x.astype("<u4").tobytes() for x in sums.values()]
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(data, pa.binary())], names=["part", "digest"])
 
     both = stored(docs.mapInArrow(run, "doc_id long, n long, digest binary, part int"), "jaccard-sets")
@@ -90,7 +97,7 @@ def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     partial = both.filter("part IS NOT NULL").select("part", "digest").mapInArrow(add, "part int, digest binary")
     parts = partial.repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, digest binary").collect()
     parts.sort(key=lambda r: r.part)
-    counts = np.concatenate([np.frombuffer(r.digest, "<u2") for r in parts]) if parts else np.zeros(2 << SKETCH_BITS, "<u2")
+    counts = np.concatenate([np.frombuffer(r.digest, "<u4") for r in parts]) if parts else np.zeros(2 << bits, "<u4")
     return both.filter("part IS NULL").select("doc_id", "n", "digest"), counts.reshape(2, -1)
 
 
@@ -108,13 +115,14 @@ def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value
+        bits = sketch.shape[1].bit_length() - 1
         noise = np.maximum(1, np.median(sketch, axis=1))
         for batch in batches:
             for rows in slices(batch, "text", SLICE):
                 sets = shingle_sets(*text_buffer(rows.column("text")), SIZE)
                 lengths = np.array([len(s) for s in sets])
                 flat = np.concatenate(sets)
-                one, two = sketch_cells(flat)
+                one, two = sketch_cells(flat, bits)
                 seen = np.minimum(sketch[0][one] / noise[0], sketch[1][two] / noise[1])
                 # Rarity in steps of an eighth of a doubling; the hash settles the rest of the order.
                 rank = np.minimum(8 * np.log2(np.maximum(seen, 1)), 63).astype(np.uint64)
@@ -162,75 +170,120 @@ def early(a: str, b: str):
     return (F.col(f"{a}_at") <= last(a)) & (F.col(f"{b}_at") <= last(b))
 
 
-def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose shingle sets are similar, by comparing the sets."""
-    num, den = SIMILAR
-    text = docs.select("doc_id", "text")
-    left = pairs.select("x", "y").join(text.select(F.col("doc_id").alias("x"), F.col("text").alias("x_text")), "x")
-    both = left.join(text.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text")), "y").select("x", "y", "x_text", "y_text")
+def shingle_arrays(docs: DataFrame) -> DataFrame:
+    """doc_id, shingles: each document's set as an array, the keys by which sets are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
         for batch in batches:
-            for rows in slices(batch, "x_text", SLICE):
-                xs = shingle_sets(*text_buffer(rows.column("x_text")), SIZE)
-                keep = []
-                y_ids, y_texts = rows.column("y").to_pylist(), rows.column("y_text")
-                for i, s in enumerate(xs):
-                    if last != y_ids[i]:
-                        last, last_set = y_ids[i], shingle_sets(*text_buffer(y_texts.slice(i, 1)), SIZE)[0]
-                    common = len(np.intersect1d(s, last_set, assume_unique=True))
-                    keep.append(den * common >= num * (len(s) + len(last_set) - common))
-                yield rows.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            for rows in slices(batch, "text", SLICE):
+                sets = shingle_sets(*text_buffer(rows.column("text")), SIZE)
+                places = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
+                yield pa.record_batch([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(sets).view(np.int64)))], names=["doc_id", "shingles"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose sets are similar, by comparing the sets."""
+    num, den = SIMILAR
+    side = lambda p: sets.select(F.col("doc_id").alias(p), F.col("shingles").alias(f"{p}_set"))
+    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
+    common = F.size(F.array_intersect("x_set", "y_set"))
+    return both.filter(den * common >= num * (F.size("x_set") + F.size("y_set") - common)).select("x", "y")
+
+
+def shared_tokens(prefix: DataFrame) -> DataFrame:
+    """token, doc_id, n, matches, at of the prefix tokens that several documents hold."""
+    total = prefix.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    tokens = prefix.select("doc_id", "n", "matches", F.posexplode("tokens").alias("at", "token")).select("token", "doc_id", "n", "matches", "at")
+    hot = frequent(tokens, "token", total)
+    rare = tokens.join(hot, "token", "left_anti").withColumn("many", F.count("*").over(Window.partitionBy("token"))).filter("many > 1").drop("many")
+    # What the sample holds often is shared, without a count.
+    return stored(rare.unionByName(tokens.join(hot, "token", "left_semi")), "jaccard-shared")
+
+
+def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with c, the component their document is known to lie in."""
+    known = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("c"))
+    return rows.drop("c").join(known, "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
+
+
+def open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of tokens whose documents lie in several components, with the token's main component.
+
+    hub is the least document of the token, other the least one outside the
+    hub's component.  Only sums and least values are taken by token.
+    """
+    rows = stored(rows, "jaccard-labelled")
+    parts = rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "n", "matches", "c")).alias("least"))
+    parts = stored(parts, "jaccard-parts")
+    tokens = parts.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.min("least").alias("hub"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
+    other = parts.join(tokens, "token").filter(F.col("c") != F.col("hub.c")).groupBy("token").agg(F.first("main").alias("main"), F.first("hub").alias("hub"), F.min("least").alias("other"))
+    return stored(rows.join(other, "token"), "jaccard-open")
+
+
+def hub_tries(rows: DataFrame) -> DataFrame:
+    """x, y: each document and the hub it shares most tokens with, if it shares as many as it must."""
+    tries = rows.filter("doc_id <> hub.doc_id").groupBy(F.col("doc_id").alias("x"), F.col("hub.doc_id").alias("y"), "n", "matches", F.col("hub.n").alias("m"), F.col("hub.matches").alias("hub_matches")).agg(F.count("*").alias("met"))
+    return tries.filter(similar_sizes("n", "m") & (F.col("met") >= F.least("matches", "hub_matches")))
+
 
-    return both.mapInArrow(run, "x long, y long")
+def best_tries(tries: DataFrame) -> DataFrame:
+    best = tries.groupBy("x").agg(F.max_by("y", F.struct("met", -F.col("y"))).alias("y"))
+    return stored(best.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "jaccard-tries")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     known = docs.filter("doc_id IS NOT NULL")
-    sets, counts = first_pass(docs)
-    classes = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    sets_of, counts = first_pass(docs)
+    classes = sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
     classes = stored(classes, "jaccard-classes")
+    if sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        known = known.dropDuplicates(["doc_id", "text"])
     only = classes.select(F.col("first").alias("doc_id"))
 
     sketch = docs.sparkSession.sparkContext.broadcast(counts)
-    tokens = prefixes(known, sketch).join(only, "doc_id", "left_semi").select("doc_id", "n", "matches", F.posexplode("tokens").alias("at", "token"))
-    group = Window.partitionBy("token")
-    shared = stored(tokens.withColumn("many", F.count("*").over(group)).filter("many > 1").drop("many"), "jaccard-shared")
+    prefix = stored(prefixes(known, sketch).join(only, "doc_id", "left_semi"), "jaccard-prefixes")
     sketch.destroy()
-    labels = None
-    links = None
-    checked = None
-    for _ in range(HUB_ROUNDS):
-        rows = shared.withColumn("c", F.col("doc_id")) if labels is None else shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
-        # In each group the smallest document, and the smallest outside that one's component.
-        rows = rows.withColumn("hub", F.min(F.struct("doc_id", "c", "n")).over(group))
-        rows = rows.withColumn("other", F.min(F.when(F.col("c") != F.col("hub.c"), F.struct("doc_id", "c", "n"))).over(group))
-        rows = rows.withColumn("hub", F.when(F.col("c") != F.col("hub.c"), F.col("hub")).otherwise(F.col("other"))).filter("hub IS NOT NULL")
-        tries = rows.groupBy(F.col("doc_id").alias("x"), F.col("hub.doc_id").alias("y"), "n", F.col("hub.n").alias("m")).agg(F.count("*").alias("met")).filter(similar_sizes("n", "m"))
-        if checked is not None:
-            old = checked.select(F.col("x").alias("a"), F.col("y").alias("b"))
-            tries = tries.join(old, (F.greatest("x", "y") == F.col("a")) & (F.least("x", "y") == F.col("b")), "left_anti")
-        best = Window.partitionBy("x").orderBy(F.col("met").desc(), "y")
-        tries = stored(tries.withColumn("r", F.row_number().over(best)).filter("r = 1").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "jaccard-tries")
-        found = stored(linked(tries, known), "jaccard-links")
-        checked = tries if checked is None else checked.unionByName(tries)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-    labels = stored(labels, "jaccard-labels")
-    rows = shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
-    sizes = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("token", "main")
-    open_rows = stored(rows.join(sizes, "token"), "jaccard-open")
-    # Every pair of a group across components has a row outside the group's main component.
+    shared = shared_tokens(prefix)
+    # Only what shares a token is ever compared; each set is made once.
+    met = shared.select("doc_id").distinct()
+    sets = stored(shingle_arrays(known.join(met, "doc_id", "left_semi")), "jaccard-arrays")
+
+    # First every document with the least one of a token.
+    hubs = shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub"))
+    tried = best_tries(hub_tries(shared.join(hubs, "token")))
+    links = stored(linked(tried, sets), "jaccard-links")
+    # Of two linked documents the greater gets the label of the lesser, which may hang on a third.
+    up = links.groupBy("x").agg(F.min("y").alias("y"))
+    upper = up.select(F.col("x").alias("y"), F.col("y").alias("top"))
+    labels = up.join(upper, "y", "left").select(F.col("x").alias("node"), F.coalesce("top", "y").alias("component"))
+    rows = open_rows(with_labels(shared, labels))
+    # Then with the least one of another component.
+    rows_of = rows.withColumn("hub", F.when(F.col("c") != F.col("hub.c"), F.col("hub")).otherwise(F.col("other")))
+    old = tried.select("x", "y").unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    more = best_tries(hub_tries(rows_of).join(old, ["x", "y"], "left_anti"))
+    tried = tried.unionByName(more)
+    links = stored(links.unionByName(linked(more, sets)), "jaccard-links")
+    labels = stored(components(links), "jaccard-labels")
+    rows = open_rows(with_labels(rows.drop("main", "hub", "other"), labels))
+
+    # Every pair of a token across components has a row outside the token's main component.
     side = lambda p: [F.col("doc_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "matches", "at", "c"))]
-    x = open_rows.filter("c <> main").select("token", *side("x"))
-    y = open_rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
+    x = rows.filter("c <> main").select("token", *side("x"))
+    y = rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
     pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
     pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_matches", "y_matches").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
-    rest = stored(pairs.select("x", "y").join(checked, ["x", "y"], "left_anti"), "jaccard-rest")
-    links = links.unionByName(linked(rest, known))
-    final = components(links)
-    placed = sets.join(classes, "digest", "left").join(final, F.col("first") == F.col("node"), "left")
+    rest = stored(pairs.select("x", "y").join(tried, ["x", "y"], "left_anti"), "jaccard-rest")
+    # What is left links whole components.
+    across = stored(linked(rest, sets), "jaccard-links")
+    label = labels.select("node", "component")
+    across = across.join(label.withColumnsRenamed({"node": "x", "component": "cx"}), "x", "left").join(label.withColumnsRenamed({"node": "y", "component": "cy"}), "y", "left")
+    tops = components(across.select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y")))
+    tops = tops.toDF("component", "top")
+    final = classes.select("first").join(labels, F.col("first") == F.col("node"), "left").select("first", F.coalesce("component", "first").alias("component")).join(tops, "component", "left")
+    final = final.select(F.col("first").alias("node"), F.coalesce("top", "component").alias("component"))
+    placed = sets_of.join(classes, "digest", "left").join(final, F.col("first") == F.col("node"), "left")
     return placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id")).alias("component_id"))

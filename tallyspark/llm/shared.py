@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -17,17 +20,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that ``frequent`` samples, and how often it must meet a value.
+SAMPLE, OFTEN = 1_000_000, 32
+
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests on one machine) a temporary folder
-    is made and set.
+    Where the session has none and all tasks run on this machine (tests), a
+    temporary folder is used, which goes when the driver ends; on a cluster the
+    setting must be there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='tallyspark-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="tallyspark-"))
+        atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
+    return f"file://{_own_folder[0]}"
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -42,6 +57,20 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def frequent(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """Values of ``column`` that hold more than a small share of the ``n`` rows.
+
+    Those are values that a sample of about ``SAMPLE`` rows holds ``OFTEN``
+    times or more, so at most ``SAMPLE / OFTEN`` values whatever the input, few
+    enough to broadcast.  Any other value has few rows for one task, but for
+    the chances of the sample.  The answer only ever says by which of two ways
+    that give the same rows a value goes.
+    """
+    share = SAMPLE / max(n, 1)
+    seen = rows.select(column) if share >= 1 else rows.select(column).filter(F.rand(7) < share)
+    return F.broadcast(stored(seen.groupBy(column).agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN).select(column), "frequent"))
+
+
 def clean_columns(df: DataFrame, *wanted: str) -> DataFrame:
     """Only the columns an operator needs; extra columns cannot clash then."""
     return df.select(*(F.col(f"`{c}`") for c in wanted))

@@ -1,10 +1,11 @@
-"""Suffix-array deduplication: remove every byte of a repeated 400-byte string.
+"""Suffix-array deduplication: remove every byte of a repeated string of ``length`` bytes.
 
 Sorting every suffix of the corpus would move each byte hundreds of times.
-The array here is sparse: each 400-byte string has one anchor, the place of
-the least hash among its 128-byte substrings, which depends on the string
-alone.  So equal strings have equal anchors at equal distances, and suffixes at
-anchors are all that have to be sorted; about one byte in 140 is one.
+The array here is sparse.  With 400 bytes: each 400-byte string has one anchor,
+the place of the least hash among its 128-byte substrings, which depends on the
+string alone.  So equal strings have equal anchors at equal distances, and
+suffixes at anchors are all that have to be sorted; about one byte in 140 is
+one.  Other lengths have anchors in proportion (see ``anchor_width``).
 
 1. Every anchor gives the hash of its 128 bytes and of its context: all the
    400-byte strings that it is the anchor of.  Anchors whose 128 bytes occur
@@ -19,8 +20,12 @@ anchors are all that have to be sorted; about one byte in 140 is one.
    strings are counted by a distributed aggregation instead, with the same
    result.
 
+128 bytes that a sample finds very often (a passage that a third of all
+documents share) never meet in one task: their contexts are summed up by
+(128 bytes, context) and joined back, both of which Spark can split.
+
 Strings are compared by 64-bit hashes among those with equal anchors.  A null
-text counts as empty; texts shorter than 400 bytes keep all.  Rows that repeat
+text counts as empty; texts shorter than ``length`` keep all.  Rows that repeat
 a doc_id are documents of their own, so two equal rows of 400 bytes remove each
 other.  An empty table gives no rows.
 """
@@ -35,11 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import clean_columns, slices, stored, text_buffer
-from .words import mix, powers, prefix_sums
+from .shared import clean_columns, frequent, slices, stored, text_buffer
+from .words import mix, powers, prefix_sums, word_spans
 
 LENGTH = 400
-ANCHOR = 128
 #: Contexts of one run that a single task compares at most.
 RUN_LIMIT = 50_000
 SLICE = 1 << 20
@@ -48,7 +52,7 @@ CHUNK = 2 << 20
 PLACE = np.uint64((1 << 31) - 1)
 
 ANCHORS = "kh long, cd long, key long, at int, lead int, span int"
-CONTEXTS = "lead_a long, lead_b long, key long, at int, lead int, whole boolean, context binary"
+CONTEXTS = "lead_a long, lead_b long, kh long, key long, at int, lead int, whole boolean, large boolean, context binary"
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,19 +70,27 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray | int) -
     return (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def anchor_width(length: int) -> int:
+    """Bytes of an anchor: about a third of the string, whole 8-byte tokens."""
+    if not 64 <= length <= 4000:
+        raise ValueError("length is 64 to 4000 bytes")
+    return max(16, length * 8 // 25 // 8 * 8)
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """text, place, first start, last start, k-gram hash, context hash of all anchors."""
-    n, width = len(data), LENGTH - ANCHOR + 1
+    anchor = anchor_width(length)
+    n, width = len(data), length - anchor + 1
     none = tuple(np.zeros(0, np.int64) for _ in range(6))
-    if n < LENGTH:
+    if n < length:
         return none
     sums = prefix_sums(data)
-    places = np.arange(n - ANCHOR + 1)
-    grams = mix(range_hashes(sums, places, places + ANCHOR))
+    places = np.arange(n - anchor + 1)
+    grams = mix(range_hashes(sums, places, places + anchor))
     least = window_minima((grams & ~PLACE) | places.astype(np.uint64), width)
     lengths = np.diff(offsets)
-    texts = np.flatnonzero(lengths >= LENGTH)
-    counts = lengths[texts] - LENGTH + 1
+    texts = np.flatnonzero(lengths >= length)
+    counts = lengths[texts] - length + 1
     if not len(texts):
         return none
     text = np.repeat(texts, counts)
@@ -87,38 +99,60 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
     last = np.r_[new[1:], len(at)] - 1
     text, at, first, final = text[new], at[new], starts[new], starts[last]
-    context = mix(range_hashes(sums, first, final + LENGTH) + mix(((at - first) << 20 | (final - first)).astype(np.uint64)))
+    context = mix(range_hashes(sums, first, final + length) + mix(((at - first) << 20 | (final - first)).astype(np.uint64)))
     return text, at, first, final, grams[at], context
 
 
-def anchor_rows(docs: DataFrame) -> DataFrame:
+def anchor_rows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``ANCHORS``: at is the anchor's place, lead how far its context starts before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text", SLICE):
                 data, offsets = text_buffer(rows.column("text"))
-                text, at, first, final, gram, context = anchors(data, offsets)
+                text, at, first, final, gram, context = anchors(data, offsets, length)
                 key = rows.column("key").to_numpy()[text]
-                columns = (gram.view(np.int64), context.view(np.int64), key, (at - offsets[text]).astype(np.int32), (at - first).astype(np.int32), (final - first + LENGTH).astype(np.int32))
+                columns = (gram.view(np.int64), context.view(np.int64), key, (at - offsets[text]).astype(np.int32), (at - first).astype(np.int32), (final - first + length).astype(np.int32))
                 yield pa.record_batch([pa.array(c) for c in columns], names=["kh", "cd", "key", "at", "lead", "span"])
 
     return docs.select("key", "text").mapInArrow(run, ANCHORS)
 
 
-def marked(docs: DataFrame) -> DataFrame:
-    """Anchors whose 128 bytes occur again: copies (of its context), kinds (of contexts in the run), first (of its kind)."""
+def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(key, start, stop) of contexts that occur again as a whole; one context of each kind in a run of several kinds.
+
+    kh names the run of equal 128 bytes, cd the kind of context in it.
+    """
+    rows = stored(anchor_rows(docs, length), "suffix-anchors")
+    hot = frequent(rows, "kh", rows.count())
+    place = F.struct("key", "at", "lead", "span")
+
     run, kind = Window.partitionBy("kh"), Window.partitionBy("kh", "cd")
-    rows = anchor_rows(docs).repartition("kh")
-    rows = rows.withColumn("copies", F.count("*").over(kind)).withColumn("nth", F.row_number().over(kind.orderBy("key", "at")))
-    rows = rows.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(run))
-    return stored(rows.filter("copies > 1 OR kinds > 1").withColumn("first", F.col("nth") == 1).drop("cd", "nth"), "suffix-anchors")
+    rare = rows.join(hot, "kh", "left_anti").withColumn("copies", F.count("*").over(kind)).withColumn("nth", F.row_number().over(kind.orderBy("key", "at")))
+    rare = rare.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(run)).filter("copies > 1 OR kinds > 1")
+    rare = stored(rare.withColumn("first", F.col("nth") == 1).drop("cd", "nth"), "suffix-marks")
+
+    often = rows.join(hot, "kh", "left_semi")
+    kinds = stored(often.groupBy("kh", "cd").agg(F.count("*").alias("copies"), F.min(place).alias("first")), "suffix-kinds")
+    # A row for each value of ``hot`` at most.
+    runs = F.broadcast(kinds.groupBy("kh").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
+    again = often.join(kinds.filter("copies > 1").select("kh", "cd"), ["kh", "cd"])
+
+    span = [F.col("key"), (F.col("at") - F.col("lead")).alias("start"), (F.col("at") - F.col("lead") + F.col("span")).alias("stop")]
+    whole = rare.filter("copies > 1").select(*span).unionByName(again.select(*span))
+    one = ["kh", "key", "at", "lead", "span", (F.col("copies") > 1).alias("whole"), (F.col("kinds") > RUN_LIMIT).alias("large")]
+    firsts = rare.filter("first AND kinds > 1").select(*one).unionByName(kinds.join(runs, "kh").select("kh", "first.*", "copies", "kinds").select(*one))
+    return whole, firsts
 
 
-def contexts(marks: DataFrame, docs: DataFrame) -> DataFrame:
-    """The bytes of one context of each kind, keyed by the suffix's leading tokens."""
-    wanted = marks.filter("first AND kinds > 1").groupBy("key").agg(F.collect_list(F.struct("at", "lead", "span", (F.col("copies") > 1).alias("whole"), (F.col("kinds") > RUN_LIMIT).alias("large"))).alias("places"))
-    rows = docs.join(wanted, "key").select("key", "text", "places")
+def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The bytes of one context of each kind, keyed by the suffix's leading tokens.
+
+    ``docs`` keeps all its columns, so the shuffle of its texts by key is the
+    one that the removal uses again.
+    """
+    wanted = firsts.groupBy("key").agg(F.collect_list(F.struct("kh", "at", "lead", "span", "whole", "large")).alias("places"))
+    rows = docs.join(wanted, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,52 +164,70 @@ def contexts(marks: DataFrame, docs: DataFrame) -> DataFrame:
                 at, lead, span = (places.field(c).to_numpy().astype(np.int64) for c in ("at", "lead", "span"))
                 start = offsets[text] + at - lead
                 bounds = np.r_[0, np.cumsum(span)]
-                index = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], span)
-                out = pa.Array.from_buffers(pa.binary(), len(span), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data[index])])
                 tokens = data[(offsets[text] + at)[:, None] + np.arange(16)].view(">i8").astype(np.int64)
-                yield pa.record_batch([pa.array(tokens[:, 0]), pa.array(tokens[:, 1]), pa.array(part.column("key").to_numpy()[text]), pa.array(at.astype(np.int32)), pa.array(lead.astype(np.int32)), places.field("whole"), out, places.field("large")], names=["lead_a", "lead_b", "key", "at", "lead", "whole", "context", "large"])
+                keys = part.column("key").to_numpy()[text]
+                # A part of the contexts at a time, as they overlap.
+                a = 0
+                while a < len(span):
+                    b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + CHUNK, side="right")) - 1)
+                    size = bounds[a : b + 1] - bounds[a]
+                    index = np.arange(size[-1]) + np.repeat(start[a:b] - size[:-1], span[a:b])
+                    out = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(size.astype(np.int32)), pa.py_buffer(data[index])])
+                    some = places.slice(a, b - a)
+                    yield pa.record_batch([pa.array(tokens[a:b, 0]), pa.array(tokens[a:b, 1]), some.field("kh"), pa.array(keys[a:b]), some.field("at"), some.field("lead"), some.field("whole"), some.field("large"), out], names=[c.split()[0] for c in CONTEXTS.split(", ")])
+                    a = b
 
-    return rows.mapInArrow(run, CONTEXTS + ", large boolean")
+    return rows.mapInArrow(run, CONTEXTS)
 
 
 def multikey_order(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of ``tokens`` and the number of each one's run of equal rows.
 
-    Sorts by the first token, then each part of equal tokens by the next.
+    Multikey quicksort, all open parts at once: a part takes its middle row's
+    token as pivot and splits into rows below, equal and above; the equal ones
+    go on with the next token, the others with the same one.
     """
-    n = len(tokens)
-    order, run = np.arange(n), np.zeros(n, np.int64)
-    for depth in range(tokens.shape[1]):
-        t = tokens[order, depth]
-        # Only parts of more than one row are still open.
-        open_run = np.flatnonzero(np.r_[False, run[1:] == run[:-1]] | np.r_[run[1:] == run[:-1], False]) if n > 1 else np.zeros(0, np.int64)
-        if not len(open_run):
+    n, width = tokens.shape
+    order, part, depth = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    while n:
+        # ``part`` rises along ``order``; a part is open while it has several rows and tokens left.
+        first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        size = np.diff(np.r_[first, n])
+        alive = np.repeat((size > 1) & (depth[first] < width), size)
+        at = np.flatnonzero(alive)
+        if not len(at):
             break
-        by = np.lexsort((t[open_run], run[open_run]))
-        order[open_run] = order[open_run][by]
-        t = tokens[order, depth]
-        run = np.cumsum(np.r_[0, (run[1:] != run[:-1]) | (t[1:] != t[:-1])])
-    return order, run
-
-
-def start_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """context, start in it, hash of each 400-byte string of the contexts."""
-    counts = np.diff(bounds) - LENGTH + 1
+        pivot = np.repeat(order[first + size // 2], size)[at]
+        own, level = order[at], depth[at]
+        t, p = tokens[own, level], tokens[pivot, level]
+        side = np.where(t < p, 0, np.where(t == p, 1, 2))
+        by = np.argsort(part[at] * 3 + side, kind="stable")
+        order[at] = own[by]
+        depth[at] = (level + (side == 1))[by]
+        place = part * 3
+        place[at] = (part[at] * 3 + side)[by]
+        part = np.cumsum(np.r_[0, place[1:] != place[:-1]])
+    return order, part
+
+
+def start_hashes(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """context, start in it, hash of each string of ``length`` bytes of the contexts."""
+    counts = np.diff(bounds) - length + 1
     context = np.repeat(np.arange(len(counts)), counts)
     nth = np.arange(len(context)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = bounds[context] + nth
-    return context, nth, range_hashes(prefix_sums(data), at, at + LENGTH)
+    return context, nth, range_hashes(prefix_sums(data), at, at + length)
 
 
-def compare_runs(rows: pa.Table) -> pa.RecordBatch:
+def compare_runs(rows: pa.Table, length: int = LENGTH) -> pa.RecordBatch:
     """key, start, stop of what the contexts repeat of each other."""
     data, bounds = text_buffer(rows.column("context"))
     at, lead = rows.column("at").to_numpy().astype(np.int64), rows.column("lead").to_numpy().astype(np.int64)
-    head = (bounds[:-1] + lead)[:, None] + np.arange(ANCHOR)
+    head = (bounds[:-1] + lead)[:, None] + np.arange(anchor_width(length))
     order, run = multikey_order(data[head].view(">u8"))
     run_of = np.empty(len(order), np.int64)
     run_of[order] = run
-    context, nth, h = start_hashes(data, bounds)
+    context, nth, h = start_hashes(data, bounds, length)
     key = mix(h + mix((run_of[context] << 12 | (lead[context] - nth)).astype(np.uint64)))
     by = np.argsort(key, kind="stable")
     same = key[by][1:] == key[by][:-1]
@@ -189,39 +241,42 @@ def compare_runs(rows: pa.Table) -> pa.RecordBatch:
     last = found[np.r_[np.flatnonzero(cut)[1:] - 1, len(found) - 1]] if len(found) else found
     c = context[first]
     base = at[c] - lead[c]
-    return pa.record_batch([pa.array(rows.column("key").to_numpy()[c]), pa.array((base + nth[first]).astype(np.int32)), pa.array((base + nth[last] + LENGTH).astype(np.int32))], names=["key", "start", "stop"])
+    return pa.record_batch([pa.array(rows.column("key").to_numpy()[c]), pa.array((base + nth[first]).astype(np.int32)), pa.array((base + nth[last] + length).astype(np.int32))], names=["key", "start", "stop"])
 
 
-def bucket_spans(rows: DataFrame) -> DataFrame:
+def bucket_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """Compare contexts whose suffixes start alike, bucket by bucket."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, "lead_a", "lead_b").sortWithinPartitions("lead_a", "lead_b")
+    # Runs that share their leading tokens follow one another, so one run is all that is held.
+    by = ["lead_a", "lead_b", "kh"]
+    dealt = rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, most = 0, CHUNK
         for batch in batches:
             for part in slices(batch, "context", CHUNK):
                 held.append(part)
                 size += part.nbytes
-                if size < CHUNK:
+                if size < most:
                     continue
-                # All but the last, perhaps unfinished, run of equal leading tokens.
+                # All but the last, perhaps unfinished, run.
                 table = pa.Table.from_batches(held)
-                a, b = (table.column(c).to_numpy() for c in ("lead_a", "lead_b"))
-                open_at = int(np.flatnonzero((a != a[-1]) | (b != b[-1])).max(initial=-1)) + 1
+                keys = [table.column(c).to_numpy() for c in by]
+                open_at = int(np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0)).max(initial=-1)) + 1
                 if open_at:
-                    yield compare_runs(table.slice(0, open_at).combine_chunks())
-                rest = table.slice(open_at).combine_chunks().to_batches()
+                    yield compare_runs(table.slice(0, open_at).combine_chunks(), length)
+                held = table.slice(open_at).combine_chunks().to_batches()
+                size = sum(x.nbytes for x in held)
                 # A long run is looked at again only after it has grown by as much.
-                held, size = rest, 0
+                most = max(CHUNK, 2 * size)
         if held:
-            yield compare_runs(pa.Table.from_batches(held).combine_chunks())
+            yield compare_runs(pa.Table.from_batches(held).combine_chunks(), length)
 
     return dealt.mapInArrow(run, "key long, start int, stop int")
 
 
-def counted_spans(rows: DataFrame) -> DataFrame:
+def counted_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """The same for runs too large for a task: count the strings by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,58 +284,71 @@ def counted_spans(rows: DataFrame) -> DataFrame:
             for part in slices(batch, "context", CHUNK // 8):
                 data, bounds = text_buffer(part.column("context"))
                 lead = part.column("lead").to_numpy().astype(np.int64)
-                head = (bounds[:-1] + lead)
-                sums = prefix_sums(data)
-                gram = mix(range_hashes(sums, head, head + ANCHOR))
-                context, nth, h = start_hashes(data, bounds)
+                context, nth, h = start_hashes(data, bounds, length)
                 string = mix(h + mix((lead[context] - nth).astype(np.uint64)))
                 start = (part.column("at").to_numpy() - lead)[context] + nth
-                yield pa.record_batch([pa.array(gram[context].view(np.int64)), pa.array(string.view(np.int64)), pa.array(part.column("key").to_numpy()[context]), pa.array(start.astype(np.int32)), pa.array(part.column("whole").to_numpy(zero_copy_only=False)[context])], names=["gram", "string", "key", "start", "whole"])
+                yield pa.record_batch([pa.array(part.column("kh").to_numpy()[context]), pa.array(string.view(np.int64)), pa.array(part.column("key").to_numpy()[context]), pa.array(start.astype(np.int32)), pa.array(part.column("whole").to_numpy(zero_copy_only=False)[context])], names=["kh", "string", "key", "start", "whole"])
 
-    strings = rows.mapInArrow(run, "gram long, string long, key long, start int, whole boolean")
-    repeated = strings.groupBy("gram", "string").agg(F.count("*").alias("n")).filter("n > 1").select("gram", "string")
-    return strings.filter("NOT whole").join(repeated, ["gram", "string"], "left_semi").select("key", "start", (F.col("start") + LENGTH).cast("int").alias("stop"))
+    strings = rows.mapInArrow(run, "kh long, string long, key long, start int, whole boolean")
+    repeated = strings.groupBy("kh", "string").agg(F.count("*").alias("n")).filter("n > 1").select("kh", "string")
+    return strings.filter("NOT whole").join(repeated, ["kh", "string"], "left_semi").select("key", "start", (F.col("start") + length).cast("int").alias("stop"))
 
 
 def with_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def merged(spans: DataFrame) -> DataFrame:
+    """key, spans: the maximal runs that the spans of a key cover, however often they repeat."""
+    once = spans.groupBy("key", "start").agg(F.max("stop").alias("stop"))
+    before = Window.partitionBy("key").orderBy("start")
+    new = once.withColumn("reach", F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1))).withColumn("new", F.when(F.col("start") <= F.col("reach"), 0).otherwise(1))
+    runs = new.withColumn("run", F.sum("new").over(before)).groupBy("key", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return runs.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+
+def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, spans: what is removed of each document that loses anything."""
-    marks = marked(docs)
-    whole = marks.filter("copies > 1").select("key", (F.col("at") - F.col("lead")).alias("start"), (F.col("at") - F.col("lead") + F.col("span")).alias("stop"))
-    rows = contexts(marks, docs)
-    spans = whole.unionByName(bucket_spans(rows.filter("NOT large").drop("large")))
-    if marks.filter(F.col("kinds") > RUN_LIMIT).limit(1).count():
-        spans = spans.unionByName(counted_spans(rows.filter("large").drop("large")))
-    return spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    whole, firsts = marked(docs.select("key", "text"), length)
+    rows = contexts(firsts, docs)
+    spans = whole.unionByName(bucket_spans(rows.filter("NOT large").drop("large"), length))
+    if firsts.filter("large").limit(1).count():
+        spans = spans.unionByName(counted_spans(stored(rows.filter("large").drop("large"), "suffix-large"), length))
+    return merged(spans)
 
 
-def removed_mask(length: int, spans: pa.Scalar | None) -> np.ndarray:
-    mask = np.zeros(length + 1, np.int32)
+def removed_mask(data: np.ndarray, spans: pa.Scalar | None, over_words: int) -> np.ndarray:
+    """Which bytes go: those of the runs with more than ``over_words`` whole words."""
+    mask = np.zeros(len(data) + 1, np.int32)
     if spans is not None and len(spans):
-        values = spans.values if hasattr(spans, "values") else spans
-        np.add.at(mask, values.field("start").to_numpy(), 1)
-        np.add.at(mask, values.field("stop").to_numpy(), -1)
+        start, stop = (spans.values.field(c).to_numpy() for c in ("start", "stop"))
+        if over_words:
+            starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+            long = np.searchsorted(ends, stop, side="right") - np.searchsorted(starts, start) > over_words
+            start, stop = start[long], stop[long]
+        np.add.at(mask, start, 1)
+        np.add.at(mask, stop, -1)
     return np.cumsum(mask)[:-1] > 0
 
 
-def each_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, np.ndarray]]]]:
+def each_kept(batches: Iterator[pa.RecordBatch], over_words: int = 0) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, np.ndarray]]]]:
     """Batches of documents with (bytes, removed mask) of each row."""
     for batch in batches:
         for part in slices(batch, "text", 4 * SLICE):
             data, offsets = text_buffer(part.column("text"))
-            spans = part.column("spans")
-            yield part, [(data[offsets[i] : offsets[i + 1]], removed_mask(int(offsets[i + 1] - offsets[i]), spans[i] if spans[i].is_valid else None)) for i in range(part.num_rows)]
+            spans, rows = part.column("spans"), []
+            for i in range(part.num_rows):
+                own = data[offsets[i] : offsets[i + 1]]
+                rows.append((own, removed_mask(own, spans[i] if spans[i].is_valid else None, over_words)))
+            yield part, rows
 
 
-def joined(docs: DataFrame) -> DataFrame:
+def joined(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = with_key(docs)
-    return docs.join(removals(docs.select("doc_id", "text", "key")), "key", "left")
+    return docs.join(removals(docs, length), "key", "left")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,23 +362,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return joined(docs).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined(docs, length).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -> DataFrame:
     """The documents, all columns, with what is repeated cut out of ``text``.
 
-    Bytes that a cut leaves without the rest of their character go too.
+    Of the runs of bytes that repeated strings of ``length`` bytes cover, those
+    with more than ``over_words`` whole words go; the others stay.  Bytes that a cut leaves without the rest of their character go too.  A null
+    text stays null, an empty one empty; repeated rows cut each other.
     """
     fields = docs.drop("text").columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, rows in each_kept(batches):
-            text = [data[~mask].tobytes().decode("utf-8", "ignore") for data, mask in rows]
+        for part, rows in each_kept(batches, over_words):
+            given = part.column("text").is_valid()
+            text = [data[~mask].tobytes().decode("utf-8", "ignore") if x.as_py() else None for (data, mask), x in zip(rows, given, strict=True)]
             yield pa.record_batch([*(part.column(f"c{i}") for i in range(len(fields))), pa.array(text, pa.string())], names=[f"c{i}" for i in range(len(fields) + 1)])
 
     packed = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(fields)))
-    out = joined(packed)
+    out = joined(packed, length)
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(f"c{i} {types[c]}" for i, c in enumerate([*fields, "text"]))
     out = out.select("text", "spans", *(f"c{i}" for i in range(len(fields)))).mapInArrow(run, schema)
