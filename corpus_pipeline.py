@@ -35,14 +35,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     key = "__row"
     keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed")
-    groups = jaccard.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).filter("n_shingles > 0")
-    groups = groups.select(F.col("doc_id").alias(key), F.col("component_id").alias("component"))
-    # Only groups of several rows have a row whose key isn't the component's.
-    several = groups.filter(F.col(key) != F.col("component")).select("component").distinct()
-    rows = stored(groups.join(several, "component", "left_semi").join(keyed.select(key, "doc_id"), key), "pipeline-groups")
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
-    gone = rows.join(first, key, "left_anti").select(key)
-    return keyed.join(gone, key, "left_anti").select(docs.columns)
+    groups = jaccard.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), F.col("component_id").alias("component"))
+    rows = groups.join(keyed.select(key, "doc_id"), key)
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first"))
+    return keyed.join(first.select(F.col(f"first.{key}").alias(key)), key, "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,11 +42,11 @@ from .words import mix, shingle_sets
 SIZE = 5
 #: The similarity as a fraction.
 SIMILAR = (80, 100)
-#: The sketch has two rows of 2**21 counters of 4 bytes for up to ``SKETCH_BYTES``
-#: of text, twice as many for each doubling, and 2**24 (128 MB in all) at most.
+#: The sketch has two rows of 2**21 counters for up to ``SKETCH_BYTES`` of text,
+#: twice as many for each doubling, and 2**24 at most; beyond these its counters
+#: are of 4 bytes, not 2 (128 MB in all).
 SKETCH_BITS = (21, 24)
 SKETCH_BYTES = 4 << 30
-FULL = 2**32 - 1
 SKETCH_PARTS = 16
 #: The longest l, and the cost of comparing two sets in prefix entries read.
 MOST_MATCHES = 4
@@ -58,14 +58,17 @@ def sketch_cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]
     return (hashes >> np.uint64(64 - bits)).astype(np.int64), (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def sketch_bits(size: int) -> int:
+def sketch_form(size: int) -> tuple[int, str]:
+    """Bits of a row's width, and the type of a counter, for ``size`` bytes of text."""
     least, most = SKETCH_BITS
-    return min(most, least + max(0, -(-size // SKETCH_BYTES) - 1).bit_length())
+    bits = least + max(0, -(-size // SKETCH_BYTES) - 1).bit_length()
+    return min(most, bits), "<u2" if bits <= most else "<u4"
 
 
 def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """doc_id, n, digest of every document; the frequency sketch."""
-    bits = sketch_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    bits, kind = sketch_form(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    full = np.iinfo(kind).max
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("part", pa.int32())])
@@ -80,16 +83,16 @@ def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.record_batch([rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sets), pa.int32())], schema=schema)
         if any_rows:
-            for part, cells in enumerate(np.array_split(counts.ravel(), SKETCH_PARTS)):
+            for part, cells in enumerate(np.array_split(np.minimum(counts, full).astype(kind).ravel(), SKETCH_PARTS)):
                 yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([cells.tobytes()], pa.binary()), pa.array([part], pa.int32())], schema=schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, cells in zip(batch.column("part").to_pylist(), batch.column("digest").to_pylist(), strict=True):
-                sums[part] = np.minimum(np.frombuffer(cells, "<u4").astype(np.int64) + sums.get(part, 0), FULL)
+                sums[part] = np.minimum(np.frombuffer(cells, kind).astype(np.int64) + sums.get(part, 0), full)
         if sums:
-            data = [x.astype("<u4").tobytes() for x in sums.values()]
+            data = [x.astype(kind).tobytes() for x in sums.values()]
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(data, pa.binary())], names=["part", "digest"])
 
     both = stored(docs.mapInArrow(run, "doc_id long, n long, digest binary, part int"), "jaccard-sets")
@@ -97,7 +100,7 @@ def first_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     partial = both.filter("part IS NOT NULL").select("part", "digest").mapInArrow(add, "part int, digest binary")
     parts = partial.repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, digest binary").collect()
     parts.sort(key=lambda r: r.part)
-    counts = np.concatenate([np.frombuffer(r.digest, "<u4") for r in parts]) if parts else np.zeros(2 << bits, "<u4")
+    counts = np.concatenate([np.frombuffer(r.digest, kind) for r in parts]) if parts else np.zeros(2 << bits, kind)
     return both.filter("part IS NULL").select("doc_id", "n", "digest"), counts.reshape(2, -1)
 
 
@@ -217,9 +220,10 @@ def open_rows(rows: DataFrame) -> DataFrame:
     rows = stored(rows, "jaccard-labelled")
     parts = rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "n", "matches", "c")).alias("least"))
     parts = stored(parts, "jaccard-parts")
-    tokens = parts.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.min("least").alias("hub"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
-    other = parts.join(tokens, "token").filter(F.col("c") != F.col("hub.c")).groupBy("token").agg(F.first("main").alias("main"), F.first("hub").alias("hub"), F.min("least").alias("other"))
-    return stored(rows.join(other, "token"), "jaccard-open")
+    # Sums are written before they are joined, as Spark splits a hot key only where a shuffle feeds the join.
+    tokens = stored(parts.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.min("least").alias("hub"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds"), "jaccard-tokens")
+    other = stored(parts.join(tokens, "token").filter(F.col("c") != F.col("hub.c")).groupBy("token").agg(F.min("least").alias("other")), "jaccard-others")
+    return stored(rows.join(tokens, "token").join(other, "token"), "jaccard-open")
 
 
 def hub_tries(rows: DataFrame) -> DataFrame:
@@ -253,7 +257,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(shingle_arrays(known.join(met, "doc_id", "left_semi")), "jaccard-arrays")
 
     # First every document with the least one of a token.
-    hubs = shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub"))
+    hubs = stored(shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub")), "jaccard-hubs")
     tried = best_tries(hub_tries(shared.join(hubs, "token")))
     links = stored(linked(tried, sets), "jaccard-links")
     # Of two linked documents the greater gets the label of the lesser, which may hang on a third.

@@ -45,7 +45,7 @@ from .words import mix, powers, prefix_sums, word_spans
 
 LENGTH = 400
 #: Contexts of one run that a single task compares at most.
-RUN_LIMIT = 50_000
+RUN_LIMIT = 1000
 SLICE = 1 << 20
 #: Bytes of contexts that are compared at a time.
 CHUNK = 2 << 20

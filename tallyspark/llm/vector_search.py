@@ -1,11 +1,17 @@
 """Exact top-k inner products by vector-approximation files.
 
-Vectors are packed into blocks.  A block also holds its approximation file: for
-each dimension equal cells between the block's least and greatest value, and
-for each vector the number of its cells.  A query block meets a vector block
-once: the cells give an upper and a lower bound of each score, exact vectors
-are read in the order of the bounds, and reading ends when no bound is left
-that could change the k best.  The k best of the blocks are then ranked.
+Vectors are packed into blocks, and each block is stored with its approximation
+file, made once: for each dimension equal cells between the block's least and
+greatest value, and for each component the number of its cell in one byte.
+
+Blocks are dealt to groups of a bounded size, and blocks of queries pass by
+each group: only queries, a small part of the rows, are sent more than once.
+The cells of a block give an upper and a lower bound of each score.  What
+cannot reach the k-th best lower bound so far is out, over all blocks of the
+group and below the k-th best score in a few sample blocks, which every query
+knows beforehand.  Of what is left, exact vectors are read in the order of the
+upper bounds, and reading ends when the k-th score is certain.  The k best of
+the groups are then ranked.
 
 Components x become floor(1024 * x).  Vectors that are null or hold a null or
 a component that isn't finite take no part, nor do rows whose id is null.
@@ -29,10 +35,17 @@ from .shared import stored
 
 SCALE = 1024
 K = 10
+#: Rows and components of a block at most (one row at least).
 BLOCK = 4096
+BLOCK_SIZE = 1 << 18
 QUERY_BLOCK = 512
-CELLS = 64
+#: Cells of a dimension; their numbers take a byte.
+CELLS = 256
+#: Blocks of a group, about; blocks that give each query its first threshold.
+GROUP_BLOCKS = 48
+SAMPLE_BLOCKS = 4
 
+FILE = "block long, n int, dim int, ids binary, width int, data binary, low binary, step binary, cells binary"
 RESULT = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -42,15 +55,17 @@ def valid(vector: Column) -> Column:
 
 
 def packed(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """Blocks: block, n, dim, ids and whole-number components as binary."""
+    """Blocks (see ``FILE``): ids, whole-number components and the approximation file."""
     rows = vectors.select(F.col(f"`{id_column}`").cast("long").alias("vec_id"), F.col(f"`{vector_column}`").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & valid(F.col("vector")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
+            widest = int(batch.column("vector").value_lengths().to_numpy().max(initial=1))
+            most = max(1, min(BLOCK, BLOCK_SIZE // max(widest, 1)))
+            for start in range(0, batch.num_rows, most):
+                part = batch.slice(start, most)
                 lists = part.column("vector")
                 length = lists.value_lengths().to_numpy()
                 dim = int(length.max())
@@ -59,28 +74,59 @@ def packed(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
                 row = np.repeat(np.arange(len(length)), length)
                 out[row, np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)] = whole
                 narrow = out.astype("<i4") if not out.size or np.abs(out).max() < 2**31 else out
-                yield pa.record_batch([pa.array([at]), pa.array([len(length)], pa.int32()), pa.array([dim], pa.int32()), pa.array([part.column("vec_id").to_numpy().astype("<i8").tobytes()]), pa.array([narrow.itemsize], pa.int32()), pa.array([narrow.tobytes()])], names=["block", "n", "dim", "ids", "width", "data"])
+                low, step, cells = approximation(out)
+                raw = [part.column("vec_id").to_numpy().astype("<i8"), narrow, low, step, cells]
+                ids, data, low, step, cells = (pa.array([x.tobytes()]) for x in raw)
+                yield pa.record_batch([pa.array([at]), pa.array([len(length)], pa.int32()), pa.array([dim], pa.int32()), ids, pa.array([narrow.itemsize], pa.int32()), data, low, step, cells], names=[c.split()[0] for c in FILE.split(", ")])
                 at += 1
 
-    return rows.mapInArrow(run, "block long, n int, dim int, ids binary, width int, data binary")
+    return rows.mapInArrow(run, FILE)
+
+
+def approximation(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least value and cell width of each dimension, and the cell of each component."""
+    low, high = vectors.min(axis=0).astype(float), vectors.max(axis=0).astype(float)
+    step = np.maximum((high - low + 1) / CELLS, 1e-9)
+    return low, step, np.clip((vectors - low) / step, 0, CELLS - 1).astype(np.uint8)
+
+
+class Block:
+    """A block's ids, row numbers, exact vectors and approximation file."""
 
+    def __init__(self, row: dict):
+        self.ids = np.frombuffer(row["ids"], "<i8")
+        n, dim = len(self.ids), row["dim"]
+        self.rows = row["block"] * BLOCK + np.arange(n)
+        self.exact = np.frombuffer(row["data"], f"<i{row['width']}").reshape(n, dim)
+        self.low, self.step = np.frombuffer(row["low"]), np.frombuffer(row["step"])
+        self.cells = np.frombuffer(row["cells"], np.uint8).reshape(n, dim)
 
-def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row["ids"], "<i8")
-    return ids, np.frombuffer(row["data"], f"<i{row['width']}").reshape(len(ids), row["dim"]).astype(np.int64)
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Middle of the bounds of each (query, vector), and how far they reach for each query."""
+        dim = min(queries.shape[1], len(self.low))
+        q, low, step = queries[:, :dim].astype(np.float64), self.low[:dim], self.step[:dim]
+        about = (q * step) @ self.cells[:, :dim].T.astype(np.float64) + (q @ (low + step / 2))[:, None]
+        far = np.abs(q) @ np.maximum(np.abs(low), np.abs(low + CELLS * step))
+        return about, np.abs(q) @ (step / 2) * (1 + 1e-9) + far * 1e-12 + 1
 
+    def scores(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Inner products of each query and the vector at its place, as longs."""
+        dim = min(queries.shape[1], self.exact.shape[1])
+        return np.einsum("ij,ij->i", queries[:, :dim], self.exact[at, :dim].astype(np.int64))
 
-def query_blocks(blocks: DataFrame, every: int) -> tuple[DataFrame, int]:
-    """The rows whose id ``every`` divides, packed anew; the number of blocks."""
+
+def query_blocks(blocks: DataFrame, every: int) -> DataFrame:
+    """The rows whose id ``every`` divides, packed anew."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, vectors = unpacked(row)
+                block = Block(row)
+                ids, vectors = block.ids, block.exact
                 at = np.flatnonzero(ids % every == 0)
                 if len(at):
                     data = [vectors[i].astype("<i8").tobytes() for i in at]
-                    yield pa.record_batch([pa.array(row["block"] * BLOCK + at), pa.array(ids[at]), pa.array(data)], names=["row", "id", "data"])
+                    yield pa.record_batch([pa.array(block.rows[at]), pa.array(ids[at]), pa.array(data)], names=["row", "id", "data"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
@@ -95,45 +141,97 @@ def query_blocks(blocks: DataFrame, every: int) -> tuple[DataFrame, int]:
     queries = stored(blocks.mapInArrow(pick, "row long, id long, data binary"), "search-queries")
     n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     # Dealt out in turn, each partition gets QUERY_BLOCK rows or fewer.
-    return queries.repartition(n_blocks).mapInArrow(pack, "q_block long, q_rows binary, q_ids binary, q_dim int, q_data binary"), n_blocks
+    packed_queries = queries.repartition(n_blocks).mapInArrow(pack, "q_block long, q_rows binary, q_ids binary, q_dim int, q_data binary")
+    return stored(packed_queries, "search-query-blocks")
+
+
+def kth(values: np.ndarray, k: int) -> np.ndarray:
+    """The k-th greatest of each row, or the least number where there are fewer."""
+    if values.shape[1] < k:
+        return np.full(len(values), -np.inf)
+    return np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k]
 
 
-def best_of_block(rows: np.ndarray, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of the k best candidates of each query.
+def best_of_group(blocks: list[Block], queries: np.ndarray, own: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """query, id and score of the k best candidates of each query, and the number of exact vectors read.
 
-    ``own`` holds the row numbers of the queries, ``rows`` those of the block.
+    ``own`` holds the row numbers of the queries, ``least`` the score that each
+    query's k best have in any case.
     """
-    dim = max(queries.shape[1], vectors.shape[1])
-    queries, vectors = (np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for x in (queries, vectors))
-    # The approximation file of the block: cells of equal width by dimension.
-    low, high = vectors.min(axis=0), vectors.max(axis=0)
-    width = np.maximum((high - low + 1) / CELLS, 1e-9)
-    cell = np.minimum(((vectors - low) / width).astype(np.uint8), CELLS - 1)
-    middle = low + (cell + 0.5) * width
-    q = queries.astype(np.float64)
-    upper = q @ middle.T
-    slack = np.abs(q) @ (width / 2)
-    scale = np.abs(q) @ np.maximum(np.abs(low), np.abs(high)) if dim else np.zeros(len(q))
-    slack = slack * (1 + 1e-9) + scale * 1e-12 + 1
-    upper += slack[:, None]
-    exact = scale.max(initial=0) < 2**52
-    score_of = (lambda a, b: np.einsum("ij,ij->i", q[a], vectors[b].astype(np.float64)).astype(np.int64)) if exact else (lambda a, b: np.einsum("ij,ij->i", queries[a], vectors[b]))
-
-    upper[own[:, None] == rows[None, :]] = -np.inf
-    first = min(4 * k, upper.shape[1])
-    head = np.argpartition(-upper, first - 1, axis=1)[:, :first]
-    a = np.repeat(np.arange(len(q)), first)
-    head_score = score_of(a, head.ravel()).reshape(len(q), first)
-    head_score = np.where(np.isneginf(np.take_along_axis(upper, head, 1)), np.iinfo(np.int64).min, head_score)
-    # What is certain now: a candidate whose bound is below the k-th score is out.
-    kth = -np.partition(-head_score.astype(np.float64), k - 1, axis=1)[:, k - 1] if first >= k else np.full(len(q), -np.inf)
-    a, b = np.nonzero((upper >= (kth - np.abs(kth) * 1e-12)[:, None]) & ~np.isneginf(upper))
-    s = score_of(a, b)
-    order = np.lexsort((ids[b], -s, a))
-    a, b, s = a[order], b[order], s[order]
-    rank = np.arange(len(a)) - np.searchsorted(a, a)
-    keep = rank < k
-    return a[keep], b[keep], s[keep]
+    best_low = np.full((len(queries), k), -np.inf)
+    query, block, place, upper = [], [], [], []
+    for number, b in enumerate(blocks):
+        about, slack = b.bounds(queries)
+        about[own[:, None] == b.rows[None, :]] = -np.inf
+        lows = about - slack[:, None]
+        top = min(k, lows.shape[1])
+        lows = np.partition(lows, lows.shape[1] - top, axis=1)[:, lows.shape[1] - top :]
+        best_low = -np.sort(-np.concatenate([best_low, lows], axis=1), axis=1)[:, :k]
+        floor = np.maximum(least, best_low[:, k - 1])
+        q, at = np.nonzero((about >= (floor - slack)[:, None]) & ~np.isneginf(about))
+        query.append(q), block.append(np.full(len(q), number)), place.append(at), upper.append(about[q, at] + slack[q])
+    query, block, place, upper = map(np.concatenate, (query, block, place, upper))
+    fine = upper >= np.maximum(least, best_low[:, k - 1])[query]
+    query, block, place, upper = (x[fine] for x in (query, block, place, upper))
+    order = np.lexsort((-upper, query))
+    query, block, place, upper = (x[order] for x in (query, block, place, upper))
+    nth = np.arange(len(query)) - np.searchsorted(query, query)
+    score = np.full(len(query), np.iinfo(np.int64).min)
+    ids = np.zeros(len(query), np.int64)
+    read = np.zeros(len(query), bool)
+
+    def read_exact(some: np.ndarray) -> None:
+        for number in np.unique(block[some]):
+            i = some[block[some] == number]
+            score[i] = blocks[number].scores(queries[query[i]], place[i])
+            ids[i] = blocks[number].ids[place[i]]
+        read[some] = True
+
+    # In the order of the bounds, k at a time, until none that is left can reach the k-th score.
+    for step in range(0, int(nth.max(initial=-1)) + 1, k):
+        certain = np.array(least, float)
+        if step:
+            seen = np.flatnonzero(read)
+            by = np.lexsort((-score[seen], query[seen]))
+            rank = np.arange(len(seen)) - np.searchsorted(query[seen][by], query[seen][by])
+            last = seen[by][rank == k - 1]
+            certain[query[last]] = np.maximum(certain[query[last]], score[last])
+        some = np.flatnonzero((nth >= step) & (nth < step + k) & (upper >= certain[query] - np.abs(certain[query]) * 1e-12))
+        if not len(some):
+            break
+        read_exact(some)
+    found = np.flatnonzero(read)
+    order = found[np.lexsort((ids[found], -score[found], query[found]))]
+    rank = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+    keep = order[rank < k]
+    return query[keep], ids[keep], score[keep], int(read.sum())
+
+
+def query_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own, ids = np.frombuffer(row["q_rows"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
+    return own, ids, np.frombuffer(row["q_data"], "<i8").reshape(len(own), row["q_dim"])
+
+
+def with_thresholds(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """Query blocks with q_least: each query's k-th best score in a few blocks."""
+    sample = blocks.limit(SAMPLE_BLOCKS).collect()
+    shared = queries.sparkSession.sparkContext.broadcast([r.asDict() for r in sample])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [Block(r) for r in shared.value]
+        for batch in batches:
+            least = []
+            for row in batch.to_pylist():
+                own, _, q = query_arrays(row)
+                out = np.full(len(own), -np.inf)
+                if held:
+                    a, _, s, _ = best_of_group(held, q, own, out, k)
+                    last = np.flatnonzero(np.arange(len(a)) - np.searchsorted(a, a) == k - 1)
+                    out[a[last]] = s[last]
+                least.append(out.tobytes())
+            yield pa.record_batch([*batch.columns, pa.array(least, pa.binary())], names=[*batch.schema.names, "q_least"])
+
+    return queries.mapInArrow(run, "q_block long, q_rows binary, q_ids binary, q_dim int, q_data binary, q_least binary")
 
 
 def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", k: int = K, every: int = 100) -> DataFrame:
@@ -141,21 +239,30 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
 
     Queries are the rows whose id ``every`` divides; every row is a candidate.
     """
+    spark = vectors.sparkSession
     blocks = stored(packed(vectors, id_column, vector_column), "search-blocks")
-    queries, n_blocks = query_blocks(blocks, every)
+    queries = with_thresholds(query_blocks(blocks, every), blocks, k)
+    n = blocks.count()
+    groups = max(1, -(-n // GROUP_BLOCKS), min(n, spark.sparkContext.defaultParallelism))
+    # Blocks of a group come first, so the queries that follow meet all of them.
+    file = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups))).withColumn("turn", F.lit(0))
+    asked = queries.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))).withColumn("turn", F.lit(1))
+    both = file.unionByName(asked, allowMissingColumns=True).repartition(groups, "group").sortWithinPartitions("group", "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                ids, block = unpacked(row)
-                own, q_ids = np.frombuffer(row["q_rows"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
-                q = np.frombuffer(row["q_data"], "<i8").reshape(len(own), row["q_dim"])
-                a, b, s = best_of_block(row["block"] * BLOCK + np.arange(len(ids)), q, own, ids, block, k)
-                yield pa.record_batch([pa.array(own[a]), pa.array(q_ids[a]), pa.array(ids[b]), pa.array(s)], names=["query_row", "query_id", "vec_id", "score"])
-
-    # Each block of vectors meets each block of queries once.
-    met = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(queries, "q_block")
-    best = met.select("block", "ids", "dim", "width", "data", "q_rows", "q_ids", "q_dim", "q_data").mapInArrow(run, RESULT)
+                if row["group"] != group:
+                    group, held = row["group"], []
+                if not row["turn"]:
+                    held.append(Block(row))
+                elif held:
+                    own, q_ids, q = query_arrays(row)
+                    a, ids, s, _ = best_of_group(held, q, own, np.frombuffer(row["q_least"]), k)
+                    yield pa.record_batch([pa.array(own[a]), pa.array(q_ids[a]), pa.array(ids), pa.array(s)], names=["query_row", "query_id", "vec_id", "score"])
+
+    best = both.mapInArrow(run, RESULT)
     ranked = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -149,10 +149,22 @@ def test_search(spark, sf):
 
 def test_search_reads_only_what_it_must():
     rng = np.random.default_rng(1)
-    v = rng.integers(-900, 900, (3000, 16))
+    v = rng.integers(-900, 900, (6000, 16))
     q = rng.integers(-900, 900, (7, 16))
-    a, b, s = vector_search.best_of_block(np.arange(3000), q, np.full(7, -1), np.arange(3000), v, 10)
+    blocks = []
+    for n in range(3):
+        part = v[2000 * n : 2000 * n + 2000]
+        low, step, cells = vector_search.approximation(part)
+        blocks.append(vector_search.Block({"block": n, "dim": 16, "width": 8, "ids": np.arange(2000 * n, 2000 * n + 2000).tobytes(), "data": part.tobytes(), "low": low.tobytes(), "step": step.tobytes(), "cells": cells.tobytes()}))
+        about, slack = blocks[-1].bounds(q)
+        assert (np.abs(q @ part.T - about) <= slack[:, None]).all()
     full = q @ v.T
+    want = [sorted(range(6000), key=lambda j: (-full[i, j], j))[:10] for i in range(7)]
+    a, ids, s, read = vector_search.best_of_group(blocks, q, np.full(7, -1), np.full(7, -np.inf), 10)
     for i in range(7):
-        want = sorted(range(3000), key=lambda j: (-full[i, j], j))[:10]
-        assert list(b[a == i]) == want and list(s[a == i]) == [full[i, j] for j in want]
+        assert list(ids[a == i]) == want[i] and list(s[a == i]) == [full[i, j] for j in want[i]]
+    # Few of the 42,000 pairs are read, and fewer still with a threshold from elsewhere.
+    assert read < 7 * 40
+    least = np.array([full[i, w[4]] for i, w in enumerate(want)], float)
+    a, ids, s, fewer = vector_search.best_of_group(blocks, q, np.full(7, -1), least, 10)
+    assert fewer < read and all(list(ids[a == i])[:5] == want[i][:5] for i in range(7))
