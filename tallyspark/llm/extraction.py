@@ -15,14 +15,19 @@ node, text) with partial sums, so a host of any number of pages is a few rows;
 pages themselves only meet their model page.
 
 Null html counts as empty and gives an empty text; a null or odd url belongs to
-the host "".  Elements may be nested to any depth.  Repeated rows are extracted each.  An empty table gives no
-rows.
+the host "".  A host of fewer than ``FEWEST_PAGES`` different pages has no
+template: what its pages say is told by the kinds of elements alone.  Elements
+may be nested to any depth, and a page is read in time that grows with its
+length: a "<" that no ">" follows is text, and where quotes in tags never end,
+the page's tags end at the next ">".  Repeated rows are extracted each.  An
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,10 +67,11 @@ MOST_SAME, FEWEST_PAGES = 0.8, 8
 FEW_PAIRS = 200
 SLICE = 1 << 20
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",
-    re.DOTALL,
-)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: A whole tag, past quoted values.
+TAG = re.compile(NAME.pattern + r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: How many times its length a page is read in vain for the ends of quotes.
+QUOTE_READS = 8
 NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW_END = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in RAW}
@@ -107,18 +113,41 @@ class Page:
                     self.blocks.append((stack[-1], text))
                 parts.clear()
 
+        last, vain = source.rfind(">"), 0
+        opened = Counter(tags)
+
+        def close(k: int) -> None:
+            opened.subtract(tags[k:])
+            del tags[k:], stack[k:]
+
         while at < end:
-            m = TOKEN.search(source, at)
-            stop = m.start() if m else end
+            stop = source.find("<", at)
+            if stop < 0 or stop > last and not source.startswith("<!--", stop):
+                # Behind the last ">" no tag can end.
+                parts.append(source[at:])
+                break
             if stop > at:
                 parts.append(source[at:stop])
-            if not m:
-                break
-            at = m.end()
-            name = m[2] or m[5]
-            if not name:
+            m = TAG.match(source, stop) if vain <= QUOTE_READS * end else None
+            if m:
+                at, attributes = m.end(), m[3]
+            elif source.startswith("<!--", stop):
+                at = source.find("-->", stop + 4)
+                at = at + 3 if at >= 0 else end
+                continue
+            elif source[stop + 1 : stop + 2] in ("!", "?"):
+                at = source.find(">", stop) + 1
                 continue
-            tag, closing = name.lower(), bool(m[1] or m[4])
+            elif m := NAME.match(source, stop):
+                # Quotes that don't end: the tag ends at the next ">".
+                vain += end - m.end()
+                at = source.find(">", m.end()) + 1
+                attributes = source[m.end() : at - 1]
+            else:
+                parts.append("<")
+                at = stop + 1
+                continue
+            tag, closing = m[2].lower(), bool(m[1])
             if tag in INLINE:
                 continue
             if tag == "br" or tag == "img":
@@ -133,23 +162,23 @@ class Page:
             if tag in VOID:
                 continue
             if closing:
-                for k in range(len(tags) - 1, 0, -1):
+                for k in range(len(tags) - 1, 0, -1) if opened[tag] else ():
                     if tags[k] == tag:
-                        del tags[k:], stack[k:]
+                        close(k)
                         break
                     if tags[k] in KEEPERS and tag not in KEEPERS:
                         break
                 continue
             if tags[-1] == "p":
-                tags.pop(), stack.pop()
-            if tag in CLOSES:
+                close(len(tags) - 1)
+            if tag in CLOSES and any(opened[t] for t in CLOSES[tag]):
                 for k in range(len(tags) - 1, 0, -1):
                     if tags[k] in CLOSES[tag]:
-                        del tags[k:], stack[k:]
+                        close(k)
                         break
                     if tags[k] in ("ul", "ol", "dl", "table", "select"):
                         break
-            label, drop, mark = described(tag, m[3] or m[6] or "")
+            label, drop, mark = described(tag, attributes)
             over = stack[-1]
             node = len(self.label)
             self.label.append(label)
@@ -161,6 +190,7 @@ class Page:
             self.header.append(tag == "header")
             stack.append(node)
             tags.append(tag)
+            opened[tag] += 1
         flush()
         self.dropped, self.main = self.settle()
 
@@ -395,8 +425,13 @@ def host(url) -> F.Column:
 
 
 def with_model(pages: DataFrame) -> DataFrame:
-    models = pages.filter("length(html) > 0").groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("page_id"), "page_id", "html")).alias("model"))
-    return stored(models, "wrapper-models")
+    """host, model: the html of the page of least page-id hash, found by ids alone."""
+    some = pages.filter("length(html) > 0").select("host", "page_id", "html", F.xxhash64("page_id").alias("h"))
+    least = some.groupBy("host").agg(F.min(F.struct("h", "page_id")).alias("least")).select("host", "least.*")
+    # Rows of one page id may differ: the least text of them is the model.
+    same = F.col("page_id").eqNullSafe(F.col("least_id"))
+    chosen = some.join(least.withColumnsRenamed({"h": "least_h", "page_id": "least_id"}), "host").filter((F.col("h") == F.col("least_h")) & same)
+    return stored(chosen.groupBy("host").agg(F.min("html").alias("model")), "wrapper-models")
 
 
 def templates(pages: DataFrame, models: DataFrame) -> DataFrame:

@@ -1,16 +1,17 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi.
 
-Words of about equal length form a matrix of characters and advance together,
-one end place at a time.  The hash of every substring that ends there is
-looked up among the sorted hashes of the pieces, and a maximum over the start
-places gives each word its backpointer.
+Words of equal length form a matrix of characters, of a bounded number of
+cells, and advance together, one end place at a time.  The hash of every
+substring that ends there is looked up among the sorted hashes of the pieces,
+and a maximum over the start places gives each word its backpointer.
 
 * In a unigram model the value of a path is the sum of its scores.
 * In a byte-pair model the library applies merges in the order of their ranks,
   which no sum of scores reproduces.  But a path is the one that merging gives
   exactly if each two neighbours on it are: ``Model.compatible`` undoes the
   merges of both sides, latest first, and asks whether a merge across would
-  have come earlier.  The value of a step is then 1 or nothing.
+  have come earlier.  The value of a step is then 1 or nothing, so the maximum
+  is the first compatible start.
 
 Both give the ids of the sentencepiece library, which is only used to read the
 model file.  Characters without a piece become the pieces of their UTF-8 bytes,
@@ -23,6 +24,8 @@ a word grows with its length and nothing is cut.  An empty table gives no rows.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,10 @@ from .words import P, P_INVERSE, mix
 SPACE = "▁"
 #: Words of a worker's memory in each of two generations.
 REMEMBERED = 400_000
-BATCH = 8192
+#: Characters of the words that advance together; each takes some hundred bytes.
+CELLS = 1 << 17
+#: Bits of a hash by which most substrings that are no piece are told at once.
+PROBE = 20
 SLICE = 8 << 20
 NEVER = np.int64(1) << 40
 
@@ -100,6 +106,8 @@ class Model:
         self.all_ids = np.flatnonzero(~np.isin(np.arange(n), list(special)))
         self.all_ids = self.all_ids[np.argsort(key[self.all_ids])]
         self.all_keys = key[self.all_ids]
+        self.probe = np.zeros(1 << PROBE, bool)
+        self.probe[self.all_keys >> np.uint64(64 - PROBE)] = True
         self.usable = usable
         text = [p.replace(SPACE, " ").encode() for p in self.pieces]
         for value, i in self.byte_ids.items():
@@ -133,8 +141,12 @@ class Model:
 
     def look_up(self, raw: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         key = mix(raw + np.asarray(length).astype(np.uint64))
-        at = np.minimum(np.searchsorted(self.all_keys, key), len(self.all_keys) - 1)
-        return np.where(self.all_keys[at] == key, self.all_ids[at], -1)
+        ids = np.full(key.shape, -1, np.int64)
+        maybe = np.nonzero(self.probe[key >> np.uint64(64 - PROBE)])
+        some = key[maybe]
+        at = np.minimum(np.searchsorted(self.all_keys, some), len(self.all_keys) - 1)
+        ids[maybe] = np.where(self.all_keys[at] == some, self.all_ids[at], -1)
+        return ids
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves pieces ``a`` and ``b`` side by side; -1: no piece."""
@@ -158,40 +170,40 @@ class Model:
         return fine
 
     def viterbi(self, words: list[str]) -> list[list[int]]:
-        """The ids of words, sorted by length from the longest."""
-        lengths = np.array([len(w) for w in words])
-        n, width = len(words), int(lengths[0])
-        rows = codes(words, width)
-        sums = raw_hashes(rows)
+        """The ids of words of equal length."""
+        n, width = len(words), len(words[0])
+        sums = raw_hashes(codes(words, width))
         falls = down(width)
         back = np.zeros((n, width + 1), np.int32)
         piece = np.full((n, width + 1), -1, np.int32)
         value = np.zeros((n, width + 1))
         lost = float(self.score.min()) - 10
+        row = np.arange(n)
         for e in range(1, width + 1):
-            k = int(np.searchsorted(-lengths, -e, side="right"))
             starts = np.arange(max(0, e - self.widest), e)
-            ids = self.look_up((sums[:k, e][:, None] - sums[:k, starts]) * falls[starts], e - starts)
-            ids = np.where((ids >= 0) & self.usable[ids], ids, -1)
+            ids = self.look_up((sums[:, e][:, None] - sums[:, starts]) * falls[starts], e - starts)
             if self.merges:
                 # A single character is always a step, with or without a piece.
-                step = np.full(ids.shape, -np.inf)
-                step[:, -1] = -1.0
-                r, c = np.nonzero(ids >= 0)
-                s = starts[c]
-                ok = (s == 0) | self.compatible(np.where(s > 0, piece[r, s], -1).astype(np.int64), ids[r, c])
+                r, c = np.nonzero((ids >= 0) & self.usable[ids])
+                s, found = starts[c], ids[r, c]
                 # A start place that merging cannot end a piece at has no value.
-                step[r[ok], c[ok]] = 1.0
-            else:
-                step = value[:k, starts] + np.where(ids >= 0, self.score[ids], -np.inf)
-                bare = ids[:, -1] < 0
-                step[bare, -1] = value[:k, starts[-1]][bare] + lost
+                ok = (s == 0) | self.compatible(np.where(s > 0, piece[r, s], -1).astype(np.int64), found)
+                r, s, found = r[ok], s[ok], found[ok]
+                first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(r) else r
+                back[:, e] = e - 1
+                last = ids[:, -1]
+                piece[:, e] = np.where((last >= 0) & self.usable[last], last, -1)
+                back[r[first], e], piece[r[first], e] = s[first], found[first]
+                continue
+            ids = np.where((ids >= 0) & self.usable[ids], ids, -1)
+            step = value[:, starts] + np.where(ids >= 0, self.score[ids], -np.inf)
+            bare = ids[:, -1] < 0
+            step[bare, -1] = value[:, starts[-1]][bare] + lost
             best = np.argmax(step, axis=1)
-            row = np.arange(k)
-            back[:k, e], piece[:k, e], value[:k, e] = starts[best], ids[row, best], step[row, best]
+            back[:, e], piece[:, e], value[:, e] = starts[best], ids[row, best], step[row, best]
         out = []
         for i, word in enumerate(words):
-            path, e = [], int(lengths[i])
+            path, e = [], width
             while e:
                 s = int(back[i, e])
                 if piece[i, e] >= 0:
@@ -239,11 +251,15 @@ class Encoder:
                 new.append(w)
             else:
                 self.words[w] = ids
-        new.sort(key=len, reverse=True)
-        for a in range(0, len(new), BATCH):
-            part = new[a : a + BATCH]
+        new.sort(key=len)
+        a = 0
+        while a < len(new):
+            width = len(new[a])
+            b = min(bisect_right(new, width, key=len), a + max(1, CELLS // width))
+            part = new[a:b]
             for w, ids in zip(part, self.model.viterbi(part), strict=True):
-                self.words[w] = np.array(ids, "<u4").tobytes()
+                self.words[w] = array("I", ids).tobytes()
+            a = b
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 

@@ -38,12 +38,13 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 CONTEXT = 40
 
-CANDIDATE = re.compile(
-    r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
-    r"|\bSG\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
-)
-KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----", re.DOTALL)
+# Each pattern begins only where a run does and never gives characters back, so
+# that a text of any kind is scanned in time that grows with its length.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])(?P<bare>[A-Za-z0-9+/_-]{16,}+={0,2})")
+WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))(?P<bare>eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)")
+SERVICE = re.compile(r"\b(?P<bare>SG\.[A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]{6,}+)")
+KEY_BLOCK = re.compile(r"(?P<bare>-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)", re.DOTALL)
+KEY_END = re.compile(r"-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
 ASSIGNED = re.compile(
     r"(?:passw(?:or)?d|passphrase|(?<![a-z])pass|pwd|secret|token|credentials?|(?:api|access|auth|account|private|encryption|signing|master)[_-]?key)"
     r"[A-Za-z0-9_-]{0,30}(?:[\"'\]]{0,2}\s{0,4}(?:=>|:=|==?|:)\s{0,4})"
@@ -51,7 +52,7 @@ ASSIGNED = re.compile(
     re.IGNORECASE,
 )
 BEARER = re.compile(r"\bbearer\s{1,4}(?P<bare>[A-Za-z0-9._~+/-]{16,}={0,2})", re.IGNORECASE)
-URL_LOGIN = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*:(?P<bare>[^\s/]+)@")
+URL_LOGIN = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*+://[^\s/:@]*:(?P<bare>[^\s/]+)@")
 # Words that stand before secrets, and before look-alikes.
 SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential", "private", "aws", "key")
 OTHER_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "guid", "id", "version", "build", "path", "file", "url", "http", "https", "href", "src", "image", "example", "sample", "isbn", "order", "ticket")
@@ -67,10 +68,16 @@ UUID = re.compile("[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[
 BEFORE_WORD = re.compile(r"[A-Za-z_-]+\d*")
 
 SCHEMA = "doc_id long, start long, stop long, kind string, score double, is_secret boolean"
-KINDS = (("private_key", re.compile("-----BEGIN ")), ("web_token", re.compile(r"eyJ.*\.")), ("service_token", re.compile(r"SG\.[A-Za-z0-9_-]+\.")), ("access_key", re.compile("(AKIA|ASIA)[0-9A-Z]{16}$")), ("service_token", re.compile("(gh[pousr]_|xox[abpr]-|sk[-_]|AIza|glpat-)")))
+KINDS = (("private_key", re.compile("-----BEGIN ")), ("web_token", re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*+\.")), ("service_token", re.compile(r"SG\.[A-Za-z0-9_-]+\.")), ("access_key", re.compile("(AKIA|ASIA)[0-9A-Z]{16}$")), ("service_token", re.compile("(gh[pousr]_|xox[abpr]-|sk[-_]|AIza|glpat-)")))
+
+
+# Kinds of the ASCII characters: digit, lower, upper, other.
+ASCII_KINDS = np.array([0 if chr(c).isdigit() else 1 if chr(c).islower() else 2 if chr(c).isupper() else 3 for c in range(128)], np.int8)
 
 
 def char_kind(text: str) -> np.ndarray:
+    if text.isascii():
+        return ASCII_KINDS[np.frombuffer(text.encode(), np.uint8)]
     return np.array([0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in text], np.int8)
 
 
@@ -246,10 +253,20 @@ class Forest:
         return total / len(self.roots)
 
 
+#: What an assignment, and a bearer, must hold, in lower case.
+ASSIGNED_TO = ("pass", "pwd", "secret", "token", "credential", "key")
+
+
 def spans(text: str) -> list[tuple[int, int]]:
     """Places of all candidates, each once."""
-    out = {m.span() for p in (CANDIDATE, KEY_BLOCK) for m in p.finditer(text)}
-    out |= {m.span(m.lastgroup) for p in (ASSIGNED, BEARER, URL_LOGIN) for m in p.finditer(text)}
+    out = {m.span() for m in TOKEN.finditer(text) if any(map(str.isdigit, m[0]))}
+    lower = text.lower()
+    patterns = [ASSIGNED] * any(w in lower for w in ASSIGNED_TO) + [BEARER] * ("bearer" in lower) + [URL_LOGIN] * ("://" in text) + [WEB_TOKEN] * ("eyJ" in text) + [SERVICE] * ("SG." in text)
+    out |= {m.span(m.lastgroup) for p in patterns for m in p.finditer(text)}
+    if "PRIVATE KEY" in text:
+        # Behind the last end no block can begin.
+        ends = [m.end() for m in KEY_END.finditer(text)]
+        out |= {m.span() for m in KEY_BLOCK.finditer(text, 0, ends[-1])} if ends else set()
     return sorted(out)
 
 

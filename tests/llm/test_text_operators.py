@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from tallyspark.llm import extraction, jaccard, pieces, registry, secrets, suffix_dedup, toxicity
+from tallyspark.llm import components, extraction, jaccard, pieces, registry, secrets, shared, suffix_dedup, toxicity
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -101,24 +101,56 @@ def removal(rows, length=400):
         yield i, len(b), int(gone.sum()), len(re.findall("1+", "".join("1" if g else "0" for g in gone))), hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("limit", [50_000, 3])
-def test_suffix_dedup(spark, sf, limit, monkeypatch):
+@pytest.mark.parametrize(("limit", "often", "length"), [(1000, 32, 400), (3, 4, 400), (1000, 4, 240)])
+def test_suffix_dedup(spark, sf, limit, often, length, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RUN_LIMIT", limit)
+    monkeypatch.setattr(shared, "OFTEN", often)
     rng = np.random.default_rng(4)
     text = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
     passage, other = text(700), text(410)
     rows = [*ODD, (20, "ab" * 600), (21, text(400)), (22, passage[:399]), (23, passage[300:] + text(50))]
+    # Contexts of a common start of 16 bytes and a passage that many rows share.
+    rows += [(50 + k, text(300) + passage[:16] + text(390)) for k in range(6)] + [(60 + k, text(20 * k) + passage + text(60)) for k in range(40)]
     rows += [(30 + k, text(40 * k) + passage + text(90) + (other if k % 2 else other[5:]) + text(k)) for k in range(8)]
     for df in (docs(spark, rows), table(spark, sf, "documents")):
-        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df).collect())
-        assert got == Counter(removal([(r.doc_id, r.text) for r in df.collect()]))
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, length).collect())
+        assert got == Counter(removal([(r.doc_id, r.text) for r in df.collect()], length))
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_multikey_order():
+    rng = np.random.default_rng(8)
+    for n, values in ((0, 3), (1, 3), (500, 2), (3000, 40)):
+        tokens = rng.integers(0, values, (n, 5)).astype(np.uint64)
+        order, run = suffix_dedup.multikey_order(tokens)
+        rows = list(map(tuple, tokens[order]))
+        assert rows == sorted(map(tuple, tokens)) and sorted(order) == list(range(n))
+        assert list(run) == [sorted(set(rows)).index(r) for r in rows]
+
+
+def test_components(spark):
+    rng = np.random.default_rng(2)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(None, 3), (3, 3), (1000, 1001)]
+    up = {}
+    root = lambda x: x if up.setdefault(x, x) == x else root(up[x])
+    for a, b in links:
+        if a is not None and a != b:
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+    got = Counter((r.node, r.component) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == Counter((x, root(x)) for x in up)
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_texts_without_repeats(spark):
     rows = [(1, "x" * 10), (2, "é" * 500), (3, None)]
     out = suffix_dedup.without_repeats(docs(spark, rows).withColumn("n_chars", suffix_dedup.F.lit(1)))
-    assert {r.doc_id: (r.text, r.n_chars, r.key) for r in out.collect()} == {1: ("x" * 10, 10, 1), 2: ("", 0, 1), 3: ("", 0, 1)}
+    assert {r.doc_id: (r.text, r.n_chars, r.key) for r in out.collect()} == {1: ("x" * 10, 10, 1), 2: ("", 0, 1), 3: (None, None, 1)}
+    words = " ".join(f"wörd{i}" for i in range(60))
+    rows = [(1, f"one {words[:300]} two"), (2, f"three {words} four"), (3, f"five {words} six"), (4, f"{words[:300]}")]
+    out = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs(spark, rows), 200, 50).collect()}
+    # The letter and blank before the words and the blank behind them repeat too; what 1 and 4 share has fewer words.
+    assert out == {1: rows[0][1], 2: "threfour", 3: "fivsix", 4: rows[3][1]}
 
 
 def test_toxicity_held_out(spark):
@@ -156,6 +188,25 @@ def test_extraction(spark):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_of_any_markup_are_read_in_linear_time():
+    import time
+
+    began = time.time()
+    for source, text in (("x<a" * 100_000, "x<a" * 100_000), ("<a" * 100_000 + ">y", "y"), ("<a '\">z" * 30_000, "z" * 30_000), ("<!" * 100_000, "<!" * 100_000), ("<div>" * 30_000 + "</section>" * 30_000 + "w", "w"), ("<!--" * 100_000, ""), ("v<!-- c", "v"), ("<!-- c -->u", "u"), ("1 < 2 <b>t</b>", "1 < 2 t")):
+        assert "".join(t for _, t in extraction.Page(source).blocks) == text
+    assert time.time() - began < 10
+
+
+def test_the_template_decides_content(spark):
+    """Pages without marks: what all say goes, what they say by themselves stays."""
+    rows = [(k, f"http://w.example/{k}", f"<div class=top>Our site</div><div class=body><p>News {k} of the day</p><p>Written by us</p></div><div class=end>Read on</div>") for k in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extraction.extract(pages).collect()} == {k: f"News {k} of the day" for k in range(12)}
+    # The host has too few pages for a template.
+    few = pages.filter("page_id < 5")
+    assert {r.page_id: r.text for r in extraction.extract(few).collect()} == {k: f"Our site\nNews {k} of the day\nWritten by us\nRead on" for k in range(5)}
+
+
 def test_extraction_of_the_pages(spark, sf):
     """Where a page has one article, its blocks are the text."""
     import html
