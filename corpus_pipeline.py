@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import jaccard, packing, registry, secrets, suffix_dedup, toxicity
-from tallyspark.llm.shared import stored, table
+from tallyspark.llm.shared import discard, scratch, stored, table
 
 #: Bytes by which repeated passages are found, and the words one must exceed to go.
 PASSAGE_BYTES, PASSAGE_WORDS = 200, 50
@@ -79,5 +79,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch():
+            after = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        if name != STAGES[0][0]:
+            discard(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)

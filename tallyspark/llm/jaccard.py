@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import clean_columns, frequent, slices, stored, text_buffer
+from .shared import clean_columns, discard, frequent, scratch, slices, stored, text_buffer
 from .words import mix, shingle_sets
 
 SIZE = 5
@@ -173,26 +173,41 @@ def early(a: str, b: str):
     return (F.col(f"{a}_at") <= last(a)) & (F.col(f"{b}_at") <= last(b))
 
 
-def shingle_arrays(docs: DataFrame) -> DataFrame:
-    """doc_id, shingles: each document's set as an array, the keys by which sets are compared."""
+def pair_slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts of both sides have about ``SLICE`` bytes."""
+    size = sum(np.diff(text_buffer(rows.column(c))[1]) for c in ("x_text", "y_text"))
+    ends, start = np.cumsum(size), 0
+    while start < rows.num_rows:
+        before = ends[start] - size[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        yield rows.slice(start, stop - start)
+        start = stop
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in slices(batch, "text", SLICE):
-                sets = shingle_sets(*text_buffer(rows.column("text")), SIZE)
-                places = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
-                yield pa.record_batch([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(sets).view(np.int64)))], names=["doc_id", "shingles"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
+def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose sets are similar, by comparing the sets.
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sets are similar, by comparing the sets."""
+    Texts are sent, as sets of 8-byte hashes would be more than twice as large.
+    Pairs arrive in the order of y, whose set is made once for all its pairs of
+    a task.
+    """
     num, den = SIMILAR
-    side = lambda p: sets.select(F.col("doc_id").alias(p), F.col("shingles").alias(f"{p}_set"))
-    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
-    common = F.size(F.array_intersect("x_set", "y_set"))
-    return both.filter(den * common >= num * (F.size("x_set") + F.size("y_set") - common)).select("x", "y")
+    side = lambda p: texts.select(F.col("doc_id").alias(p), F.col("text").alias(f"{p}_text"))
+    both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y").select("x", "y", "x_text", "y_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_text, last_set = None, None
+        for batch in batches:
+            for rows in pair_slices(batch):
+                xs, keep = shingle_sets(*text_buffer(rows.column("x_text")), SIZE), []
+                for s, text in zip(xs, rows.column("y_text"), strict=True):
+                    if last_text is None or not last_text.equals(text):
+                        last_text, last_set = text, shingle_sets(*text_buffer(pa.array([text.as_py()], pa.string())), SIZE)[0]
+                    common = len(np.intersect1d(s, last_set, assume_unique=True))
+                    keep.append(den * common >= num * (len(s) + len(last_set) - common))
+                yield rows.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "x long, y long").distinct()
 
 
 def shared_tokens(prefix: DataFrame) -> DataFrame:
@@ -239,55 +254,58 @@ def best_tries(tries: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    known = docs.filter("doc_id IS NOT NULL")
-    sets_of, counts = first_pass(docs)
-    classes = sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
-    classes = stored(classes, "jaccard-classes")
-    if sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        known = known.dropDuplicates(["doc_id", "text"])
-    only = classes.select(F.col("first").alias("doc_id"))
-
-    sketch = docs.sparkSession.sparkContext.broadcast(counts)
-    prefix = stored(prefixes(known, sketch).join(only, "doc_id", "left_semi"), "jaccard-prefixes")
-    sketch.destroy()
-    shared = shared_tokens(prefix)
-    # Only what shares a token is ever compared; each set is made once.
-    met = shared.select("doc_id").distinct()
-    sets = stored(shingle_arrays(known.join(met, "doc_id", "left_semi")), "jaccard-arrays")
-
-    # First every document with the least one of a token.
-    hubs = stored(shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub")), "jaccard-hubs")
-    tried = best_tries(hub_tries(shared.join(hubs, "token")))
-    links = stored(linked(tried, sets), "jaccard-links")
-    # Of two linked documents the greater gets the label of the lesser, which may hang on a third.
-    up = links.groupBy("x").agg(F.min("y").alias("y"))
-    upper = up.select(F.col("x").alias("y"), F.col("y").alias("top"))
-    labels = up.join(upper, "y", "left").select(F.col("x").alias("node"), F.coalesce("top", "y").alias("component"))
-    rows = open_rows(with_labels(shared, labels))
-    # Then with the least one of another component.
-    rows_of = rows.withColumn("hub", F.when(F.col("c") != F.col("hub.c"), F.col("hub")).otherwise(F.col("other")))
-    old = tried.select("x", "y").unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    more = best_tries(hub_tries(rows_of).join(old, ["x", "y"], "left_anti"))
-    tried = tried.unionByName(more)
-    links = stored(links.unionByName(linked(more, sets)), "jaccard-links")
-    labels = stored(components(links), "jaccard-labels")
-    rows = open_rows(with_labels(rows.drop("main", "hub", "other"), labels))
-
-    # Every pair of a token across components has a row outside the token's main component.
-    side = lambda p: [F.col("doc_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "matches", "at", "c"))]
-    x = rows.filter("c <> main").select("token", *side("x"))
-    y = rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
-    pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
-    pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_matches", "y_matches").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
-    rest = stored(pairs.select("x", "y").join(tried, ["x", "y"], "left_anti"), "jaccard-rest")
-    # What is left links whole components.
-    across = stored(linked(rest, sets), "jaccard-links")
-    label = labels.select("node", "component")
-    across = across.join(label.withColumnsRenamed({"node": "x", "component": "cx"}), "x", "left").join(label.withColumnsRenamed({"node": "y", "component": "cy"}), "y", "left")
-    tops = components(across.select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y")))
-    tops = tops.toDF("component", "top")
-    final = classes.select("first").join(labels, F.col("first") == F.col("node"), "left").select("first", F.coalesce("component", "first").alias("component")).join(tops, "component", "left")
-    final = final.select(F.col("first").alias("node"), F.coalesce("top", "component").alias("component"))
-    placed = sets_of.join(classes, "digest", "left").join(final, F.col("first") == F.col("node"), "left")
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id")).alias("component_id"))
+    with scratch():
+        docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+        known = docs.filter("doc_id IS NOT NULL")
+        sets_of, counts = first_pass(docs)
+        classes = sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
+        classes = stored(classes, "jaccard-classes")
+        if sets_of.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+            known = known.dropDuplicates(["doc_id", "text"])
+        only = classes.select(F.col("first").alias("doc_id"))
+
+        sketch = docs.sparkSession.sparkContext.broadcast(counts)
+        prefix = stored(prefixes(known, sketch).join(only, "doc_id", "left_semi"), "jaccard-prefixes")
+        sketch.destroy()
+        shared = shared_tokens(prefix)
+        discard(prefix)
+        # Only what shares a token is ever compared.
+        texts = stored(known.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "jaccard-texts")
+
+        # First every document with the least one of a token.
+        hubs = stored(shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub")), "jaccard-hubs")
+        tried = best_tries(hub_tries(shared.join(hubs, "token")))
+        links = stored(linked(tried, texts), "jaccard-links")
+        # Of two linked documents the greater gets the label of the lesser, which may hang on a third.
+        up = links.groupBy("x").agg(F.min("y").alias("y"))
+        upper = up.select(F.col("x").alias("y"), F.col("y").alias("top"))
+        labels = up.join(upper, "y", "left").select(F.col("x").alias("node"), F.coalesce("top", "y").alias("component"))
+        rows = open_rows(with_labels(shared, labels))
+        # Then with the least one of another component.
+        rows_of = rows.withColumn("hub", F.when(F.col("c") != F.col("hub.c"), F.col("hub")).otherwise(F.col("other")))
+        old = tried.select("x", "y").unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        more = best_tries(hub_tries(rows_of).join(old, ["x", "y"], "left_anti"))
+        tried = tried.unionByName(more)
+        links = stored(links.unionByName(linked(more, texts)), "jaccard-links")
+        labels = stored(components(links), "jaccard-labels")
+        rows = open_rows(with_labels(rows.drop("main", "hub", "other"), labels))
+        discard(shared)
+
+        # Every pair of a token across components has a row outside the token's main component.
+        side = lambda p: [F.col("doc_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "matches", "at", "c"))]
+        x = rows.filter("c <> main").select("token", *side("x"))
+        y = rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
+        pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
+        pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_matches", "y_matches").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
+        rest = stored(pairs.select("x", "y").join(tried, ["x", "y"], "left_anti"), "jaccard-rest")
+        # What is left links whole components.
+        across = stored(linked(rest, texts), "jaccard-links")
+        label = labels.select("node", "component")
+        across = across.join(label.withColumnsRenamed({"node": "x", "component": "cx"}), "x", "left").join(label.withColumnsRenamed({"node": "y", "component": "cy"}), "y", "left")
+        tops = components(across.select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y")))
+        tops = tops.toDF("component", "top")
+        final = classes.select("first").join(labels, F.col("first") == F.col("node"), "left").select("first", F.coalesce("component", "first").alias("component")).join(tops, "component", "left")
+        final = final.select(F.col("first").alias("node"), F.coalesce("top", "component").alias("component"))
+        placed = sets_of.join(classes, "digest", "left").join(final, F.col("first") == F.col("node"), "left")
+        result = placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id")).alias("component_id"))
+        return stored(result, "jaccard-components", keep=True)

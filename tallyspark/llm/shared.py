@@ -8,6 +8,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +47,45 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{_own_folder[0]}"
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+_scratch: list[list[DataFrame]] = []
+
+
+def stored(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
     Cuts the lineage: a lost executor costs only the tasks it ran, and what is
-    read twice is computed once.
+    read twice is computed once.  Inside ``scratch`` the table goes at its end,
+    or with ``keep`` at the end of the one around it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    around = _scratch[: len(_scratch) - keep]
+    if around:
+        around[-1].append(out)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables stored inside are deleted at the end, but for those to keep."""
+    inside: list[DataFrame] = []
+    _scratch.append(inside)
+    try:
+        yield
+    finally:
+        _scratch.remove(inside)
+        discard(*inside)
 
 
 def frequent(rows: DataFrame, column: str, n: int) -> DataFrame:

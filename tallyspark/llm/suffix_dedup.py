@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import clean_columns, frequent, slices, stored, text_buffer
+from .shared import clean_columns, frequent, scratch, slices, stored, text_buffer
 from .words import mix, powers, prefix_sums, word_spans
 
 LENGTH = 400
@@ -146,11 +146,7 @@ def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
 
 
 def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The bytes of one context of each kind, keyed by the suffix's leading tokens.
-
-    ``docs`` keeps all its columns, so the shuffle of its texts by key is the
-    one that the removal uses again.
-    """
+    """The bytes of one context of each kind, keyed by the suffix's leading tokens."""
     wanted = firsts.groupBy("key").agg(F.collect_list(F.struct("kh", "at", "lead", "span", "whole", "large")).alias("places"))
     rows = docs.join(wanted, "key")
 
@@ -309,12 +305,14 @@ def merged(spans: DataFrame) -> DataFrame:
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, spans: what is removed of each document that loses anything."""
-    whole, firsts = marked(docs.select("key", "text"), length)
-    rows = contexts(firsts, docs)
-    spans = whole.unionByName(bucket_spans(rows.filter("NOT large").drop("large"), length))
-    if firsts.filter("large").limit(1).count():
-        spans = spans.unionByName(counted_spans(stored(rows.filter("large").drop("large"), "suffix-large"), length))
-    return merged(spans)
+    with scratch():
+        docs = docs.select("key", "text")
+        whole, firsts = marked(docs, length)
+        rows = stored(contexts(firsts, docs), "suffix-contexts")
+        spans = whole.unionByName(bucket_spans(rows.filter("NOT large"), length))
+        if firsts.filter("large").limit(1).count():
+            spans = spans.unionByName(counted_spans(rows.filter("large"), length))
+        return stored(merged(spans), "suffix-removals", keep=True)
 
 
 def removed_mask(data: np.ndarray, spans: pa.Scalar | None, over_words: int) -> np.ndarray:
