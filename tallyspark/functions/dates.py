@@ -7,13 +7,27 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null
+from .text import blank_to_null, looked_up
 
 # Month names that titles use, longest first.
 MONTHS = "January February March April May June July August September October November December Sept Jan Feb Mar Apr Jun Jul Aug Sep Oct Nov Dec".split()
 LONG_TITLE = rf"(?i)({'|'.join(MONTHS)})\s+(\d{{1,2}}),?\s+(\d{{4}})"
 SHORT_TITLE = r"\b(\d{2})\.(\d{2})\.(\d{2})\b"
-MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# The first three letters of a month's name and its number.
+MONTH_NUMBERS = {
+    "jan": "1",
+    "feb": "2",
+    "mar": "3",
+    "apr": "4",
+    "may": "5",
+    "jun": "6",
+    "jul": "7",
+    "aug": "8",
+    "sep": "9",
+    "oct": "10",
+    "nov": "11",
+    "dec": "12",
+}
 FILE_DATES = {"yyyyMMdd": r"^\d{8}$", "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$"}
 
 
@@ -36,9 +50,7 @@ def title_date(title: Column) -> Column:
         return F.try_to_date(F.concat_ws("-", year(part), month(part), part(day)), "yyyy-M-d")
 
     def number(part) -> Column:
-        # "feb" starts at place 4 of the joined names, "mar" at 7.
-        place = F.position(F.lower(F.left(part(1), F.lit(3))), F.lit(MONTH_STARTS))
-        return ((place + 2) / 3).cast("int").cast("string")
+        return looked_up(F.lower(F.left(part(1), F.lit(3))), MONTH_NUMBERS)
 
     long = F.when(title.rlike(LONG_TITLE), of(LONG_TITLE, number, 2, lambda part: part(3)))
     short = F.when(title.rlike(SHORT_TITLE), of(SHORT_TITLE, lambda part: part(1).cast("string"), 2, lambda part: F.concat(F.lit("20"), part(3))))

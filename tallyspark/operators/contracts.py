@@ -83,6 +83,40 @@ def meeting_rules() -> dict[str, Column]:
     }
 
 
+def sheet_rules() -> dict[str, Column]:
+    """``meeting_rules`` and those of a row that comes from a sheet."""
+    c = F.col
+    required = ("day_of_week", "meeting_format", "chair", "members_present", "quorum_met")
+    return meeting_rules() | {name: c(name).isNull() for name in required} | {"day_of_week_length": F.length("day_of_week") > 3, "source_url": ~c("source_url").rlike("^https?://")}
+
+
+def given_as(rules: dict[str, Column], raw: str, parsed: str) -> dict[str, Column]:
+    """The rules, and one that refuses a given value that could not be read as its type."""
+    given = F.nullif(F.trim(F.col(raw).cast("string")), F.lit(""))
+    return rules | {parsed: given.isNotNull() & F.col(parsed).isNull()}
+
+
+def table_rules(table: str) -> dict[str, Column]:
+    """What a stored table must satisfy whoever wrote it: a second layer under the row rules."""
+    c = F.col
+    if table == "seb.meetings":
+        return {"hours_logged": ~c("hours_logged").between(0, 24)}
+    if table == "voter.voters":
+        return {"birth_year": ~c("birth_year").between(1900, 2100), "zip5": F.length("residence_zip5") != 5}
+    if table == "voter.suppressions":
+        return {"action": ~c("action").isin(*schemas.ACTIONS)}
+    return {"target_column": ~c("target_column").isin(*schemas.OVERRIDABLE)}
+
+
+def check_table(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Rows of a stored table that break its rules, with ``violations``; a key that is null or repeats is one."""
+    refuse(df.columns, schemas.CONFIDENTIAL, "confidential")
+    rows = checked(df, {"key": F.col(key).isNull(), **table_rules(table)})
+    twice = repeated(df.filter(F.col(key).isNotNull()), key).select(key, F.lit(True).alias("_twice"))
+    rows = rows.join(twice, key, "left").withColumn("violations", F.concat("violations", F.when(F.col("_twice"), F.array(F.lit("repeated"))).otherwise(F.array().cast("array<string>")))).drop("_twice")
+    return rows.filter(F.size("violations") > 0)
+
+
 def correction_rules() -> dict[str, Column]:
     c = F.col
     blank = lambda x: F.coalesce(F.trim(x) == "", F.lit(True))

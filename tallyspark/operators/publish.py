@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,10 @@ def export(relations: Mapping[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").parquet(f"{folder}/{stem}.parquet")
 
 
-def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """filename, bytes, sha256 of every part file below ``folder``."""
+def manifest(spark: SparkSession, folder: str, generated_at: datetime | None = None, built_at: datetime | None = None) -> DataFrame:
+    """filename, bytes, sha256 of every part file below ``folder``, when the manifest and the tables were made."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.coalesce(F.lit(generated_at).cast("timestamp"), F.current_timestamp()).alias("generated_at"), F.lit(built_at).cast("timestamp").alias("built_at"))
 
 
 def freshness(spark: SparkSession, path: str) -> DataFrame:

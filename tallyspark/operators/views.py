@@ -61,8 +61,16 @@ def overlap(meetings: DataFrame, voters: DataFrame, suppressions: DataFrame) ->
     return meeting_quarter(meetings).crossJoin(people).select(*OVERLAP)
 
 
+#: Views that read those of several pipelines.
+ACROSS = "analytics."
+
+
 def register(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]]) -> list[str]:
-    """Temporary views in order of name; dots become underscores."""
-    for name in sorted(builders):
+    """Temporary views in order of name, those across pipelines last; dots become underscores.
+
+    Registering again replaces them.  Returns the names in their order.
+    """
+    order = sorted(builders, key=lambda name: (name.startswith(ACROSS), name))
+    for name in order:
         builders[name]().createOrReplaceTempView(name.replace(".", "_"))
-    return sorted(builders)
+    return order

@@ -26,6 +26,29 @@ def ingest_meetings(meetings: DataFrame, seed: DataFrame, videos: DataFrame, fee
     return result, videos, summary
 
 
+def ingest_all(tables: dict[str, DataFrame], seed: dict[str, DataFrame], feed: DataFrame | None, corrections: DataFrame, tie: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The four tables after a seed, a feed and corrections, and one summary row.
+
+    ``tables`` and ``seed`` hold meetings, controversies and sources, ``tables``
+    videos as well.  Without a feed the number of meetings with a video is that
+    of the seed.
+    """
+    meetings, videos, _ = ingest_meetings(tables["meetings"], seed["meetings"], tables["videos"], feed, corrections, tie)
+    out = {"meetings": meetings, "videos": videos}
+    for name, key in (("controversies", "controversy_id"), ("sources", "source_id")):
+        out[name] = merge.merge(tables[name], seed[name], key, key)
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    summary = count(seed["meetings"], "seeded_meetings")
+    for name in ("controversies", "sources"):
+        summary = summary.crossJoin(F.broadcast(count(seed[name], f"seeded_{name}")))
+    with_video = meetings.agg(F.count("video_url").alias("meetings_with_video")) if feed is not None else summary.select(F.col("seeded_meetings").alias("meetings_with_video"))
+    fed = count(feed, "videos_upserted") if feed is not None else summary.select(F.lit(0).cast("long").alias("videos_upserted"))
+    unknown = ledger.missing(corrections, "meeting_id", meetings, "meeting_id")
+    applied = count(corrections.join(unknown.select("correction_id"), "correction_id", "left_anti"), "corrections_applied")
+    # One row each.
+    return out, summary.crossJoin(F.broadcast(fed)).crossJoin(F.broadcast(with_video)).crossJoin(F.broadcast(applied))
+
+
 def apply_suppressions(batch: DataFrame, log: DataFrame, voters: DataFrame, require_voter: bool = True) -> tuple[DataFrame, DataFrame]:
     """The ledger with a checked batch appended, and {logged, skipped}."""
     contracts.split_valid(batch, contracts.suppression_rules(), strict=True)

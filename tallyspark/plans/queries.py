@@ -282,8 +282,8 @@ def vendor_rows(raw):
 @query(
     """WITH t AS (SELECT title_id, title, nullif(regexp_extract(title, '(?i)(January|February|March|April|May|June|July|August|September|October|November|December|Sept|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\\s+(\\d{1,2}),?\\s+(\\d{4})', 0), '') AS l,
     nullif(regexp_extract(title, '\\b(\\d{2})\\.(\\d{2})\\.(\\d{2})\\b', 0), '') AS s FROM titles),
-    p AS (SELECT *, CAST((instr('janfebmaraprmayjunjulaugsepoctnovdec', lower(left(l, 3))) + 2) // 3 AS VARCHAR) AS m, regexp_extract(l, '[a-zA-Z]+\\s+(\\d{1,2})', 1) AS d, right(l, 4) AS y FROM t)
-    SELECT title_id, coalesce(TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') AS DATE), TRY_CAST('20' || substr(s, 7, 2) || '-' || substr(s, 1, 2) || '-' || substr(s, 4, 2) AS DATE)) AS meeting_date FROM p""".replace("\\\\", "\\"),
+    p AS (SELECT *, CASE lower(left(l, 3)) MONTHS END AS m, regexp_extract(l, '[a-zA-Z]+\\s+(\\d{1,2})', 1) AS d, right(l, 4) AS y FROM t)
+    SELECT title_id, coalesce(TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') AS DATE), TRY_CAST('20' || substr(s, 7, 2) || '-' || substr(s, 1, 2) || '-' || substr(s, 4, 2) AS DATE)) AS meeting_date FROM p""".replace("\\\\", "\\").replace("MONTHS", " ".join(f"WHEN '{name}' THEN '{number}'" for name, number in dates.MONTH_NUMBERS.items())),
     "titles",
 )
 def title_dates(titles):
@@ -370,6 +370,71 @@ def meetings_ingest(meetings, videos, corrections):
     return jobs.ingest_meetings(meetings, seed, known, videos.filter("quantity >= 25"), corrections, "published_date")[0]
 
 
+SEEDED = """seeds AS (SELECT meeting_id AS k, 'topic ' || CAST(meeting_id % 40 AS STRING) AS title, CASE meeting_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'Resolved' ELSE NULL END AS status FROM meetings WHERE meeting_id % 5 <> 4)"""
+
+
+@query(
+    f"WITH {SEEDED} " + "SELECT m.k AS controversy_id, title, CASE WHEN coalesce(status, '') = '' THEN 'Active' ELSE status END AS status FROM (SELECT * FROM seeds) m UNION ALL SELECT meeting_id, 'old', 'Monitoring' FROM meetings WHERE meeting_id % 5 = 4",
+    "meetings",
+)
+def controversies_ingest(meetings):
+    return _ingest_all(meetings)[0]["controversies"].select("controversy_id", "title", "status")
+
+
+@query(
+    """SELECT count(CASE WHEN meeting_id % 2 = 0 THEN 1 END) AS seeded_meetings, count(CASE WHEN meeting_id % 5 <> 4 THEN 1 END) AS seeded_controversies, count(CASE WHEN meeting_id % 5 <> 4 THEN 1 END) AS seeded_sources,
+    0 AS videos_upserted, count(CASE WHEN meeting_id % 2 = 0 THEN 1 END) AS meetings_with_video, 0 AS corrections_applied FROM meetings""",
+    "meetings",
+)
+def ingest_summary(meetings):
+    return _ingest_all(meetings)[1]
+
+
+def _ingest_all(meetings: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All four tables from sheets made of every meeting, without a feed."""
+    c, k = F.col, F.col("meeting_id")
+    cell = k.cast("string")
+    of = lambda *v: F.when(k % 3 == 0, v[0]).when(k % 3 == 1, v[1]).otherwise(v[2])
+    rows = meetings.filter(k % 5 != 4)
+    none = F.lit(None).cast("string")
+    controversies = feeds.controversy_sheet(rows.select(cell.alias("number"), F.concat(F.lit(" topic "), (k % 40).cast("string")).alias("title"), none.alias("first_seen"), of("", "Resolved", None).alias("status"), none.alias("description"), none.alias("latest_action"), none.alias("source_href"), none.alias("source_text")))
+    sources = feeds.source_sheet(rows.select(cell.alias("number"), F.lit("s").alias("name"), none.alias("type"), none.alias("url_href"), F.lit("https://s.example").alias("url_text"), none.alias("notes")))
+    old = meetings.select(k.alias("controversy_id"), F.lit("old").alias("title"), F.lit("Monitoring").alias("status"))
+    for name in ("first_seen_date", "description", "latest_action", "primary_source"):
+        old = old.withColumn(name, F.lit(None).cast(controversies.schema[name].dataType))
+    tables = {"meetings": meetings, "videos": meetings.select(cell.alias("video_id"), k, c("video_url"), F.col("meeting_date").alias("published_date"), k.alias("load_seq")), "controversies": old.select(controversies.columns), "sources": sources.filter("source_id % 2 = 0")}
+    corrections = meetings.limit(0).select(cell.alias("correction_id"), k, F.lit("chair").alias("target_column"), c("chair").alias("corrected_value"), k.alias("load_seq"))
+    return jobs.ingest_all(tables, {"meetings": meetings.filter(k % 2 == 0), "controversies": controversies, "sources": sources}, None, corrections)
+
+
+@query(
+    """SELECT voter_id, array_to_string(list_filter([CASE WHEN birth_year + 40 * (voter_id % 5) NOT BETWEEN 1900 AND 2100 THEN 'birth_year' END, CASE WHEN voter_id % 9 = 0 THEN 'zip5' END], lambda x: x IS NOT NULL), ',') AS broken
+    FROM voters WHERE birth_year + 40 * (voter_id % 5) NOT BETWEEN 1900 AND 2100 OR voter_id % 9 = 0""",
+    "voters",
+)
+def table_violations(voters):
+    """The table checks over people of whom some are given a year or ZIP that no table may hold."""
+    k = F.col("voter_id")
+    rows = voters.withColumn("birth_year", F.col("birth_year") + 40 * (k % 5)).withColumn("residence_zip5", F.when(k % 9 == 0, F.lit("303")).otherwise(F.lit("30303")))
+    return contracts.check_table(rows, "voter.voters", "voter_id").select("voter_id", F.array_join("violations", ",").alias("broken"))
+
+
+@query(
+    """SELECT meeting_id, concat_ws(',', CASE WHEN meeting_id % 4 = 3 THEN 'meeting_type' END, CASE WHEN meeting_id % 3 = 2 THEN 'compliance_status' END, CASE WHEN meeting_id % 29 > 24 AND meeting_id % 7 <> 0 THEN 'hours_logged' END, CASE WHEN meeting_id % 7 = 0 THEN 'hours_given' END) AS broken FROM meetings""",
+    "meetings",
+)
+def sheet_violations(meetings):
+    """All columns of the meetings sheet, with cells that break the rules."""
+    k, none = F.col("meeting_id"), F.lit(None).cast("string")
+    hours = F.when(k % 7 == 0, F.lit("long")).otherwise((k % 29).cast("string"))
+    cells = {"number": k.cast("string"), "date": F.col("meeting_date").cast("string"), "day": F.lit(" Monday"), "type": F.when(k % 4 == 3, F.lit("Party")).otherwise(F.lit("Regular")), "format": F.lit("Zoom"), "chair": F.col("chair"), "members": F.lit(" all "), "quorum": F.col("quorum_met")}
+    cells |= {"agenda": none, "decisions": none, "video_href": F.col("video_url"), "video_text": F.lit("Watch"), "source_href": none, "source_text": F.lit("Source"), "compliance": F.when(k % 3 == 2, F.lit("Fine")).otherwise(none), "notes": none, "hours": hours}
+    sheet = meetings.select(*(v.alias(n) for n, v in cells.items()), "controversies")
+    rows = feeds.meeting_sheet(sheet).join(sheet.select(F.col("number").cast("long").alias("meeting_id"), F.col("hours").alias("hours_text")), "meeting_id")
+    rules = contracts.sheet_rules() | {"hours_given": text.not_a(F.col("hours_text"), F.col("hours_logged"))}
+    return contracts.checked(rows, rules).select("meeting_id", F.array_join("violations", ",").alias("broken"))
+
+
 @query(
     """SELECT title_id, coalesce(nullif(CASE WHEN title_id % 3 = 0 THEN 'https://a.example' END, ''), CASE WHEN title_id % 3 = 1 THEN 'http://b.example' END) AS link, CASE WHEN title IS NULL THEN '' ELSE left(trim(title), 3) END AS day,
     CASE title_id % 3 WHEN 0 THEN DATE '2024-05-01' WHEN 1 THEN DATE '2024-06-15' END AS day_of, CASE WHEN title_id % 3 = 0 THEN 'Unreviewed' ELSE 'Compliant' END AS compliance, CASE title_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 2.5 END AS hours FROM titles""",

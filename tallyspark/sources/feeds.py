@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -50,27 +50,62 @@ def meeting_sheet(rows: DataFrame) -> DataFrame:
         dates.loose_date(c("date")).alias("meeting_date"),
         text.day_name(c("day")).alias("day_of_week"),
         text.blank_to_null(c("type")).alias("meeting_type"),
+        *(F.trim(F.coalesce(c(raw), F.lit(""))).alias(name) for raw, name in (("format", "meeting_format"), ("chair", "chair"), ("members", "members_present"), ("quorum", "quorum_met"))),
+        *(F.nullif(c(raw), F.lit("")).alias(name) for raw, name in (("agenda", "agenda_summary"), ("decisions", "key_decisions"))),
         text.link(c("video_href"), c("video_text")).alias("video_url"),
+        text.link(c("source_href"), c("source_text")).alias("source_url"),
         compliance(c("compliance")).alias("compliance_status"),
+        *(F.nullif(c(raw), F.lit("")).alias(name) for raw, name in (("notes", "compliance_notes"), ("controversies", "controversies"))),
         text.blank_to_null(c("hours")).try_cast("double").alias("hours_logged"),
     )
 
 
+def controversy_sheet(rows: DataFrame) -> DataFrame:
+    c = F.col
+    return rows.filter(text.blank_to_null(c("number")).isNotNull()).select(
+        text.whole_number(c("number"), "bigint").alias("controversy_id"),
+        F.trim(c("title")).alias("title"),
+        dates.loose_date(c("first_seen")).alias("first_seen_date"),
+        F.trim(F.coalesce(F.nullif(c("status"), F.lit("")), F.lit("Active"))).alias("status"),
+        c("description"),
+        c("latest_action"),
+        text.link(c("source_href"), c("source_text")).alias("primary_source"),
+    )
+
+
+def source_sheet(rows: DataFrame) -> DataFrame:
+    c = F.col
+    return rows.filter(text.blank_to_null(c("number")).isNotNull()).select(
+        text.whole_number(c("number"), "bigint").alias("source_id"),
+        F.trim(c("name")).alias("name"),
+        F.trim(F.coalesce(F.nullif(c("type"), F.lit("")), F.lit("Other"))).alias("source_type"),
+        F.coalesce(text.link(c("url_href"), c("url_text")), F.lit("")).alias("url"),
+        c("notes"),
+    )
+
+
 def workbook_rows(meetings: DataFrame, columns: list[str]) -> DataFrame:
     """Every value as text in a fixed order; nothing is an empty text."""
     return meetings.select(*(F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in columns))
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of a folder, with the file each came from; no folder, no rows."""
+    """JSON lines of a folder with their file and load_seq, the order of files by name and of entries in them; no folder, no rows.
+
+    Only the rows of one file are put in order together, and files of a ledger
+    are written by people.
+    """
     from py4j.java_gateway import java_import
 
     jvm = spark.sparkContext._jvm
     java_import(jvm, "org.apache.hadoop.fs.Path")
     where = jvm.Path(path)
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], f"{schema}, source_file string")
-    return spark.read.schema(schema).json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
+        return spark.createDataFrame([], f"{schema}, source_file string, load_seq string")
+    rows = spark.read.schema(schema).json(path).select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    place = Window.partitionBy("source_file").orderBy("_block", "_row")
+    seq = F.concat("source_file", F.lit("#"), F.lpad(F.row_number().over(place).cast("string"), 10, "0"))
+    return rows.withColumn("load_seq", seq).drop("_block", "_row")
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:

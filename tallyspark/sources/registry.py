@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,17 +16,52 @@ from ..operators import contracts
 CORRUPT = "_corrupt"
 
 
+def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The header of each file of a file, folder or pattern; one line a file is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    left, found = list(fs.globStatus(where) or ()), {}
+    while left:
+        entry = left.pop()
+        at = entry.getPath()
+        if at.getName().startswith(("_", ".")):
+            continue
+        if entry.isDirectory():
+            left += fs.listStatus(at)
+            continue
+        stream, codec = fs.open(at), codecs.getCodec(at)
+        try:
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            found[at.toString()] = tuple(next(csv.reader([(lines.readLine() or "").removeprefix("\ufeff")]), ()))
+        finally:
+            stream.close()
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, licensed: bool = False) -> DataFrame:
-    """All columns as strings under an explicit schema, and the ragged lines.
+    """All columns as strings under the names of their own file's header, and the ragged lines.
 
-    Parsing all columns keeps ragged lines apart whatever is selected later.
-    The header line alone is read first, so a refused column stops the job
-    before any row is.
+    The header of every file is checked first, so a refused column in any of
+    them stops the job before a row is read.  Files of different headers are
+    read apart and put together by name; a column that a file lacks is null in
+    its rows.  Parsing all columns keeps ragged lines apart whatever is
+    selected later.
     """
-    columns = spark.read.option("header", True).option("escape", '"').csv(path, inferSchema=False).columns
-    contracts.check_headers(columns, licensed)
-    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    files: dict[tuple[str, ...], list[str]] = {}
+    for name, columns in sorted(headers(spark, path).items()):
+        contracts.check_headers(list(columns), licensed)
+        files.setdefault(columns, []).append(name)
+    contracts.check_headers([c for columns in files for c in columns], licensed)
+    parts = []
+    for columns, names in files.items():
+        # Of columns of one name the last counts.
+        last = {contracts.header(c): f"c{i}" for i, c in enumerate(columns)}
+        schema = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))), T.StructField(CORRUPT, T.StringType())])
+        rows = spark.read.schema(schema).option("header", True).option("escape", '"').option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(names)
+        parts.append(rows.select(*(F.col(c).alias(h) for h, c in last.items()), CORRUPT))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _strings(df: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -73,6 +73,41 @@ def test_empty_file_and_refused_column(spark, csv):
         registry.read_csv(spark, csv("First_name,SSN", "a,b"))
 
 
+def test_every_file_of_a_folder_is_checked_and_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Registration_Number,Last_name,First_name,Residence_zipcode\n9000001,Bee,Ann,30303\n")
+    (tmp_path / "b.csv").write_text("First_name,Registration_Number,Last_name,Land_district\nBob,9000002,Cee,x\nCy,9000003,Dee\n")
+    good, bad = registry.load(spark, str(tmp_path))
+    assert {(r.voter_id, r.first_name, r.last_name, r.residence_zip5) for r in good.collect()} == {(9000001, "Ann", "Bee", "30303"), (9000002, "Bob", "Cee", None)}
+    assert [(r.voter_id, r.violations) for r in bad.collect()] == [(9000003, ["ragged"])]
+    (tmp_path / "c.csv").write_text("Registration_Number,Last_name,SSN,Residence_zipcode\n9000004,Eee,123456789,30303\n")
+    with pytest.raises(contracts.ContractError, match="ssn"):
+        registry.load(spark, str(tmp_path))
+    (tmp_path / "c.csv").write_text("")
+    with pytest.raises(contracts.ContractError, match="header"):
+        registry.load(spark, str(tmp_path))
+
+
+def test_ledger_rules_are_broken_one_by_one(spark):
+    fine = {"suppression_id": "s1", "voter_id": 1, "action": "suppress", "reason": "r", "requested_by": "b", "supersedes": None}
+    breaks = [{}, {"suppression_id": " "}, {"voter_id": None}, {"action": "hide"}, {"action": None}, {"reason": ""}, {"requested_by": None}, {"action": "unsuppress"}, {"action": "unsuppress", "supersedes": "s0"}]
+    rows = spark.createDataFrame([(i, *{**fine, **b}.values()) for i, b in enumerate(breaks)], "i int, suppression_id string, voter_id long, action string, reason string, requested_by string, supersedes string")
+    got = {r.i: r.violations for r in contracts.checked(rows, contracts.suppression_rules()).collect()}
+    assert got == {0: [], 1: ["id"], 2: ["voter_id"], 3: ["action"], 4: ["action"], 5: ["reason"], 6: ["requested_by"], 7: ["supersedes"], 8: []}
+    fine = {"correction_id": "c1", "meeting_id": 1, "target_column": "chair", "reason": "r", "corrected_by": "b", "said": "2024-01-01"}
+    breaks = [{}, {"correction_id": ""}, {"meeting_id": None}, {"target_column": "meeting_date"}, {"reason": " "}, {"corrected_by": None}, {"said": "soon"}, {"said": None}]
+    rows = spark.createDataFrame([(i, *{**fine, **b}.values()) for i, b in enumerate(breaks)], "i int, correction_id string, meeting_id long, target_column string, reason string, corrected_by string, said string").withColumn("corrected_at", F.col("said").try_cast("timestamp"))
+    got = {r.i: r.violations for r in contracts.checked(rows, contracts.given_as(contracts.correction_rules(), "said", "corrected_at")).collect()}
+    assert got == {0: [], 1: ["id"], 2: ["meeting_id"], 3: ["column"], 4: ["reason"], 5: ["corrected_by"], 6: ["corrected_at"], 7: []}
+
+
+def test_table_checks(spark):
+    rows = [(1, 1900, "30303"), (2, 1899, "30303"), (3, None, "303"), (4, 2100, None), (4, 2000, None), (None, 2000, None)]
+    bad = contracts.check_table(spark.createDataFrame(rows, "voter_id long, birth_year int, residence_zip5 string"), "voter.voters", "voter_id")
+    assert sorted(((r.voter_id, r.violations) for r in bad.collect()), key=str) == sorted([(2, ["birth_year"]), (3, ["zip5"]), (4, ["repeated"]), (4, ["repeated"]), (None, ["key"])], key=str)
+    with pytest.raises(contracts.ContractError):
+        contracts.check_table(spark.range(1).withColumn("ssn", F.lit("1")), "voter.voters", "id")
+
+
 def test_publication():
     assert contracts.publishable("seb.meetings") == "seb.meetings"
     for name in (*schemas.DENIED, "other.table"):

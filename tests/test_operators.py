@@ -213,3 +213,35 @@ def test_feed(spark, tmp_path):
     assert rows["abc"].published_date == D(2026, 3, 18) and rows["abc"].description is None and rows["abc"].video_url == "https://y.example/abc"
     assert rows["def"].published_date == D(2026, 2, 19) and rows["def"].video_url.endswith("watch?v=def")
     assert feeds.read_ledger(spark, f"{tmp_path}/none", "id string").count() == 0
+
+
+def test_views_across_pipelines_come_last(spark):
+    from tallyspark.operators import views
+
+    builders = {name: (lambda n=name: spark.range(1).selectExpr(f"'{n}' AS name")) for name in ("voter.b", "analytics.a", "seb.c")}
+    for _ in range(2):
+        assert views.register(spark, builders) == ["seb.c", "voter.b", "analytics.a"]
+    assert spark.table("analytics_a").first().name == "analytics.a"
+
+
+def test_ledger_keeps_the_order_of_files_and_entries(spark, tmp_path):
+    from tallyspark.sources import feeds
+
+    (tmp_path / "b.json").write_text("".join(f'{{"id": "b{k}"}}\n' for k in (2, 1)))
+    (tmp_path / "a.json").write_text("".join(f'{{"id": "a{k}"}}\n' for k in (9, 3, 5)))
+    rows = feeds.read_ledger(spark, str(tmp_path), "id string").orderBy("load_seq").collect()
+    assert [r.id for r in rows] == ["a9", "a3", "a5", "b2", "b1"]
+    assert feeds.read_ledger(spark, f"{tmp_path}/none", "id string").count() == 0
+
+
+def test_registry_load(spark):
+    import datetime as dt
+
+    from tallyspark.plans import jobs
+
+    at = dt.datetime(2024, 5, 1)
+    schema = "voter_id long, last_name string, source string, loaded_at timestamp"
+    known = spark.createDataFrame([(1, "Old", "manual", None), (2, "Stays", "manual", None)], schema)
+    good = spark.createDataFrame([(1, "New"), (3, "More")], "voter_id long, last_name string")
+    rows = {r.voter_id: (r.last_name, r.source, r.loaded_at) for r in jobs.load_registry(known, good, "file", at).collect()}
+    assert rows == {1: ("New", "file", at), 2: ("Stays", "manual", None), 3: ("More", "file", at)}

@@ -32,6 +32,11 @@ def test_feed_upsert(spark, tmp_path):
         drained(jobs.upsert_videos(spark.readStream.schema(schema).json(f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp"))
     got = {r.video_id: r.video_url for r in spark.read.parquet(f"{tmp_path}/t/v1").collect()}
     assert got == {"a": "u2", "b1": "w", "b2": "w"}
+    # A new checkpoint counts from 0 again; the table goes on from its last version.
+    spark.createDataFrame([("c", "n", 3)], schema).coalesce(1).write.json(f"{tmp_path}/more")
+    drained(jobs.upsert_videos(spark.readStream.schema(schema).json(f"{tmp_path}/more"), f"{tmp_path}/t", f"{tmp_path}/cp2"))
+    assert jobs.latest_version(spark, f"{tmp_path}/t") == 2
+    assert {r.video_id for r in spark.read.parquet(f"{tmp_path}/t/v2").collect()} == {"a", "b1", "b2", "c"}
 
 
 def test_request_counts_and_limiter(spark, sf, tmp_path):
