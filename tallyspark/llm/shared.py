@@ -84,7 +84,7 @@ def scratch() -> Iterator[None]:
     try:
         yield
     finally:
-        _scratch.remove(inside)
+        _scratch.pop()
         discard(*inside)
 
 
