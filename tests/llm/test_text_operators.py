@@ -192,7 +192,8 @@ def test_pages_of_any_markup_are_read_in_linear_time():
     import time
 
     began = time.time()
-    for source, text in (("x<a" * 100_000, "x<a" * 100_000), ("<a" * 100_000 + ">y", "y"), ("<a '\">z" * 30_000, "z" * 30_000), ("<!" * 100_000, "<!" * 100_000), ("<div>" * 30_000 + "</section>" * 30_000 + "w", "w"), ("<!--" * 100_000, ""), ("v<!-- c", "v"), ("<!-- c -->u", "u"), ("1 < 2 <b>t</b>", "1 < 2 t")):
+    # In the third the quotes of a tag end in the next two, so of three one is text.
+    for source, text in (("x<a" * 100_000, "x<a" * 100_000), ("<a" * 100_000 + ">y", "y"), ("<a '\">z" * 30_000, "z" * 10_000), ("<!" * 100_000, "<!" * 100_000), ("<div>" * 30_000 + "</section>" * 30_000 + "w", "w"), ("<!--" * 100_000, ""), ("v<!-- c", "v"), ("<!-- c -->u", "u"), ("1 < 2 <b>t</b>", "1 < 2 t")):
         assert "".join(t for _, t in extraction.Page(source).blocks) == text
     assert time.time() - began < 10
 
