@@ -128,7 +128,8 @@ def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
     place = F.struct("key", "at", "lead", "span")
 
     run, kind = Window.partitionBy("kh"), Window.partitionBy("kh", "cd")
-    rare = rows.join(hot, "kh", "left_anti").withColumn("copies", F.count("*").over(kind)).withColumn("nth", F.row_number().over(kind.orderBy("key", "at")))
+    # Dealt by run and sorted once, which serves all three windows.
+    rare = rows.join(hot, "kh", "left_anti").repartition("kh").withColumn("nth", F.row_number().over(kind.orderBy("key", "at"))).withColumn("copies", F.count("*").over(kind))
     rare = rare.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(run)).filter("copies > 1 OR kinds > 1")
     rare = stored(rare.withColumn("first", F.col("nth") == 1).drop("cd", "nth"), "suffix-marks")
 
