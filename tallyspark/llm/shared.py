@@ -68,9 +68,29 @@ def stored(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) ->
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, but dealt into buckets by ``key``: joins on it send only the other side.
+
+    ``key`` should be unique, as a bucket isn't split.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = f"{name}-{uuid.uuid4().hex}"
+    path, table_name = f"{shared_folder(spark)}/{unique}", unique.replace("-", "_")
+    dealt = df.repartition(n, key).write.bucketBy(n, key).format("parquet")
+    dealt.option("compression", "zstd").option("path", path).saveAsTable(table_name)
+    out = spark.table(table_name)
+    out.stored_at, out.stored_table = path, table_name
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
+        if hasattr(df, "stored_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.stored_table}")
         jvm = df.sparkSession.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(df.stored_at)
         where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

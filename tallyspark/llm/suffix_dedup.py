@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import clean_columns, frequent, scratch, slices, stored, text_buffer
+from .shared import bucketed, clean_columns, frequent, scratch, slices, stored, text_buffer
 from .words import mix, powers, prefix_sums, word_spans
 
 LENGTH = 400
@@ -291,10 +291,6 @@ def counted_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return strings.filter("NOT whole").join(repeated, ["kh", "string"], "left_semi").select("key", "start", (F.col("start") + length).cast("int").alias("stop"))
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("key", F.xxhash64("doc_id", "text"))
-
-
 def merged(spans: DataFrame) -> DataFrame:
     """key, spans: the maximal runs that the spans of a key cover, however often they repeat."""
     once = spans.groupBy("key", "start").agg(F.max("stop").alias("stop"))
@@ -343,7 +339,12 @@ def each_kept(batches: Iterator[pa.RecordBatch], over_words: int = 0) -> Iterato
 
 
 def joined(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    docs = with_key(docs)
+    """The documents with ``spans``.
+
+    They are written once, with a key for each row, in buckets by it, so both
+    joins on the key send spans, never texts.
+    """
+    docs = bucketed(docs.withColumn("key", F.monotonically_increasing_id()), "suffix-documents", "key")
     return docs.join(removals(docs, length), "key", "left")
 
 
@@ -361,7 +362,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return joined(docs, length).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    with scratch():
+        out = joined(docs, length).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        return stored(out, "suffix-digests", keep=True)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -> DataFrame:
