@@ -14,7 +14,9 @@ cost: any order that all sets share gives the same links.
 Documents of equal sets form classes first, and only one document of a class
 goes on.  Where thousands share a prefix shingle, each document is compared
 with few hubs before all others: pairs inside one component need no check, as
-a component is all that is asked for.  What then still lies in different
+a component is all that is asked for.  A hub is the document in which the
+shingle has the fewest rarer ones before it, so a plain copy comes before
+edited ones.  What then still lies in different
 components is compared pair by pair, so no link between components is lost.
 Shingles that very many prefixes hold are found by a sample and never meet in
 one task: their rows are summed up and joined, both of which Spark can split.
@@ -52,6 +54,8 @@ SKETCH_PARTS = 16
 MOST_MATCHES = 4
 COMPARE_COST = 4.0
 SLICE = 1 << 20
+#: Set sizes fall into this many classes for each factor of e.
+CLASSES = 20
 
 
 def sketch_cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,6 +177,24 @@ def early(a: str, b: str):
     return (F.col(f"{a}_at") <= last(a)) & (F.col(f"{b}_at") <= last(b))
 
 
+def size_class(n):
+    return F.floor(F.log(n) * CLASSES)
+
+
+def with_classes(rows: DataFrame, own: str, others: str) -> DataFrame:
+    """The rows once for each class of sizes among which a token at their place may decide.
+
+    The bound of ``early``, solved for the other set's size: the later the
+    place, the smaller that set must be.  Rows that no size allows go.
+    """
+    num, den = SIMILAR
+    most = F.floor((F.col("n") + F.col("matches") - 1 - F.col("at")) * (num + den) / num) - F.col("n")
+    least, top = F.ceil(F.col("n") * num / den), F.least(most, F.floor(F.col("n") * den / num))
+    kept = rows.withColumns({"from": least, "to": top}).filter("`from` <= `to`")
+    kept = kept.withColumn(own, size_class("n")).withColumn(others, F.explode(F.sequence(size_class("from"), size_class("to"))))
+    return kept.drop("from", "to")
+
+
 def pair_slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts of both sides have about ``SLICE`` bytes."""
     size = sum(np.diff(text_buffer(rows.column(c))[1]) for c in ("x_text", "y_text"))
@@ -229,11 +251,11 @@ def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def open_rows(rows: DataFrame) -> DataFrame:
     """Rows of tokens whose documents lie in several components, with the token's main component.
 
-    hub is the least document of the token, other the least one outside the
-    hub's component.  Only sums and least values are taken by token.
+    hub is the document of the token in which it comes first, other the one
+    outside the hub's component.  Only sums and least values are taken by token.
     """
     rows = stored(rows, "jaccard-labelled")
-    parts = rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "n", "matches", "c")).alias("least"))
+    parts = rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min(F.struct("at", "doc_id", "n", "matches", "c")).alias("least"))
     parts = stored(parts, "jaccard-parts")
     # Sums are written before they are joined, as Spark splits a hot key only where a shuffle feeds the join.
     tokens = stored(parts.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.min("least").alias("hub"), F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds"), "jaccard-tokens")
@@ -248,8 +270,19 @@ def hub_tries(rows: DataFrame) -> DataFrame:
 
 
 def best_tries(tries: DataFrame) -> DataFrame:
-    best = tries.groupBy("x").agg(F.max_by("y", F.struct("met", -F.col("y"))).alias("y"))
-    return stored(best.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "jaccard-tries")
+    """x and its one hub y."""
+    return stored(tries.groupBy("x").agg(F.max_by("y", F.struct("met", -F.col("y"))).alias("y")), "jaccard-tries")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+
+
+def hub_labels(links: DataFrame) -> DataFrame:
+    """node, component: each linked x gets the label of its hub y, which may hang on a third or on x."""
+    upper = links.select(F.col("x").alias("y"), F.col("y").alias("top"))
+    component = F.when(F.col("top") == F.col("x"), F.least("x", "y")).otherwise(F.coalesce("top", "y"))
+    return links.join(upper, "y", "left").select(F.col("x").alias("node"), component.alias("component"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -272,20 +305,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # Only what shares a token is ever compared.
         texts = stored(known.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "jaccard-texts")
 
-        # First every document with the least one of a token.
-        hubs = stored(shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "matches")).alias("hub")), "jaccard-hubs")
-        tried = best_tries(hub_tries(shared.join(hubs, "token")))
-        links = stored(linked(tried, texts), "jaccard-links")
-        # Of two linked documents the greater gets the label of the lesser, which may hang on a third.
-        up = links.groupBy("x").agg(F.min("y").alias("y"))
-        upper = up.select(F.col("x").alias("y"), F.col("y").alias("top"))
-        labels = up.join(upper, "y", "left").select(F.col("x").alias("node"), F.coalesce("top", "y").alias("component"))
-        rows = open_rows(with_labels(shared, labels))
-        # Then with the least one of another component.
+        # First every document with the hub of a token.
+        hubs = stored(shared.groupBy("token").agg(F.min(F.struct("at", "doc_id", "n", "matches")).alias("hub")), "jaccard-hubs")
+        first = best_tries(hub_tries(shared.join(hubs, "token")))
+        links = stored(linked(first, texts), "jaccard-links")
+        rows = open_rows(with_labels(shared, hub_labels(links)))
+        # Then with the hub or, in its component, with the other.
         rows_of = rows.withColumn("hub", F.when(F.col("c") != F.col("hub.c"), F.col("hub")).otherwise(F.col("other")))
-        old = tried.select("x", "y").unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        old = first.unionByName(first.select(F.col("y").alias("x"), F.col("x").alias("y")))
         more = best_tries(hub_tries(rows_of).join(old, ["x", "y"], "left_anti"))
-        tried = tried.unionByName(more)
+        tried = ordered(first.unionByName(more))
         links = stored(links.unionByName(linked(more, texts)), "jaccard-links")
         labels = stored(components(links), "jaccard-labels")
         rows = open_rows(with_labels(rows.drop("main", "hub", "other"), labels))
@@ -293,9 +322,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
         # Every pair of a token across components has a row outside the token's main component.
         side = lambda p: [F.col("doc_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "matches", "at", "c"))]
-        x = rows.filter("c <> main").select("token", *side("x"))
-        y = rows.select("token", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
-        pairs = x.join(y, "token").filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
+        x = with_classes(rows.filter("c <> main"), "x_class", "y_class").select("token", "x_class", "y_class", *side("x"))
+        y = with_classes(rows, "y_class", "x_class").select("token", "x_class", "y_class", *side("y"), (F.col("c") == F.col("main")).alias("in_main"))
+        pairs = x.join(y, ["token", "x_class", "y_class"]).filter((F.col("x_c") != F.col("y_c")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & similar_sizes("x_n", "y_n") & early("x", "y"))
         pairs = pairs.groupBy(F.least("x", "y").alias("y"), F.greatest("x", "y").alias("x"), F.least("x_matches", "y_matches").alias("need")).agg(F.count("*").alias("met")).filter("met >= need")
         rest = stored(pairs.select("x", "y").join(tried, ["x", "y"], "left_anti"), "jaccard-rest")
         # What is left links whole components.

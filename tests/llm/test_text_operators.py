@@ -67,6 +67,14 @@ def test_near_duplicates(spark):
         rows.append((100 + k, " ".join(words)))
     rows += [(300 + k, shared + " " + " ".join(f"u{k}-{i}" for i in range(12 + k))) for k in range(30)]
     rows += [(400, shared), (401, shared.upper())]
+    # A plain text whose id is greater than those of its copies, which are edited more and more.
+    plain = [f"p{i}" for i in range(120)]
+    for k in range(60):
+        words = list(plain)
+        for j in range(k % 6):
+            words[(7 * k + 19 * j) % 120] = f"e{k}-{j}"
+        rows.append((500 + k, " ".join(words[k % 4 :])))
+    rows.append((900, " ".join(plain)))
     sets = {}
     for i, t in rows:
         w = WORD.findall((t or "").translate(LOWER))
