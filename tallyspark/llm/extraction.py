@@ -428,9 +428,11 @@ def with_model(pages: DataFrame) -> DataFrame:
     """host, model: the html of the page of least page-id hash, found by ids alone."""
     some = pages.filter("length(html) > 0").select("host", "page_id", "html", F.xxhash64("page_id").alias("h"))
     least = some.groupBy("host").agg(F.min(F.struct("h", "page_id")).alias("least")).select("host", "least.*")
+    # Written first, so that its size decides whether it is broadcast; beyond that the join deals pages by id, not by host.
+    least = stored(least.select(F.col("host").alias("least_host"), F.col("h").alias("least_h"), F.col("page_id").alias("least_id")), "wrapper-least")
     # Rows of one page id may differ: the least text of them is the model.
     same = F.col("page_id").eqNullSafe(F.col("least_id"))
-    chosen = some.join(least.withColumnsRenamed({"h": "least_h", "page_id": "least_id"}), "host").filter((F.col("h") == F.col("least_h")) & same)
+    chosen = some.join(least, (F.col("host") == F.col("least_host")) & (F.col("h") == F.col("least_h")) & same)
     return stored(chosen.groupBy("host").agg(F.min("html").alias("model")), "wrapper-models")
 
 
