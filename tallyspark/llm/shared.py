@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{_own_folder[0]}"
 
 
-_scratch: list[list[DataFrame]] = []
+#: The stored tables of each ``scratch`` around; every thread has its own.
+_scratch: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("scratch", default=())
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> DataFrame:
@@ -62,8 +64,8 @@ def stored(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) ->
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
-    around = _scratch[: len(_scratch) - keep]
-    if around:
+    around = _scratch.get()
+    if around := around[: len(around) - keep]:
         around[-1].append(out)
     return out
 
@@ -81,8 +83,8 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     dealt.option("compression", "zstd").option("path", path).saveAsTable(table_name)
     out = spark.table(table_name)
     out.stored_at, out.stored_table = path, table_name
-    if _scratch:
-        _scratch[-1].append(out)
+    if around := _scratch.get():
+        around[-1].append(out)
     return out
 
 
@@ -100,11 +102,11 @@ def discard(*tables: DataFrame) -> None:
 def scratch() -> Iterator[None]:
     """Tables stored inside are deleted at the end, but for those to keep."""
     inside: list[DataFrame] = []
-    _scratch.append(inside)
+    before = _scratch.set((*_scratch.get(), inside))
     try:
         yield
     finally:
-        _scratch.pop()
+        _scratch.reset(before)
         discard(*inside)
 
 

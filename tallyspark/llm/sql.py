@@ -71,9 +71,42 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transf
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
 
+AUDIT = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, {WORDS.format(x="x")} AS ws, coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false) AS copy FROM t),
+known AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * (length(x) - length(regexp_replace(x, '[A-Z]', '', 'g'))) > 3 * length(x), regexp_matches(x, '[#$%&*|]'), copy] AS f,
+ coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN known USING (doc_id)),
+c AS (SELECT part, f, good, toxic, count(*) AS n FROM d GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+p AS (SELECT filter_order, CAST(step AS INT) AS step, ascii(filter_order[step]) - 64 AS k, list_transform(range(1, step), lambda i: ascii(filter_order[i]) - 64) AS before FROM o, range(1, 6) r(step)),
+e AS (SELECT part, filter_order, step, k, n, good, toxic, f[k] AS fails, len(list_filter(before, lambda b: f[b])) > 0 AS earlier, len(list_filter(f, lambda v: v)) = 1 AS once FROM c, p),
+s AS (SELECT part, filter_order, step, k, sum(CASE WHEN NOT fails AND NOT earlier THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails AND NOT earlier THEN n ELSE 0 END) AS removed, sum(CASE WHEN fails AND earlier THEN n ELSE 0 END) AS redundant,
+ sum(CASE WHEN fails AND once THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN fails AND NOT earlier AND good THEN n ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT earlier AND toxic THEN n ELSE 0 END) AS toxic_lost FROM e GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+ CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM s
+"""
+
+LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = "regexp_extract_all(" + LOWER + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {TERMS.format(x="coalesce(text, '')")} AS ts FROM documents),
+z AS (SELECT count(*) FILTER (len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM t),
+d AS (SELECT r, doc_id, 100 - 25 + (25 * len(ts) * z.n) // z.l AS m FROM t, z WHERE len(ts) > 0),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM t) GROUP BY r, term),
+q AS (SELECT i, item_id, term, count(*) AS k FROM (SELECT i, item_id, unnest({TERMS.format(x="coalesce(text, '')")}) AS term FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)) GROUP BY i, item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * z.n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), z),
+s AS (SELECT i, item_id, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (r) GROUP BY i, item_id, r)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT item_id, d.doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, d.doc_id) AS rank FROM s JOIN d USING (r) WHERE score > 0) WHERE rank <= 20
+"""
+
 SQL = {
     "op2_quality_rules": _quality(),
     "op7_chat_formatting": _chat(),
     "op8_ngram_jaccard_join": JACCARD,
     "op9_exact_top_k": TOP_K,
+    "op11_filter_interaction_audit": AUDIT,
+    "op13_ranked_lexical_search": LEXICAL,
 }
