@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, extraction, filter_audit, jaccard, lexical, packing, pieces, quality, secrets, suffix_dedup, toxicity, vector_search
+from . import chat, extraction, filter_audit, jaccard, lexical, packing, pieces, pii, quality, secrets, suffix_dedup, toxicity, vector_search
 from .shared import table
 from .sql import SQL
 
@@ -67,9 +67,13 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup, op11_filter_interaction_audit, op13_ranked_lexical_search)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_toxicity, op4_html_extraction, op5_packing, op6_secret_scan, op7_chat_formatting, op8_ngram_jaccard_join, op9_exact_top_k, op10_suffix_array_dedup, op11_filter_interaction_audit, op12_personal_data, op13_ranked_lexical_search)}
 __all__ = ["QUERIES", "SQL"]
