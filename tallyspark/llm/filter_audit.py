@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from .words import SPACE
 
 #: Bytes of text in a shard; a longer text is a shard of its own.
 SHARD_BYTES = 8 << 20
+#: Rows of distinct words of shards that a task numbers at once.
+HELD_ROWS = 1_000_000
 FILTERS = "ABCDE"
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#$%&*|")] = True
@@ -41,6 +44,7 @@ SYMBOLS[list(b"#$%&*|")] = True
 MARKS = "doc_id array<long>, lang array<string>, digest array<binary>, points array<long>, capitals array<long>, symbol array<boolean>"
 SHARD = f"shard long, {MARKS}, words array<string>, indptr binary, indices binary, counts binary"
 MATRIX = f"shard long, {MARKS}, indptr binary, indices binary, counts binary"
+NUMBERS = {"part": "int", "shard": "long", "places": "binary", "ids": "binary", "words": "array<string>"}
 FLAGS = "doc_id long, part string, digest binary, n_words long, n_distinct long, failed int"
 
 
@@ -66,49 +70,74 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += 1
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """word, id: the distinct words numbered from 0 without gaps.
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the words of a partition and packs the numbers by shard; the words themselves come last.
 
-    Each partition numbers its own words; the sums of the partitions before it
-    make the numbers global.  They are written once, so a lost task can't give
-    a word another number.
+    Only the words that differ are held; what a shard has is packed away
+    whenever ``HELD_ROWS`` rows have come.
     """
-    placed = stored(words.distinct().select("word", F.monotonically_increasing_id().alias("at")), "audit-words")
-    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    totals = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    # One row for each partition.
-    before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    return placed.withColumn("part", part).join(F.broadcast(before), "part").select("word", (F.col("before") + place).alias("id"))
+    part, known, held, rows = TaskContext.get().partitionId(), pa.array([], pa.string()), [], 0
+
+    def packed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        nonlocal known
+        word = table.column("word").combine_chunks()
+        fresh = word.unique() if not len(known) else word.filter(pc.is_in(word, value_set=known, skip_nulls=True).fill_null(False).to_numpy(zero_copy_only=False) ^ True).unique()
+        known = pa.concat_arrays([known, fresh])
+        number = pc.index_in(word, value_set=known).to_numpy().astype(np.int32)
+        shard, place = table.column("shard").to_numpy(), table.column("place").to_numpy()
+        order = np.lexsort((place, shard))
+        shard, place, number = shard[order], place[order], number[order]
+        first = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+        cut = lambda x: [x[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(shard)], strict=True)]
+        n = len(first)
+        columns = [pa.array(np.full(n, part), pa.int32()), pa.array(shard[first]), pa.array(cut(place.astype(np.int32)), pa.binary()), pa.array(cut(number), pa.binary()), pa.nulls(n, pa.list_(pa.string()))]
+        for i in range(0, n, 64):
+            yield pa.record_batch([c.slice(i, 64) for c in columns], names=list(NUMBERS))
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD_ROWS:
+            yield from packed(pa.Table.from_batches(held))
+            held, rows = [], 0
+    if rows:
+        yield from packed(pa.Table.from_batches(held))
+    if len(known):
+        yield pa.record_batch([pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), one_list(known)], names=list(NUMBERS))
 
 
 def _renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
-            ids = row.column("ids").flatten()
-            where = np.zeros(len(ids), np.int64)
-            where[ids.field("place").to_numpy()] = ids.field("id").to_numpy()
             local = np.frombuffer(row.column("indices")[0].as_buffer(), np.int32)
-            columns = [row.column(c) if c != "indices" else pa.array([where[local].tobytes()], pa.binary()) for c in row.schema.names if c != "ids"]
-            yield pa.record_batch(columns, names=[c for c in row.schema.names if c != "ids"])
+            where = np.zeros(int(local.max(initial=-1)) + 1, np.int64)
+            for packed in row.column("numbers").flatten():
+                at, number = (np.frombuffer(packed[c].as_buffer(), np.int32) for c in ("places", "ids"))
+                where[at] = packed["before"].as_py() + number.astype(np.int64)
+            columns = [row.column(c) if c != "indices" else pa.array([where[local].tobytes()], pa.binary()) for c in row.schema.names if c != "numbers"]
+            yield pa.record_batch(columns, names=[c for c in row.schema.names if c != "numbers"])
 
 
 def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """CSR shards, and the dictionary (word, id) that names their columns.
 
     A shard has its documents' marks in order, ``indptr`` (int64), ``indices``
-    (int64 ids of words) and ``counts`` (int32).  Only the distinct words of a
-    shard meet the dictionary, so a word of every document is one row a shard.
+    (int64 ids of words) and ``counts`` (int32).  The distinct words of each
+    shard are dealt by word; a partition numbers its own, and the sums of the
+    partitions before it make the numbers global, from 0 without gaps.  They
+    are written once, so a lost task can't give a word another number.
     """
     shards = stored(clean_columns(docs, "doc_id", "lang", "text").mapInArrow(_shards, SHARD), "audit-shards")
     words = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    known = stored(dictionary(words.select("word")), "audit-dictionary")
-    ids = words.join(known, "word").groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("ids"))
-    numbered = stored(ids, "audit-numbers")
+    numbers = stored(words.repartition("word").mapInArrow(_numbered, ", ".join(f"{k} {v}" for k, v in NUMBERS.items())), "audit-numbers")
+    # One row for each partition.
+    totals = numbers.filter("shard IS NULL").select("part", F.size("words").cast("long").alias("n"))
+    before = F.broadcast(totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")))
+    known = numbers.filter("shard IS NULL").join(before, "part").select(F.posexplode("words").alias("place", "word"), "before").select("word", (F.col("before") + F.col("place")).alias("id"))
+    of_shard = numbers.filter("shard IS NOT NULL").join(before, "part").groupBy("shard").agg(F.collect_list(F.struct("before", "places", "ids")).alias("numbers"))
     # A shard of texts without words has no numbers.
-    none = F.array().cast("array<struct<place:int,id:bigint>>")
-    both = shards.drop("words").join(numbered, "shard", "left").withColumn("ids", F.coalesce("ids", none))
-    return both.mapInArrow(_renumbered, MATRIX), known
+    return shards.drop("words").join(of_shard, "shard", "left").mapInArrow(_renumbered, MATRIX), known
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -261,3 +261,10 @@ def test_personal_data_query(spark, sf):
 def test_training_repeats(seed):
     a, b = (pii.trained.__wrapped__(seed, 200, 20) for _ in range(2))
     assert (a.unary == b.unary).all() and (a.pair == b.pair).all()
+
+
+def test_numbers_of_words_met_in_parts(spark, monkeypatch):
+    """Words of a partition keep their numbers when its rows come in several turns."""
+    monkeypatch.setattr(filter_audit, "HELD_ROWS", 7)
+    monkeypatch.setattr(filter_audit, "SHARD_BYTES", 30)
+    test_matrix_is_that_of_the_texts(spark)
