@@ -31,14 +31,15 @@ from pyspark.sql import functions as F
 
 from .shared import clean_columns, scratch, slices, stored, text_buffer
 from .terms import one_list, ranges, sparse_rows
+from .words import word_spans
 
 #: Documents returned for each item.
 TOP = 20
 #: Bytes of text in a segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 16 << 20
+SEGMENT_BYTES = 4 << 20
 #: Bytes of the items that one pass over the index answers; a longer item is a pass of its own.
 ITEM_BYTES = 4 << 20
-#: What a term is, as bytes of UTF-8 and for the JVM.
+#: What a term is, as bytes of UTF-8 and as a pattern.
 SEPARATORS = np.ones(256, bool)
 SEPARATORS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -56,8 +57,15 @@ class Sizes(NamedTuple):
 
 
 def sizes(docs: DataFrame) -> Sizes:
-    n = F.regexp_count("text", F.lit(TERM))
-    row = docs.agg(F.count_if(n > 0).alias("documents"), F.coalesce(F.sum(n), F.lit(0)).alias("terms")).first()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents = terms = 0
+        for batch in batches:
+            for part in slices(batch, "text", SEGMENT_BYTES):
+                n = np.diff(word_spans(*text_buffer(part.column("text")), SEPARATORS)[2])
+                documents, terms = documents + int((n > 0).sum()), terms + int(n.sum())
+        yield pa.record_batch([pa.array([documents], pa.int64()), pa.array([terms], pa.int64())], names=["documents", "terms"])
+
+    row = clean_columns(docs, "text").mapInArrow(count, "documents long, terms long").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in Sizes._fields)).first()
     return Sizes(row.documents, row.terms)
 
 
