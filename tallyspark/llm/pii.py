@@ -39,7 +39,7 @@ SLICE_BYTES = 1 << 20
 LINKS = 1 << 16
 SWEEPS, DAMPING, SURE = 16, 0.3, 0.9
 #: Documents that the generator draws for training, and the seed of the draw.
-TRAIN_DOCS, SEED = 3000, 11
+TRAIN_DOCS, SEED = 2000, 11
 
 
 def _class(*parts: int | range | bytes) -> np.ndarray:
@@ -449,7 +449,7 @@ def as_text(texts: list[str]) -> Text:
 
 
 @functools.lru_cache(maxsize=2)
-def trained(seed: int = SEED, n: int = TRAIN_DOCS, steps: int = 400) -> Model:
+def trained(seed: int = SEED, n: int = TRAIN_DOCS, steps: int = 250) -> Model:
     """The weights of greatest pseudo-likelihood over ``n`` drawn documents, found by gradient steps."""
     rng = random.Random(seed)
     drawn = [drawn_document(rng) for _ in range(n)]
@@ -518,5 +518,6 @@ def digests(found: DataFrame) -> DataFrame:
     """Counts and digest of the base spans, and all spans as text."""
     line = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     base = F.filter("spans", lambda x: x["base"])
-    counts = [F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda kind: F.filter(base, lambda x: x["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
