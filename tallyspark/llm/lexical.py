@@ -45,10 +45,21 @@ SEPARATORS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TERM = re.compile(TERM.encode())
 
-INDEX = "segment long, doc_id array<long>, terms array<string>, df array<int>, run_ptr binary, run_m binary, run_tf binary, run_len binary, postings binary"
+INDEX = "segment long, doc_id array<long>, terms array<string>, df array<int>, strata binary, run_ptr binary, run_stratum binary, run_tf binary, run_len binary, postings binary"
 FOUND = "item int, doc_id long, score long"
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 up in the least width that holds them, the width first."""
+    kind = np.min_scalar_type(int(x.max(initial=0)))
+    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+
+
+def wide(raw: pa.Scalar) -> np.ndarray:
+    data = raw.as_buffer()
+    return np.frombuffer(data, f"u{np.frombuffer(data, np.uint8, 1)[0]}", offset=1)
+
+
 class Sizes(NamedTuple):
     """Documents with a term, and all their terms."""
 
@@ -105,14 +116,17 @@ def build_index(docs: DataFrame, size: Sizes) -> DataFrame:
                     continue
                 ordinal = np.zeros(part.num_rows, np.int64)
                 ordinal[by_length] = np.arange(len(by_length))
-                term, tf, doc = rows.indices, rows.counts, ordinal[row]
-                order = np.lexsort((doc, tf, m[row], term))
-                term, tf, doc, at_m = term[order], tf[order], doc[order], m[row][order]
-                new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (tf[1:] != tf[:-1]) | (at_m[1:] != at_m[:-1])])
+                strata, stratum = np.unique(m[by_length], return_inverse=True)
+                term, tf, doc = rows.indices.astype(np.int32), rows.counts.astype(np.int32), ordinal[row].astype(np.int32)
+                # Documents stand in order of m, so theirs is that of the strata.
+                order = np.lexsort((doc, tf, stratum[doc], term))
+                term, tf, doc = term[order], tf[order], doc[order]
+                at = stratum[doc]
+                new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (tf[1:] != tf[:-1]) | (at[1:] != at[:-1])])
                 run_ptr = np.searchsorted(term[new], np.arange(len(rows.words) + 1))
                 df = np.bincount(term, minlength=len(rows.words))
-                parts = (run_ptr, at_m[new], tf[new], np.diff(np.r_[new, len(term)]), doc.astype(np.int32))
-                columns = [pa.array([number], pa.int64()), *map(one_list, (part.column("doc_id").take(pa.array(by_length)), rows.words.cast(pa.string()), pa.array(df, pa.int32()))), *(pa.array([x.tobytes()], pa.binary()) for x in parts)]
+                parts = (strata, run_ptr, at[new], tf[new], np.diff(np.r_[new, len(term)]), doc)
+                columns = [pa.array([number], pa.int64()), *map(one_list, (part.column("doc_id").take(pa.array(by_length)), rows.words.cast(pa.string()), pa.array(df, pa.int32()))), *(pa.array([narrow(x)], pa.binary()) for x in parts)]
                 yield pa.record_batch(columns, names=[c.split()[0] for c in INDEX.split(", ")])
                 number += 1
 
@@ -139,19 +153,19 @@ class Best:
 
 class Segment:
     def __init__(self, row: pa.RecordBatch, wanted: pa.Array):
-        of = lambda c, kind=np.int64: np.frombuffer(row.column(c)[0].as_buffer(), kind)
+        of = lambda c: wide(row.column(c)[0])
         ids = row.column("doc_id").flatten()
         self.null, self.doc = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-        self.ptr, m, tf, self.length, self.postings = of("run_ptr"), of("run_m"), of("run_tf"), of("run_len"), of("postings", np.int32)
+        strata, tf = of("strata").astype(np.int64), of("run_tf").astype(np.int64)
+        self.ptr, self.length, self.postings = of("run_ptr").astype(np.int64), of("run_len"), of("postings")
+        self.strata, self.stratum = len(strata), of("run_stratum")
         #: The term of the segment for each wanted one, or -1.
         self.place = pc.index_in(wanted, value_set=row.column("terms").flatten()).fill_null(-1).to_numpy().astype(np.int64)
-        strata, self.stratum = np.unique(m, return_inverse=True)
-        self.strata = len(strata)
-        self.impact = impact(tf, m)
-        self.start = np.cumsum(self.length) - self.length
+        self.impact = impact(tf, strata[self.stratum])
+        self.start = np.cumsum(self.length, dtype=np.int64) - self.length
         # The last run of a term in a stratum has its greatest tf there.
-        self.last = np.ones(len(m), bool)
-        self.last[:-1] = m[1:] != m[:-1]
+        self.last = np.ones(len(tf), bool)
+        self.last[:-1] = self.stratum[1:] != self.stratum[:-1]
         self.last[self.ptr[1:-1][self.ptr[1:-1] > 0] - 1] = True
 
     def search(self, terms: np.ndarray, weights: np.ndarray, best: Best) -> int:
@@ -172,7 +186,7 @@ class Segment:
             chosen[order[at : at + step]] = True
             chosen &= bound >= best.least
             use = np.flatnonzero(chosen[stratum])
-            length = self.length[runs[use]]
+            length = self.length[runs[use]].astype(np.int64)
             docs = self.postings[ranges(self.start[runs[use]], length)]
             score = np.zeros(len(self.doc), np.int64)
             np.add.at(score, docs, np.repeat(gives[use], length))
