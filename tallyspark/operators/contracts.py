@@ -96,22 +96,34 @@ def given_as(rules: dict[str, Column], raw: str, parsed: str) -> dict[str, Colum
     return rules | {parsed: given.isNotNull() & F.col(parsed).isNull()}
 
 
-def table_rules(table: str) -> dict[str, Column]:
-    """What a stored table must satisfy whoever wrote it: a second layer under the row rules."""
+def table_rules(table: str, columns: Iterable[str]) -> dict[str, Column]:
+    """What a stored table must satisfy whoever wrote it: a second layer under the row rules.
+
+    A table that isn't known raises.  Of the required columns those that are
+    there are checked, as a source may hold only some.
+    """
+    if table not in schemas.REQUIRED:
+        raise ContractError(f"no table is called {table}")
     c = F.col
-    if table == "seb.meetings":
-        return {"hours_logged": ~c("hours_logged").between(0, 24)}
-    if table == "voter.voters":
-        return {"birth_year": ~c("birth_year").between(1900, 2100), "zip5": F.length("residence_zip5") != 5}
-    if table == "voter.suppressions":
-        return {"action": ~c("action").isin(*schemas.ACTIONS)}
-    return {"target_column": ~c("target_column").isin(*schemas.OVERRIDABLE)}
+    checks = {
+        "seb.meetings": {"hours_logged": ~c("hours_logged").between(0, 24)},
+        "seb.meeting_corrections": {"target_column": ~c("target_column").isin(*schemas.OVERRIDABLE)},
+        "voter.voters": {"birth_year": ~c("birth_year").between(1900, 2100), "residence_zip5": F.length("residence_zip5") != 5},
+        "voter.suppressions": {"action": ~c("action").isin(*schemas.ACTIONS)},
+    }.get(table, {})
+    names = {"residence_zip5": "zip5"}
+    there = set(columns)
+    rules = {column: c(column).isNull() for column in schemas.REQUIRED[table] if column in there}
+    for column, bad in checks.items():
+        if column in there:
+            rules[column] = rules[column] | F.coalesce(bad, F.lit(False)) if column in rules else bad
+    return {names.get(k, k): v for k, v in rules.items()}
 
 
 def check_table(df: DataFrame, table: str, key: str) -> DataFrame:
     """Rows of a stored table that break its rules, with ``violations``; a key that is null or repeats is one."""
     refuse(df.columns, schemas.CONFIDENTIAL, "confidential")
-    rows = checked(df, {"key": F.col(key).isNull(), **table_rules(table)})
+    rows = checked(df, {"key": F.col(key).isNull(), **table_rules(table, df.columns)})
     twice = repeated(df.filter(F.col(key).isNotNull()), key).select(key, F.lit(True).alias("_twice"))
     rows = rows.join(twice, key, "left").withColumn("violations", F.concat("violations", F.when(F.col("_twice"), F.array(F.lit("repeated"))).otherwise(F.array().cast("array<string>")))).drop("_twice")
     return rows.filter(F.size("violations") > 0)

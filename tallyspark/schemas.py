@@ -78,6 +78,17 @@ OVERRIDABLE = (
     "hours_logged",
 )
 
+# The tables, and the columns beside the key that must not be null in them.
+REQUIRED = {
+    "seb.meetings": "meeting_date day_of_week meeting_type meeting_format chair members_present quorum_met compliance_status".split(),
+    "seb.videos": "video_url title".split(),
+    "seb.controversies": "title status".split(),
+    "seb.sources": "name source_type url".split(),
+    "seb.meeting_corrections": "meeting_id target_column reason corrected_by corrected_at".split(),
+    "voter.voters": "first_name last_name status".split(),
+    "voter.suppressions": "voter_id action reason requested_by requested_at".split(),
+}
+
 # What may be published, what never, and columns that never leave.
 PUBLIC = ("analytics.seb_voter_overlap", "seb.controversies", "seb.meetings", "seb.sources", "seb.videos", "voter.county_registration_summary")
 DENIED = ("voter.voters", "voter.suppressions", "voter.active_suppressions", "voter.precinct_registration_summary", "seb.meeting_corrections")

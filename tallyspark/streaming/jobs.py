@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import contracts, ledger, limiter, merge
+from ..operators import contracts, ledger, limiter, tables
 
 LATE = "10 minutes"
 
@@ -36,21 +36,16 @@ def append_ledger(arrivals: DataFrame, folder: str, checkpoint: str, key: str =
     return arrivals.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
 
-def upsert_videos(arrivals: DataFrame, folder: str, checkpoint: str):
-    """Merge each batch into a new version of the videos table below ``folder``.
+def upsert_videos(arrivals: DataFrame, folder: str, checkpoint: str, buckets: int = tables.BUCKETS):
+    """Merge each batch into the videos of the store in ``folder``.
 
-    A version is written whole before the next batch reads it, so none is
-    overwritten while it is read.  Each batch starts from the last whole
-    version, whatever the checkpoint counts from; a batch that runs again only
-    merges its rows once more.
+    Only the buckets that a changed row falls into are written anew, and a
+    batch that runs again changes nothing, whatever the checkpoint counts from.
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        last = latest_version(spark, folder)
-        known = spark.createDataFrame([], batch.schema) if last is None else spark.read.schema(batch.schema).parquet(f"{folder}/v{last}")
-        number = 0 if last is None else last + 1
-        merge.merge(known, batch, "video_id", "load_seq").write.mode("overwrite").parquet(f"{folder}/v{number}")
+        with tables.Store(batch.sparkSession, folder, buckets).change() as change:
+            change.upsert("seb.videos", batch, "video_id", "load_seq")
 
     return arrivals.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
@@ -73,23 +68,6 @@ def limited_stream(requests: DataFrame, window: float = limiter.WINDOW_S, most:
     return rows.groupBy("ip").applyInPandasWithState(fold, "event_id long, ip string, allowed boolean, retry_after long", "start double, count long", "append", GroupStateTimeout.NoTimeout)
 
 
-def latest_version(spark: SparkSession, folder: str) -> int | None:
-    """The number of the last whole version below ``folder``; none before the first.
-
-    Versions that all broke off raise, as starting anew would lose the table.
-    """
-    if not _exists(spark, folder):
-        return None
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()]
-    versions = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
-    whole = [v for v in versions if _exists(spark, f"{folder}/v{v}/_SUCCESS")]
-    if versions and not whole and max(versions) > 0:
-        raise contracts.ContractError(f"{folder} has versions, but none is whole")
-    return max(whole, default=None)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

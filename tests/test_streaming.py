@@ -3,7 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from tallyspark.operators import limiter
+from tallyspark.operators import limiter, tables
 from tallyspark.plans.adapters import adapter
 from tallyspark.streaming import jobs
 
@@ -30,13 +30,17 @@ def test_feed_upsert(spark, tmp_path):
     for seq in (1, 2):
         spark.createDataFrame([("a", f"u{seq}", seq), (f"b{seq}", "w", seq)], schema).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
         drained(jobs.upsert_videos(spark.readStream.schema(schema).json(f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp"))
-    got = {r.video_id: r.video_url for r in spark.read.parquet(f"{tmp_path}/t/v1").collect()}
-    assert got == {"a": "u2", "b1": "w", "b2": "w"}
-    # A new checkpoint counts from 0 again; the table goes on from its last version.
+    store = tables.Store(spark, f"{tmp_path}/t")
+    got = {r.video_id: r.video_url for r in store.read("seb.videos").collect()}
+    assert got == {"a": "u2", "b1": "w", "b2": "w"} and store.version == 1
+    # A new checkpoint counts from 0 again; the table goes on from its last set.
     spark.createDataFrame([("c", "n", 3)], schema).coalesce(1).write.json(f"{tmp_path}/more")
     drained(jobs.upsert_videos(spark.readStream.schema(schema).json(f"{tmp_path}/more"), f"{tmp_path}/t", f"{tmp_path}/cp2"))
-    assert jobs.latest_version(spark, f"{tmp_path}/t") == 2
-    assert {r.video_id for r in spark.read.parquet(f"{tmp_path}/t/v2").collect()} == {"a", "b1", "b2", "c"}
+    assert store.version == 2
+    assert {r.video_id for r in store.read("seb.videos").collect()} == {"a", "b1", "b2", "c"}
+    # The same files once more: nothing is written.
+    drained(jobs.upsert_videos(spark.readStream.schema(schema).json(f"{tmp_path}/more"), f"{tmp_path}/t", f"{tmp_path}/cp3"))
+    assert store.version == 2
 
 
 def test_request_counts_and_limiter(spark, sf, tmp_path):
