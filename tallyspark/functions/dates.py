@@ -63,3 +63,14 @@ def loose_date(x: Column) -> Column:
     day = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
     month = F.when(t.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd"))
     return F.coalesce(day, month)
+
+
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
+def iso_time(x: Column) -> Column:
+    """An ISO day or time, with an offset or without; else null."""
+    t = F.regexp_replace(F.regexp_replace(F.trim(x), ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    # A day ends in such digits too.
+    day = F.trim(x).rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return F.when(F.trim(x).rlike(ISO_TIME), F.when(day, F.trim(x)).otherwise(t).try_cast("timestamp"))
