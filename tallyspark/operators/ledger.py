@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import OVERRIDABLE
@@ -58,6 +58,34 @@ def snapshots(ledger: DataFrame, base: DataFrame, key: str = "meeting_id") -> Da
     return rows.join(long, [key, "target_column"]).withColumn("original_value", original).drop("nth", "before", "base_value")
 
 
+def applied(batch: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeting_id") -> DataFrame:
+    """The batch with ``known`` (its id is logged), ``lost`` (a new one for no entity) and ``original_value``.
+
+    The original of the first new override of a cell is the value in effect,
+    with the logged ones applied; that of a later one is what the one before it
+    in the batch wrote.  Known and lost rows have none.
+    """
+    marked = batch.join(log.select("correction_id", F.lit(True).alias("known")), "correction_id", "left")
+    marked = marked.join(base.select(key, F.lit(True).alias("there")), key, "left")
+    marked = marked.select(*batch.columns, F.coalesce("known", F.lit(False)).alias("known"), (F.col("known").isNull() & F.col("there").isNull()).alias("lost"))
+    fresh = marked.filter("NOT known AND NOT lost")
+    ids = fresh.select(key).distinct()
+    now = effective(base.join(ids, key, "left_semi"), log.join(ids, key, "left_semi"), key)
+    columns = [c for c in OVERRIDABLE if c in base.columns]
+    cells = now.select(key, *(F.col(c).cast("string").alias(c) for c in columns)).unpivot(key, columns, "target_column", "_now")
+    order = Window.partitionBy(key, "target_column").orderBy("load_seq", "correction_id")
+    valued = fresh.withColumns({"_nth": F.row_number().over(order), "_before": F.lag("corrected_value").over(order)}).join(cells, [key, "target_column"], "left")
+    valued = valued.select(*marked.columns, F.when(F.col("_nth") == 1, F.col("_now")).otherwise(F.col("_before")).alias("original_value"))
+    rest = marked.filter("known OR lost").withColumn("original_value", F.lit(None).cast("string"))
+    return valued.unionByName(rest)
+
+
+def apply_counts() -> dict[str, Column]:
+    """{logged, applied, skipped} and lost of ``applied`` rows; a new override of an entity is logged and applied at once."""
+    new = F.count_if(~F.col("known") & ~F.col("lost"))
+    return {"logged": new, "applied": new, "skipped": F.count_if("known"), "lost": F.count_if("lost")}
+
+
 def effective(base: DataFrame, ledger: DataFrame, key: str = "meeting_id") -> DataFrame:
     """The entities with all overrides applied; a null override clears a value.
 

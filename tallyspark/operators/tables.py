@@ -25,7 +25,6 @@ from pyspark.sql.types import StructType
 
 from . import contracts
 from .files import Files
-from .ledger import latest
 
 BUCKETS = 64
 _BUCKET = "_bucket"
@@ -100,6 +99,7 @@ class Change:
         self.store, self.base = store, store.version
         self.manifest = store.manifest(self.base) if self.base is not None else {}
         self.written: list[str] = []
+        self.upserted: dict[str, int] = {}
 
     def read(self, name: str) -> DataFrame:
         """The table as this change leaves it."""
@@ -107,30 +107,35 @@ class Change:
             raise contracts.ContractError(f"there is no table {name} in {self.store.root}")
         return self.store.read_parts(self.manifest[name])
 
-    def upsert(self, name: str, rows: DataFrame, key: str, order: str, tie: str | None = None) -> int:
+    def upsert(self, name: str, rows: DataFrame, key: str, order: str, tie: str | None = None, unread: tuple[str, ...] = (), counted: Column | None = None) -> int:
         """Rows replace those of equal key, the last by ``order`` of a batch; the number of buckets written.
 
         Rows that are in the table already change nothing, so the same batch
-        again writes nothing.
+        again writes nothing; ``unread`` columns, such as a time of loading,
+        make no difference.  ``upserted`` has the number of rows, or of those
+        where ``counted`` holds.
         """
         self.create(name, rows, key)
         store, table = self.store, self.manifest[name]
         names = StructType.fromJson(table["schema"]).names
-        last = latest(rows, [key], order, tie or order).select(*names).withColumn(_BUCKET, bucket(key, table["buckets"])).persist()
+        rest = [c for c in names if c != key]
+        last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, tie or order)).alias("last"), (F.count("*") if counted is None else F.count_if(counted)).alias("_n"))
+        last = last.select(*(F.col(c if c == key else f"last.`{c}`").alias(c) for c in names), "_n", bucket(key, table["buckets"]).alias(_BUCKET)).persist()
         try:
-            reached = {r[0] for r in last.select(_BUCKET).distinct().collect()}
-            known = store.read_parts(table, reached)
+            reached = {r[0]: r[1] for r in last.groupBy(_BUCKET).agg(F.sum("_n")).collect()}
+            self.upserted[name] = self.upserted.get(name, 0) + sum(reached.values())
+            known = store.read_parts(table, set(reached))
             same = F.lit(True)
             for c in names:
-                same &= F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`"))
-            differ = last.alias("new").join(known.alias("old"), F.col(f"new.`{key}`") == F.col(f"old.`{key}`"), "left").filter(~same).select("new.*")
+                same &= F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`")) if c not in unread else F.lit(True)
             # Rows without a key are refused by the rules, so they count as changes.
-            touched = {r[0] for r in differ.select(_BUCKET).distinct().collect()}
+            differ = last.alias("new").join(known.alias("old"), F.col(f"new.`{key}`") == F.col(f"old.`{key}`"), "left").filter(~(same & F.col(f"old.`{key}`").isNotNull()))
+            touched = {r[0] for r in differ.select(F.col(f"new.{_BUCKET}")).distinct().collect()}
             if not touched:
                 return 0
             of_touched = last.filter(F.col(_BUCKET).isin(*touched))
-            rest = store.read_parts(table, touched).join(of_touched.select(key), key, "left_anti").select(*names).withColumn(_BUCKET, bucket(key, table["buckets"]))
-            self._write(name, table, rest.unionByName(of_touched.select(*names, _BUCKET)), touched)
+            kept = store.read_parts(table, touched).join(of_touched.select(key), key, "left_anti").select(*names).withColumn(_BUCKET, bucket(key, table["buckets"]))
+            self._write(name, table, kept.unionByName(of_touched.select(*names, _BUCKET)), touched)
             return len(touched)
         finally:
             last.unpersist()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address
-from ..operators import contracts, ledger, merge
+from ..operators import contracts, ledger, merge, tables
 
 
 def ingest_meetings(meetings: DataFrame, seed: DataFrame, videos: DataFrame, feed: DataFrame | None, corrections: DataFrame, tie: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -20,8 +22,8 @@ def ingest_meetings(meetings: DataFrame, seed: DataFrame, videos: DataFrame, fee
     if feed is not None:
         videos = merge.merge(videos, feed, "video_id", "load_seq", tie)
         merged = merge.fill_video_urls(merged, videos)
-    unknown = ledger.missing(corrections, "meeting_id", merged, "meeting_id")
-    result = ledger.effective(merged, corrections.join(unknown.select("correction_id"), "correction_id", "left_anti"))
+    # An override of an unknown meeting meets no row; the job that writes refuses it.
+    result = ledger.effective(merged, corrections)
     summary = result.agg(F.count("*").alias("meetings"), F.count("video_url").alias("meetings_with_video"), F.max("meeting_date").alias("latest"))
     return result, videos, summary
 
@@ -43,12 +45,86 @@ def ingest_all(tables: dict[str, DataFrame], seed: dict[str, DataFrame], feed: D
         summary = summary.crossJoin(F.broadcast(count(seed[name], f"seeded_{name}")))
     with_video = meetings.agg(F.count("video_url").alias("meetings_with_video")) if feed is not None else summary.select(F.col("seeded_meetings").alias("meetings_with_video"))
     fed = count(feed, "videos_upserted") if feed is not None else summary.select(F.lit(0).cast("long").alias("videos_upserted"))
-    unknown = ledger.missing(corrections, "meeting_id", meetings, "meeting_id")
-    applied = count(corrections.join(unknown.select("correction_id"), "correction_id", "left_anti"), "corrections_applied")
+    applied = count(corrections.join(meetings.select("meeting_id"), "meeting_id", "left_semi"), "corrections_applied")
     # One row each.
     return out, summary.crossJoin(F.broadcast(fed)).crossJoin(F.broadcast(with_video)).crossJoin(F.broadcast(applied))
 
 
+SEEDED = {"seb.meetings": "meeting_id", "seb.controversies": "controversy_id", "seb.sources": "source_id"}
+CORRECTIONS = "seb.meeting_corrections"
+LOGGED = "correction_id string, meeting_id long, target_column string, original_value string, corrected_value string, reason string, evidence_url string, corrected_by string, corrected_at timestamp, applied_at timestamp, load_seq string"
+
+
+def apply_corrections(change: tables.Change, batch: DataFrame, at: datetime) -> dict[str, int]:
+    """Log the overrides that aren't logged yet, each with the value it replaces; {logged, applied, skipped}.
+
+    The counts come from the pass that writes.  An id that occurs twice in the
+    batch raises, and so does a new override of an unknown meeting; logged ones
+    are skipped unseen.  Overrides of a later run follow all those before.
+    """
+    contracts.split_valid(batch, contracts.correction_rules(), strict=True)
+    twice = contracts.repeated(batch, "correction_id").limit(1).collect()
+    if twice:
+        raise contracts.ContractError(f"correction {twice[0].correction_id!r} occurs {twice[0].n} times in the batch")
+    empty = change.store.spark.createDataFrame([], LOGGED)
+    change.create(CORRECTIONS, empty, "correction_id")
+    run = 0 if change.base is None else change.base + 1
+    seq = F.col("load_seq") if dict(batch.dtypes)["load_seq"] == "string" else F.lpad(F.col("load_seq").cast("string"), 20, "0")
+    rows = batch.withColumns({
+        "load_seq": F.concat(F.lit(f"{run:012d}|"), seq),
+        "corrected_at": F.coalesce("corrected_at", F.lit(at).cast("timestamp")),
+        "applied_at": F.lit(at).cast("timestamp"),
+        "evidence_url": F.col("evidence_url") if "evidence_url" in batch.columns else F.lit(None).cast("string"),
+    })
+    marked = ledger.applied(rows, change.read(CORRECTIONS), change.read("seb.meetings"))
+    counts = change.append(CORRECTIONS, marked, "correction_id", ~F.col("known") & ~F.col("lost"), ledger.apply_counts())
+    if counts.pop("lost"):
+        first = marked.filter("lost").orderBy("load_seq").first()
+        raise contracts.ContractError(f"correction {first.correction_id!r} targets meeting {first.meeting_id}, which seb.meetings lacks")
+    return counts
+
+
+def ingest(store: tables.Store, seed: dict[str, DataFrame], feed: DataFrame | None, corrections: DataFrame | None, at: datetime, source: str = "workbook_v0", tie: str | None = None) -> dict:
+    """Seed, feed, gap fill and corrections as one change of the store; what landed.
+
+    The set with all five tables counts at the end or not at all.  Without a
+    feed neither videos nor gaps change, and as many meetings count as having a
+    video as were seeded.  Meetings stay as they were seeded: those in effect
+    are ``meetings_in_effect``.
+    """
+    when = F.lit(at).cast("timestamp")
+    rows = {name: seed[name] if name == "seb.sources" else seed[name].withColumn("loaded_at", when) for name in SEEDED}
+    rows["seb.meetings"] = rows["seb.meetings"].withColumn("source", F.lit(source))
+    with store.change() as change:
+        change.create("seb.meetings", rows["seb.meetings"], "meeting_id")
+        incoming = rows["seb.meetings"].withColumn("_seed", F.lit(True))
+        if feed is not None:
+            change.upsert("seb.videos", feed.withColumn("loaded_at", when), "video_id", "load_seq", tie, unread=("loaded_at",))
+            open_ = change.read("seb.meetings").filter("video_url IS NULL").join(incoming.select("meeting_id"), "meeting_id", "left_anti")
+            # Seeded rows, and others whose gap the videos fill.
+            incoming = merge.fill_video_urls(incoming.unionByName(open_.withColumn("_seed", F.lit(False))), change.read("seb.videos")).filter("_seed OR video_url IS NOT NULL")
+        rows["seb.meetings"] = incoming
+        for name, key in SEEDED.items():
+            change.upsert(name, rows[name], key, key, unread=("loaded_at",), counted=F.col("_seed") if name == "seb.meetings" else None)
+        seeded = {name.removeprefix("seb."): change.upserted[name] for name in SEEDED}
+        summary = {"seed": seeded, "videos_upserted": 0, "meetings_with_video_url": seeded["meetings"]}
+        if feed is not None:
+            change.require_references("seb.videos", "meeting_id", "seb.meetings", "meeting_id")
+            summary["videos_upserted"] = change.upserted["seb.videos"]
+            summary["meetings_with_video_url"] = change.read("seb.meetings").filter("video_url IS NOT NULL").count()
+        summary["corrections"] = {"logged": 0, "applied": 0, "skipped": 0}
+        if corrections is not None:
+            summary["corrections"] = apply_corrections(change, corrections, at)
+            change.compact(CORRECTIONS)
+    return summary
+
+
+def meetings_in_effect(store: tables.Store) -> DataFrame:
+    """The meetings of the present set with all their overrides."""
+    meetings = store.read("seb.meetings")
+    return ledger.effective(meetings, store.read(CORRECTIONS)) if CORRECTIONS in store.tables() else meetings
+
+
 def apply_suppressions(batch: DataFrame, log: DataFrame, voters: DataFrame, require_voter: bool = True) -> tuple[DataFrame, DataFrame]:
     """The ledger with a checked batch appended, and {logged, skipped}."""
     contracts.split_valid(batch, contracts.suppression_rules(), strict=True)
