@@ -47,6 +47,23 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         'clerk' AS corrected_by, 'reason' AS reason, l_shipdate AS corrected_at, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS load_seq
         FROM lineitem""",
     ),
+    # Entries of ledger files as people write them, some of which break a rule.
+    "raw_suppressions": (
+        ("events",),
+        """SELECT e, k, id, user_id, source_file, source_file || '#' || lpad(CAST(e AS STRING), 10, '0') AS load_seq, CASE k WHEN 10 THEN '[1]' WHEN 11 THEN 'x{' ELSE
+        '{"id": "' || id || '", "voter_id": ' || CASE k WHEN 0 THEN '"7"' WHEN 1 THEN '1.5' WHEN 2 THEN 'true' ELSE CAST(user_id AS STRING) END || ', "action": "' || CASE k WHEN 4 THEN 'hide' WHEN 7 THEN 'unsuppress' ELSE 'suppress' END || '"'
+        || CASE k WHEN 3 THEN '' ELSE ', "reason": "r"' END || ', "requested_by": "clerk", "requested_at": "' || CASE k WHEN 6 THEN 'soon' ELSE '2024-05-0' || CAST(1 + e % 9 AS STRING) || 'T10:00:00' END || '"}' END AS value
+        FROM (SELECT event_id AS e, event_id % 13 AS k, user_id, 'f' || CAST(event_id % 3 AS STRING) AS source_file,
+        CASE event_id % 13 WHEN 5 THEN '  ' WHEN 8 THEN 's' || CAST(event_id - 9 AS STRING) WHEN 9 THEN 's' || CAST(event_id - 10 AS STRING) ELSE 's' || CAST(event_id AS STRING) END AS id FROM events) raw_events""",
+    ),
+    "raw_corrections": (
+        ("orders",),
+        """SELECT e, k, id, source_file, source_file || '#' || lpad(CAST(e AS STRING), 10, '0') AS load_seq,
+        '{"id": "' || id || '", "meeting_id": ' || CASE k WHEN 0 THEN '"twelve"' WHEN 1 THEN '"12"' ELSE CAST(e AS STRING) END || ', "column": "' || CASE k WHEN 2 THEN 'meeting_date' ELSE ' chair ' END || '", "new_value": ' || CASE k WHEN 8 THEN 'null' ELSE '"new"' END
+        || ', "reason": "' || CASE k WHEN 4 THEN ' ' ELSE 'typo' END || '"' || CASE k WHEN 3 THEN '' ELSE ', "corrected_by": "clerk"' END || CASE k WHEN 9 THEN '' ELSE ', "corrected_at": "' || CASE k WHEN 5 THEN '2024-02-30' ELSE '2024-02-0' || CAST(1 + e % 9 AS STRING) END || '"' END || '}' AS value
+        FROM (SELECT o_orderkey AS e, o_orderkey % 11 AS k, 'f' || CAST(o_orderkey % 3 AS STRING) AS source_file,
+        CASE o_orderkey % 11 WHEN 6 THEN 'c' || CAST(o_orderkey - 18 AS STRING) WHEN 7 THEN 'c' || CAST(o_orderkey - 8 AS STRING) ELSE 'c' || CAST(o_orderkey AS STRING) END AS id FROM orders) raw_orders""",
+    ),
     "titles": (
         ("orders",),
         """SELECT o_orderkey AS title_id, CASE o_orderkey % 8

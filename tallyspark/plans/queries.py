@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address, dates, text
-from ..operators import contracts, ledger, limiter, merge, reads, views
+from ..operators import contracts, entries, ledger, limiter, merge, reads, views
 from ..sources import feeds, registry
 from . import jobs
 from .adapters import adapter, with_adapters
@@ -204,6 +204,72 @@ def correction_violations(corrections):
     return contracts.checked(corrections, contracts.correction_rules()).select("correction_id", F.array_join("violations", ",").alias("broken"))
 
 
+REPEATS = """t AS (SELECT *, first_value(load_seq) OVER (PARTITION BY id ORDER BY source_file, load_seq) AS first, min(load_seq) OVER (PARTITION BY id, source_file) AS first_here FROM {rows}),
+ r AS (SELECT *, CASE WHEN load_seq <> first THEN first END AS first_place, CASE WHEN load_seq <> first AND load_seq > first_here THEN 'repeated_in_file' WHEN load_seq <> first THEN 'repeated_across_files' END AS repeat FROM t)"""
+
+
+@query(
+    "WITH known AS (SELECT *, CASE WHEN k IN (10, 11) OR trim(id) = '' THEN 'none' || load_seq ELSE id END AS key FROM raw_suppressions), "
+    + REPEATS.format(rows="(SELECT * EXCLUDE (id), key AS id FROM known)")
+    + """ SELECT load_seq, CASE WHEN starts_with(id, 'none') THEN '' ELSE id END AS suppression_id, CASE WHEN k IN (0, 1, 2, 10, 11) THEN NULL ELSE user_id END AS voter_id,
+    CASE WHEN k NOT IN (6, 10, 11) THEN CAST('2024-05-0' || CAST(1 + e % 9 AS STRING) || ' 10:00:00' AS TIMESTAMP) END AS requested_at, coalesce(first_place, '') AS first_place,
+    concat_ws(',', CASE k WHEN 10 THEN 'not_a_mapping' WHEN 11 THEN 'not_a_mapping' WHEN 3 THEN 'missing_reason' WHEN 5 THEN 'id' WHEN 0 THEN 'voter_id' WHEN 1 THEN 'voter_id' WHEN 2 THEN 'voter_id' WHEN 4 THEN 'action' WHEN 7 THEN 'supersedes' WHEN 6 THEN 'requested_at' END, repeat) AS broken FROM r""",
+    "raw_suppressions",
+)
+def suppression_entries(raw):
+    rows = entries.suppression_entries(raw.select("value", "source_file", "load_seq"))
+    return rows.select("load_seq", "suppression_id", "voter_id", "requested_at", F.coalesce("first_place", F.lit("")).alias("first_place"), F.array_join("violations", ",").alias("broken"))
+
+
+@query(
+    "WITH "
+    + REPEATS.format(rows="raw_corrections")
+    + """ SELECT load_seq, id AS correction_id, CASE k WHEN 0 THEN NULL WHEN 1 THEN 12 ELSE e END AS meeting_id, CASE k WHEN 8 THEN NULL ELSE 'new' END AS corrected_value,
+    CASE WHEN k NOT IN (5, 9) THEN CAST('2024-02-0' || CAST(1 + e % 9 AS STRING) || ' 00:00:00' AS TIMESTAMP) END AS corrected_at, coalesce(first_place, '') AS first_place,
+    concat_ws(',', CASE k WHEN 3 THEN 'missing_corrected_by' WHEN 0 THEN 'meeting_id' WHEN 2 THEN 'column' WHEN 4 THEN 'reason' WHEN 5 THEN 'corrected_at' END, repeat) AS broken FROM r""",
+    "raw_corrections",
+)
+def correction_entries(raw):
+    rows = entries.correction_entries(raw.select("value", "source_file", "load_seq"))
+    return rows.select("load_seq", "correction_id", "meeting_id", "corrected_value", "corrected_at", F.coalesce("first_place", F.lit("")).alias("first_place"), F.array_join("violations", ",").alias("broken"))
+
+
+#: Overrides one row an id: those logged before, and a batch that holds them again beside new ones, some for meetings that are not there.
+BATCHES = """one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY correction_id ORDER BY load_seq) AS nth FROM corrections) WHERE nth = 1),
+ held AS (SELECT * FROM meetings WHERE meeting_id % 11 <> 3), log AS (SELECT * FROM one WHERE load_seq % 3 = 0)"""
+
+
+def _batches(corrections: DataFrame, meetings: DataFrame) -> DataFrame:
+    one = corrections.dropDuplicates(["correction_id"])
+    return ledger.applied(one, one.filter("load_seq % 3 = 0"), meetings.filter("meeting_id % 11 <> 3"))
+
+
+@query(
+    f"""WITH {BATCHES}, fresh AS (SELECT o.* FROM one o JOIN held h ON o.meeting_id = h.meeting_id WHERE o.load_seq % 3 <> 0),
+    base AS (SELECT meeting_id, 'chair' AS target_column, chair AS v FROM held UNION ALL SELECT meeting_id, 'quorum_met', quorum_met FROM held UNION ALL SELECT meeting_id, 'hours_logged', CAST(hours_logged AS VARCHAR) FROM held UNION ALL SELECT meeting_id, 'video_url', video_url FROM held),
+    last AS (SELECT meeting_id, target_column, CASE WHEN target_column = 'hours_logged' THEN CAST(TRY_CAST(corrected_value AS DOUBLE) AS VARCHAR) ELSE corrected_value END AS v FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id, target_column ORDER BY load_seq DESC, correction_id DESC) AS rn FROM log) WHERE rn = 1),
+    now AS (SELECT b.meeting_id, b.target_column, CASE WHEN l.meeting_id IS NULL THEN b.v ELSE l.v END AS v FROM base b LEFT JOIN last l ON b.meeting_id = l.meeting_id AND b.target_column = l.target_column),
+    ordered AS (SELECT *, row_number() OVER w AS n, lag(corrected_value) OVER w AS before FROM fresh WINDOW w AS (PARTITION BY meeting_id, target_column ORDER BY load_seq, correction_id))
+    SELECT correction_id, o.meeting_id, o.target_column, CASE WHEN n = 1 THEN v ELSE before END AS original_value FROM ordered o JOIN now ON o.meeting_id = now.meeting_id AND o.target_column = now.target_column""",
+    "corrections",
+    "meetings",
+)
+def applied_corrections(corrections, meetings):
+    """What a batch adds to the ledger: overrides that aren't logged, each with the value in effect before it."""
+    return _batches(corrections, meetings).filter("NOT known AND NOT lost").select("correction_id", "meeting_id", "target_column", "original_value")
+
+
+@query(
+    f"""WITH {BATCHES} SELECT count(*) FILTER (WHERE load_seq % 3 <> 0 AND meeting_id IN (SELECT meeting_id FROM held)) AS logged, count(*) FILTER (WHERE load_seq % 3 <> 0 AND meeting_id IN (SELECT meeting_id FROM held)) AS applied,
+    count(*) FILTER (WHERE load_seq % 3 = 0) AS skipped, count(*) FILTER (WHERE load_seq % 3 <> 0 AND meeting_id NOT IN (SELECT meeting_id FROM held)) AS lost FROM one""",
+    "corrections",
+    "meetings",
+)
+def correction_counts(corrections, meetings):
+    """How many overrides of a batch are logged and applied, skipped, and refused."""
+    return _batches(corrections, meetings).agg(*(c.alias(n) for n, c in ledger.apply_counts().items()))
+
+
 @query("SELECT video_id, count(*) AS n FROM videos GROUP BY video_id HAVING count(*) > 1", "videos")
 def repeated_keys(videos):
     return contracts.repeated(videos, "video_id")
