@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ..operators import contracts, ledger, limiter, tables
 
@@ -50,22 +54,58 @@ def upsert_videos(arrivals: DataFrame, folder: str, checkpoint: str, buckets: in
     return arrivals.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
 
-def limited_stream(requests: DataFrame, window: float = limiter.WINDOW_S, most: int = limiter.MOST) -> DataFrame:
-    """The limiter with one window start and count kept for each caller.
+class Limiter(StatefulProcessor):
+    """One window start and count for each caller, until that window has passed.
 
-    In a batch requests are taken in order of time; across batches in order of
-    arrival.
+    A caller's frames are folded one by one, so a caller with any number of
+    requests in a batch needs memory for one frame.  A timer at the end of the
+    window ends the state: whatever comes later begins a window of its own.
     """
 
-    def fold(key: tuple, frames, state: GroupState):
-        start, count = state.get if state.exists else (None, 0)
-        pdf = pd.concat(list(frames)).sort_values(["t", "event_id"], kind="stable")
-        allowed, wait, start, count = limiter.decide(pdf["t"].to_numpy(), start, count, window, most)
-        state.update((start, count))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "ip": key[0], "allowed": allowed, "retry_after": wait})
+    def __init__(self, window: float, most: int):
+        self.window_s, self.most = window, most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("window", "start double, count long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        start, count = self.state.get() if self.state.exists() else (None, 0)
+        before = start
+        for frame in rows:
+            frame = frame.sort_values(["t", "event_id"], kind="stable")
+            allowed, wait, start, count = limiter.decide(frame["t"].to_numpy(), start, count, self.window_s, self.most)
+            yield pd.DataFrame({"event_id": frame["event_id"], "ip": key[0], "allowed": allowed, "retry_after": wait})
+        self.state.update((start, count))
+        if start != before:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(math.ceil((start + self.window_s) * 1000))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
 
-    rows = requests.select("event_id", "ip", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"))
-    return rows.groupBy("ip").applyInPandasWithState(fold, "event_id long, ip string, allowed boolean, retry_after long", "start double, count long", "append", GroupStateTimeout.NoTimeout)
+
+#: The state store that timers need.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def limited_stream(requests: DataFrame, window: float = limiter.WINDOW_S, most: int = limiter.MOST, late: str = LATE) -> DataFrame:
+    """The limiter with state for callers whose window is open.
+
+    In a frame (a batch of a caller, or a part of a large one) requests are
+    taken in order of time; across frames and batches in order of arrival.  As
+    in ``request_counts``, requests later than ``late`` are dropped.  Sets the
+    session's state store to the one that keeps timers.
+    """
+    requests.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    at = F.col("ts").cast("timestamp")
+    rows = requests.withColumn("ts", at).withWatermark("ts", late).select("event_id", "ip", "ts", (F.unix_micros("ts") / 1e6).alias("t"))
+    return rows.groupBy("ip").transformWithStateInPandas(Limiter(window, most), "event_id long, ip string, allowed boolean, retry_after long", "append", "EventTime")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
