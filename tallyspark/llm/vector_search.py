@@ -44,6 +44,8 @@ CELLS = 256
 #: Blocks of a group, about; blocks that give each query its first threshold.
 GROUP_BLOCKS = 48
 SAMPLE_BLOCKS = 4
+#: Candidates of a group held at once before their exact vectors are read.
+PENDING = 1 << 20
 
 FILE = "block long, n int, dim int, ids binary, width int, data binary, low binary, step binary, cells binary"
 RESULT = "query_row long, query_id long, vec_id long, score long"
@@ -107,7 +109,19 @@ class Block:
         q, low, step = queries[:, :dim].astype(np.float64), self.low[:dim], self.step[:dim]
         about = (q * step) @ self.cells[:, :dim].T.astype(np.float64) + (q @ (low + step / 2))[:, None]
         far = np.abs(q) @ np.maximum(np.abs(low), np.abs(low + CELLS * step))
-        return about, np.abs(q) @ (step / 2) * (1 + 1e-9) + far * 1e-12 + 1
+        # A query of zeros scores 0 with any vector, so its bounds meet.
+        return about, (np.abs(q) @ (step / 2) * (1 + 1e-9) + far * 1e-12 + 1) * q.any(axis=1)
+
+    def thinned(self, k: int) -> Block:
+        """The block with the k + 1 least ids of each vector: of equal vectors no other can be among the k best of a query."""
+        same = np.unique(np.ascontiguousarray(self.exact).view(f"V{self.exact.shape[1] * self.exact.itemsize}").ravel() if self.exact.shape[1] else np.zeros(len(self.ids)), return_inverse=True)[1]
+        order = np.lexsort((self.rows, self.ids, same))
+        rank = np.arange(len(order)) - np.searchsorted(same[order], same[order])
+        if (rank <= k).all():
+            return self
+        keep, out = np.sort(order[rank <= k]), object.__new__(Block)
+        out.ids, out.rows, out.exact, out.cells, out.low, out.step = self.ids[keep], self.rows[keep], self.exact[keep], self.cells[keep], self.low, self.step
+        return out
 
     def scores(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Inner products of each query and the vector at its place, as longs."""
@@ -156,10 +170,54 @@ def best_of_group(blocks: list[Block], queries: np.ndarray, own: np.ndarray, lea
     """query, id and score of the k best candidates of each query, and the number of exact vectors read.
 
     ``own`` holds the row numbers of the queries, ``least`` the score that each
-    query's k best have in any case.
+    query's k best have in any case.  Blocks should be thinned, so that equal
+    vectors are few.  Whenever ``PENDING`` candidates are held, their vectors
+    are read and the k best so far raise what later ones must reach.
     """
-    best_low = np.full((len(queries), k), -np.inf)
-    query, block, place, upper = [], [], [], []
+    n = len(queries)
+    best_low = np.full((n, k), -np.inf)
+    nothing = np.iinfo(np.int64).min
+    score, ids, filled = np.full((n, k), nothing), np.zeros((n, k), np.int64), np.zeros((n, k), bool)
+    held: list[tuple[np.ndarray, ...]] = []
+    reads = 0
+
+    def certain() -> np.ndarray:
+        """The score that each query's k best have at least, by exact scores and lower bounds."""
+        return np.maximum(np.maximum(least, best_low[:, k - 1]), np.where(filled[:, k - 1], score[:, k - 1].astype(float), -np.inf))
+
+    def settle() -> None:
+        """Read the held candidates in the order of their bounds, twice as many each time, until the k-th score is certain."""
+        nonlocal score, ids, filled, reads
+        query, block, place, upper = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        fine = upper >= certain()[query]
+        query, block, place, upper = (x[fine] for x in (query, block, place, upper))
+        order = np.lexsort((-upper, query))
+        query, block, place, upper = (x[order] for x in (query, block, place, upper))
+        nth = np.arange(len(query)) - np.searchsorted(query, query)
+        start, size = 0, k
+        while start <= int(nth.max(initial=-1)):
+            bar = certain()
+            some = np.flatnonzero((nth >= start) & (nth < start + size) & (upper >= (bar - np.abs(np.where(np.isinf(bar), 0, bar)) * 1e-12)[query]))
+            if not len(some):
+                break
+            new_score, new_id = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
+            for number in np.unique(block[some]):
+                at = np.flatnonzero(block[some] == number)
+                new_score[at] = blocks[number].scores(queries[query[some[at]]], place[some[at]])
+                new_id[at] = blocks[number].ids[place[some[at]]]
+            reads += len(some)
+            old = np.nonzero(filled)
+            q, i, s = np.r_[old[0], query[some]], np.r_[ids[filled], new_id], np.r_[score[filled], new_score]
+            by = np.lexsort((i, -s, q))
+            q, i, s = q[by], i[by], s[by]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            top = rank < k
+            score, ids, filled = np.full((n, k), nothing), np.zeros((n, k), np.int64), np.zeros((n, k), bool)
+            score[q[top], rank[top]], ids[q[top], rank[top]], filled[q[top], rank[top]] = s[top], i[top], True
+            start, size = start + size, size * 2
+
+    pending = 0
     for number, b in enumerate(blocks):
         about, slack = b.bounds(queries)
         about[own[:, None] == b.rows[None, :]] = -np.inf
@@ -167,44 +225,22 @@ def best_of_group(blocks: list[Block], queries: np.ndarray, own: np.ndarray, lea
         top = min(k, lows.shape[1])
         lows = np.partition(lows, lows.shape[1] - top, axis=1)[:, lows.shape[1] - top :]
         best_low = -np.sort(-np.concatenate([best_low, lows], axis=1), axis=1)[:, :k]
-        floor = np.maximum(least, best_low[:, k - 1])
-        q, at = np.nonzero((about >= (floor - slack)[:, None]) & ~np.isneginf(about))
-        query.append(q), block.append(np.full(len(q), number)), place.append(at), upper.append(about[q, at] + slack[q])
-    query, block, place, upper = map(np.concatenate, (query, block, place, upper))
-    fine = upper >= np.maximum(least, best_low[:, k - 1])[query]
-    query, block, place, upper = (x[fine] for x in (query, block, place, upper))
-    order = np.lexsort((-upper, query))
-    query, block, place, upper = (x[order] for x in (query, block, place, upper))
-    nth = np.arange(len(query)) - np.searchsorted(query, query)
-    score = np.full(len(query), np.iinfo(np.int64).min)
-    ids = np.zeros(len(query), np.int64)
-    read = np.zeros(len(query), bool)
-
-    def read_exact(some: np.ndarray) -> None:
-        for number in np.unique(block[some]):
-            i = some[block[some] == number]
-            score[i] = blocks[number].scores(queries[query[i]], place[i])
-            ids[i] = blocks[number].ids[place[i]]
-        read[some] = True
-
-    # In the order of the bounds, k at a time, until none that is left can reach the k-th score.
-    for step in range(0, int(nth.max(initial=-1)) + 1, k):
-        certain = np.array(least, float)
-        if step:
-            seen = np.flatnonzero(read)
-            by = np.lexsort((-score[seen], query[seen]))
-            rank = np.arange(len(seen)) - np.searchsorted(query[seen][by], query[seen][by])
-            last = seen[by][rank == k - 1]
-            certain[query[last]] = np.maximum(certain[query[last]], score[last])
-        some = np.flatnonzero((nth >= step) & (nth < step + k) & (upper >= certain[query] - np.abs(certain[query]) * 1e-12))
-        if not len(some):
-            break
-        read_exact(some)
-    found = np.flatnonzero(read)
-    order = found[np.lexsort((ids[found], -score[found], query[found]))]
-    rank = np.arange(len(order)) - np.searchsorted(query[order], query[order])
-    keep = order[rank < k]
-    return query[keep], ids[keep], score[keep], int(read.sum())
+        near = (about >= (certain() - slack)[:, None]) & ~np.isneginf(about)
+        # Where all scores tie, the least ids are the best.
+        for row in np.flatnonzero(slack == 0):
+            at = np.flatnonzero(near[row])
+            near[row] = False
+            near[row, at[np.lexsort((b.rows[at], b.ids[at]))[:k]]] = True
+        q, at = np.nonzero(near)
+        held.append((q, np.full(len(q), number), at, about[q, at] + slack[q]))
+        pending += len(q)
+        if pending >= PENDING:
+            settle()
+            pending = 0
+    if held:
+        settle()
+    query, rank = np.nonzero(filled)
+    return query, ids[query, rank], score[query, rank], reads
 
 
 def query_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,7 +254,7 @@ def with_thresholds(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     shared = queries.sparkSession.sparkContext.broadcast([r.asDict() for r in sample])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [Block(r) for r in shared.value]
+        held = [Block(r).thinned(k) for r in shared.value]
         for batch in batches:
             least = []
             for row in batch.to_pylist():
@@ -257,7 +293,7 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
                 if row["group"] != group:
                     group, held = row["group"], []
                 if not row["turn"]:
-                    held.append(Block(row))
+                    held.append(Block(row).thinned(k))
                 elif held:
                     own, q_ids, q = query_arrays(row)
                     a, ids, s, _ = best_of_group(held, q, own, np.frombuffer(row["q_least"]), k)

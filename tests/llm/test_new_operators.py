@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyspark.llm import filter_audit, lexical, pii, registry
+from tallyspark.llm import filter_audit, lexical, pii, registry, vector_search
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -268,3 +268,39 @@ def test_numbers_of_words_met_in_parts(spark, monkeypatch):
     monkeypatch.setattr(filter_audit, "HELD_ROWS", 7)
     monkeypatch.setattr(filter_audit, "SHARD_BYTES", 30)
     test_matrix_is_that_of_the_texts(spark)
+
+
+def search_block(number, ids, part):
+    low, step, cells = vector_search.approximation(part)
+    return vector_search.Block({"block": number, "dim": part.shape[1], "width": 8, "ids": ids.astype("<i8").tobytes(), "data": part.astype("<i8").tobytes(), "low": low.tobytes(), "step": step.tobytes(), "cells": cells.tobytes()})
+
+
+@pytest.mark.parametrize("pending", [50, 1 << 20])
+def test_ties_and_zeros_among_vectors(monkeypatch, pending):
+    monkeypatch.setattr(vector_search, "PENDING", pending)
+    rng = np.random.default_rng(2)
+    pool = rng.integers(-3, 4, (12, 5))
+    v, ids = pool[rng.integers(0, 12, 900)], rng.permutation(1200)[:900] // 2
+    q = np.concatenate([pool[:4], np.zeros((2, 5), np.int64), rng.integers(-9, 9, (3, 5))])
+    blocks = [search_block(i, ids[300 * i : 300 * i + 300], v[300 * i : 300 * i + 300]) for i in range(3)]
+    own = np.array([blocks[0].rows[3], blocks[2].rows[7], *[-1] * 7])
+    rows, full = np.concatenate([b.rows for b in blocks]), q @ v.T
+    a, got, s, _ = vector_search.best_of_group([b.thinned(10) for b in blocks], q, own, np.full(9, -np.inf), 10)
+    for i in range(9):
+        want = sorted((-int(full[i, j]), int(ids[j])) for j in range(900) if rows[j] != own[i])[:10]
+        assert list(zip((-s[a == i]).tolist(), got[a == i].tolist(), strict=True)) == want
+
+
+def test_equal_vectors_take_no_square_of_time():
+    """48 blocks of one vector, 512 queries of which some are zeros: a few reads for each query."""
+    one = np.tile(np.arange(64), (4096, 1))
+    blocks = [search_block(n, np.arange(4096) + 4096 * n, one).thinned(10) for n in range(48)]
+    q = np.tile(np.arange(64), (512, 1))
+    q[::7] = 0
+    a, ids, s, read = vector_search.best_of_group(blocks, q, np.full(512, -1), np.full(512, -np.inf), 10)
+    assert read <= 512 * 48 * 11 and (ids.reshape(512, 10) == np.arange(10)).all() and (s.reshape(512, 10)[::7] == 0).all()
+    # Nothing but zero queries over vectors that all differ.
+    rng = np.random.default_rng(0)
+    blocks = [search_block(n, np.arange(4096) + 4096 * n, rng.integers(-999, 999, (4096, 64))).thinned(10) for n in range(4)]
+    a, ids, s, read = vector_search.best_of_group(blocks, np.zeros((64, 64), np.int64), np.full(64, -1), np.full(64, -np.inf), 10)
+    assert read <= 64 * 4 * 10 and (ids.reshape(64, 10) == np.arange(10)).all()
