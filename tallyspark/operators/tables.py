@@ -107,6 +107,12 @@ class Change:
             raise contracts.ContractError(f"there is no table {name} in {self.store.root}")
         return self.store.read_parts(self.manifest[name])
 
+    def matching(self, name: str, rows: DataFrame, key: str) -> DataFrame:
+        """The rows of a table whose key some of ``rows`` has: only the buckets of those keys are read."""
+        table = self.manifest[name]
+        reached = {r[0] for r in rows.filter(F.col(key).isNotNull()).select(bucket(key, table["buckets"])).distinct().collect()}
+        return self.store.read_parts(table, reached).join(rows.select(key).distinct(), key, "left_semi")
+
     def upsert(self, name: str, rows: DataFrame, key: str, order: str, tie: str | None = None, unread: tuple[str, ...] = (), counted: Column | None = None) -> int:
         """Rows replace those of equal key, the last by ``order`` of a batch; the number of buckets written.
 

@@ -47,6 +47,11 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         'clerk' AS corrected_by, 'reason' AS reason, l_shipdate AS corrected_at, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS load_seq
         FROM lineitem""",
     ),
+    "instants": (
+        ("lineitem",),
+        """SELECT CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) || '/' || CAST(l_partkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS asked_id, l_orderkey AS meeting_id,
+        CAST(CAST(l_shipdate AS DATE) + CAST((l_partkey % 7 - 3) * 40 AS INT) AS TIMESTAMP) AS asked_at FROM lineitem""",
+    ),
     # Entries of ledger files as people write them, some of which break a rule.
     "raw_suppressions": (
         ("events",),

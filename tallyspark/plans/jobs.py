@@ -138,6 +138,41 @@ def apply_suppressions(batch: DataFrame, log: DataFrame, voters: DataFrame, requ
     return ledger.append(batch, log, "suppression_id")
 
 
+SUPPRESSIONS = "voter.suppressions"
+ASKED = "suppression_id string, voter_id long, action string, reason string, requested_by string, supersedes string, requested_at timestamp, applied_at timestamp"
+
+
+def log_suppressions(change: tables.Change, batch: DataFrame, at: datetime, voters: DataFrame | None = None, once: bool = True) -> dict[str, int]:
+    """Log the requests that aren't logged yet; {logged, skipped} of the pass that writes.
+
+    Of the ledger only the buckets of the ids in the batch are read.  A broken
+    rule, a row that supersedes an id neither in the batch nor logged, one for
+    an unknown voter (if ``voters`` is given) and, with ``once``, an id that
+    occurs twice in the batch refuse the whole batch.
+    """
+    contracts.split_valid(batch, contracts.suppression_rules(), strict=True)
+    twice = contracts.repeated(batch, "suppression_id").limit(1).collect() if once else []
+    if twice:
+        raise contracts.ContractError(f"suppression {twice[0].suppression_id!r} occurs {twice[0].n} times in the batch")
+    rows = batch if once else batch.dropDuplicates(["suppression_id"])
+    change.create(SUPPRESSIONS, change.store.spark.createDataFrame([], ASKED), "suppression_id")
+    rows = rows.withColumns({"requested_at": F.coalesce("requested_at", F.lit(at).cast("timestamp")), "applied_at": F.lit(at).cast("timestamp")})
+    named = rows.filter("supersedes IS NOT NULL").select(F.col("supersedes").alias("suppression_id"))
+    logged = change.matching(SUPPRESSIONS, named.unionByName(rows.select("suppression_id")), "suppression_id").select("suppression_id")
+    lost = ledger.unresolved(rows, logged).limit(1).collect()
+    if lost:
+        raise contracts.ContractError(f"suppression {lost[0].suppression_id!r} supersedes {lost[0].supersedes!r}, which is unknown")
+    marked = rows.join(logged.withColumn("known", F.lit(True)), "suppression_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    if voters is not None:
+        # Logged requests are checked too, as they were when they came.
+        stray = ledger.missing(rows, "voter_id", voters, "voter_id").limit(1).collect()
+        if stray:
+            raise contracts.ContractError(f"suppression {stray[0].suppression_id!r} targets voter {stray[0].voter_id}, who is unknown")
+    counts = change.append(SUPPRESSIONS, marked, "suppression_id", ~F.col("known"), {"logged": F.count_if(~F.col("known")), "skipped": F.count_if("known")})
+    change.compact(SUPPRESSIONS)
+    return counts
+
+
 def load_registry(voters: DataFrame, good: DataFrame, source: str, loaded_at) -> DataFrame:
     rows = good.withColumns({"source": F.lit(source), "loaded_at": F.lit(loaded_at).cast("timestamp")})
     return merge.merge(voters, rows.select(voters.columns), "voter_id", "voter_id")

@@ -305,6 +305,22 @@ def meetings_as_of(meetings, corrections):
     return ledger.as_of(meetings, corrections, F.lit("1998-01-01").cast("timestamp"))
 
 
+@query(
+    """WITH asks AS (SELECT row_number() OVER () AS r, * FROM instants),
+    o AS (SELECT r, target_column, arg_max(struct_pack(v := corrected_value), struct_pack(a := load_seq, b := correction_id)).v AS v FROM asks a JOIN corrections c ON a.meeting_id = c.meeting_id AND c.corrected_at <= a.asked_at GROUP BY r, target_column),
+    w AS (SELECT r, bool_or(target_column = 'chair') AS has_chair, max(CASE WHEN target_column = 'chair' THEN v END) AS chair, bool_or(target_column = 'quorum_met') AS has_quorum, max(CASE WHEN target_column = 'quorum_met' THEN v END) AS quorum,
+     bool_or(target_column = 'hours_logged') AS has_hours, max(CASE WHEN target_column = 'hours_logged' THEN v END) AS hours, bool_or(target_column = 'video_url') AS has_url, max(CASE WHEN target_column = 'video_url' THEN v END) AS url FROM o GROUP BY r)
+    SELECT asked_id, asked_at, m.meeting_id, CASE WHEN has_chair THEN w.chair ELSE m.chair END AS chair, CASE WHEN has_quorum THEN w.quorum ELSE m.quorum_met END AS quorum_met,
+    CASE WHEN has_hours THEN TRY_CAST(w.hours AS DOUBLE) ELSE m.hours_logged END AS hours_logged, CASE WHEN has_url THEN w.url ELSE m.video_url END AS video_url FROM asks a JOIN meetings m ON a.meeting_id = m.meeting_id LEFT JOIN w ON w.r = a.r""",
+    "meetings",
+    "corrections",
+    "instants",
+)
+def meetings_at_instants(meetings, corrections, instants):
+    """Every asked meeting as it stood at the time asked for."""
+    return ledger.as_of_each(meetings, corrections, instants, "asked_at").select("asked_id", "asked_at", "meeting_id", "chair", "quorum_met", "hours_logged", "video_url")
+
+
 @query(
     """SELECT meeting_id, concat_ws(',', CASE WHEN compliance_status NOT IN ('Compliant', 'Notice Concerns', 'Other Concerns', 'Unreviewed') THEN 'compliance_status' END,
     CASE WHEN hours_logged > 24 OR hours_logged < 0 THEN 'hours_logged' END) AS broken FROM meetings""",

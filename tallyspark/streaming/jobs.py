@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
-from ..operators import contracts, ledger, limiter, tables
+from ..operators import limiter, tables
+from ..plans import jobs as plans
 
 LATE = "10 minutes"
 
@@ -26,16 +28,17 @@ def request_counts(requests: DataFrame, width: str = "1 hour", late: str = LATE)
     )
 
 
-def append_ledger(arrivals: DataFrame, folder: str, checkpoint: str, key: str = "suppression_id"):
-    """Append what isn't logged yet to the ledger in ``folder``; refuse bad batches whole."""
+def append_ledger(arrivals: DataFrame, folder: str, checkpoint: str, buckets: int = tables.BUCKETS):
+    """Log requests in the store in ``folder`` as they arrive; bad batches are refused whole.
+
+    A batch reads only the ledger's buckets of its own ids.  One that runs
+    again finds its ids logged and adds nothing.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        contracts.split_valid(batch, contracts.suppression_rules(), strict=True)
-        rows = batch.dropDuplicates([key])
-        if _exists(spark, folder):
-            rows = ledger.unlogged(rows, spark.read.schema(batch.schema).parquet(folder), key)
-        rows.write.mode("append").parquet(folder)
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        with tables.Store(batch.sparkSession, folder, buckets).change() as change:
+            plans.log_suppressions(change, batch, now, once=False)
 
     return arrivals.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
 
@@ -106,8 +109,3 @@ def limited_stream(requests: DataFrame, window: float = limiter.WINDOW_S, most:
     at = F.col("ts").cast("timestamp")
     rows = requests.withColumn("ts", at).withWatermark("ts", late).select("event_id", "ip", "ts", (F.unix_micros("ts") / 1e6).alias("t"))
     return rows.groupBy("ip").transformWithStateInPandas(Limiter(window, most), "event_id long, ip string, allowed boolean, retry_after long", "append", "EventTime")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

@@ -1,6 +1,7 @@
 """Known-input tests of views, ledgers, merges, reads, jobs and publication."""
 
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -97,6 +98,24 @@ def test_overrides(spark):
     assert ledger.effective(base, log.limit(0)).filter("meeting_id = 1").first().chair == "old"
 
 
+def test_each_asked_row_has_its_own_time(spark):
+    """As many rows as asked, each that of a single replay at its time; any span gives them."""
+    rng = random.Random(4)
+    base = meetings(spark, *((i, D(2024, 1, 1), "Unreviewed", None, None, f"u{i}", float(i), f"c{i}") for i in range(6)))
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h) for d in range(0, 200, 9) for h in (0, 5)]
+    rows = [(f"k{n}", 0 if rng.random() < 0.4 else rng.randrange(8), rng.choice(["chair", "video_url", "hours_logged"]), rng.choice([None, "1.5", "2", "x"]), n) for n in range(160)]
+    log = spark.createDataFrame([(i, m, c, v, "b", "r", rng.choice(times), rng.randrange(99)) for i, m, c, v, n in rows], "correction_id string, meeting_id long, target_column string, corrected_value string, corrected_by string, reason string, corrected_at timestamp, load_seq int")
+    asked = [(n, rng.randrange(9), rng.choice([*times, times[3] - dt.timedelta(days=900), None])) for n in range(120)] + [(200, None, times[0])]
+    frame = spark.createDataFrame(asked, "ask int, meeting_id long, at timestamp")
+    columns = ["video_url", "hours_logged", "chair"]
+    by_time = {t: {r.meeting_id: tuple(r[c] for c in columns) for r in ledger.as_of(base, log, F.lit(t).cast("timestamp")).collect()} for t in {a[2] for a in asked if a[2]}}
+    plain = {r.meeting_id: tuple(r[c] for c in columns) for r in base.collect()}
+    want = {n: (by_time[t] if t else plain).get(m, (None, None, None)) for n, m, t in asked}
+    for span in (ledger.SPAN_S, 86400 * 3, 86400 * 10000):
+        got = ledger.as_of_each(base, log, frame, span=span).collect()
+        assert len(got) == len(asked) and {r.ask: tuple(r[c] for c in columns) for r in got} == want
+
+
 def test_suppressions_job(spark):
     people = voters(spark, (1, "A", "p", "Active", "1", 1950), (2, "A", "p", "Active", "1", 1950))
     log = asked(spark, ("s1", 1, "suppress", None, 1))

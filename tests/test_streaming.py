@@ -24,7 +24,12 @@ def test_ledger_arrival(spark, tmp_path):
         spark.createDataFrame(part, SUPPRESSION).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
         arrivals = spark.readStream.schema(SUPPRESSION).json(f"{tmp_path}/in")
         drained(jobs.append_ledger(arrivals, f"{tmp_path}/ledger", f"{tmp_path}/cp"))
-    assert sorted(r.suppression_id for r in spark.read.parquet(f"{tmp_path}/ledger").collect()) == ["s0", "s1", "s2", "s3"]
+    store = tables.Store(spark, f"{tmp_path}/ledger")
+    assert sorted(r.suppression_id for r in store.read("voter.suppressions").collect()) == ["s0", "s1", "s2", "s3"]
+    # All files once more under a new checkpoint: nothing is added.
+    version = store.version
+    drained(jobs.append_ledger(spark.readStream.schema(SUPPRESSION).json(f"{tmp_path}/in"), f"{tmp_path}/ledger", f"{tmp_path}/cp2"))
+    assert store.read("voter.suppressions").count() == 4 and store.version == version
 
 
 def test_feed_upsert(spark, tmp_path):

@@ -8,6 +8,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 from tallyspark.operators import contracts, tables
+from tallyspark.plans import jobs
 
 VIDEO = "video_id string, video_url string, title string, load_seq long"
 
@@ -144,6 +145,41 @@ def test_references(spark, store):
     assert store.read("seb.sources").count() == 1
 
 
+ASKED = "suppression_id string, voter_id long, action string, reason string, requested_by string, supersedes string, requested_at timestamp"
+
+
+def asked(spark, *rows):
+    return spark.createDataFrame([(i, v, a, "r", "b", s, None) for i, v, a, s in rows], ASKED)
+
+
+def test_requests_are_logged_once(spark, store):
+    at = dt.datetime(2024, 3, 1)
+    people = spark.range(50).withColumnRenamed("id", "voter_id")
+
+    def log(*rows, **more):
+        with store.change() as change:
+            return jobs.log_suppressions(change, asked(spark, *rows), at, people, **more)
+
+    assert log(*((f"s{i}", i, "suppress", None) for i in range(40))) == {"logged": 40, "skipped": 0}
+    assert log(("s1", 1, "suppress", None), ("n1", 1, "unsuppress", "s1"), ("n2", 2, "unsuppress", "n1")) == {"logged": 2, "skipped": 1}
+    assert store.read("voter.suppressions").count() == 42 and {r.requested_at for r in store.read("voter.suppressions").collect()} == {at}
+    before = store.manifest()
+    for bad, why in (((("x", 1, "unsuppress", "gone"),), "supersedes"), ((("x", 99, "suppress", None),), "unknown"), ((("x", 1, "suppress", None), ("x", 2, "suppress", None)), "2 times"), ((("x", 1, "hide", None),), "action")):
+        with pytest.raises(contracts.ContractError, match=why):
+            log(*bad)
+    assert store.manifest() == before
+    assert log(("x", 1, "suppress", None), ("x", 1, "suppress", None), once=False) == {"logged": 1, "skipped": 0}
+
+
+def test_a_small_batch_reads_few_files(spark, store):
+    with store.change() as change:
+        jobs.log_suppressions(change, asked(spark, *((f"s{i}", i, "suppress", None) for i in range(500))), dt.datetime(2024, 3, 1))
+    files = len(store.read("voter.suppressions").inputFiles())
+    batch = asked(spark, ("s7", 7, "suppress", None), ("new", 7, "suppress", None))
+    found = tables.Change(store).matching("voter.suppressions", batch, "suppression_id")
+    assert files > 50 and len(found.inputFiles()) <= 2 and [r.suppression_id for r in found.collect()] == ["s7"]
+
+
 def test_manifests_are_whole(spark, store):
     """Readers beside a writer see one set or the next, never half of one."""
     fill(spark, store, 4)
