@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+_own: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder where none is set and all tasks run on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {spark.sparkContext.master} share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="tallyspark-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return f"file://{_own[0]}"
+
+
 class Files:
     """The file system that holds ``root``."""
 

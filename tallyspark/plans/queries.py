@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address, dates, text
-from ..operators import contracts, entries, ledger, limiter, merge, reads, views
+from ..operators import contracts, entries, files, ledger, limiter, merge, reads, tables, views
 from ..sources import feeds, registry
 from . import jobs
 from .adapters import adapter, with_adapters
@@ -452,6 +454,47 @@ def meetings_ingest(meetings, videos, corrections):
     return jobs.ingest_meetings(meetings, seed, known, videos.filter("quantity >= 25"), corrections, "published_date")[0]
 
 
+#: What both runs of ``ingest_runs`` hold at their ends.
+RUNS = """one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY correction_id ORDER BY load_seq) AS nth FROM corrections) WHERE nth = 1),
+    held AS (SELECT *, meeting_id % 2 = 0 AS first FROM meetings WHERE meeting_id % 2 = 0 OR meeting_id % 5 <> 4),
+    last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY load_seq DESC, published_date DESC) AS r FROM videos) WHERE r = 1),
+    gap AS (SELECT published_date AS d, min(video_url) AS url FROM last WHERE meeting_id IS NULL AND published_date IS NOT NULL GROUP BY published_date HAVING count(DISTINCT video_url) = 1),
+    c1 AS (SELECT * FROM one WHERE load_seq % 3 = 0 AND meeting_id IN (SELECT meeting_id FROM held WHERE first)), c2 AS (SELECT * FROM one WHERE meeting_id IN (SELECT meeting_id FROM held)),
+    n AS (SELECT (SELECT count(*) FROM c1) AS c1, (SELECT count(*) FROM c2) AS c2)"""
+
+
+@query(
+    f"""WITH {RUNS} SELECT 1 AS run, (SELECT count(*) FROM held WHERE first) AS meetings, (SELECT count(*) FROM meetings WHERE meeting_id % 5 <> 4) AS controversies, (SELECT count(*) FROM meetings WHERE meeting_id % 5 <> 4) AS sources,
+    0 AS videos_upserted, (SELECT count(*) FROM held WHERE first) AS meetings_with_video_url, c1 AS logged, c1 AS applied, 0 AS skipped FROM n UNION ALL
+    SELECT 2, (SELECT count(*) FROM meetings WHERE meeting_id % 5 <> 4), (SELECT count(*) FROM meetings WHERE meeting_id % 5 <> 4), (SELECT count(*) FROM meetings WHERE meeting_id % 5 <> 4),
+    (SELECT count(*) FROM videos), (SELECT count(coalesce(video_url, gap.url)) FROM held LEFT JOIN gap ON held.meeting_date = gap.d), c2 - c1, c2 - c1, c1 FROM n""",
+    "meetings",
+    "videos",
+    "corrections",
+)
+def ingest_runs(meetings, videos, corrections):
+    """The summaries of two runs of the ingest that writes: a seed with corrections, then another seed with a feed and the corrections again."""
+    spark, c, k, none = meetings.sparkSession, F.col, F.col("meeting_id"), F.lit(None).cast("string")
+    meetings = meetings.withColumns({"hours_logged": c("hours_logged") % 25, "day_of_week": F.lit("Mon"), "meeting_format": F.lit("Zoom"), "members_present": F.lit("all")})
+    topics = meetings.filter(k % 5 != 4)
+    more = {
+        "seb.controversies": topics.select(k.alias("controversy_id"), F.lit("topic").alias("title"), F.lit(None).cast("date").alias("first_seen_date"), F.lit("Active").alias("status"), none.alias("description"), none.alias("latest_action"), none.alias("primary_source")),
+        "seb.sources": topics.select(k.alias("source_id"), F.lit("s").alias("name"), F.lit("Other").alias("source_type"), F.lit("u").alias("url"), none.alias("notes")),
+    }
+    one = corrections.dropDuplicates(["correction_id"])
+    even, known = meetings.filter(k % 2 == 0), meetings.filter((k % 2 == 0) | (k % 5 != 4))
+    store = tables.Store(spark, f"{files.shared_folder(spark)}/ingest-{uuid.uuid4().hex}", buckets=16)
+    try:
+        runs = [
+            jobs.ingest(store, {"seb.meetings": even, **more}, None, one.filter("load_seq % 3 = 0").join(even.select("meeting_id"), "meeting_id", "left_semi"), datetime(2024, 1, 1)),
+            jobs.ingest(store, {"seb.meetings": topics, **more}, videos.withColumns({"meeting_id": k - k % 2, "title": c("video_id")}), one.join(known.select("meeting_id"), "meeting_id", "left_semi"), datetime(2024, 2, 1), tie="published_date"),
+        ]
+    finally:
+        store.files.delete(store.root)
+    rows = [(n, *(run["seed"][x] for x in ("meetings", "controversies", "sources")), run["videos_upserted"], run["meetings_with_video_url"], *(run["corrections"][x] for x in ("logged", "applied", "skipped"))) for n, run in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "run int, meetings long, controversies long, sources long, videos_upserted long, meetings_with_video_url long, logged long, applied long, skipped long")
+
+
 SEEDED = """seeds AS (SELECT meeting_id AS k, 'topic ' || CAST(meeting_id % 40 AS STRING) AS title, CASE meeting_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'Resolved' ELSE NULL END AS status FROM meetings WHERE meeting_id % 5 <> 4)"""
 
 
