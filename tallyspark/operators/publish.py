@@ -12,14 +12,18 @@ from ..schemas import EXPORTED
 from .contracts import no_personal_columns, publishable
 
 
-def export(relations: Mapping[str, DataFrame], folder: str) -> None:
-    """CSV with header and Parquet of each exported relation, in many part files."""
+#: Rows of a part file at most: far below the 2 GB that the digests of ``manifest`` can read.
+PART_ROWS = 2_000_000
+
+
+def export(relations: Mapping[str, DataFrame], folder: str, part_rows: int = PART_ROWS) -> None:
+    """CSV with header and Parquet of each exported relation, in part files of at most ``part_rows`` rows."""
     for name in EXPORTED:
         publishable(name)
     for name, stem in EXPORTED.items():
         df = relations[name] if name == "seb.meetings" else no_personal_columns(relations[name])
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{stem}.csv")
-        df.write.mode("overwrite").parquet(f"{folder}/{stem}.parquet")
+        df.write.mode("overwrite").option("maxRecordsPerFile", part_rows).option("header", True).csv(f"{folder}/{stem}.csv")
+        df.write.mode("overwrite").option("maxRecordsPerFile", part_rows).parquet(f"{folder}/{stem}.parquet")
 
 
 def manifest(spark: SparkSession, folder: str, generated_at: datetime | None = None, built_at: datetime | None = None) -> DataFrame:

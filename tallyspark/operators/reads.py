@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
+from . import contracts
+
 DEFAULT_LIMIT, MOST = 50, 500
 
 
@@ -22,6 +25,20 @@ def page(df: DataFrame, order: list[Column], limit: int = DEFAULT_LIMIT, offset:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def projected(df: DataFrame, endpoint: str) -> DataFrame:
+    """Just the columns that an endpoint shows, in its order; a table that lacks one raises."""
+    columns = schemas.PROJECTIONS[endpoint]
+    lacking = [c for c in columns if c not in df.columns]
+    if lacking:
+        raise contracts.ContractError(f"{endpoint} shows {', '.join(lacking)}, which the table lacks")
+    return df.select(*columns)
+
+
+def meeting_videos(videos: DataFrame, meeting_id: int) -> DataFrame:
+    """The videos of one meeting as an endpoint shows them: by date, those without a date last."""
+    return projected(where(videos, meeting_id=meeting_id).orderBy(F.asc_nulls_last("published_date"), "video_id"), "meeting_videos")
+
+
 def overlap_page(df: DataFrame, county: str | None = None, year: int | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
     if year is not None and not 2000 <= year <= 2100 or county is not None and len(county) > 64:
         raise ValueError("year 2000..2100, county of 64 characters at most")

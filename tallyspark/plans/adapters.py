@@ -32,6 +32,13 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 30 AS DOUBLE) END AS hours_logged, 'chair ' || CAST(o_custkey % 9 AS STRING) AS chair
         FROM orders""",
     ),
+    "stored_meetings": (
+        ("orders",),
+        """SELECT 'manual' AS source, o_orderkey AS meeting_id, CAST(o_orderdate AS DATE) AS meeting_date, CASE o_orderkey % 2 WHEN 0 THEN 'Mon' ELSE 'Tue' END AS day_of_week, 'Regular' AS meeting_type, 'Zoom' AS meeting_format,
+        'chair ' || CAST(o_custkey % 9 AS STRING) AS chair, 'all' AS members_present, 'Yes' AS quorum_met, CASE WHEN o_orderkey % 4 = 0 THEN 'agenda' END AS agenda_summary, CASE WHEN o_orderkey % 5 = 0 THEN 'kept' END AS key_decisions,
+        CASE WHEN o_orderkey % 3 > 0 THEN 'https://v.example/' || CAST(o_orderkey AS STRING) END AS video_url, CASE WHEN o_orderkey % 7 > 0 THEN 'https://s.example/' END AS source_url, 'Unreviewed' AS compliance_status,
+        CASE WHEN o_orderkey % 6 = 0 THEN 'note' END AS compliance_notes, CASE WHEN o_orderkey % 8 = 0 THEN 'dispute' END AS controversies, CAST(o_orderkey % 25 AS DOUBLE) AS hours_logged FROM orders""",
+    ),
     "videos": (
         ("lineitem",),
         """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS video_id,

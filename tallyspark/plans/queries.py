@@ -363,6 +363,59 @@ def vendor_rows(raw):
     return registry.vendor_rows(raw).select("voter_id", "status", "residence_house_number", "residence_street_name", "county")
 
 
+@query(
+    """WITH t AS (SELECT *, TRY_CAST(nullif(regexp_extract(voterbase_id, '^(?i:TS)?([0-9]+)$', 1), '') AS BIGINT) AS voter_id, nullif(vf_voter_status, '') AS s FROM raw_vendor),
+    u AS (SELECT *, CASE coalesce(upper(s), 'ACTIVE') WHEN 'ACTIVE' THEN 'Active' WHEN 'INACTIVE' THEN 'Inactive' WHEN 'PURGED' THEN 'Cancelled' END AS status FROM t)
+    SELECT voterbase_id, voter_id, tsmart_last_name AS last_name, concat_ws(',', CASE WHEN voter_id IS NULL THEN 'vendor_id' END, CASE WHEN s IS NOT NULL AND status IS NULL THEN 'status_label' END, CASE WHEN voter_id IS NULL THEN 'voter_id' END,
+    CASE WHEN status IS NULL THEN 'status' END) AS broken FROM u""",
+    "raw_vendor",
+)
+def vendor_violations(raw):
+    """Every vendor row with the rules it breaks."""
+    rows = registry.vendor_rows(raw.withColumn("tsmart_middle_name", F.col("voterbase_id")))
+    return rows.select(F.col("middle_name").alias("voterbase_id"), "voter_id", "last_name", F.array_join("violations", ",").alias("broken"))
+
+
+@query("SELECT trim(registration_number) AS voter_id, residence_house_number AS house_number, 'PEACH TREE' AS street_name, false AS bad FROM raw_registry WHERE residence_street_suffix <> '' UNION ALL SELECT trim(registration_number), residence_house_number, NULL, true FROM raw_registry WHERE residence_street_suffix = ''", "raw_registry")
+def houses_without_street(raw):
+    """Addresses of which some lost their street, and whether each is one of those."""
+    c = F.col
+    street = F.when(c("residence_street_suffix") != "", c("residence_street_name"))
+    none = F.lit(None).cast("string")
+    people = raw.select(F.trim("registration_number").alias("voter_id"), c("residence_house_number").alias("house_number"), street.alias("street_name"), none.alias("street_suffix"), none.alias("apartment"), none.alias("city"), none.alias("zip5"))
+    bad = jobs.standard_addresses(people).select("voter_id", "bad")
+    return people.select("voter_id", "house_number", "street_name").join(bad.distinct(), "voter_id").filter((c("street_name").isNull()) == c("bad")).select("voter_id", "house_number", "street_name", "bad")
+
+
+SHOWN = "meeting_id, meeting_date, day_of_week, meeting_type, meeting_format, chair, members_present, quorum_met, agenda_summary, key_decisions, video_url, source_url, compliance_status, compliance_notes, controversies, hours_logged"
+
+
+@query(f"SELECT {SHOWN} FROM stored_meetings ORDER BY meeting_date DESC, meeting_id DESC LIMIT 60 OFFSET 40", "stored_meetings")
+def meetings_endpoint(stored_meetings):
+    """A page of the meetings endpoint: its 16 columns and no others."""
+    return reads.projected(reads.meetings_page(stored_meetings, 60, 40), "meetings")
+
+
+@query("SELECT video_id, video_url, video_id AS title, published_date, CAST(NULL AS VARCHAR) AS description FROM videos WHERE meeting_id = 15", "videos")
+def meeting_videos_endpoint(videos):
+    """The videos of one meeting as its endpoint shows them."""
+    return reads.meeting_videos(videos.withColumns({"title": F.col("video_id"), "description": F.lit(None).cast("string")}), 15)
+
+
+@query(
+    "SELECT meeting_id AS source_id, 's' AS name, CASE meeting_id % 3 WHEN 0 THEN 'Other' WHEN 1 THEN 'News' ELSE 'Other' END AS source_type, CASE meeting_id % 4 WHEN 0 THEN 'https://h.example' WHEN 1 THEN 'https://t.example' ELSE '' END AS url, CASE WHEN meeting_id % 5 = 0 THEN 'n' END AS notes FROM meetings",
+    "meetings",
+)
+def source_sheet_rows(meetings):
+    """The sources sheet made of every meeting."""
+    k, none = F.col("meeting_id"), F.lit(None).cast("string")
+    sheet = meetings.select(
+        k.cast("string").alias("number"), F.lit(" s ").alias("name"), F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(" News ")).otherwise(none).alias("type"), F.when(k % 4 == 0, F.lit("https://h.example")).alias("url_href"),
+        F.when(k % 4 == 1, F.lit("https://t.example")).when(k % 4 == 2, F.lit("Link")).otherwise(none).alias("url_text"), F.when(k % 5 == 0, F.lit("n")).alias("notes"),
+    )
+    return feeds.source_sheet(sheet)
+
+
 @query(
     """WITH t AS (SELECT title_id, title, nullif(regexp_extract(title, '(?i)(January|February|March|April|May|June|July|August|September|October|November|December|Sept|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\\s+(\\d{1,2}),?\\s+(\\d{4})', 0), '') AS l,
     nullif(regexp_extract(title, '\\b(\\d{2})\\.(\\d{2})\\.(\\d{2})\\b', 0), '') AS s FROM titles),

@@ -97,6 +97,16 @@ PERSONAL = frozenset(
     "voter_id first_name last_name middle_name residence_zip5 residence_house_number residence_street_name residence_apartment residence_city birth_year precinct".split()
 )
 
+# What each endpoint shows, in order.
+PROJECTIONS = {
+    "meetings": (
+        "meeting_id meeting_date day_of_week meeting_type meeting_format chair members_present quorum_met agenda_summary key_decisions "
+        "video_url source_url compliance_status compliance_notes controversies hours_logged"
+    ).split(),
+    "meeting_videos": "video_id video_url title published_date description".split(),
+    "county_registration": "county status voter_count distinct_zip5_count earliest_birth_year latest_birth_year".split(),
+}
+
 VOTER_COLUMNS = (
     "voter_id first_name middle_name last_name name_suffix birth_year residence_house_number residence_street_name residence_apartment "
     "residence_city residence_zip5 race gender registration_date last_voted_date status county precinct"

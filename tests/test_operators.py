@@ -1,6 +1,7 @@
 """Known-input tests of views, ledgers, merges, reads, jobs and publication."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -264,3 +265,30 @@ def test_registry_load(spark):
     good = spark.createDataFrame([(1, "New"), (3, "More")], "voter_id long, last_name string")
     rows = {r.voter_id: (r.last_name, r.source, r.loaded_at) for r in jobs.load_registry(known, good, "file", at).collect()}
     assert rows == {1: ("New", "file", at), 2: ("Stays", "manual", None), 3: ("More", "file", at)}
+
+
+def test_endpoints_show_their_columns_only(spark):
+    rows = spark.createDataFrame([(1, "a", "u", "t", D(2024, 1, 2), None, "secret"), (1, "b", "u", "t", None, None, "secret"), (1, "c", "u", "t", D(2024, 1, 1), None, "secret"), (2, "d", "u", "t", None, None, "secret")], "meeting_id long, video_id string, video_url string, title string, published_date date, description string, transcript string")
+    got = reads.meeting_videos(rows, 1)
+    assert got.columns == ["video_id", "video_url", "title", "published_date", "description"] and [r.video_id for r in got.collect()] == ["c", "a", "b"]
+    with pytest.raises(contracts.ContractError, match="description"):
+        reads.projected(rows.drop("description"), "meeting_videos")
+
+
+def test_part_files_have_a_bounded_number_of_rows(spark, tmp_path):
+    n = 25
+    relations = {
+        "seb.meetings": spark.range(n).coalesce(1),
+        "voter.county_registration_summary": spark.range(3).withColumnRenamed("id", "voter_count"),
+        "analytics.seb_voter_overlap": spark.range(3).withColumnRenamed("id", "meeting_count"),
+    }
+    publish.export(relations, str(tmp_path), part_rows=10)
+    assert [spark.read.parquet(str(f)).count() for f in sorted((tmp_path / "seb_meetings.parquet").glob("part-*"))] == [10, 10, 5]
+    rows = [r for r in publish.manifest(spark, str(tmp_path)).collect() if r.filename.startswith("seb_meetings.parquet/")]
+    assert len(rows) == 3 and all(r.sha256 == hashlib.sha256((tmp_path / r.filename).read_bytes()).hexdigest() for r in rows)
+
+
+def test_request_log_is_read_as_typed_rows(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text('{"event": "request", "level": "info", "timestamp": "2024-05-01T10:00:00Z", "route": "/v1", "method": "GET", "status": 200, "latency_ms": 1.5, "ip_hash": "ab", "response_bytes": 12, "more": 1}\n{"event": "request", "status": 429}\n')
+    rows = sorted(feeds.read_requests(spark, str(tmp_path)).collect(), key=lambda r: r.status)
+    assert (rows[0].route, rows[0].latency_ms, rows[0].timestamp, rows[0].response_bytes) == ("/v1", 1.5, dt.datetime(2024, 5, 1, 10), 12) and rows[1].status == 429 and rows[1].route is None and "more" not in rows[0]
