@@ -396,10 +396,10 @@ def meetings_endpoint(stored_meetings):
     return reads.projected(reads.meetings_page(stored_meetings, 60, 40), "meetings")
 
 
-@query("SELECT video_id, video_url, video_id AS title, published_date, CAST(NULL AS VARCHAR) AS description FROM videos WHERE meeting_id = 15", "videos")
+@query("SELECT video_id, video_url, video_id AS title, published_date, CAST(NULL AS VARCHAR) AS description FROM videos WHERE meeting_id = 314", "videos")
 def meeting_videos_endpoint(videos):
     """The videos of one meeting as its endpoint shows them."""
-    return reads.meeting_videos(videos.withColumns({"title": F.col("video_id"), "description": F.lit(None).cast("string")}), 15)
+    return reads.meeting_videos(videos.withColumns({"title": F.col("video_id"), "description": F.lit(None).cast("string")}), 314)
 
 
 @query(
