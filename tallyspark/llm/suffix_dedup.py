@@ -17,8 +17,10 @@ one.  Other lengths have anchors in proportion (see ``anchor_width``).
    128 bytes, the 400-byte strings at the same distance from the anchor are
    compared.
 3. A run of more than ``RUN_LIMIT`` contexts isn't put into one task: its
-   strings are counted by a distributed aggregation instead, with the same
-   result.
+   strings are dealt by their hashes into as many buckets as keep each at that
+   size, and met there, with the same result.  Strings that a batch of contexts
+   holds twice are settled in it and go on once, so a string that very many
+   contexts share is one entry of each batch.
 
 128 bytes that a sample finds very often (a passage that a third of all
 documents share) never meet in one task: their contexts are summed up by
@@ -52,7 +54,7 @@ CHUNK = 2 << 20
 PLACE = np.uint64((1 << 31) - 1)
 
 ANCHORS = "kh long, cd long, key long, at int, lead int, span int"
-CONTEXTS = "lead_a long, lead_b long, kh long, key long, at int, lead int, whole boolean, large boolean, context binary"
+CONTEXTS = "lead_a long, lead_b long, kh long, key long, at int, lead int, whole boolean, buckets int, context binary"
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -141,14 +143,14 @@ def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
 
     span = [F.col("key"), (F.col("at") - F.col("lead")).alias("start"), (F.col("at") - F.col("lead") + F.col("span")).alias("stop")]
     whole = rare.filter("copies > 1").select(*span).unionByName(again.select(*span))
-    one = ["kh", "key", "at", "lead", "span", (F.col("copies") > 1).alias("whole"), (F.col("kinds") > RUN_LIMIT).alias("large")]
+    one = ["kh", "key", "at", "lead", "span", (F.col("copies") > 1).alias("whole"), F.ceil(F.col("kinds") / RUN_LIMIT).cast("int").alias("buckets")]
     firsts = rare.filter("first AND kinds > 1").select(*one).unionByName(kinds.join(runs, "kh").select("kh", "first.*", "copies", "kinds").select(*one))
     return whole, firsts
 
 
 def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """The bytes of one context of each kind, keyed by the suffix's leading tokens."""
-    wanted = firsts.groupBy("key").agg(F.collect_list(F.struct("kh", "at", "lead", "span", "whole", "large")).alias("places"))
+    wanted = firsts.groupBy("key").agg(F.collect_list(F.struct("kh", "at", "lead", "span", "whole", "buckets")).alias("places"))
     rows = docs.join(wanted, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +173,7 @@ def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
                     index = np.arange(size[-1]) + np.repeat(start[a:b] - size[:-1], span[a:b])
                     out = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(size.astype(np.int32)), pa.py_buffer(data[index])])
                     some = places.slice(a, b - a)
-                    yield pa.record_batch([pa.array(tokens[a:b, 0]), pa.array(tokens[a:b, 1]), some.field("kh"), pa.array(keys[a:b]), some.field("at"), some.field("lead"), some.field("whole"), some.field("large"), out], names=[c.split()[0] for c in CONTEXTS.split(", ")])
+                    yield pa.record_batch([pa.array(tokens[a:b, 0]), pa.array(tokens[a:b, 1]), some.field("kh"), pa.array(keys[a:b]), some.field("at"), some.field("lead"), some.field("whole"), some.field("buckets"), out], names=[c.split()[0] for c in CONTEXTS.split(", ")])
                     a = b
 
     return rows.mapInArrow(run, CONTEXTS)
@@ -273,22 +275,87 @@ def bucket_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return dealt.mapInArrow(run, "key long, start int, stop int")
 
 
-def counted_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The same for runs too large for a task: count the strings by hash."""
+#: A span of a document, or the strings of a batch that fall into one bucket of a run: hash, document, start, and whether it is settled.
+ENTRIES = "key long, start int, stop int, kh long, bucket int, strings binary, keys binary, starts binary, settled binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _spans(key: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """key, start, stop of the runs of starts that follow one another in a document."""
+    if not len(key):
+        return key.astype(np.int64), start.astype(np.int32), start.astype(np.int32)
+    by = np.lexsort((start, key))
+    key, start = key[by], start[by].astype(np.int64)
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (start[1:] > start[:-1] + 1)])
+    last = np.r_[new[1:], len(key)] - 1
+    return key[new], start[new].astype(np.int32), (start[last] + length).astype(np.int32)
+
+
+def _again(*parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows have a like in all ``parts``, and which are the first of their kind."""
+    by = np.lexsort(parts[::-1])
+    same = np.all([p[by][1:] == p[by][:-1] for p in parts], axis=0)
+    again, first = np.zeros(len(by), bool), np.ones(len(by), bool)
+    again[by[1:][same]] = True
+    again[by[:-1][same]] = True
+    first[by[1:][same]] = False
+    return again, first
+
+
+def met_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The same for runs too large for a task: strings meet in buckets by hash."""
+    names = [c.split()[0] for c in ENTRIES.split(", ")]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "context", CHUNK // 8):
+            for part in slices(batch, "context", CHUNK):
                 data, bounds = text_buffer(part.column("context"))
                 lead = part.column("lead").to_numpy().astype(np.int64)
                 context, nth, h = start_hashes(data, bounds, length)
                 string = mix(h + mix((lead[context] - nth).astype(np.uint64)))
-                start = (part.column("at").to_numpy() - lead)[context] + nth
-                yield pa.record_batch([pa.array(part.column("kh").to_numpy()[context]), pa.array(string.view(np.int64)), pa.array(part.column("key").to_numpy()[context]), pa.array(start.astype(np.int32)), pa.array(part.column("whole").to_numpy(zero_copy_only=False)[context])], names=["kh", "string", "key", "start", "whole"])
+                start = ((part.column("at").to_numpy() - lead)[context] + nth).astype(np.int32)
+                kh, key = part.column("kh").to_numpy()[context], part.column("key").to_numpy()[context]
+                settled = part.column("whole").to_numpy(zero_copy_only=False)[context]
+                again, first = _again(kh, string)
+                found = again & ~settled
+                spans = _spans(key[found], start[found], length)
+                n = len(spans[0])
+                yield pa.record_batch([*map(pa.array, spans), *(pa.nulls(n, t) for t in (pa.int64(), pa.int32(), *[pa.binary()] * 4))], names=names)
+                settled = settled | again
+                bucket = (string % part.column("buckets").to_numpy().astype(np.uint64)[context]).astype(np.int32)
+                some = np.flatnonzero(first)
+                some = some[np.lexsort((bucket[some], kh[some]))]
+                cut = np.flatnonzero(np.r_[True, (kh[some][1:] != kh[some][:-1]) | (bucket[some][1:] != bucket[some][:-1])]) if len(some) else some
+                ends = np.r_[cut[1:], len(some)]
+                packed = [pa.array([x[some][a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for x in (string, key, start, settled)]
+                n = len(cut)
+                yield pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(kh[some][cut]), pa.array(bucket[some][cut]), *packed], names=names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        group = None
+
+        def found() -> pa.RecordBatch:
+            string, key, start, settled = (np.concatenate(held[c]) for c in names[5:])
+            again = _again(string)[0] & ~settled
+            spans = _spans(key[again], start[again], length)
+            return pa.record_batch(list(map(pa.array, spans)), names=names[:3])
 
-    strings = rows.mapInArrow(run, "kh long, string long, key long, start int, whole boolean")
-    repeated = strings.groupBy("kh", "string").agg(F.count("*").alias("n")).filter("n > 1").select("kh", "string")
-    return strings.filter("NOT whole").join(repeated, ["kh", "string"], "left_semi").select("key", "start", (F.col("start") + length).cast("int").alias("stop"))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                now = (batch.column("kh")[i].as_py(), batch.column("bucket")[i].as_py())
+                if now != group:
+                    if group:
+                        yield found()
+                    group, held = now, {c: [] for c in names[5:]}
+                for c, kind in zip(names[5:], (np.uint64, np.int64, np.int32, bool), strict=True):
+                    held[c].append(np.frombuffer(batch.column(c)[i].as_buffer(), kind))
+        if group:
+            yield found()
+
+    dealt = stored(rows.mapInArrow(deal, ENTRIES), "suffix-entries")
+    known = dealt.filter("kh IS NULL").select("key", "start", "stop")
+    groups = dealt.filter("kh IS NOT NULL").select(*names[3:]).repartition("kh", "bucket").sortWithinPartitions("kh", "bucket")
+    return known.unionByName(groups.mapInArrow(meet, "key long, start int, stop int"))
 
 
 def merged(spans: DataFrame) -> DataFrame:
@@ -306,9 +373,9 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         docs = docs.select("key", "text")
         whole, firsts = marked(docs, length)
         rows = stored(contexts(firsts, docs), "suffix-contexts")
-        spans = whole.unionByName(bucket_spans(rows.filter("NOT large"), length))
-        if firsts.filter("large").limit(1).count():
-            spans = spans.unionByName(counted_spans(rows.filter("large"), length))
+        spans = whole.unionByName(bucket_spans(rows.filter("buckets = 1"), length))
+        if firsts.filter("buckets > 1").limit(1).count():
+            spans = spans.unionByName(met_spans(rows.filter("buckets > 1"), length))
         return stored(merged(spans), "suffix-removals", keep=True)
 
 
