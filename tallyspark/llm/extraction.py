@@ -7,7 +7,9 @@ page says just that; what varies fills a slot of the wrapper, and slots are cont
 is one of the parts of a page that are never its article (see ``DROPPED`` and
 ``DROPPED_NAMES``).  Where a page marks its article, slots outside it are
 dropped too.  What is or holds the article is never dropped by its name or as a
-form: see ``Page.settle``.
+form: see ``Page.settle``.  Inside a marked article only the names of
+``NEVER_NAMES`` drop an element; another such name does where half of its
+letters are links.
 
 The model page is the one of least page-id hash.  Of pages of equal html one
 counts, as copies alone make nothing template.  Nodes are counted by (host,
@@ -40,9 +42,10 @@ from .shared import clean_columns, slices, stored
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg canvas object math audio video".split())
+RAW = frozenset("script style noscript template textarea title iframe svg canvas object audio video".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rb rt rp".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rb rt rp "
+        "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mspace mstyle mpadded menclose semantics annotation".split()
 )
 DROPPED = frozenset("head nav header footer aside button select dialog menu".split())
 FORMS = frozenset("form fieldset".split())
@@ -56,6 +59,15 @@ DROPPED_NAMES = frozenset(
         "signin register search toolbar skip hidden copyright legal disclaimer tags"
     ).split()
 )
+#: Of those the names that say what even a marked article holds and is no part of it: adverts, consent, comments, forms for readers, sidebars, buttons.
+NEVER_NAMES = frozenset(
+    (
+        "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr comment comments disqus newsletter "
+        "subscribe subscription login signup signin register share sharing social sidebar nav navbar navigation breadcrumb breadcrumbs toolbar pagination pager"
+    ).split()
+)
+#: The share of letters in links from which a part of another such name is a menu.
+MENU_LINKS = 0.5
 #: Words beside those of ``DROPPED_NAMES`` in the name of such a part.
 PART_WORDS = frozenset(
     "area bar block bottom box btn button buttons container content count form global group icons inner item items left link links list main message outer panel "
@@ -85,15 +97,22 @@ def part_name(token: str) -> bool:
     return bool(pieces & DROPPED_NAMES) and pieces <= DROPPED_NAMES | PART_WORDS
 
 
+def telling(token: str) -> bool:
+    """Does the name hold for parts of a marked article too?"""
+    return part_name(token) and bool({p.lower() for p in PIECES.findall(token)} & NEVER_NAMES)
+
+
 @lru_cache(maxsize=4096)
-def described(tag: str, attributes: str) -> tuple[str, int, int]:
-    """Label for alignment; never content by its kind 2, by its name or as a form 1; surely the article 2, maybe 1."""
+def described(tag: str, attributes: str) -> tuple[str, int, int, bool]:
+    """Label for alignment; never content by its kind 2, by its name or as a form 1; surely the article 2, maybe 1; whether an article may hold it unless it is links."""
     found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in NAMES.finditer(attributes)] if attributes else []
     classes = " ".join(sorted(w for k, v in found if k != "id" for w in v.split()))
     named = tag not in ("html", "body") and any(part_name(w) for _, v in found for w in v.split())
     sure = tag == "main" or any(k == "role" and v.lower() == "main" for k, v in found)
     maybe = tag == "article" or any(k in ("role", "itemprop") and v.lower() in ("main", "articlebody") for k, v in found)
-    return f"{tag}.{classes}", 2 if tag in DROPPED else int(named or tag in FORMS), 2 if sure else int(maybe)
+    drop = 2 if tag in DROPPED else int(named or tag in FORMS)
+    told = tag in FORMS or tag in DROPPED and tag != "dialog" or any(telling(w) for _, v in found for w in v.split())
+    return f"{tag}.{classes}", drop, 2 if sure else int(maybe), drop > 0 and not told
 
 
 class Page:
@@ -101,19 +120,24 @@ class Page:
 
     def __init__(self, source: str):
         self.label, self.parent, self.children, self.drop, self.mark, self.header = ["root"], [-1], [[]], [0], [0], [False]
+        self.soft, linked, in_link = [False], [], 0
         self.blocks: list[tuple[int, str]] = []
         stack, tags = [0], ["root"]
         parts: list[str] = []
         at, end = 0, len(source)
 
         def flush() -> None:
+            nonlocal in_link
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
                     self.blocks.append((stack[-1], text))
+                    linked.append(in_link)
                 parts.clear()
+            in_link = 0
 
         last, vain = source.rfind(">"), 0
+        anchor: int | None = None
         opened = Counter(tags)
 
         def close(k: int) -> None:
@@ -148,8 +172,13 @@ class Page:
                 at = stop + 1
                 continue
             tag, closing = m[2].lower(), bool(m[1])
+            if tag == "a" and closing and anchor is not None:
+                in_link += sum(map(len, parts[anchor:]))
+            if tag == "a":
+                anchor = None if closing else len(parts)
             if tag in INLINE:
                 continue
+            anchor = None if tag not in ("br", "img") else anchor
             if tag == "br" or tag == "img":
                 parts.append(" ")
                 continue
@@ -178,7 +207,7 @@ class Page:
                         break
                     if tags[k] in ("ul", "ol", "dl", "table", "select"):
                         break
-            label, drop, mark = described(tag, attributes)
+            label, drop, mark, soft = described(tag, attributes)
             over = stack[-1]
             node = len(self.label)
             self.label.append(label)
@@ -187,11 +216,21 @@ class Page:
             self.children[over].append(node)
             self.drop.append(drop)
             self.mark.append(mark)
+            self.soft.append(soft)
             self.header.append(tag == "header")
             stack.append(node)
             tags.append(tag)
             opened[tag] += 1
         flush()
+        if any(self.soft):
+            letters, links = [0] * len(self.label), [0] * len(self.label)
+            for (n, text), k in zip(self.blocks, linked, strict=True):
+                letters[n] += len(text)
+                links[n] += k
+            for n in range(len(self.label) - 1, 0, -1):
+                letters[self.parent[n]] += letters[n]
+                links[self.parent[n]] += links[n]
+            self.soft = [s and links[n] < MENU_LINKS * letters[n] for n, s in enumerate(self.soft)]
         self.dropped, self.main = self.settle()
 
     def flags(self, exempt: set[int]) -> tuple[list[bool], list[bool]]:
@@ -199,8 +238,9 @@ class Page:
         dropped, main = [False], [False]
         for n in range(1, len(self.label)):
             over = self.parent[n]
-            # A header inside is the heading of the article itself.
-            own = bool(self.drop[n]) and n not in exempt and not (self.header[n] and main[over] and not dropped[over])
+            # A header inside is the heading of the article itself, and most names say little there.
+            inside = main[over] and not dropped[over]
+            own = bool(self.drop[n]) and n not in exempt and not ((self.header[n] or self.soft[n]) and inside)
             dropped.append(own or dropped[over])
             main.append((self.mark[n] > 0 and not own) or main[over])
         return dropped, main

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyspark.llm import filter_audit, lexical, pii, registry, vector_search
+from tallyspark.llm import extraction, filter_audit, lexical, pii, registry, vector_search
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -304,3 +304,20 @@ def test_equal_vectors_take_no_square_of_time():
     blocks = [search_block(n, np.arange(4096) + 4096 * n, rng.integers(-999, 999, (4096, 64))).thinned(10) for n in range(4)]
     a, ids, s, read = vector_search.best_of_group(blocks, np.zeros((64, 64), np.int64), np.full(64, -1), np.full(64, -np.inf), 10)
     assert read <= 64 * 4 * 10 and (ids.reshape(64, 10) == np.arange(10)).all()
+
+
+@pytest.mark.parametrize(
+    "element",
+    ['<section id="discussion"><p>{}</p></section>', '<section class="legal"><p>{}</p></section>', '<div class="notice">{}</div>', '<table class="menu"><tr><td>{}</td></tr></table>', '<div class="search results">{}</div>', '<p class="side">{}</p>', '<p id="copyright">{}</p>', '<ol id="reply-list"><li>{}</li></ol>', "<dialog>{}</dialog>", "<p><math><mi>{}</mi></math></p>", '<section class="related"><p>{} see <a href="/x">this</a></p></section>'],
+)
+def test_names_cut_nothing_that_a_marked_article_says(element):
+    said = "The rule of the island is told here in full"
+    page = extraction.Page(f"<body><nav><a href='/'>Home</a></nav><article><h1>Title</h1><p>First part of it.</p>{element.format(said)}<p>End.</p></article><footer>Foot</footer></body>")
+    kept = [t for n, t in page.blocks if page.main[n] and not page.dropped[n]]
+    assert [" ".join(t.split()) for t in kept][0] == "Title" and kept[-1] == "End." and any(said in t for t in kept) and not any("Foot" in t or "Home" in t for t in kept)
+
+
+@pytest.mark.parametrize("element", ['<div class="ad">{}</div>', '<div id="comments"><p>{}</p></div>', "<form><p>{}</p></form>", "<nav>{}</nav>", "<aside>{}</aside>", '<div class="newsletter-box">{}</div>', '<div class="cookie notice">{}</div>', '<ul class="menu"><li><a href="/a">{}</a></li></ul>', '<div class="related"><a href="/b">{}</a></div>'])
+def test_parts_that_are_no_article_go_inside_it_too(element):
+    page = extraction.Page(f"<body><article><p>First part of it.</p>{element.format('Not this')}<p>End.</p></article></body>")
+    assert [t for n, t in page.blocks if page.main[n] and not page.dropped[n]] == ["First part of it.", "End."]
