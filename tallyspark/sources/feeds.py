@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import dates, text
+from ..operators import entries
+from ..operators.files import Files
 
 ENTRY = "`yt:videoId` string, title string, link struct<_href string>, published timestamp, `media:group` struct<`media:description` string>"
 WATCH = "https://www.youtube.com/watch?v="
@@ -90,22 +92,15 @@ def workbook_rows(meetings: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of a folder with their file and load_seq, the order of files by name and of entries in them; no folder, no rows.
+    """JSON lines of a folder with their file and load_seq, the order of files by name and of lines in them; no folder, no rows.
 
-    Only the rows of one file are put in order together, and files of a ledger
-    are written by people.
+    Lines are numbered split by split (see ``entries.read_lines``), so no task
+    needs a whole file.
     """
-    from py4j.java_gateway import java_import
-
-    jvm = spark.sparkContext._jvm
-    java_import(jvm, "org.apache.hadoop.fs.Path")
-    where = jvm.Path(path)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if not Files(spark, path).exists(path):
         return spark.createDataFrame([], f"{schema}, source_file string, load_seq string")
-    rows = spark.read.schema(schema).json(path).select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
-    place = Window.partitionBy("source_file").orderBy("_block", "_row")
-    seq = F.concat("source_file", F.lit("#"), F.lpad(F.row_number().over(place).cast("string"), 10, "0"))
-    return rows.withColumn("load_seq", seq).drop("_block", "_row")
+    rows = entries.read_lines(spark, path).select(F.from_json("value", schema).alias("row"), "source_file", "load_seq")
+    return rows.select("row.*", "source_file", "load_seq")
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
