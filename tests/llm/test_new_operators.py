@@ -7,11 +7,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyspark.llm import extraction, filter_audit, lexical, pii, registry, vector_search
+from tallyspark.llm import extraction, filter_audit, lexical, pii, quality, registry, vector_search
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -321,3 +322,24 @@ def test_names_cut_nothing_that_a_marked_article_says(element):
 def test_parts_that_are_no_article_go_inside_it_too(element):
     page = extraction.Page(f"<body><article><p>First part of it.</p>{element.format('Not this')}<p>End.</p></article></body>")
     assert [t for n, t in page.blocks if page.main[n] and not page.dropped[n]] == ["First part of it.", "End."]
+
+
+def test_thresholds_of_sources_with_enough_documents(spark):
+    """Groups above and below ``ENOUGH``, of one language and another, against the SQL."""
+    rng = random.Random(6)
+    rows = []
+    for lang, source, n, odd in (("en", "big", 260, 0.02), ("en", "loud", 230, 0.9), ("en", "few", 40, 0.5), ("de", "few", 30, 0.3), ("de", "many", 205, 0.1), (None, None, 15, 0.5)):
+        for _ in range(n):
+            words = ["w" * rng.randint(2, 9) + str(rng.randrange(4000)) for _ in range(rng.randint(40, 90))]
+            if rng.random() < odd:
+                words = [w + rng.choice(["$$", "##", "&"]) * rng.randint(1, 3) for w in words]
+            rows.append((len(rows), " ".join(words), lang, source))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    want = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, kept FROM ({registry.SQL['op2_quality_rules']})").fetchall()}
+    got = {r.doc_id: r.kept for r in quality.quality_rules(frame).collect()}
+    assert got == want
+    limits = {(r.t_lang, r.t_source): r.symbol_rate_high for r in quality.thresholds(quality.with_metrics(quality.measured(frame))).collect()}
+    # Sources with enough documents have limits of their own.
+    assert len({limits["en", "big"], limits["en", "loud"], limits["de", "many"]}) == 3
