@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+import re
+from collections.abc import Iterator, Mapping
 from datetime import datetime
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +30,41 @@ def export(relations: Mapping[str, DataFrame], folder: str, part_rows: int = PAR
         df.write.mode("overwrite").option("maxRecordsPerFile", part_rows).parquet(f"{folder}/{stem}.parquet")
 
 
-def manifest(spark: SparkSession, folder: str, generated_at: datetime | None = None, built_at: datetime | None = None) -> DataFrame:
-    """filename, bytes, sha256 of every part file below ``folder``, when the manifest and the tables were made."""
+#: Bytes of a file that is read at once; larger ones are read in pieces.
+WHOLE = 512 << 20
+PIECE = 8 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            source, name = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            digest = hashlib.sha256()
+            with source.open_input_stream(name) as stream:
+                while piece := stream.read(PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.record_batch([batch.column("path"), batch.column("length"), pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+
+def file_digests(spark: SparkSession, folder: str, whole: int = WHOLE) -> DataFrame:
+    """path, length, sha256 of every part file below ``folder``, of any size.
+
+    Files of up to ``whole`` bytes are read by Spark; larger ones by the tasks,
+    piece by piece, from a store that Arrow opens too (local, HDFS, S3, GCS).
+    Files without bytes are left out, as Spark lists none.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.coalesce(F.lit(generated_at).cast("timestamp"), F.current_timestamp()).alias("generated_at"), F.lit(built_at).cast("timestamp").alias("built_at"))
+    small = files.filter(F.col("length") <= whole).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > whole).select("path", "length")
+    return small.unionByName(large.mapInArrow(_digests, "path string, length long, sha256 string"))
+
+
+def manifest(spark: SparkSession, folder: str, generated_at: datetime | None = None, built_at: datetime | None = None, whole: int = WHOLE) -> DataFrame:
+    """filename, bytes, sha256 of every part file below ``folder``, when the manifest and the tables were made."""
+    name = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("filename")
+    return file_digests(spark, folder, whole).select(name, F.col("length").alias("bytes"), "sha256", F.coalesce(F.lit(generated_at).cast("timestamp"), F.current_timestamp()).alias("generated_at"), F.lit(built_at).cast("timestamp").alias("built_at"))
 
 
 def freshness(spark: SparkSession, path: str) -> DataFrame:

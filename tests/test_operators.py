@@ -285,6 +285,7 @@ def test_part_files_have_a_bounded_number_of_rows(spark, tmp_path):
     publish.export(relations, str(tmp_path), part_rows=10)
     assert [spark.read.parquet(str(f)).count() for f in sorted((tmp_path / "seb_meetings.parquet").glob("part-*"))] == [10, 10, 5]
     rows = [r for r in publish.manifest(spark, str(tmp_path)).collect() if r.filename.startswith("seb_meetings.parquet/")]
+    assert {(r.filename, r.bytes, r.sha256) for r in publish.manifest(spark, str(tmp_path), whole=300).collect()} == {(r.filename, r.bytes, r.sha256) for r in publish.manifest(spark, str(tmp_path)).collect()}
     assert len(rows) == 3 and all(r.sha256 == hashlib.sha256((tmp_path / r.filename).read_bytes()).hexdigest() for r in rows)
 
 
@@ -292,3 +293,14 @@ def test_request_log_is_read_as_typed_rows(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text('{"event": "request", "level": "info", "timestamp": "2024-05-01T10:00:00Z", "route": "/v1", "method": "GET", "status": 200, "latency_ms": 1.5, "ip_hash": "ab", "response_bytes": 12, "more": 1}\n{"event": "request", "status": 429}\n')
     rows = sorted(feeds.read_requests(spark, str(tmp_path)).collect(), key=lambda r: r.status)
     assert (rows[0].route, rows[0].latency_ms, rows[0].timestamp, rows[0].response_bytes) == ("/v1", 1.5, dt.datetime(2024, 5, 1, 10), 12) and rows[1].status == 429 and rows[1].route is None and "more" not in rows[0]
+
+
+def test_digests_of_files_beyond_a_piece(spark, tmp_path, monkeypatch):
+    """Large files are read in pieces, their bytes by no scan of Spark."""
+    rng = random.Random(1)
+    for n, size in enumerate((1, 699, 700, 2000, 250_000)):
+        (tmp_path / f"part-{n}").write_bytes(rng.randbytes(size))
+    (tmp_path / "other").write_bytes(b"x")
+    monkeypatch.setattr(publish, "PIECE", 999)
+    got = {r.path.rpartition("/")[2]: (r.length, r.sha256) for r in publish.file_digests(spark, str(tmp_path), whole=700).collect()}
+    assert got == {f"part-{n}": (len(b), hashlib.sha256(b).hexdigest()) for n in range(5) for b in [(tmp_path / f"part-{n}").read_bytes()]}
