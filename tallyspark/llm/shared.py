@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 import numpy as np
@@ -52,22 +52,39 @@ def shared_folder(spark: SparkSession) -> str:
 _scratch: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("scratch", default=())
 
 
+#: Tables outside every ``scratch``: results may read them as long as the driver runs.
+_left: list[DataFrame] = []
+
+
+@atexit.register
+def _clear() -> None:
+    for df in _left:
+        # A session that has ended can delete nothing any more.
+        with suppress(Exception):
+            discard(df)
+
+
+def _held(out: DataFrame, keep: bool = False) -> DataFrame:
+    around = _scratch.get()
+    around = around[: len(around) - keep]
+    (around[-1] if around else _left).append(out)
+    return out
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
     Cuts the lineage: a lost executor costs only the tasks it ran, and what is
     read twice is computed once.  Inside ``scratch`` the table goes at its end,
-    or with ``keep`` at the end of the one around it.
+    or with ``keep`` at the end of the one around it; without one, when the
+    driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
-    around = _scratch.get()
-    if around := around[: len(around) - keep]:
-        around[-1].append(out)
-    return out
+    return _held(out, keep)
 
 
 def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -83,9 +100,7 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     dealt.option("compression", "zstd").option("path", path).saveAsTable(table_name)
     out = spark.table(table_name)
     out.stored_at, out.stored_table = path, table_name
-    if around := _scratch.get():
-        around[-1].append(out)
-    return out
+    return _held(out)
 
 
 def discard(*tables: DataFrame) -> None:

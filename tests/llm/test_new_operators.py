@@ -3,8 +3,10 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import threading
 from collections import Counter, defaultdict
 
 import duckdb
@@ -12,7 +14,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyspark.llm import extraction, filter_audit, lexical, pii, quality, registry, vector_search
+from tallyspark.llm import extraction, filter_audit, lexical, pii, quality, registry, shared, vector_search
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -343,3 +345,27 @@ def test_thresholds_of_sources_with_enough_documents(spark):
     limits = {(r.t_lang, r.t_source): r.symbol_rate_high for r in quality.thresholds(quality.with_metrics(quality.measured(frame))).collect()}
     # Sources with enough documents have limits of their own.
     assert len({limits["en", "big"], limits["en", "loud"], limits["de", "many"]}) == 3
+
+
+def test_scratch_belongs_to_its_thread(spark):
+    """What another thread stores meanwhile isn't deleted with the scratch of this one, and tables outside all are known."""
+    done, go, found = threading.Event(), threading.Event(), {}
+
+    def other():
+        found["outside"] = shared.stored(spark.range(5), "test-other")
+        with shared.scratch():
+            inner = shared.stored(spark.range(3), "test-inner")
+            done.set()
+            go.wait(60)
+            found["inner"] = inner.count()
+
+    thread = threading.Thread(target=other)
+    with shared.scratch():
+        mine = shared.stored(spark.range(7), "test-mine")
+        thread.start()
+        done.wait(60)
+    go.set()
+    thread.join()
+    assert found["inner"] == 3 and found["outside"].count() == 5 and any(x is found["outside"] for x in shared._left)
+    assert not os.path.exists(mine.stored_at.removeprefix("file://"))
+    shared.discard(found["outside"])
