@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyspark.llm import extraction, filter_audit, lexical, pii, quality, registry, shared, vector_search
+from tallyspark.llm import extraction, filter_audit, lexical, pii, quality, registry, shared, toxicity, vector_search
 from tallyspark.llm.shared import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -369,3 +369,75 @@ def test_scratch_belongs_to_its_thread(spark):
     assert found["inner"] == 3 and found["outside"].count() == 5 and any(x is found["outside"] for x in shared._left)
     assert not os.path.exists(mine.stored_at.removeprefix("file://"))
     shared.discard(found["outside"])
+
+
+def network(seed=5, words=9, steps=6, windows=4):
+    """Weights, inputs, and windows of which some end early."""
+    rng = np.random.default_rng(seed)
+    p = toxicity.initial(rng, tuple(np.zeros(1, np.float32) for _ in range(3)))
+    p["c"] = np.array([0.3], np.float32)
+    p |= {k: rng.normal(0, 0.3, p[k].shape).astype(np.float32) for k in ("bf", "bb")}
+    x = rng.normal(0, 1, (words + 1, toxicity.INPUTS)).astype(np.float32)
+    x[-1] = 0
+    count = np.array([steps, 1, 3, steps - 1])[:windows]
+    real = np.arange(steps)[:, None] < count
+    return p, x, np.where(real, rng.integers(0, words, (steps, windows)), words).astype(np.int32), real
+
+
+def logit_by_loop(p, rows):
+    """One window, word by word and unit by unit."""
+    H = toxicity.HIDDEN
+    sig = lambda v: 1 / (1 + math.exp(-v))
+
+    def chain(side, rows):
+        h, out = [0.0] * H, []
+        for row in rows:
+            g = [sum(float(row[i]) * float(p[f"W{side}"][i, k]) for i in range(len(row))) + float(p[f"b{side}"][k]) for k in range(3 * H)]
+            z = [sig(g[k] + sum(h[j] * float(p[f"U{side}"][j, k]) for j in range(H))) for k in range(H)]
+            r = [sig(g[H + k] + sum(h[j] * float(p[f"U{side}"][j, H + k]) for j in range(H))) for k in range(H)]
+            new = [math.tanh(g[2 * H + k] + sum(r[j] * h[j] * float(p[f"U{side}"][j, 2 * H + k]) for j in range(H))) for k in range(H)]
+            h = [h[k] + z[k] * (new[k] - h[k]) for k in range(H)]
+            out.append(h)
+        return out
+
+    states = [f + b for f, b in zip(chain("f", rows), chain("b", rows[::-1])[::-1], strict=True)]
+    e = [sum(math.tanh(sum(s[j] * float(p["A"][j, k]) for j in range(2 * H))) * float(p["a"][k]) for k in range(H)) for s in states]
+    w = [math.exp(v - max(e)) for v in e]
+    pooled = [sum(a * s[j] for a, s in zip(w, states, strict=True)) / sum(w) for j in range(2 * H)]
+    return sum(a * float(v) for a, v in zip(pooled, p["v"], strict=True)) + float(p["c"][0])
+
+
+def test_network_is_that_of_a_plain_loop():
+    p, x, index, real = network()
+    got = toxicity.window_logits(p, x, index, real)
+    for n in range(index.shape[1]):
+        want = logit_by_loop(p, [x[i] for i in index[real[:, n], n]])
+        assert abs(got[n] - want) < 1e-4
+
+
+def test_gradients_are_those_of_differences():
+    p, x, index, real = network()
+    d_out = np.array([1.0, -0.5, 2.0, 0.7], np.float32)
+    total = lambda: float(toxicity.forward(p, x, index, real)[0].astype(float) @ d_out)
+    _, tape = toxicity.forward(p, x, index, real, keep=True)
+    g, d_x = toxicity.backward(p, x, index, real, tape, d_out)
+    rng = np.random.default_rng(1)
+    for name, of, grad in [*((k, p[k], g[k]) for k in g), ("x", x[:-1], d_x[:-1])]:
+        for _ in range(6):
+            at = tuple(int(rng.integers(0, n)) for n in of.shape)
+            before, step = of[at], 1e-2
+            of[at] = before + step
+            up = total()
+            of[at] = before - step
+            down = total()
+            of[at] = before
+            assert abs((up - down) / (2 * step) - grad[at]) < 2e-3 + 0.02 * abs(grad[at]), (name, at)
+
+
+def test_windows_cover_every_word():
+    for sizes in ([0], [1], [toxicity.WINDOW], [toxicity.WINDOW + 1, 0, 5], [1000, toxicity.STRIDE, 3 * toxicity.WINDOW + 7]):
+        first = np.r_[0, np.cumsum(sizes)]
+        text, start, count = toxicity.windows(first)
+        for i, n in enumerate(sizes):
+            covered = {w for s, c in zip(start[text == i].tolist(), count[text == i].tolist(), strict=True) for w in range(s, s + c)}
+            assert covered == set(range(first[i], first[i] + n)) and (text == i).any()
