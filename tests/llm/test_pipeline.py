@@ -43,7 +43,7 @@ def test_one_of_repeated_rows_and_null_ids_stays(spark):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in "documents embeddings conversations".split():
+    for t in "documents embeddings conversations labels benchmark".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     want = con.execute(registry.SQL[name]).df()
     got = registry.QUERIES[name](spark, sf).toPandas()
