@@ -106,40 +106,50 @@ def as_of(base: DataFrame, ledger: DataFrame, time, key: str = "meeting_id") ->
     return effective(base, ledger.filter(F.col("corrected_at") <= time), key)
 
 
-#: Seconds of a span of time in ``as_of_each``.
-SPAN_S = 30 * 86400
+#: Seconds of a span of time in ``as_of_each``, and rows of an entity beyond which it is cut into spans.
+SPAN_S, HOT = 30 * 86400, 10_000
 
 
-def as_of_each(base: DataFrame, ledger: DataFrame, asked: DataFrame, time: str = "at", key: str = "meeting_id", span: int = SPAN_S) -> DataFrame:
+def as_of_each(base: DataFrame, ledger: DataFrame, asked: DataFrame, time: str = "at", key: str = "meeting_id", span: int = SPAN_S, most: int = HOT) -> DataFrame:
     """Each row of ``asked`` (key, ``time`` and any more) with its entity as the ledger stood then, in one pass.
 
     At a time the override of greatest (load_seq, correction_id) among those
     made by then counts, so what counts is a running maximum over the times of
-    an entity.  Times are cut into spans: the maxima of whole spans run over the
-    spans, and single overrides only within their own, so the work of an entity
-    with very many is dealt out by span.  Asked rows for no entity have nulls;
+    an entity.  Overrides, asked rows and entities meet once, by entity.  Only
+    entities of more than ``most`` rows are cut into spans of time: the maxima
+    of whole spans run over the spans, and single overrides only within their
+    own, so the work of one is dealt out.  Asked rows for no entity have nulls;
     rows without a time have the entity as it was before all overrides.
     """
     columns = [c for c in OVERRIDABLE if c in base.columns]
-    at = F.unix_micros(F.col("corrected_at").cast("timestamp"))
     order = ["load_seq", "correction_id", "corrected_value"]
     cells = {f"_{c}": F.when(F.col("target_column") == c, F.struct(*order)) for c in columns}
-    of_span = lambda t: F.floor(t / (span * 1_000_000))
-    made = ledger.filter(F.col("corrected_at").isNotNull()).select(key, at.alias("_t"), of_span(at).alias("_span"), F.lit(0).alias("_asks"), *(v.alias(n) for n, v in cells.items()))
-    when = F.unix_micros(F.col(time).cast("timestamp"))
-    none = [F.lit(None).cast(made.schema[n].dataType).alias(n) for n in cells]
-    row = F.struct(*asked.columns).alias("_row")
-    asks = asked.select(key, when.alias("_t"), of_span(when).alias("_span"), F.lit(1).alias("_asks"), *none, row)
-    spans = made.groupBy(key, "_span").agg(*(F.max(n).alias(n) for n in cells)).unionByName(asks.select(key, "_span", *cells).distinct()).groupBy(key, "_span").agg(*(F.max(n).alias(n) for n in cells))
-    # One row a span of an entity.
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias("_t")
+    made = ledger.filter(F.col("corrected_at").isNotNull() & F.col(key).isNotNull()).select(key, micros("corrected_at"), F.lit(0).alias("_asks"), "target_column", *order)
+    both = made.unionByName(asked.select(key, micros(time), F.lit(1).alias("_asks"), F.struct(*asked.columns).alias("_row")), allowMissingColumns=True)
+    # At most one in ``most`` rows, so few enough to broadcast.
+    hot = F.broadcast(both.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n")).filter(F.col("n") > most).select("_hot"))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+
+    def seen(rows: DataFrame, *by: str) -> DataFrame:
+        """Asked rows with the running maxima within ``by``."""
+        running = Window.partitionBy(*by).orderBy("_t", "_asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.select(*by, "_row", "_asks", *(F.max(n).over(running).alias(n) for n in cells)).filter("_asks = 1")
+
+    # Cells are made behind the exchange: before it they would widen every row.
+    few = seen(both.join(hot, is_hot, "left_anti").repartition(key).withColumns(cells), key)
+    many = both.join(hot, is_hot, "left_semi").withColumn("_span", F.floor(F.col("_t") / (span * 1_000_000))).repartition(key, "_span").withColumns(cells)
+    # One row a span of an entity.  A null entity or span has nothing before it, so plain equality will do.
     earlier = Window.partitionBy(key).orderBy(F.col("_span").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    spans = many.groupBy(key, "_span").agg(*(F.max(n).alias(n) for n in cells))
     carried = spans.select(key, "_span", *(F.max(n).over(earlier).alias(f"_before{n}") for n in cells))
-    running = Window.partitionBy(key, "_span").orderBy("_t", "_asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = made.withColumn("_row", F.lit(None).cast(asks.schema["_row"].dataType)).unionByName(asks)
-    seen = both.select(key, "_span", "_row", "_asks", *(F.max(n).over(running).alias(n) for n in cells)).filter("_asks = 1")
-    same = [F.col(f"s.{key}").eqNullSafe(F.col(f"c.{key}")), F.col("s._span").eqNullSafe(F.col("c._span"))]
-    whole = seen.alias("s").join(carried.alias("c"), same[0] & same[1], "left").select(F.col("s._row").alias("_row"), F.col(f"s.{key}").alias("_key"), *(F.greatest(F.col(f"s.{n}"), F.col(f"c._before{n}")).alias(n) for n in cells))
+    cut = seen(many, key, "_span").join(carried, [key, "_span"], "left").select(key, "_row", *(F.greatest(n, f"_before{n}").alias(n) for n in cells))
     types = dict(base.dtypes)
     value = lambda c: F.when(F.col(f"_{c}").isNotNull() & F.col("_there"), F.col(f"_{c}.corrected_value").try_cast(types[c])).otherwise(F.col(f"b.{c}")).alias(c)
-    rows = whole.join(base.withColumn("_there", F.lit(True)).alias("b"), F.col("_key") == F.col(f"b.{key}"), "left")
-    return rows.select("_row.*", *(value(c) if c in columns else F.col(f"b.{c}").alias(c) for c in base.columns if c not in asked.columns))
+    there = base.withColumn("_there", F.lit(True)).alias("b")
+
+    def valued(rows: DataFrame) -> DataFrame:
+        out = rows.withColumnRenamed(key, "_key").join(there, F.col("_key") == F.col(f"b.{key}"), "left")
+        return out.select("_row.*", *(value(c) if c in columns else F.col(f"b.{c}").alias(c) for c in base.columns if c not in asked.columns))
+
+    return valued(few.select(key, "_row", *cells)).unionByName(valued(cut))

@@ -26,3 +26,22 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def shuffled(spark):
+    """A function: the records that the tasks of an action send to others."""
+
+    def of(action) -> int:
+        sc = spark.sparkContext._jsc.sc()
+
+        def stages() -> dict[int, int]:
+            sc.listenerBus().waitUntilEmpty()
+            held = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+            return {held.apply(i).stageId(): held.apply(i).shuffleWriteRecords() for i in range(held.size())}
+
+        last = max(stages(), default=-1)
+        action()
+        return sum(n for i, n in stages().items() if i > last)
+
+    return of

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import address, dates, text
 from tallyspark.operators import contracts, ledger, limiter, merge, publish, reads, views
 from tallyspark.plans import jobs
+from tallyspark.plans.queries import QUERIES
 from tallyspark.sources import feeds
 
 VOTER = "voter_id long, county string, precinct string, status string, residence_zip5 string, birth_year int"
@@ -117,6 +118,24 @@ def test_each_asked_row_has_its_own_time(spark):
         assert len(got) == len(asked) and {r.ask: tuple(r[c] for c in columns) for r in got} == want
 
 
+def test_entities_of_many_rows_are_cut_into_spans(spark):
+    """Whether none, some or all entities are cut, as many rows and the same; a null key and a null time too."""
+    rng = random.Random(5)
+    base = meetings(spark, *((i, D(2024, 1, 1), "Unreviewed", None, None, f"u{i}", float(i), f"c{i}") for i in range(6)))
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(days=d) for d in range(0, 200, 9)]
+    log = spark.createDataFrame([(f"k{n}", 0 if rng.random() < 0.5 else rng.choice([None, 1, 2, 7]), rng.choice(["chair", "video_url", "hours_logged"]), rng.choice([None, "1.5", "2", "x"]), rng.choice([None, *times]), rng.randrange(99)) for n in range(160)], "correction_id string, meeting_id long, target_column string, corrected_value string, corrected_at timestamp, load_seq int")
+    frame = spark.createDataFrame([(n, rng.choice([None, 0, 0, 1, 2, 3, 9]), rng.choice([None, *times])) for n in range(120)], "ask int, meeting_id long, at timestamp")
+    rows = [sorted(map(str, ledger.as_of_each(base, log, frame, span=86400 * 20, most=most).collect())) for most in (10**6, 40, 0)]
+    assert len(rows[0]) == 120 and rows[0] == rows[1] == rows[2]
+
+
+@pytest.mark.parametrize("name, most", [("meetings_at_instants", 4.5)])
+def test_rows_are_sent_few_times(spark, sf, shuffled, name, most):
+    """Shuffled records a line of the input."""
+    sent = shuffled(lambda: QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save())
+    assert 0 < sent <= most * spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
 def test_suppressions_job(spark):
     people = voters(spark, (1, "A", "p", "Active", "1", 1950), (2, "A", "p", "Active", "1", 1950))
     log = asked(spark, ("s1", 1, "suppress", None, 1))
