@@ -65,19 +65,27 @@ def applied(batch: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeti
     with the logged ones applied; that of a later one is what the one before it
     in the batch wrote.  Known and lost rows have none.
     """
-    marked = batch.join(log.select("correction_id", F.lit(True).alias("known")), "correction_id", "left")
-    marked = marked.join(base.select(key, F.lit(True).alias("there")), key, "left")
-    marked = marked.select(*batch.columns, F.coalesce("known", F.lit(False)).alias("known"), (F.col("known").isNull() & F.col("there").isNull()).alias("lost"))
-    fresh = marked.filter("NOT known AND NOT lost")
-    ids = fresh.select(key).distinct()
-    now = effective(base.join(ids, key, "left_semi"), log.join(ids, key, "left_semi"), key)
+    marked = batch.join(log.select("correction_id", F.lit(True).alias("known")), "correction_id", "left").select(*batch.columns, F.coalesce("known", F.lit(False)).alias("known"))
+    return valued(marked, log, base, key)
+
+
+def valued(marked: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeting_id") -> DataFrame:
+    """A batch with ``known`` set: adds ``lost`` and ``original_value``, as in ``applied``.
+
+    The batch, the log and the entities meet once, by entity.  The log is sent
+    row by row: summed up before, its rows would be sorted twice, and an entity
+    has few.
+    """
     columns = [c for c in OVERRIDABLE if c in base.columns]
-    cells = now.select(key, *(F.col(c).cast("string").alias(c) for c in columns)).unpivot(key, columns, "target_column", "_now")
-    order = Window.partitionBy(key, "target_column").orderBy("load_seq", "correction_id")
-    valued = fresh.withColumns({"_nth": F.row_number().over(order), "_before": F.lag("corrected_value").over(order)}).join(cells, [key, "target_column"], "left")
-    valued = valued.select(*marked.columns, F.when(F.col("_nth") == 1, F.col("_now")).otherwise(F.col("_before")).alias("original_value"))
-    rest = marked.filter("known OR lost").withColumn("original_value", F.lit(None).cast("string"))
-    return valued.unionByName(rest)
+    now = effective(base, log.repartition(key), key)
+    now = now.select(key, F.lit(True).alias("_there"), *(F.col(c).cast("string").alias(f"_now_{c}") for c in columns))
+    rows = marked.join(now, key, "left").withColumn("lost", ~F.col("known") & F.col("_there").isNull())
+    # Known and lost rows are no earlier ones; as keys of the window these filters are pushed below it.
+    order = Window.partitionBy(key, "target_column", "known", "lost").orderBy("load_seq", "correction_id")
+    present = F.coalesce(*(F.when(F.col("target_column") == c, F.col(f"_now_{c}")) for c in columns))
+    rows = rows.withColumns({"_nth": F.row_number().over(order), "_before": F.lag("corrected_value").over(order)})
+    original = F.when(F.col("known") | F.col("lost"), F.lit(None)).when(F.col("_nth") == 1, present).otherwise(F.col("_before"))
+    return rows.select(*marked.columns, "lost", original.alias("original_value"))
 
 
 def apply_counts() -> dict[str, Column]:

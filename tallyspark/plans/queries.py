@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import address, dates, text
@@ -241,8 +241,14 @@ BATCHES = """one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY co
  held AS (SELECT * FROM meetings WHERE meeting_id % 11 <> 3), log AS (SELECT * FROM one WHERE load_seq % 3 = 0)"""
 
 
+def _first_of_id(corrections: DataFrame) -> DataFrame:
+    """One row an id, that of least ``load_seq``.  Rows are dealt by id before they are sorted, so nothing is sorted as it is read."""
+    nth = F.row_number().over(Window.partitionBy("correction_id").orderBy("load_seq"))
+    return corrections.repartition("correction_id").withColumn("nth", nth).filter("nth = 1").drop("nth")
+
+
 def _batches(corrections: DataFrame, meetings: DataFrame) -> DataFrame:
-    one = corrections.dropDuplicates(["correction_id"])
+    one = _first_of_id(corrections)
     return ledger.applied(one, one.filter("load_seq % 3 = 0"), meetings.filter("meeting_id % 11 <> 3"))
 
 
