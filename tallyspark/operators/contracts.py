@@ -159,6 +159,12 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def any_repeated(df: DataFrame, key: str) -> bool:
+    """Whether a key occurs more than once: hashes are sent first, keys only if two hashes are equal."""
+    hashes = df.groupBy(F.xxhash64(key).alias("h")).agg(F.count("*").alias("n")).filter("n > 1")
+    return bool(hashes.limit(1).collect()) and bool(repeated(df, key).limit(1).collect())
+
+
 def publishable(name: str) -> str:
     if name not in schemas.PUBLIC:
         raise ContractError(f"{name} is {'never published' if name in schemas.DENIED else 'not on the list'}")

@@ -69,6 +69,19 @@ def applied(batch: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeti
     return valued(marked, log, base, key)
 
 
+def applied_within(batch: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeting_id") -> DataFrame:
+    """``applied`` with ids looked up among those of the same entity only, and ``_times`` a row's id occurs there in the batch.
+
+    Batch, log and entities meet once, by entity.  If no id is then held twice
+    by log and new rows together, the rows are those of ``applied``.
+    """
+    marks = log.select(key, "correction_id", F.lit(True).alias("_logged")).repartition(key)
+    both = batch.withColumn("_logged", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    of_id = Window.partitionBy(key, "correction_id")
+    marked = both.withColumns({"known": F.max("_logged").over(of_id), "_times": F.count_if(~F.col("_logged")).over(of_id)})
+    return valued(marked.filter("NOT _logged").drop("_logged"), log, base, key)
+
+
 def valued(marked: DataFrame, log: DataFrame, base: DataFrame, key: str = "meeting_id") -> DataFrame:
     """A batch with ``known`` set: adds ``lost`` and ``original_value``, as in ``applied``.
 

@@ -27,7 +27,7 @@ from . import contracts
 from .files import Files
 
 BUCKETS = 64
-_BUCKET = "_bucket"
+_BUCKET, _SLICE = "_bucket", "_slice"
 
 
 def bucket(key: str, buckets: int) -> Column:
@@ -124,9 +124,10 @@ class Change:
         self.create(name, rows, key)
         store, table = self.store, self.manifest[name]
         names = StructType.fromJson(table["schema"]).names
-        rest = [c for c in names if c != key]
-        last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, tie or order)).alias("last"), (F.count("*") if counted is None else F.count_if(counted)).alias("_n"))
-        last = last.select(*(F.col(c if c == key else f"last.`{c}`").alias(c) for c in names), "_n", bucket(key, table["buckets"]).alias(_BUCKET)).persist()
+        if not table["parts"]:
+            return self._fill(name, table, rows, key, order, tie, counted)
+        # Rows are dealt by key before they are summed up, so nothing is sorted as it is read; old rows join there.
+        last = self._last(rows.repartition(key), [key], names, order, tie, counted).withColumn(_BUCKET, bucket(key, table["buckets"])).persist()
         try:
             reached = {r[0]: r[1] for r in last.groupBy(_BUCKET).agg(F.sum("_n")).collect()}
             self.upserted[name] = self.upserted.get(name, 0) + sum(reached.values())
@@ -146,16 +147,34 @@ class Change:
         finally:
             last.unpersist()
 
-    def append(self, name: str, rows: DataFrame, key: str, keep: Column | None = None, metrics: dict[str, Column] | None = None) -> dict[str, int]:
+    def _last(self, rows: DataFrame, keys: list[str], names: list[str], order: str, tie: str | None, counted: Column | None) -> DataFrame:
+        """The last row of each key, and in ``_n`` how many there were."""
+        rest = [c for c in names if c not in keys]
+        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, tie or order)).alias("last"), (F.count("*") if counted is None else F.count_if(counted)).alias("_n"))
+        return last.select(*(F.col(c if c in keys else f"last.`{c}`").alias(c) for c in [*names, *(k for k in keys if k not in names)]), "_n")
+
+    def _fill(self, name: str, table: dict, rows: DataFrame, key: str, order: str, tie: str | None, counted: Column | None) -> int:
+        """``upsert`` into an empty table: rows are sent once, by slices of buckets, and written where they are summed up."""
+        names = StructType.fromJson(table["schema"]).names
+        slices = table["buckets"] * -(-4 * int(self.store.spark.conf.get("spark.sql.shuffle.partitions")) // table["buckets"])
+        dealt = rows.withColumn(_SLICE, bucket(key, slices)).repartition(_SLICE)
+        # A slice belongs to one bucket, as their number is a multiple of that of the buckets.
+        last = self._last(dealt, [_SLICE, key], names, order, tie, counted).withColumn(_BUCKET, F.col(_SLICE) % table["buckets"])
+        found = self._write(name, table, last, metrics={"n": F.sum("_n")}, dealt=True)
+        self.upserted[name] = self.upserted.get(name, 0) + found["n"]
+        return len(self.manifest[name]["parts"])
+
+    def append(self, name: str, rows: DataFrame, key: str, keep: Column | None = None, metrics: dict[str, Column] | None = None, dealt: bool = False) -> dict[str, int]:
         """Add the rows where ``keep`` holds to a table that only grows; ``metrics`` of all rows are counted in the same pass.
 
         Nothing old is read.  Columns that the table lacks serve ``keep`` and
-        the metrics only.
+        the metrics only.  Rows that are ``dealt`` already, by whatever key, are
+        not sent by bucket: each task writes a file of every bucket it has.
         """
         table = self.manifest.get(name)
         if table is None:
             raise contracts.ContractError(f"{name} has no columns yet; create it first")
-        return self._write(name, table, rows.withColumn(_BUCKET, bucket(key, table["buckets"])), keep=keep, metrics=metrics)
+        return self._write(name, table, rows.withColumn(_BUCKET, bucket(key, table["buckets"])), keep=keep, metrics=metrics, dealt=dealt)
 
     def compact(self, name: str, most: int = 16) -> int:
         """Write buckets of more than ``most`` parts anew as one part each; their number."""
@@ -176,11 +195,13 @@ class Change:
             field["nullable"] = True
         return {"key": key, "buckets": self.store.buckets, "schema": schema, "parts": {}}
 
-    def _write(self, name: str, table: dict, rows: DataFrame, replaced: set[int] | None = None, keep: Column | None = None, metrics: dict[str, Column] | None = None) -> dict[str, int]:
+    def _write(self, name: str, table: dict, rows: DataFrame, replaced: set[int] | None = None, keep: Column | None = None, metrics: dict[str, Column] | None = None, dealt: bool = False) -> dict[str, int]:
         """Write rows by bucket beside the old parts; buckets in ``replaced`` lose theirs, the rest keep them.
 
         Rows are counted behind the exchange, in the tasks that write: such a
-        task counts once, however often the stages before it run again.
+        task counts once, however often the stages before it run again.  Rows
+        that are ``dealt`` have an exchange behind them, so none comes before
+        the write.
         """
         names = StructType.fromJson(table["schema"]).names
         keep = F.lit(True) if keep is None else keep
@@ -190,8 +211,8 @@ class Change:
         folder = f"data/{name}/{uuid.uuid4().hex}"
         self.written.append(folder)
         # The planner splits large buckets into several files and joins small ones.
-        counted = rows.hint("rebalance", _BUCKET).observe(observed, *(c.alias(k) for k, c in counts.items()))
-        counted.filter(keep).select(*names, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.store.root}/{folder}")
+        counted = (rows if dealt else rows.hint("rebalance", _BUCKET)).observe(observed, *(c.alias(k) for k, c in counts.items()))
+        counted.filter(keep).select(*names, _BUCKET).write.option("compression", "zstd").partitionBy(_BUCKET).parquet(f"{self.store.root}/{folder}")
         found = {k: v or 0 for k, v in observed.get.items()}
         broken = [f"{k[7:]} ({v})" for k, v in found.items() if k.startswith("broken ") and v]
         if broken:

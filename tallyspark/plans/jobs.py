@@ -58,30 +58,47 @@ LOGGED = "correction_id string, meeting_id long, target_column string, original_
 def apply_corrections(change: tables.Change, batch: DataFrame, at: datetime) -> dict[str, int]:
     """Log the overrides that aren't logged yet, each with the value it replaces; {logged, applied, skipped}.
 
-    The counts come from the pass that writes.  An id that occurs twice in the
-    batch raises, and so does a new override of an unknown meeting; logged ones
-    are skipped unseen.  Overrides of a later run follow all those before.
+    Rules are checked and rows counted in the pass that writes.  A row that
+    breaks a rule raises, an id that occurs twice in the batch does, and so does
+    a new override of an unknown meeting; logged ones are skipped unseen.
+    Overrides of a later run follow all those before.
+
+    An id is looked for among its meeting's first, so rows are sent once; should
+    one turn out to be of two meetings, all are looked up by id instead.
     """
-    contracts.split_valid(batch, contracts.correction_rules(), strict=True)
-    twice = contracts.repeated(batch, "correction_id").limit(1).collect()
-    if twice:
-        raise contracts.ContractError(f"correction {twice[0].correction_id!r} occurs {twice[0].n} times in the batch")
     empty = change.store.spark.createDataFrame([], LOGGED)
     change.create(CORRECTIONS, empty, "correction_id")
     run = 0 if change.base is None else change.base + 1
     seq = F.col("load_seq") if dict(batch.dtypes)["load_seq"] == "string" else F.lpad(F.col("load_seq").cast("string"), 20, "0")
-    rows = batch.withColumns({
-        "load_seq": F.concat(F.lit(f"{run:012d}|"), seq),
-        "corrected_at": F.coalesce("corrected_at", F.lit(at).cast("timestamp")),
-        "applied_at": F.lit(at).cast("timestamp"),
-        "evidence_url": F.col("evidence_url") if "evidence_url" in batch.columns else F.lit(None).cast("string"),
-    })
-    marked = ledger.applied(rows, change.read(CORRECTIONS), change.read("seb.meetings"))
-    counts = change.append(CORRECTIONS, marked, "correction_id", ~F.col("known") & ~F.col("lost"), ledger.apply_counts())
-    if counts.pop("lost"):
-        first = marked.filter("lost").orderBy("load_seq").first()
-        raise contracts.ContractError(f"correction {first.correction_id!r} targets meeting {first.meeting_id}, which seb.meetings lacks")
-    return counts
+    broken = F.size(contracts.violations(contracts.correction_rules())) > 0
+    rows = batch.withColumns({"_broken": broken, "load_seq": F.concat(F.lit(f"{run:012d}|"), seq)})
+    log, meetings, before = change.read(CORRECTIONS), change.read("seb.meetings"), change.manifest[CORRECTIONS]
+
+    def write(marked: DataFrame, dealt: bool) -> dict[str, int]:
+        whole = marked.withColumns({
+            "corrected_at": F.coalesce("corrected_at", F.lit(at).cast("timestamp")),
+            "applied_at": F.lit(at).cast("timestamp"),
+            "evidence_url": F.col("evidence_url") if "evidence_url" in batch.columns else F.lit(None).cast("string"),
+        })
+        good = ~F.col("known") & ~F.col("lost") & ~F.col("_broken") & (F.col("_times") == 1)
+        return change.append(CORRECTIONS, whole, "correction_id", good, ledger.apply_counts() | {"broken": F.count_if("_broken"), "twice": F.count_if(F.col("_times") > 1)}, dealt)
+
+    counts = write(ledger.applied_within(rows, log, meetings), True)
+    if counts["broken"]:
+        contracts.split_valid(batch, contracts.correction_rules(), strict=True)
+        raise contracts.ContractError("a correction breaks a rule")
+    if counts["twice"] or counts["lost"] or (counts["logged"] and contracts.any_repeated(change.read(CORRECTIONS), "correction_id")):
+        # What was written goes with the next ``clear``, as no manifest names it.
+        change.manifest[CORRECTIONS] = before
+        twice = contracts.repeated(batch, "correction_id").limit(1).collect()
+        if twice:
+            raise contracts.ContractError(f"correction {twice[0].correction_id!r} occurs {twice[0].n} times in the batch")
+        marked = ledger.applied(rows.withColumn("_times", F.lit(1)), log, meetings)
+        counts = write(marked, False)
+        if counts["lost"]:
+            first = marked.filter("lost").orderBy("load_seq").first()
+            raise contracts.ContractError(f"correction {first.correction_id!r} targets meeting {first.meeting_id}, which seb.meetings lacks")
+    return {k: counts[k] for k in ("logged", "applied", "skipped")}
 
 
 def ingest(store: tables.Store, seed: dict[str, DataFrame], feed: DataFrame | None, corrections: DataFrame | None, at: datetime, source: str = "workbook_v0", tie: str | None = None) -> dict:

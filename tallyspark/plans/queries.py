@@ -241,10 +241,13 @@ BATCHES = """one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY co
  held AS (SELECT * FROM meetings WHERE meeting_id % 11 <> 3), log AS (SELECT * FROM one WHERE load_seq % 3 = 0)"""
 
 
-def _first_of_id(corrections: DataFrame) -> DataFrame:
-    """One row an id, that of least ``load_seq``.  Rows are dealt by id before they are sorted, so nothing is sorted as it is read."""
-    nth = F.row_number().over(Window.partitionBy("correction_id").orderBy("load_seq"))
-    return corrections.repartition("correction_id").withColumn("nth", nth).filter("nth = 1").drop("nth")
+def _first_of_id(corrections: DataFrame, *within: str) -> DataFrame:
+    """One row an id, that of least ``load_seq``.  Rows are dealt by id before they are sorted, so nothing is sorted as it is read.
+
+    Columns that the id decides, given as ``within``, are dealt by instead.
+    """
+    nth = F.row_number().over(Window.partitionBy(*within, "correction_id").orderBy("load_seq"))
+    return corrections.repartition(*(within or ("correction_id",))).withColumn("nth", nth).filter("nth = 1").drop("nth")
 
 
 def _batches(corrections: DataFrame, meetings: DataFrame) -> DataFrame:
@@ -540,12 +543,13 @@ def ingest_runs(meetings, videos, corrections):
         "seb.controversies": topics.select(k.alias("controversy_id"), F.lit("topic").alias("title"), F.lit(None).cast("date").alias("first_seen_date"), F.lit("Active").alias("status"), none.alias("description"), none.alias("latest_action"), none.alias("primary_source")),
         "seb.sources": topics.select(k.alias("source_id"), F.lit("s").alias("name"), F.lit("Other").alias("source_type"), F.lit("u").alias("url"), none.alias("notes")),
     }
-    one = corrections.dropDuplicates(["correction_id"])
+    # An id holds its meeting and what load_seq is made of, so rows are dealt by meeting, as the meetings are.
+    one, third = (_first_of_id(rows, "meeting_id") for rows in (corrections, corrections.filter("load_seq % 3 = 0")))
     even, known = meetings.filter(k % 2 == 0), meetings.filter((k % 2 == 0) | (k % 5 != 4))
     store = tables.Store(spark, f"{files.shared_folder(spark)}/ingest-{uuid.uuid4().hex}", buckets=16)
     try:
         runs = [
-            jobs.ingest(store, {"seb.meetings": even, **more}, None, one.filter("load_seq % 3 = 0").join(even.select("meeting_id"), "meeting_id", "left_semi"), datetime(2024, 1, 1)),
+            jobs.ingest(store, {"seb.meetings": even, **more}, None, third.join(even.select("meeting_id"), "meeting_id", "left_semi"), datetime(2024, 1, 1)),
             jobs.ingest(store, {"seb.meetings": topics, **more}, videos.withColumns({"meeting_id": k - k % 2, "title": c("video_id")}), one.join(known.select("meeting_id"), "meeting_id", "left_semi"), datetime(2024, 2, 1), tie="published_date"),
         ]
     finally:

@@ -70,6 +70,22 @@ def test_later_runs_go_on_from_the_ledger(spark, store):
     assert {r.meeting_id: r.chair for r in jobs.meetings_in_effect(store).collect()} == {1: "third", 2: "bob", 3: "cy"}
 
 
+def test_an_id_logged_for_another_meeting_is_skipped(spark, store):
+    """Ids are looked up by meeting first; one that has moved to another meeting, there or not, is known all the same."""
+    jobs.ingest(store, two(spark), None, overrides(spark, ("c1", 1, "chair", "first"), ("c2", 2, "chair", "first")), AT)
+    got = jobs.ingest(store, two(spark), None, overrides(spark, ("c1", 2, "chair", "moved"), ("c3", 2, "chair", "second"), ("c4", 1, "chair", "third")), LATER)
+    assert got["corrections"] == {"logged": 2, "applied": 2, "skipped": 1}
+    rows = {r.correction_id: (r.meeting_id, r.original_value) for r in store.read("seb.meeting_corrections").collect()}
+    assert rows == {"c1": (1, "ann"), "c2": (2, "bob"), "c3": (2, "first"), "c4": (1, "first")}
+    got = jobs.ingest(store, two(spark), None, overrides(spark, ("c1", 99, "chair", "gone")), LATER)
+    assert got["corrections"] == {"logged": 0, "applied": 0, "skipped": 1} and store.read("seb.meeting_corrections").count() == 4
+
+
+def test_empty_batches(spark, store):
+    got = jobs.ingest(store, two(spark), feed(spark), overrides(spark), AT)
+    assert got["videos_upserted"] == 0 and got["corrections"] == {"logged": 0, "applied": 0, "skipped": 0}
+
+
 def test_gaps_of_old_meetings_are_filled(spark, store):
     jobs.ingest(store, two(spark), None, None, AT)
     got = jobs.ingest(store, seed(spark, (2, D(2024, 1, 2), "bob", "https://v/2", None)), feed(spark, ("v", None, "https://v/3", D(2024, 1, 3), 1)), None, LATER)
