@@ -24,7 +24,8 @@ one.  Other lengths have anchors in proportion (see ``anchor_width``).
 
 128 bytes that a sample finds very often (a passage that a third of all
 documents share) never meet in one task: their contexts are summed up by
-(128 bytes, context) and joined back, both of which Spark can split.
+(128 bytes, context) and joined back.  The few contexts that hold much of all
+anchors are broadcast for that, so no exchange gathers their copies.
 
 Strings are compared by 64-bit hashes among those with equal anchors.  A null
 text counts as empty; texts shorter than ``length`` keep all.  Rows that repeat
@@ -48,6 +49,8 @@ from .words import mix, powers, prefix_sums, word_spans
 LENGTH = 400
 #: Contexts of one run that a single task compares at most.
 RUN_LIMIT = 1000
+#: Kinds of contexts with more than this part of all anchors are broadcast, so their copies aren't sent; fewer than this many can be.
+MANY = 1 << 14
 SLICE = 1 << 20
 #: Bytes of contexts that are compared at a time.
 CHUNK = 2 << 20
@@ -126,7 +129,8 @@ def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
     kh names the run of equal 128 bytes, cd the kind of context in it.
     """
     rows = stored(anchor_rows(docs, length), "suffix-anchors")
-    hot = frequent(rows, "kh", rows.count())
+    n = rows.count()
+    hot = frequent(rows, "kh", n)
     place = F.struct("key", "at", "lead", "span")
 
     run, kind = Window.partitionBy("kh"), Window.partitionBy("kh", "cd")
@@ -139,7 +143,9 @@ def marked(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]
     kinds = stored(often.groupBy("kh", "cd").agg(F.count("*").alias("copies"), F.min(place).alias("first")), "suffix-kinds")
     # A row for each value of ``hot`` at most.
     runs = F.broadcast(kinds.groupBy("kh").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
-    again = often.join(kinds.filter("copies > 1").select("kh", "cd"), ["kh", "cd"])
+    kind_of, twice, most = ["kh", "cd"], F.col("copies") > 1, F.col("copies") * MANY > n
+    many = F.broadcast(kinds.filter(twice & most).select(*kind_of))
+    again = often.join(many, kind_of, "left_semi").unionByName(often.join(many, kind_of, "left_anti").join(kinds.filter(twice & ~most).select(*kind_of), kind_of, "left_semi"))
 
     span = [F.col("key"), (F.col("at") - F.col("lead")).alias("start"), (F.col("at") - F.col("lead") + F.col("span")).alias("stop")]
     whole = rare.filter("copies > 1").select(*span).unionByName(again.select(*span))

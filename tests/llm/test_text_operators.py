@@ -126,6 +126,27 @@ def test_suffix_dedup(spark, sf, limit, often, length, monkeypatch):
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_copies_of_a_common_passage_are_not_sent(spark, shuffled, monkeypatch):
+    monkeypatch.setattr(shared, "OFTEN", 4)
+    monkeypatch.setattr(suffix_dedup, "MANY", 20, raising=False)
+    rng = np.random.default_rng(6)
+    text = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    passage, rare = text(1200), text(600)
+    rows = [(k, text(30) + passage + text(450)) for k in range(300)] + [(1000 + k, rare) for k in range(9)]
+    df = docs(spark, rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole, _ = suffix_dedup.marked(shared.stored(df.select(suffix_dedup.F.col("doc_id").alias("key"), "text"), "test"))
+        found = []
+        sent = shuffled(lambda: found.extend(whole.collect()))
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Both the common passage and what few rows hold is found; only contexts around them, each another, are sent.
+    assert {r.key for r in found} == {k for k, _ in rows} and sent < len(found)
+    assert got == Counter(removal(rows))
+
+
 def test_multikey_order():
     rng = np.random.default_rng(8)
     for n, values in ((0, 3), (1, 3), (500, 2), (3000, 40)):
