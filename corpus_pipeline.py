@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import jaccard, packing, registry, secrets, suffix_dedup, toxicity
 from tallyspark.llm.shared import discard, scratch, stored, table
-
-#: Bytes by which repeated passages are found, and the words one must exceed to go.
-PASSAGE_BYTES, PASSAGE_WORDS = 200, 50
+from tallyspark.llm.suffix_dedup import PASSAGE_BYTES, PASSAGE_WORDS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,10 @@ Strings are compared by 64-bit hashes among those with equal anchors.  A null
 text counts as empty; texts shorter than ``length`` keep all.  Rows that repeat
 a doc_id are documents of their own, so two equal rows of 400 bytes remove each
 other.  An empty table gives no rows.
+
+A repeated passage of over 50 words is often shorter than 400 bytes and stays.
+``remove_repeats`` finds these too, by strings of 200 bytes in the same way, and
+counts them beside what it removes.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ from .shared import bucketed, clean_columns, frequent, scratch, slices, stored,
 from .words import mix, powers, prefix_sums, word_spans
 
 LENGTH = 400
+#: Bytes by which repeated passages are found, and the words one must exceed to count.
+PASSAGE_BYTES, PASSAGE_WORDS = 200, 50
 #: Contexts of one run that a single task compares at most.
 RUN_LIMIT = 1000
 #: Kinds of contexts with more than this part of all anchors are broadcast, so their copies aren't sent; fewer than this many can be.
@@ -373,11 +379,14 @@ def merged(spans: DataFrame) -> DataFrame:
     return runs.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
-def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """key, spans: what is removed of each document that loses anything."""
+def removals(docs: DataFrame, length: int = LENGTH, within: DataFrame | None = None) -> DataFrame:
+    """key, spans: what is removed of each document that loses anything.
+
+    ``within`` has the keys of the documents to look at, if not all.
+    """
     with scratch():
         docs = docs.select("key", "text")
-        whole, firsts = marked(docs, length)
+        whole, firsts = marked(docs if within is None else docs.join(within, "key", "left_semi"), length)
         rows = stored(contexts(firsts, docs), "suffix-contexts")
         spans = whole.unionByName(bucket_spans(rows.filter("buckets = 1"), length))
         if firsts.filter("buckets > 1").limit(1).count():
@@ -411,32 +420,52 @@ def each_kept(batches: Iterator[pa.RecordBatch], over_words: int = 0) -> Iterato
             yield part, rows
 
 
-def joined(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents with ``spans``.
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents, written once in buckets by a key for each row, so joins on it send spans, never texts."""
+    return bucketed(docs.withColumn("key", F.monotonically_increasing_id()), "suffix-documents", "key")
 
-    They are written once, with a key for each row, in buckets by it, so both
-    joins on the key send spans, never texts.
-    """
-    docs = bucketed(docs.withColumn("key", F.monotonically_increasing_id()), "suffix-documents", "key")
+
+def joined(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with ``spans``."""
+    docs = keyed(docs)
     return docs.join(removals(docs, length), "key", "left")
 
 
+def runs_of(mask: np.ndarray) -> int:
+    return int((mask[1:] & ~mask[:-1]).sum() + mask[:1].sum())
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, n_passage_bytes of every document.
+
+    Passages are the runs of bytes that repeated strings of ``PASSAGE_BYTES``
+    cover, if they hold more than ``PASSAGE_WORDS`` whole words.  They are
+    counted, with their bytes, whether they are removed or not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in each_kept(batches):
-            n, removed, spans, sha = [], [], [], []
-            for data, mask in rows:
+            n, removed, spans, sha, passages, covered = [], [], [], [], [], []
+            for (data, mask), own in zip(rows, part.column("passages"), strict=True):
                 n.append(len(data))
                 removed.append(int(mask.sum()))
-                spans.append(int((mask[1:] & ~mask[:-1]).sum() + mask[:1].sum()))
+                spans.append(runs_of(mask))
                 sha.append(hashlib.sha256(data[~mask].tobytes()).hexdigest())
-            yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                passage = removed_mask(data, own if own.is_valid else None, PASSAGE_WORDS)
+                passages.append(runs_of(passage))
+                covered.append(int(passage.sum()))
+            counts = [pa.array(x, pa.int64()) for x in (n, removed, spans, passages, covered)]
+            yield pa.record_batch([part.column("doc_id"), *counts[:3], pa.array(sha), *counts[3:]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_bytes"])
 
     docs = clean_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     with scratch():
-        out = joined(docs, length).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        docs = keyed(docs)
+        passages = removals(docs, PASSAGE_BYTES)
+        # All of a repeated string is covered by the shorter ones in it, at each place where it starts.
+        longer = passages.filter(F.exists("spans", lambda x: x.stop - x.start >= length)).select("key") if length >= PASSAGE_BYTES else None
+        spans = passages if length == PASSAGE_BYTES else removals(docs, length, longer)
+        out = docs.join(spans, "key", "left").join(passages.withColumnRenamed("spans", "passages"), "key", "left")
+        out = out.select("doc_id", "text", "spans", "passages").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_bytes long")
         return stored(out, "suffix-digests", keep=True)
 
 
